@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, url_filter
+from . import chat, mixing, url_filter, warc
 
 QUERIES = {
+    "op4_warc": warc.op4_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op9_chat_format": chat.op9_chat_format,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLES = {
+    "op4_warc": warc.OP4_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
+    "op9_chat_format": chat.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
 }

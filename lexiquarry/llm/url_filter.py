@@ -92,7 +92,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH log(kind, value, action, since) AS (VALUES %s),
-spans AS (SELECT *, lead(at) OVER (PARTITION BY kind, value ORDER BY since, action) AS till FROM log),
+spans AS (SELECT *, lead(since) OVER (PARTITION BY kind, value ORDER BY since, action) AS till FROM log),
 held AS (SELECT kind, value, since, coalesce(till, '9999-01-01') AS till FROM spans WHERE action = 'add'),
 caps AS (
   SELECT page_id, url, strftime(DATE '2024-01-01' + (page_id * 7919 %% 366)::INT, '%%Y-%%m-%%d') AS day,
