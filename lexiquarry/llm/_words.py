@@ -26,6 +26,9 @@ _S33 = np.uint64(33)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Any ASCII byte but letters and digits separates words here.
+_MARKS = np.ones(256, dtype=bool)
+_MARKS[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
 _FOLD = np.arange(1, 257, dtype=np.uint64)
 _FOLD[ord("A") : ord("Z") + 1] += np.uint64(32)
 _KEEP = np.arange(1, 257, dtype=np.uint64)
@@ -89,13 +92,16 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         row = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Words:
-    """Word bounds and hashes of the rows in ``data``; ``offsets`` starts at zero."""
+def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, marks: bool = False) -> Words:
+    """Word bounds and hashes of the rows in ``data``; ``offsets`` starts at zero.
+
+    With ``marks``, ASCII punctuation separates words as white space does.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(data, none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), offsets)
-    solid = ~_SPACE[data]
+    solid = ~(_MARKS if marks else _SPACE)[data]
     edge = np.zeros(n + 1, dtype=bool)  # a row starts here
     edge[offsets] = True
     first = solid.copy()
@@ -109,11 +115,11 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Words:
     return Words(data, start, end, hashed, np.searchsorted(start, offsets), offsets)
 
 
-def each_slice(column: pa.Array | pa.ChunkedArray, fold: bool = True) -> Iterator[tuple[int, Words]]:
+def each_slice(column: pa.Array | pa.ChunkedArray, fold: bool = True, marks: bool = False) -> Iterator[tuple[int, Words]]:
     """``(first row, words)`` of every slice of a column."""
     data, offsets = utf8(column)
     for a, b in slices(offsets):
-        yield a, words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], fold)
+        yield a, words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], fold, marks)
 
 
 def grams(hashed: np.ndarray, n: int) -> np.ndarray:

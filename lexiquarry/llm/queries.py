@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, url_filter, warc
+from . import chat, decontaminate, mixing, quality, substrings, url_filter, warc
 
 QUERIES = {
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_warc": warc.op4_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_quality": quality.op7_quality,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_chat_format": chat.op9_chat_format,
     "op10_url_filter": url_filter.op10_url_filter,
 }
