@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, quality, substrings, url_filter, warc
+from . import chat, decontaminate, html_text, mixing, quality, substrings, topk, url_filter, warc
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
+    "op2_topk": topk.op2_topk,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_warc": warc.op4_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_topk": topk.OP2_SQL,
     "op4_warc": warc.OP4_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
     "op9_chat_format": chat.OP9_SQL,
