@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, mixing, quality, substrings, topk, url_filter, warc
+from . import chat, decontaminate, html_text, mixing, near_dedup, quality, substrings, topk, url_filter, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_topk": topk.op2_topk,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_warc": warc.op4_warc,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_quality": quality.op7_quality,
     "op8_substring_dedup": substrings.op8_substring_dedup,
