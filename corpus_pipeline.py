@@ -1,7 +1,61 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: documents in, a mixed training corpus out.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. All but the
+last return the columns of ``documents``; the last adds ``size``, ``taken`` and ``virtual_finish``.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexiquarry.llm import decontaminate, mixing, near_dedup, quality, substrings
+from lexiquarry.llm._shared import materialise, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds are cut; the document stays."""
+    out = substrings.dedup_substrings(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a test item go."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mixture, with the words that it takes of each."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("minhash near-dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("source mixing", mixing_stage),
+]
+
+#: Training a model and rolling hashes have no SQL; tests/llm hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``, each written and read again before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
