@@ -48,7 +48,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_
     full = F.coalesce(F.sum("cap").over(by_fill.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     open_weight = F.sum("weight").over(by_fill.rowsBetween(0, W.unboundedFollowing))
     per = per.withColumn("level", (F.col("budget") - full) / open_weight)
-    per = per.withColumn("level", F.min(F.when(F.col("level") <= F.col("fill"), F.col("level"))).over(W.partitionBy(F.lit(0))))
+    # the first source, by the level that fills it, that the rest of the budget does not fill
+    stops = F.when(F.col("level") <= F.col("fill"), F.struct(F.row_number().over(by_fill), "level"))
+    per = per.withColumn("level", F.min(stops).over(W.partitionBy(F.lit(0)))["level"])
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight")))
     return per.select("source", "source_size", target.alias("target"))
 
@@ -103,7 +105,7 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = allocate(table(spark, sf_dir, "documents"))
-    return got.repartitionByRange(F.col("virtual_finish").asc_nulls_last()).sortWithinPartitions(F.col("virtual_finish").asc_nulls_last())
+    return got.orderBy(F.col("virtual_finish").asc_nulls_last(), "doc_id")
 
 
 OP6_SQL = r"""
@@ -119,11 +121,11 @@ capped AS (
   SELECT *, (2 * source_size)::DOUBLE AS cap, (2 * source_size)::DOUBLE / weight AS fill,
          (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget FROM named),
 levels AS (
-  SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY fill, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  SELECT *, row_number() OVER (ORDER BY fill, source ASC NULLS LAST) AS pos, (budget - coalesce(sum(cap) OVER (ORDER BY fill, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(weight) OVER (ORDER BY fill, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv
   FROM capped),
 targets AS (
-  SELECT source, source_size, least(cap, min(lv) FILTER (WHERE lv <= fill) OVER () * weight) AS target FROM levels),
+  SELECT source, source_size, least(cap, arg_min(lv, pos) FILTER (WHERE lv <= fill) OVER () * weight) AS target FROM levels),
 queued AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before FROM sized)
 SELECT q.doc_id, q.source, q.size, t.source_size, t.target,
