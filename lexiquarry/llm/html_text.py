@@ -246,8 +246,14 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
         holder = min(articles)
     elif others:
         holder = max(others)
-    else:
-        return " ".join(b.text for b in region)
+    else:  # no such element: on to the neighbours that read like an article
+        a, z = stretch
+        reads = lambda b: not b.furniture and weight.get(b.feature, 0.0) > 0
+        while a > 0 and reads(found[a - 1]):
+            a -= 1
+        while z + 1 < len(found) and reads(found[z + 1]):
+            z += 1
+        return " ".join(b.text for b in found[a : z + 1] if not b.furniture)
     return " ".join(b.text for b in found if holder in b.path and not b.furniture)
 
 
