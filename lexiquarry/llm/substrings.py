@@ -1,13 +1,14 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash runs over the bytes of a text; where its mask bits are zero a chunk ends. The hash
-looks back ``GEAR_BYTES`` bytes only and no chunk has a least or greatest size, so inside a repeated
+looks back ``GEAR_BYTES`` bytes only and no chunk is made longer or shorter than it says, so inside a repeated
 passage the ends are the same wherever the passage stands, from its first ``GEAR_BYTES`` bytes on.
 
 1. Each document gives its distinct chunk digests; per digest, the documents are counted and the least
    doc_id is found (sums and minima combine before the shuffle, so a common chunk is no hot key).
 2. Digests of two documents or more meet the documents' digests again; a document learns which of its
-   chunks an earlier document (a lesser doc_id) holds.
+   chunks an earlier document (a lesser doc_id) holds. A bit array of fixed size, set by those digests,
+   keeps most others out of that join; what it lets through by chance the join drops.
 3. In each text, runs of such chunks, or of chunks that the text itself held before, are cut if they
    hold ``MIN_WORDS`` whole words or more. Only whole words go; what they leave is joined by a space.
 
@@ -25,16 +26,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import table
+from ._shared import materialise, table
 from ._words import _SPACE, SLICE_BYTES, _P, _P_INV, _power, mix, slices, utf8
 
-GEAR_BYTES = 16
-#: A chunk ends where these bits of the hash are zero: one byte in 32.
-MASK = np.uint32(0b11111 << 11)
+GEAR_BYTES = 8
+#: A chunk ends where these bits of the hash are zero: one byte in 16. Each depends on 5 to 8 bytes.
+MASK = np.uint32(0b1111 << 4)
+#: Shorter chunks are common words more often than passages: they give no digests, and inside a run they belong to it.
+LEAST_BYTES = 12
 MIN_WORDS = 24
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 _LAST = (1 << 63) - 1
+#: Bits of the array that keeps digests of one document out of the join: 4 MB.
+FILTER_BITS = 25
+ROWS = "doc_id long, digest long"
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -72,23 +78,42 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield a, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def _digest_rows(source: Batches) -> Batches:
+def _digest_rows(source: Batches, held: np.ndarray | None = None) -> Batches:
+    """Distinct ``doc_id, digest``; with ``held``, of digests whose bit is set."""
     for batch in source:
         ids = batch["doc_id"].to_numpy(zero_copy_only=False)
         for first, data, offsets in _slices(batch["text"]):
-            start, _, digest = chunks(data, offsets)
+            start, end, digest = chunks(data, offsets)
+            long = end - start >= LEAST_BYTES
+            start, digest = start[long], digest[long]
             rows = np.searchsorted(start, offsets)
+            if held is not None:
+                on = (held[digest >> np.uint64(64 - FILTER_BITS + 6)] >> (digest & np.uint64(63))) & np.uint64(1) == 1
+                rows, digest = np.concatenate([[0], np.cumsum(on)])[rows], digest[on]
             own = [np.unique(digest[a:b]) for a, b in zip(rows[:-1], rows[1:], strict=True)]
             size = np.fromiter(map(len, own), np.int64, len(own))
             yield pa.RecordBatch.from_pydict({"doc_id": np.repeat(ids[first : first + len(own)], size), "digest": np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64)})
 
 
+def _bits(shared: DataFrame) -> np.ndarray:
+    """A bit for each digest, in 64-bit words; at most ``2**FILTER_BITS / 64`` of them come to the driver."""
+    word = F.shiftrightunsigned("digest", 64 - FILTER_BITS + 6)
+    bit = F.expr("shiftleft(1L, cast(digest & 63 AS int))")
+    got = shared.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """``doc_id, digests``: of each document, the chunks that a document of lesser doc_id holds."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text")
-    rows = docs.mapInArrow(_digest_rows, "doc_id long, digest long")
+    rows = docs.mapInArrow(_digest_rows, ROWS)
     shared = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = rows.join(shared.select("digest", "first"), "digest").where("doc_id > first")
+    shared = materialise(shared.select("digest", "first"), "shared-chunks")
+    held = docs.sparkSession.sparkContext.broadcast(_bits(shared))
+    again = docs.mapInArrow(lambda source: _digest_rows(source, held.value), ROWS)
+    later = again.join(shared, "digest").where("doc_id > first")
     return later.groupBy("doc_id").agg(F.collect_set("digest").alias("digests"))
 
 
@@ -103,6 +128,13 @@ def cut_spans(text: bytes, known: np.ndarray, min_words: int = MIN_WORDS) -> lis
     again[first] = False
     if len(known):
         again |= known[np.minimum(np.searchsorted(known, digest), len(known) - 1)] == digest
+    long = np.flatnonzero(end - start >= LEAST_BYTES)
+    if not again[long].any():
+        return []
+    # a short chunk goes with the long ones about it
+    after = np.searchsorted(long, np.arange(len(start)))
+    near = np.concatenate([[False], again[long], [False]])
+    again = near[after + 1] & (near[after] | np.isin(np.arange(len(start)), long, assume_unique=True))
     edge = np.diff(again.astype(np.int8), prepend=0, append=0)
     space = _SPACE[data]
     spans = []
