@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import table, word_count
+from ._shared import materialise, table, word_count
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
@@ -69,7 +69,7 @@ def allocate(
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"))
-    sized = sized.withColumn("_bin", F.substring("_key", 1, _DIGITS))
+    sized = materialise(sized.withColumn("_bin", F.substring("_key", 1, _DIGITS)), "sizes")  # so that texts are read once
     targets = source_targets(sized, weights, budget_share, max_repeats)
     bins = sized.groupBy("source", "_bin").agg(F.sum("size").alias("_sum"))
     earlier = W.partitionBy("source").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
