@@ -45,7 +45,7 @@ _CONTENT = frozenset("article main".split())
 _CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "subscription signup sidebar sidenav aside menu nav navbar navigation breadcrumb breadcrumbs toolbar footer header masthead topbar comment comments commentlist disqus reply replies respond "
-    "related recommended recommendations share sharing social widget widgets pagination pager search login skip copyright hidden contentinfo complementary".split()
+    "responses reactions discussion disclaimer adsense adslot rail related recommended recommendations share sharing social widget widgets pagination pager search login skip copyright hidden contentinfo complementary".split()
 )
 _ARTICLE_WORDS = frozenset("article post entry content body main story text".split())
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
