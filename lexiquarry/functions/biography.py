@@ -114,7 +114,8 @@ def _tokens(clause: Column) -> Column:
 def nationality(clause: Column) -> Column:
     """Nationalities up to the first occupation, joined by commas."""
     held = F.transform(F.regexp_extract_all(clause, F.lit(ANY_CASE + _ANY_PHRASE), F.lit(0)), F.lower)
-    phrases = F.filter(F.array(*map(F.lit, _PHRASES)), lambda p: F.array_contains(held, p))
+    every = F.array(*map(F.lit, _PHRASES))
+    phrases = F.when(F.size(held) > 0, let(held, lambda h: F.filter(every, lambda p: F.array_contains(h, p)))).otherwise(F.array().cast("array<string>"))
 
     def of_token(t: Column) -> Column:
         part = F.filter(F.split(t, "-"), lambda p: p.isin(*NATIONALITIES))
@@ -157,11 +158,13 @@ def biography(text: Column) -> Column:
     """A struct of ``birth_date, death_date, nationality, occupation`` from an article's plain text."""
 
     def read(lead: Column) -> Column:
-        described = has(lead, CLAUSE, ANY_CASE)
-        clause = group(lead, CLAUSE, 1, ANY_CASE)
-        descent = F.lower(group(lead, DESCENT, 1, ANY_CASE))
-        nation = F.coalesce(F.when(described, nationality(clause)), F.when(descent.isin(*NATIONALITIES), F.initcap(descent)))
-        dates = life_dates(lead)
-        return F.struct(dates["birth"].alias("birth_date"), dates["death"].alias("death_date"), nation.alias("nationality"), F.when(described, occupation(clause)).alias("occupation"))
+        parts = F.struct(lead.alias("lead"), has(lead, CLAUSE, ANY_CASE).alias("described"), group(lead, CLAUSE, 1, ANY_CASE).alias("clause"), life_dates(lead).alias("life"))
+        return let(parts, fields)
+
+    def fields(x: Column) -> Column:
+        descent = F.lower(group(x["lead"], DESCENT, 1, ANY_CASE))
+        nation = F.coalesce(F.when(x["described"], nationality(x["clause"])), F.when(descent.isin(*NATIONALITIES), F.initcap(descent)))
+        trade = F.when(x["described"], occupation(x["clause"]))
+        return F.struct(x["life"]["birth"].alias("birth_date"), x["life"]["death"].alias("death_date"), nation.alias("nationality"), trade.alias("occupation"))
 
     return let(first_paragraph(text), read)
