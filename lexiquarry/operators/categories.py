@@ -115,3 +115,14 @@ def depth_stats(visited: DataFrame, members: DataFrame) -> DataFrame:
 
 def reached_articles(members: DataFrame, visited: DataFrame) -> DataFrame:
     return collect_articles(members, visited)
+
+
+def shared_titles(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` whose title another wiki's table has too."""
+    return left.join(right.select("title"), "title", "left_semi")
+
+
+def new_at_depth(visited: DataFrame, members: DataFrame, depth: int) -> DataFrame:
+    """Distinct ``page_id`` of articles that a depth reaches and no lesser depth does."""
+    at = lambda test: collect_articles(members, visited.where(test))
+    return at(F.col("depth") == depth).join(at(F.col("depth") < depth), "page_id", "left_anti")

@@ -20,7 +20,7 @@ from .functions.plaintext import plaintext, word_count
 from .functions.titles import article_url, title_key
 from .operators import categories as cat
 from .operators import reports
-from .plans.extract import tiered
+from .plans.extract import records, tiered
 from .plans.regions import entries, first_of_key, join_regions
 from .sources import dumps
 from .sources.archives import batches_of, blocks_of, missing_from, parse_index
@@ -231,6 +231,20 @@ def bfs_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.reached_articles(members, cat.traverse(sub, "root", 1))
 
 
+@query(f"WITH RECURSIVE {_GRAPH_SQL}, seen AS (SELECT page_id, min(depth) AS depth FROM members JOIN visited ON category = name GROUP BY page_id) SELECT page_id FROM seen WHERE depth = 2")
+def bfs_new_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sub, members = _graph(spark, sf_dir)
+    return cat.new_at_depth(cat.traverse(sub, "root", 2), members, 2)
+
+
+@query("SELECT c_custkey AS page_id, c_name AS title FROM customer WHERE replace(c_name, 'Customer', '') IN (SELECT replace(s_name, 'Supplier', '') FROM supplier)")
+def title_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of one wiki that another has: customers and suppliers of one number."""
+    one = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), F.col("c_name").alias("title"))
+    other = table(spark, sf_dir, "supplier").select(F.replace("s_name", F.lit("Supplier"), F.lit("Customer")).alias("title"))
+    return cat.shared_titles(one, other)
+
+
 # --- archives ------------------------------------------------------------------------------------
 
 
@@ -489,6 +503,21 @@ def tiered_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiered(_two_tiers(spark, sf_dir), "bio", ("nationality", "occupation")).select("id", "nationality", "occupation")
 
 
+@query(
+    f"""WITH {_TIER_SQL}, y AS ({_LIFE_SQL}), z AS (SELECT id, floor(o_totalprice)::BIGINT AS article_bytes FROM x JOIN orders ON o_orderkey = id WHERE o_totalprice >= 100000)
+    SELECT z.id AS page_id, 'T ' || z.id AS title,
+    CASE WHEN k % 9 = 8 OR k % 7 = 6 OR k % 11 = 10 OR k % 5 = 4 THEN NULL WHEN k % 5 = 3 THEN 'c. ' || y ELSE born END AS birth_date,
+    CASE WHEN k % 9 = 8 OR k % 7 = 6 OR k % 11 = 10 OR k % 5 IN (1, 4) THEN NULL ELSE died END AS death_date, CASE WHEN k % 9 < 8 THEN coalesce(bn, tn) END AS nationality,
+    CASE WHEN k % 9 < 8 THEN coalesce(bo, tc) END AS occupation, NULL::VARCHAR AS birth_date_note, NULL::VARCHAR AS death_date_note, article_bytes
+    FROM z JOIN x ON x.id = z.id JOIN y ON k = z.id"""
+)
+def bio_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of long orders; every ninth has no content and stays with empty fields."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_id"), say("T_", F.col("o_orderkey")).alias("title"), F.floor("o_totalprice").alias("length"))
+    content = _two_tiers(spark, sf_dir).where("id % 9 < 8").select(say("T ", F.col("id")).alias("title"), "wikitext", "plaintext")
+    return records(cat.long_enough(orders, 100000), content, "bio").drop("word_count")
+
+
 @query(
     f"""WITH {_TIER_SQL} SELECT CASE WHEN bn IS NOT NULL OR bo IS NOT NULL THEN CASE WHEN tn IS NOT NULL OR tc IS NOT NULL THEN 'infobox+text' ELSE 'infobox' END
     WHEN tn IS NOT NULL OR tc IS NOT NULL THEN 'text' ELSE 'none' END AS tier, count(*)::BIGINT AS articles FROM x GROUP BY 1"""
