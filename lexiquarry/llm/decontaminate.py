@@ -31,10 +31,10 @@ from ._shared import table
 from ._words import Words, each_slice, grams
 
 N = 4
-WINDOW = 3
-THRESHOLD = 0.5
+WINDOW = 2
+THRESHOLD = 0.45
 #: Text of the items that one pass broadcasts at most.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 _FILTER = 20
 
 LEAKS = "doc_id long, item_id long, score double, first_word int, last_word int"
@@ -100,8 +100,8 @@ def _own_grams(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return g, np.where(inside, row[: len(g)], -1)
 
 
-def _frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
-    """By rank in ``items.gram``: the documents that hold the sequence."""
+def _frequencies(docs: DataFrame, items: Items) -> np.ndarray:
+    """By rank in ``items.gram``, of equal ones the first: the documents that hold the sequence."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def count(source: Batches) -> Batches:
@@ -112,18 +112,21 @@ def _frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
                 g, row = _own_grams(w)
                 at, rank = of.hits(g)
                 own = row[at] >= 0
-                pairs = np.unique(row[at][own] * len(of.gram) + rank[own])
-                total += np.bincount(pairs % len(of.gram), minlength=len(of.gram))
+                held, n = np.unique(np.unique(row[at][own] * len(of.gram) + rank[own]) % len(of.gram), return_counts=True)
+                total[held] += n
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"rank": held, "n": total[held]})
 
-    got = docs.select("text").mapInArrow(count, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n"))
-    return {r["rank"]: r["n"] for r in got.collect()}  # a row for each sequence of the block at most
+    # a row for each sequence of the block at most
+    got = docs.select("text").mapInArrow(count, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(items.gram), np.int64)
+    out[got["rank"].to_numpy()] = got["n"].to_numpy()
+    return out
 
 
-def _seeds(items: Items, frequency: dict[int, int]) -> Items:
+def _seeds(items: Items, frequency: np.ndarray) -> Items:
     """The rarest of every ``WINDOW`` consecutive sequences; those in no document are no seeds."""
-    n = np.array([frequency.get(int(r), 0) for r in np.searchsorted(items.gram, items.gram)], np.int64)
+    n = frequency[np.searchsorted(items.gram, items.gram)]
     keep = np.zeros(len(n), bool)
     order = np.lexsort((items.place, items.item))
     bounds = np.flatnonzero(np.diff(items.item[order], prepend=-1, append=-1))

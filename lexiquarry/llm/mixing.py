@@ -94,13 +94,14 @@ def allocate(
 def mix(docs: DataFrame, **kw) -> DataFrame:
     """The documents of the mixture in its order, with ``size, taken, virtual_finish`` added.
 
-    A document of which twice its words are taken appears once, with ``taken`` telling so.
+    A document of which twice its words are taken appears once, with ``taken`` telling so. Rows that share
+    a doc_id appear each, with the most that is taken of any of them.
     """
     got = allocate(docs, **kw).where("taken > 0")
     got = got.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"), F.max("virtual_finish").alias("virtual_finish"))
-    got = got.withColumnRenamed("doc_id", "_id")
+    got = got.withColumnRenamed("doc_id", "__mixed_id")
     docs = docs.drop("size", "taken", "virtual_finish")
-    return docs.join(got, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return docs.join(got, F.col("doc_id").eqNullSafe(F.col("__mixed_id"))).drop("__mixed_id")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
