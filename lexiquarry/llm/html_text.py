@@ -73,6 +73,8 @@ PRIOR = (
 )
 #: Words that make a block a long one.
 LONG = 15
+#: Elements nested deeper count as part of their parent; their text stays.
+DEPTH = 512
 
 
 class Block(NamedTuple):
@@ -184,9 +186,10 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
             inside = any(s[0] in _CONTENT for s in stack)
             furniture = name in _HARD or name == "header" and not inside or name not in ("html", "body", "article", "main") and _is_furniture(attributes, name) or name == "article" and inside and _is_furniture(attributes, name)
             article = name in _CONTENT or "articleBody" in attributes
-            count += 1
-            names[count] = "article" if article else name
-            stack.append((name, count, furniture, article))
+            if len(stack) < DEPTH:
+                count += 1
+                names[count] = "article" if article else name
+                stack.append((name, count, furniture, article))
         in_link = 0
         settle()
     said(page[at:])
@@ -246,9 +249,9 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
         holder = min(articles)
     elif others:
         holder = max(others)
-    else:  # no such element: on to the neighbours that read like an article
+    else:  # no such element: on to the neighbours that read like an article, past furniture between them
         a, z = stretch
-        reads = lambda b: not b.furniture and weight.get(b.feature, 0.0) > 0
+        reads = lambda b: b.furniture or weight.get(b.feature, 0.0) > 0
         while a > 0 and reads(found[a - 1]):
             a -= 1
         while z + 1 < len(found) and reads(found[z + 1]):

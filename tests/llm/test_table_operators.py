@@ -171,6 +171,7 @@ def test_main_text_of_odd_pages():
     assert text("<p>one<p>two <b>bo") == "one two bo" and text("<article><p>cut off here <a hre") == "cut off here"
     assert text("<article><script>if (a < b) { '</p>' }</script><p>kept text</p><!-- <p>no</p> --></article>") == "kept text"
     assert len(text("<p>" + "word " * 200_000)) == 5 * 200_000 - 1
+    assert text("<div>" * 20_000 + "<p>deep text</p>" + "</div>" * 20_000) == "deep text"
 
 
 def test_extract_keeps_rows(spark):
