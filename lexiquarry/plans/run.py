@@ -20,6 +20,8 @@ from .regions import entries, first_of_key, join_regions
 
 #: Least article length of wikis unless it is given; 0 for the simple one, whose articles are short.
 LEAST_LENGTH = 5000
+#: Where pattern files are unless a folder is given.
+PATTERNS_DIR = Path("patterns")
 MODES = ("bio", "geo", "etymology", "battle", "exploration", "astronomy", "biology", "math", "auto")
 
 
@@ -68,15 +70,15 @@ def parse_args(argv: list[str] | None = None) -> Config:
     p.add_argument("root_category", nargs="?")
     p.add_argument("--patterns", nargs="+", default=[])
     p.add_argument("--patterns-file", type=Path)
-    p.add_argument("--all", type=Path, metavar="FOLDER", help="every pattern file of a folder")
+    p.add_argument("--all", type=Path, nargs="?", const=PATTERNS_DIR, metavar="FOLDER", help="every pattern file of a folder")
     p.add_argument("--min-page-length", type=int, default=LEAST_LENGTH)
     p.add_argument("--wiki", default="enwiki")
     p.add_argument("--data-dir", type=Path, default=Path("data"))
     p.add_argument("--results-dir", type=Path, default=Path("results"))
     p.add_argument("--api-batch-size", type=int, default=remote.TITLES_PER_CALL)
     p.add_argument("--api-rate-limit", type=float, default=0.1)
-    p.add_argument("--model", default=os.environ.get("OLLAMA_MODEL", "llama3.1:8b"))
-    p.add_argument("--model-url", default=os.environ.get("OLLAMA_BASE_URL", "http://localhost:11434"))
+    p.add_argument("--model", "--ollama-model", default=os.environ.get("OLLAMA_MODEL", "llama3.1:8b"))
+    p.add_argument("--model-url", "--ollama-base-url", default=os.environ.get("OLLAMA_BASE_URL", "http://localhost:11434"))
     p.add_argument("--extraction-mode", choices=MODES, default="auto")
     p.add_argument("--required-fields", nargs="+")
     p.add_argument("--output-format", choices=("xlsx", "csv", "tsv"), default="xlsx")
@@ -85,7 +87,12 @@ def parse_args(argv: list[str] | None = None) -> Config:
     for flag in ("dry-run", "no-cache", "clear-cache", "download-articles", "use-api", "no-multistream", "no-llm"):
         p.add_argument(f"--{flag}", action="store_true")
     a = p.parse_args(argv)
-    groups = tuple(g for path in (a.patterns_file, a.all) if path for g in read_patterns(path))
+    groups = read_patterns(a.patterns_file) if a.patterns_file else ()
+    idle = not (a.use_api or a.patterns or groups or a.root_category or a.download_articles)
+    if (a.all or idle) and not (a.patterns or groups):
+        folder = a.all or PATTERNS_DIR
+        folder = folder / "geo" if a.extraction_mode in ("geo", "etymology") and (folder / "geo").is_dir() else folder
+        groups = read_patterns(folder) if folder.is_dir() else ()
     patterns = (*a.patterns, *(x for _, own in groups for x in own))
     if not (a.root_category or patterns or a.download_articles):
         p.error("a root category, patterns or --download-articles is needed")

@@ -143,9 +143,15 @@ def test_group_run(spark, wiki):
     assert len(list((wiki / "r" / "rivers").glob("*.xlsx"))) == 1
 
 
-def test_arguments():
+def test_arguments(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
     with pytest.raises(SystemExit):
         run.parse_args([])
+    (tmp_path / "patterns" / "geo").mkdir(parents=True)
+    (tmp_path / "patterns" / "a.txt").write_text("x\ny")
+    (tmp_path / "patterns" / "geo" / "b.txt").write_text("z")
+    assert run.parse_args([]).patterns == ("x", "y") and run.parse_args(["--extraction-mode", "geo"]).groups == (("b", ("z",)),)
+    assert run.parse_args(["--patterns", "p"]).groups == () and run.parse_args(["--all", "--ollama-model", "m"]).model_name == "m"
     assert run.parse_args(["X", "--wiki", "simplewiki"]).min_length == 0 and run.parse_args(["X", "--wiki", "simplewiki", "--min-page-length", "7"]).min_length == 7
     both = run.parse_args(["X", "--patterns", "p"])
     assert both.search == "regex" and both.lang == "en" and run.parse_args(["A b"]).name == "A_b" and run.parse_args(["--patterns", "p"]).name == "regex_results"
