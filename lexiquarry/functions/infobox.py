@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dates import MONTH, month_number
-from .plaintext import INNER_TEMPLATE, LINK, MEDIA, QUOTES, TAG, without_templates
+from .plaintext import COMMENT, INNER_TEMPLATE, LINK, MEDIA, QUOTES, TAG, without_templates
 from .text import ANY_CASE, FLAGS, any_of, group, has, let, present, strip, sub, two_digits
 
 DEPTH = 4
@@ -44,9 +44,12 @@ _PARAMETER = rf"(?s)\|({_PIECE}*+)"
 
 
 def infobox(wikitext: Column, names: tuple[str, ...]) -> Column:
-    """What stands between the name and the closing braces of the first template so named; null without one."""
+    """What stands between the name and the closing braces of the first template so named; null without one.
+
+    Comments go first, as they may hold bars and braces.
+    """
     inner = rf"(?:[^{{}}]++|{_TEMPLATE}|\{{(?!\{{)|\}}(?!\}}))*+"
-    return present(group(wikitext, rf"(?s)\{{\{{\s*{any_of(names)}\s*((?:\|{inner})?\}}\}})", 1, ANY_CASE))
+    return present(group(sub(wikitext, COMMENT), rf"(?s)\{{\{{\s*{any_of(names)}\s*((?:\|{inner})?\}}\}})", 1, ANY_CASE))
 
 
 def parameters(body: Column) -> Column:

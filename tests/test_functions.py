@@ -82,6 +82,7 @@ def test_infobox_numbers_and_lists(spark):
     geo = "{{Infobox settlement|population_total=1,234,567|area_km2={{convert|1|km}}|area= 12px 3|region=A<br>B\n* C,}}"
     r = apply(spark, [geo], lambda v: infobox.fields(v, modes.GEO))[0]
     assert (r.population, r.area_km2, r.subdivision_name) == ("1234567", "3", "AB; C")
+    assert apply(spark, ["{{Infobox city<!-- a | }} -->|population=7<!-- | -->|pop=}}"], lambda v: infobox.fields(v, modes.GEO))[0].population == "7"
 
 
 def test_long_infobox_does_not_overflow(spark):
