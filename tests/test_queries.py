@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
     names = [d[0] for d in want.description]
     assert sorted(names) == columns
     rows = sorted(repr([r[c] for c in columns]) for r in got.collect())
-    assert rows == sorted(repr([r[names.index(c)] for c in columns]) for r in want.fetchall()) and rows
+    assert rows == sorted(repr([r[names.index(c)] for c in columns]) for r in want.fetchall())
 
 
 def test_sample_is_the_same_on_every_run(spark):
