@@ -73,8 +73,11 @@ PRIOR = (
 )
 #: Words that make a block a long one.
 LONG = 15
-#: Elements nested deeper count as part of their parent; their text stays.
-DEPTH = 512
+#: Open elements that a start tag ends, where their end tags may be left out.
+_CELLS = frozenset(("td", "th"))
+_ROWS = _CELLS | {"tr"}
+_GROUPS = _ROWS | {"thead", "tbody", "tfoot", "caption", "colgroup"}
+_ENDS = {"li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "td": _CELLS, "th": _CELLS, "tr": _ROWS, "thead": _GROUPS, "tbody": _GROUPS, "tfoot": _GROUPS}
 
 
 class Block(NamedTuple):
@@ -83,7 +86,7 @@ class Block(NamedTuple):
     tags: int
     feature: str
     furniture: bool
-    path: tuple[int, ...]  # numbers of the open containers
+    place: int  # number of the innermost open container, 0 for none
     labelled: bool  # inside an element that the page marks as its article
 
 
@@ -105,33 +108,54 @@ def _is_furniture(attributes: str, name: str) -> bool:
     return False
 
 
-def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
-    """The page's blocks in order, and the tag name of each numbered container."""
+class Open(NamedTuple):
+    """An open element; the flags hold for all that is in it, so depth costs a tag nothing."""
+
+    name: str
+    number: int
+    furniture: bool
+    article: bool
+    content: bool  # it is, or is in, an <article> or <main>
+
+
+def blocks(page: str) -> tuple[list[Block], list[str], list[int]]:
+    """The page's blocks in order, and of each numbered container the tag name and the parent's number, which is less."""
     out: list[Block] = []
-    names: dict[int, str] = {}
-    stack: list[tuple[str, int, bool, bool]] = []  # name, number, furniture, article
-    path: tuple[int, ...] = ()
+    names, parents = [""], [0]
+    root = Open("", 0, False, False, False)
+    stack = [root]
+    opened: Counter = Counter()  # open elements by name
     pieces: list[str] = []
-    bad = marked = False
-    in_link = link_words = tags = count = at = 0
+    in_link = link_words = tags = at = 0
     kind = "div"
 
     def flush() -> None:
         nonlocal pieces, tags, link_words
         words = html.unescape("".join(pieces)).split() if pieces else ()
         if words:
-            feature = "w:any:furniture" if bad else f"w:{kind}:{'link' if 2 * link_words > len(words) else 'text'}:{'long' if len(words) >= LONG else 'short'}"
-            out.append(Block(" ".join(words), len(words), tags, feature, bad, path, marked))
+            last = stack[-1]
+            feature = "w:any:furniture" if last.furniture else f"w:{kind}:{'link' if 2 * link_words > len(words) else 'text'}:{'long' if len(words) >= LONG else 'short'}"
+            out.append(Block(" ".join(words), len(words), tags, feature, last.furniture, last.number, last.article))
             tags = 0
         pieces, link_words = [], 0
 
     def settle() -> None:
-        nonlocal bad, marked, path, kind
-        bad, marked = any(s[2] for s in stack), any(s[3] for s in stack)
-        path = tuple(s[1] for s in stack)
-        last = stack[-1][0] if stack else "div"
+        nonlocal kind
+        last = stack[-1].name
         kind = last if last in ("p", "li", "td") else "h" if re.fullmatch("h[1-6]", last) else "div"
 
+    def push(name: str, label: str, furniture: bool, article: bool) -> None:
+        up = stack[-1]
+        stack.append(Open(name, len(names), up.furniture or furniture, up.article or article, up.content or name in _CONTENT))
+        names.append(label)
+        parents.append(up.number)
+        opened[name] += 1
+
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     def said(text: str) -> None:
         nonlocal link_words
         if text:
@@ -163,43 +187,38 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
                 in_link = 0 if closing else 1
             elif not closing and name not in _VOID and _is_furniture(attributes, name):
                 flush()
-                count += 1
-                names[count] = name
-                stack.append((name, count, True, False))
+                push(name, name, True, False)
                 settle()
-            elif closing and stack and stack[-1][0] == name:
+            elif closing and stack[-1].name == name:
                 flush()
-                stack.pop()
+                pop()
                 settle()
             continue
         flush()
         if name in _VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            while opened[name] and pop() != name:
+                pass
         else:
-            if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack and stack[-1][0] == name and name in ("li", "td", "tr", "dd", "dt"):
-                stack.pop()
-            inside = any(s[0] in _CONTENT for s in stack)
+            if stack[-1].name in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+                pop()
+            while stack[-1].name in _ENDS.get(name, ()):
+                pop()
+            inside = stack[-1].content
             furniture = name in _HARD or name == "header" and not inside or name not in ("html", "body", "article", "main") and _is_furniture(attributes, name) or name == "article" and inside and _is_furniture(attributes, name)
             article = name in _CONTENT or "articleBody" in attributes
-            if len(stack) < DEPTH:
-                count += 1
-                names[count] = "article" if article else name
-                stack.append((name, count, furniture, article))
+            push(name, "article" if article else name, furniture, article)
         in_link = 0
         settle()
     said(page[at:])
     flush()
-    return out, names
+    return out, names, parents
 
 
 def count_features(page: str) -> Counter:
     """``(feature, inside)`` counts of a page that marks its article, else nothing."""
-    found, _ = blocks(page)
+    found, _, _ = blocks(page)
     counts: Counter = Counter()
     if any(b.labelled and not b.furniture for b in found):
         for b in found:
@@ -225,7 +244,7 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
-    found, names = blocks(page or "")
+    found, names, parents = blocks(page or "")
     # the linear scan: the best sum that ends at each block
     best, stretch, sum_, start = 0.0, (0, -1), 0.0, 0
     for k, b in enumerate(found):
@@ -238,13 +257,14 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
     if not region:  # nothing scores above zero: all that is not furniture
         return " ".join(b.text for b in found if not b.furniture)
     # the innermost element that holds most of the stretch, an article before others
-    held: Counter = Counter()
+    held = [0] * len(names)
     for b in region:
-        for number in b.path:
-            held[number] += b.words
-    most = sum(b.words for b in region) / 2
-    articles = [n for n in held if names.get(n) == "article" and held[n] >= most]
-    others = [n for n in held if held[n] >= 2 * most and names.get(n) not in ("html", "body", "p")]
+        held[b.place] += b.words
+    for n in range(len(names) - 1, 0, -1):
+        held[parents[n]] += held[n]
+    most = held[0] / 2
+    articles = [n for n in range(1, len(names)) if names[n] == "article" and held[n] >= most]
+    others = [n for n in range(1, len(names)) if held[n] >= 2 * most and names[n] not in ("html", "body", "p")]
     if articles:
         holder = min(articles)
     elif others:
@@ -257,7 +277,10 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
         while z + 1 < len(found) and reads(found[z + 1]):
             z += 1
         return " ".join(b.text for b in found[a : z + 1] if not b.furniture)
-    return " ".join(b.text for b in found if holder in b.path and not b.furniture)
+    within = [False] * len(names)
+    for n in range(holder, len(names)):
+        within[n] = n == holder or within[parents[n]]
+    return " ".join(b.text for b in found if within[b.place] and not b.furniture)
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:

@@ -174,6 +174,22 @@ def test_main_text_of_odd_pages():
     assert text("<div>" * 20_000 + "<p>deep text</p>" + "</div>" * 20_000) == "deep text"
 
 
+def test_deep_and_unclosed_elements_keep_the_article_and_its_furniture():
+    text = lambda page: html_text.main_text(page, html_text.weights({}))
+    prose = "some words of the story that go on for a good while so that this is long"
+    inside = f"<nav>go home</nav><div>{prose}</div>"
+    rows = "".join(f"<tr><td>cell {k}<td>more" for k in range(400))
+    wanted = " ".join(f"cell {k} more" for k in range(400))
+    got = text(f"<body><div><article><p>{prose}</p><table>{rows}<tr><td>{inside}</table><p>{prose} end</p></article></div><div>next page</div>")
+    assert got == f"{prose} {wanted} {prose} {prose} end"
+    terms = "".join(f"<dt>term {k}<dd>sense" for k in range(600))
+    assert text(f"<article><dl>{terms}</dl><div>{prose}</div><p>{prose}</p></article>").endswith(f"sense {prose} {prose}")
+    deep = 700
+    assert text(f"<article><p>{prose}</p>{'<div>' * deep}{inside}{'</div>' * deep}<p>{prose} end</p></article><p>other</p>") == f"{prose} {prose} {prose} end"
+    found, _, parents = html_text.blocks(f"<table>{rows}</table>")
+    assert len(found) == 800 and all(parents[parents[parents[b.place]]] == 0 for b in found)
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % ("<article>", "</article>"), "x"), (2, None, None, "x"), (1, "u", "<p>again", "x"), (None, "u", "<p>b", "x")], "page_id long, url string, html string, text string")
     got = html_text.extract(pages, html_text.train(pages)).collect()
