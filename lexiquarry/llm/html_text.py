@@ -9,7 +9,10 @@ of least hash of page_id; only counts by feature come to the driver, a few hundr
 
 The stretch then grows to the element that holds most of it, so that a short first or last paragraph
 is not lost, and blocks in furniture inside it (navigation, headers and footers of the page, asides,
-forms, adverts, notices, comments, scripts, hidden parts) are left out.
+forms, adverts, notices, comments, scripts, hidden parts) are left out. A class, id or role makes
+furniture by a whole name or its head word (``ad-slot``, ``site-header``; not ``has-sidebar``), and never
+of an element that holds an article or most of the page's positive score. Comments and related
+pages are rich in text and articles too, so they are let off only if no long text stands outside.
 
 Text of a block: character references decoded, white space runs to one space, trimmed; blocks in
 page order joined by one space. Inline tags do not break words; ``<br>`` is white space. Defined
@@ -25,6 +28,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -36,7 +40,7 @@ from ._shared import table
 SAMPLE = 2000
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|style|aria-hidden|hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _RAW = frozenset("script style noscript template iframe textarea svg math canvas object title xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input".split())
@@ -45,9 +49,14 @@ _CONTENT = frozenset("article main".split())
 _CLASSES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "subscription signup sidebar sidenav aside menu nav navbar navigation breadcrumb breadcrumbs toolbar footer header masthead topbar comment comments commentlist disqus reply replies respond "
-    "responses reactions discussion disclaimer adsense adslot rail related recommended recommendations share sharing social widget widgets pagination pager search login skip copyright hidden contentinfo complementary".split()
+    "responses reactions discussion disclaimer adsense adslot rail related recommended recommendations share sharing social widget widgets pagination pager search login skip copyright contentinfo complementary".split()
 )
+#: Those of them whose text is as rich as an article's.
+_TALK = frozenset("comment comments commentlist disqus reply replies respond responses reactions discussion related recommended recommendations".split())
+_HIDDEN = frozenset("hidden visuallyhidden visually-hidden is-hidden".split())
 _ARTICLE_WORDS = frozenset("article post entry content body main story text".split())
+#: Words that only place the word after them, as in ``site-header``.
+_PLACES = _ARTICLE_WORDS | frozenset("site page global top bottom left right primary secondary inner outer user google blog web home".split())
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 #: Counts that stand in for a small labelled page: feature, words inside, words outside.
@@ -90,22 +99,46 @@ class Block(NamedTuple):
     labelled: bool  # inside an element that the page marks as its article
 
 
-def _is_furniture(attributes: str, name: str) -> bool:
-    if not attributes:
-        return False
-    for m in _NAMES.finditer(attributes):
+class Tree(NamedTuple):
+    """By number of a container, 0 for the page: tag name, parent's number (which is less), and the word of a class, id or role that makes it furniture."""
+
+    names: list[str]
+    parents: list[int]
+    words: list[str]
+
+
+@lru_cache(1 << 16)
+def _class_word(token: str) -> str:
+    """The word that makes a class, id or role furniture: all of it, its first, or its last after words of place; else nothing."""
+    low = token.lower()
+    if low in _CLASSES:
+        return low
+    if low in _HIDDEN:
+        return "hidden"
+    parts = [p.lower() for p in _SPLIT.split(token) if p]
+    if not parts:
+        return ""
+    if parts[0] in _CLASSES:
+        word = parts[0]
+    else:
+        word = parts[-1] if parts[-1] in _CLASSES and all(p in _PLACES for p in parts[:-1]) else ""
+    return "" if word == "header" and _ARTICLE_WORDS.intersection(parts) else word
+
+
+def _furniture(attributes: str) -> tuple[bool, str]:
+    """Whether the attributes hide the element, and the word of a class, id or role that makes it furniture."""
+    hidden, word = False, ""
+    seen = set()
+    for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style":
-            if "display:none" in value.lower().replace(" ", ""):
-                return True
+        if key in seen:  # the first of a name holds
+            continue
+        seen.add(key)
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and "display:none" in value.lower().replace(" ", ""):
+            hidden = True
         elif key in ("class", "id", "role"):
-            for whole in value.split():
-                parts = {p.lower() for p in _SPLIT.split(whole)}
-                if parts & _CLASSES and not (parts & _ARTICLE_WORDS and parts & _CLASSES <= {"header"}):
-                    return True
-    return False
+            word = word or next(filter(None, map(_class_word, value.split())), "")
+    return hidden, word
 
 
 class Open(NamedTuple):
@@ -118,10 +151,10 @@ class Open(NamedTuple):
     content: bool  # it is, or is in, an <article> or <main>
 
 
-def blocks(page: str) -> tuple[list[Block], list[str], list[int]]:
-    """The page's blocks in order, and of each numbered container the tag name and the parent's number, which is less."""
+def blocks(page: str) -> tuple[list[Block], Tree]:
+    """The page's blocks in order and its containers; furniture by class is left to ``judged``."""
     out: list[Block] = []
-    names, parents = [""], [0]
+    tree = Tree([""], [0], [""])
     root = Open("", 0, False, False, False)
     stack = [root]
     opened: Counter = Counter()  # open elements by name
@@ -144,11 +177,12 @@ def blocks(page: str) -> tuple[list[Block], list[str], list[int]]:
         last = stack[-1].name
         kind = last if last in ("p", "li", "td") else "h" if re.fullmatch("h[1-6]", last) else "div"
 
-    def push(name: str, label: str, furniture: bool, article: bool) -> None:
+    def push(name: str, label: str, furniture: bool, article: bool, word: str) -> None:
         up = stack[-1]
-        stack.append(Open(name, len(names), up.furniture or furniture, up.article or article, up.content or name in _CONTENT))
-        names.append(label)
-        parents.append(up.number)
+        stack.append(Open(name, len(tree.names), up.furniture or furniture, up.article or article, up.content or name in _CONTENT))
+        tree.names.append(label)
+        tree.parents.append(up.number)
+        tree.words.append(word)
         opened[name] += 1
 
     def pop() -> str:
@@ -185,9 +219,9 @@ def blocks(page: str) -> tuple[list[Block], list[str], list[int]]:
                 pieces.append(" ")
             elif name == "a":
                 in_link = 0 if closing else 1
-            elif not closing and name not in _VOID and _is_furniture(attributes, name):
+            elif not closing and name not in _VOID and attributes and any(why := _furniture(attributes)):
                 flush()
-                push(name, name, True, False)
+                push(name, name, why[0], False, why[1])
                 settle()
             elif closing and stack[-1].name == name:
                 flush()
@@ -206,19 +240,50 @@ def blocks(page: str) -> tuple[list[Block], list[str], list[int]]:
             while stack[-1].name in _ENDS.get(name, ()):
                 pop()
             inside = stack[-1].content
-            furniture = name in _HARD or name == "header" and not inside or name not in ("html", "body", "article", "main") and _is_furniture(attributes, name) or name == "article" and inside and _is_furniture(attributes, name)
+            judge = name not in ("html", "body", "main") and (name != "article" or inside)
+            hidden, word = _furniture(attributes) if judge and attributes else (False, "")
+            furniture = name in _HARD or name == "header" and not inside or hidden
             article = name in _CONTENT or "articleBody" in attributes
-            push(name, "article" if article else name, furniture, article)
+            push(name, "article" if article else name, furniture, article, word)
         in_link = 0
         settle()
     said(page[at:])
     flush()
-    return out, names, parents
+    return out, tree
+
+
+def judged(found: list[Block], tree: Tree, weight: dict[str, float]) -> list[Block]:
+    """The blocks, with those in furniture by class marked; what holds an article or most of the positive score is none."""
+    _, parents, words = tree
+    if not any(words):
+        return found
+    size = len(parents)
+    score, by_class, holds = [0.0] * size, [False] * size, [False] * size
+    for n in range(1, size):
+        by_class[n] = bool(words[n]) or by_class[parents[n]]
+    long_outside = False
+    for b in found:
+        if not b.furniture:
+            score[b.place] += b.words * max(0.0, weight.get(b.feature, 0.0))
+            holds[b.place] = True
+            long_outside |= not by_class[b.place] and b.feature.endswith("text:long")
+    # an article counts if it has text that is not furniture
+    for n in range(size - 1, 0, -1):
+        score[parents[n]] += score[n]
+        holds[parents[n]] |= holds[n]
+    article = [False] * size
+    for n in range(size - 1, 0, -1):
+        article[parents[n]] |= article[n] or tree.names[n] == "article" and not words[n] and holds[n]
+    bad = [False] * size
+    for n in range(1, size):
+        let_off = (article[n] or 2 * score[n] > score[0]) and not (words[n] in _TALK and long_outside)
+        bad[n] = bad[parents[n]] or bool(words[n]) and not let_off
+    return [b._replace(furniture=True, feature="w:any:furniture") if bad[b.place] and not b.furniture else b for b in found]
 
 
 def count_features(page: str) -> Counter:
     """``(feature, inside)`` counts of a page that marks its article, else nothing."""
-    found, _, _ = blocks(page)
+    found = judged(*blocks(page), weights({}))
     counts: Counter = Counter()
     if any(b.labelled and not b.furniture for b in found):
         for b in found:
@@ -244,7 +309,8 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
-    found, names, parents = blocks(page or "")
+    found, tree = blocks(page or "")
+    found, names, parents = judged(found, tree, weight), tree.names, tree.parents
     # the linear scan: the best sum that ends at each block
     best, stretch, sum_, start = 0.0, (0, -1), 0.0, 0
     for k, b in enumerate(found):

@@ -186,8 +186,31 @@ def test_deep_and_unclosed_elements_keep_the_article_and_its_furniture():
     assert text(f"<article><dl>{terms}</dl><div>{prose}</div><p>{prose}</p></article>").endswith(f"sense {prose} {prose}")
     deep = 700
     assert text(f"<article><p>{prose}</p>{'<div>' * deep}{inside}{'</div>' * deep}<p>{prose} end</p></article><p>other</p>") == f"{prose} {prose} {prose} end"
-    found, _, parents = html_text.blocks(f"<table>{rows}</table>")
-    assert len(found) == 800 and all(parents[parents[parents[b.place]]] == 0 for b in found)
+    found, tree = html_text.blocks(f"<table>{rows}</table>")
+    assert len(found) == 800 and all(tree.parents[tree.parents[tree.parents[b.place]]] == 0 for b in found)
+
+
+WHOLE = ["overflow-hidden", "md:hidden", "has-sidebar", "content-with-sidebar", "no-ads", "public-notice", "sidebar", "noticeBoard"]
+
+
+@pytest.mark.parametrize("mark", [f'class="box {c}"' for c in WHOLE] + ['title="the hidden life"', 'data-hidden="false"', 'data-role="menu"', 'data-id="nav"', "id='hidden-gems'", 'alt="x" role="complementary"'])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_a_wrapper_by_its_name_keeps_the_page(mark, tag):
+    prose = "some words of the story that go on for a good while so that this is long"
+    page = f'<body><div {mark}><{tag}><p>{prose}</p><p>{prose}</p><div class="ad-slot">buy now</div><div class="site-footer">all rights</div><p>{prose}</p></{tag}></div><div>go home</div>'
+    assert html_text.main_text(page, html_text.weights({})) == f"{prose} {prose} {prose}"
+
+
+def test_furniture_by_name_goes():
+    w = html_text.weights({})
+    prose = "some words of the story that go on for a good while so that this is long"
+    for mark in ("class=ad", 'class="x nav-bar"', "id='comments'", 'role="navigation"', "hidden", 'style="color:red; display: none"', 'aria-hidden="true"', 'class="siteHeader"', 'class="hidden"', 'class="post-comments"'):
+        assert html_text.main_text(f"<article><p>{prose}</p><div {mark}>some other text</div><p>{prose}</p></article>", w) == f"{prose} {prose}", mark
+    for mark in ('class="public-notice"', 'title="the nav"', 'class="md:hidden"', 'class="entry-header"'):
+        assert "some other text" in html_text.main_text(f"<article><p>{prose}</p><div {mark}>some other text</div><p>{prose}</p></article>", w), mark
+    talk = f'<div class="comments"><article><p>{prose}</p></article><p>{prose}</p><p>{prose}</p></div>'
+    assert html_text.main_text(f"<div><p>{prose} first</p>{talk}</div>", w) == f"{prose} first"
+    assert html_text.main_text(f"<div>{talk}</div>", w).count(prose) >= 1
 
 
 def test_extract_keeps_rows(spark):
