@@ -3,14 +3,17 @@
 A gear rolling hash runs over the bytes of a text; where its mask bits are zero a chunk ends. The hash
 looks back ``GEAR_BYTES`` bytes only and no chunk is made longer or shorter than it says, so inside a repeated
 passage the ends are the same wherever the passage stands, from its first ``GEAR_BYTES`` bytes on.
+Single chunks of a few words meet by chance, so what is compared is a unit: two neighbouring long chunks
+with all bytes between them, or a chunk that holds ``MIN_WORDS`` words by itself.
 
-1. Each document gives its distinct chunk digests; per digest, the documents are counted and the least
-   doc_id is found (sums and minima combine before the shuffle, so a common chunk is no hot key).
+1. Each document gives its distinct unit digests; per digest, the documents are counted and the least
+   doc_id is found (sums and minima combine before the shuffle, so a common unit is no hot key).
 2. Digests of two documents or more meet the documents' digests again; a document learns which of its
-   chunks an earlier document (a lesser doc_id) holds. A bit array of fixed size, set by those digests,
+   units an earlier document (a lesser doc_id) holds. A bit array of fixed size, set by those digests,
    keeps most others out of that join; what it lets through by chance the join drops.
-3. In each text, runs of such chunks, or of chunks that the text itself held before, are cut if they
-   hold ``MIN_WORDS`` whole words or more. Only whole words go; what they leave is joined by a space.
+3. In each text, runs of such units, or of units that the text itself held before, are cut if they
+   hold ``MIN_WORDS`` whole words or more; units that overlap are one run. Every byte that goes, short
+   chunks too, has thus stood between the same long chunks before. Only whole words go; what they leave is joined by a space.
 
 The first document with a passage keeps it. Defined cases: null texts stay null, empty ones empty;
 repeated rows of one doc_id count as one document and are cut alike; a null doc_id comes after all
@@ -32,7 +35,7 @@ from ._words import _SPACE, SLICE_BYTES, _P, _P_INV, _power, mix, slices, utf8
 GEAR_BYTES = 8
 #: A chunk ends where these bits of the hash are zero: one byte in 16. Each depends on 5 to 8 bytes.
 MASK = np.uint32(0b1111 << 4)
-#: Shorter chunks are common words more often than passages: they give no digests, and inside a run they belong to it.
+#: Shorter chunks are common words more often than passages: no unit starts or ends with them.
 LEAST_BYTES = 12
 MIN_WORDS = 24
 
@@ -56,20 +59,55 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks of a slice: first byte, one past the last, digest. Row bounds are chunk bounds."""
+def _bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each chunk of a slice, and one past the last. Row bounds are chunk bounds."""
     n = len(data)
     if not n:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     cut = np.zeros(n + 1, bool)
     cut[1:] = (gear(data) & MASK) == 0
     cut[offsets] = True
     bounds = np.flatnonzero(cut)
-    start, end = bounds[:-1], bounds[1:]
+    return bounds[:-1], bounds[1:]
+
+
+def _digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    n = len(data)
+    if not len(start):
+        return np.zeros(0, np.uint64)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_P, n), out=sums[1:])
-    return start, end, mix((sums[end] - sums[start]) * _power(_P_INV, n)[start] + (end - start).astype(np.uint64))
+    return mix((sums[end] - sums[start]) * _power(_P_INV, n)[start] + (end - start).astype(np.uint64))
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks of a slice: first byte, one past the last, digest."""
+    start, end = _bounds(data, offsets)
+    return start, end, _digests(data, start, end)
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of a slice, by first byte: first byte, one past the last, digest. None goes across rows."""
+    start, end = _bounds(data, offsets)
+    long = end - start >= LEAST_BYTES
+    start, end = start[long], end[long]
+    row = np.searchsorted(offsets, start, "right")
+    pair = np.flatnonzero(row[:-1] == row[1:])
+    # words that begin in a chunk; the few bytes that can hold enough come first
+    alone = np.flatnonzero(end - start >= 2 * MIN_WORDS - 1)
+    if len(alone):
+        solid = ~_SPACE[data]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        edge = offsets[offsets < len(data)]
+        begins[edge] = solid[edge]
+        count = np.cumsum(begins, dtype=np.int32)
+        alone = alone[count[end[alone] - 1] - count[start[alone]] + begins[start[alone]] >= MIN_WORDS]
+    first, last = np.concatenate([start[pair], start[alone]]), np.concatenate([end[pair + 1], end[alone]])
+    if len(alone):
+        order = np.argsort(first, kind="stable")
+        first, last = first[order], last[order]
+    return first, last, _digests(data, first, last)
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -83,9 +121,7 @@ def _digest_rows(source: Batches, held: np.ndarray | None = None) -> Batches:
     for batch in source:
         ids = batch["doc_id"].to_numpy(zero_copy_only=False)
         for first, data, offsets in _slices(batch["text"]):
-            start, end, digest = chunks(data, offsets)
-            long = end - start >= LEAST_BYTES
-            start, digest = start[long], digest[long]
+            start, _, digest = units(data, offsets)
             rows = np.searchsorted(start, offsets)
             if held is not None:
                 on = (held[digest >> np.uint64(64 - FILTER_BITS + 6)] >> (digest & np.uint64(63))) & np.uint64(1) == 1
@@ -105,12 +141,12 @@ def _bits(shared: DataFrame) -> np.ndarray:
     return out
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``doc_id, digests``: of each document, the chunks that a document of lesser doc_id holds."""
+def repeated_units(docs: DataFrame) -> DataFrame:
+    """``doc_id, digests``: of each document, the units that a document of lesser doc_id holds."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text")
     rows = docs.mapInArrow(_digest_rows, ROWS)
     shared = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    shared = materialise(shared.select("digest", "first"), "shared-chunks")
+    shared = materialise(shared.select("digest", "first"), "shared-units")
     held = docs.sparkSession.sparkContext.broadcast(_bits(shared))
     again = docs.mapInArrow(lambda source: _digest_rows(source, held.value), ROWS)
     later = again.join(shared, "digest").where("doc_id > first")
@@ -118,9 +154,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def cut_spans(text: bytes, known: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Byte spans to cut: ``known`` holds the sorted digests of chunks that earlier documents hold."""
+    """Byte spans to cut: ``known`` holds the sorted digests of units that earlier documents hold."""
     data = np.frombuffer(text, np.uint8)
-    start, end, digest = chunks(data, np.array([0, len(data)]))
+    start, end, digest = units(data, np.array([0, len(data)]))
     if not len(start):
         return []
     _, first = np.unique(digest, return_index=True)
@@ -128,17 +164,15 @@ def cut_spans(text: bytes, known: np.ndarray, min_words: int = MIN_WORDS) -> lis
     again[first] = False
     if len(known):
         again |= known[np.minimum(np.searchsorted(known, digest), len(known) - 1)] == digest
-    long = np.flatnonzero(end - start >= LEAST_BYTES)
-    if not again[long].any():
+    start, end = start[again], end[again]
+    if not len(start):
         return []
-    # a short chunk goes with the long ones about it
-    after = np.searchsorted(long, np.arange(len(start)))
-    near = np.concatenate([[False], again[long], [False]])
-    again = near[after + 1] & (near[after] | np.isin(np.arange(len(start)), long, assume_unique=True))
-    edge = np.diff(again.astype(np.int8), prepend=0, append=0)
+    # units that overlap are one run
+    reach = np.maximum.accumulate(end)
+    fresh = np.flatnonzero(np.concatenate([[True], start[1:] >= reach[:-1]]))
     space = _SPACE[data]
     spans = []
-    for a, b in zip(start[np.flatnonzero(edge == 1)], end[np.flatnonzero(edge == -1) - 1], strict=True):
+    for a, b in zip(start[fresh], reach[np.append(fresh[1:], len(start)) - 1], strict=True):
         # shrink to whole words
         if a and not space[a - 1]:
             gap = np.flatnonzero(space[a:b])
@@ -190,7 +224,7 @@ def _cut(source: Batches, text_at: int, digests_at: int) -> Batches:
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``, and ``cut_spans`` (bounds in the old UTF-8 bytes) and ``cut_bytes``."""
     docs = docs.drop("cut_spans", "cut_bytes")
-    known = repeated_chunks(docs).select(F.col("doc_id").alias("__id"), F.col("digests").alias("__digests"))
+    known = repeated_units(docs).select(F.col("doc_id").alias("__id"), F.col("digests").alias("__digests"))
     joined = docs.join(known, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("__id"), "left").drop("__id")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     text_at, digests_at = docs.columns.index("text"), len(docs.columns)

@@ -122,6 +122,28 @@ def test_repeated_passages_are_cut_from_all_but_the_first(spark):
     assert len(got[52].text.split()) < 12 and got[0].digests == 1
 
 
+def test_only_what_stood_together_before_is_cut(spark):
+    rng = random.Random(6)
+    whole = lambda text: np.array([0, len(text)])
+    rows = [(k, prose(rng, 200)) for k in range(60)]
+    stitched = []
+    for _, text in rows:  # a long chunk of each document, no two of them neighbours anywhere
+        raw = text.encode()
+        start, end, _ = substrings.chunks(np.frombuffer(raw, np.uint8), whole(raw))
+        k = next(k for k in range(2, len(start)) if end[k] - start[k] >= substrings.LEAST_BYTES)
+        stitched.append(raw[start[k] : end[k]].decode())
+    rows.append((100, "".join(stitched)))
+    parts = [prose(rng, 30) for _ in range(40)]
+    fill = lambda n: "".join(f"{p} {n + k} " for k, p in enumerate(parts))
+    rows += [(101, fill(1000)), (102, fill(2000))]
+    same = "ha " * 40
+    rows += [(103, same), (104, same)]
+    got = {r.doc_id: r for r in substrings.dedup_substrings(frame(spark, rows)).collect()}
+    assert got[100].text == rows[60][1] and got[100].cut_bytes == 0
+    assert got[102].cut_bytes > 0 and all(str(2000 + k) in got[102].text.split() for k in range(40))
+    assert got[103].text == same and got[104].text.strip() == ""
+
+
 def test_chunks_resist_shifts():
     rng = random.Random(1)
     text = prose(rng, 400).encode()
