@@ -6,14 +6,16 @@
    ``N + WINDOW - 1`` copied words has a seed however common the passage is.
 3. A document's seed hits are grouped by item and place, and the words about each group are aligned
    with the whole item by Smith-Waterman (match 2, mismatch and gap -1). A score is the share of the
-   item's own best score, ``2 * words``; from ``THRESHOLD`` on, the document leaks the item.
+   item's own best score, ``2 * words``; from ``THRESHOLD`` on, or from ``PASSAGE`` on in points of
+   the alignment, so that a part of a long item counts too, the document leaks the item.
+4. Items of fewer than ``N`` words leak where all their words stand in a row.
 
 Words are runs of letters and digits in lower case (A-Z), so changed punctuation does not hide a
 copy. The items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text, a pass over the
 documents for each block, so what is broadcast is bounded however large the benchmark is.
 
-Defined cases: null or empty texts and items match nothing; items of fewer than ``N`` words are too
-short to tell a passage and are ignored; repeated items are reported each; repeated documents are judged
+Defined cases: null or empty texts and items match nothing; an item of one word leaks
+to each document that holds the word; repeated items are reported each; repeated documents are judged
 each; an empty benchmark flags nothing; extra columns stay in ``drop_leaks`` and are ignored elsewhere.
 """
 
@@ -33,6 +35,8 @@ from ._words import Words, each_slice, grams
 N = 4
 WINDOW = 2
 THRESHOLD = 0.45
+#: Points of an alignment that are a leak whatever the item's length: 13 copied words.
+PASSAGE = 2 * 13
 #: Text of the items that one pass broadcasts at most.
 BLOCK_BYTES = 8 << 20
 _FILTER = 20
@@ -52,6 +56,7 @@ class Items(NamedTuple):
     item: np.ndarray
     place: np.ndarray
     present: np.ndarray  # by the low bits of a sequence
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by length under N: sorted whole items and the item of each
 
     def hits(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``g`` of sequences that the items hold, and their rank in ``gram``."""
@@ -61,11 +66,11 @@ class Items(NamedTuple):
         return at[true], rank[true]
 
 
-def _items(ids: list[int | None], words: list[np.ndarray], gram: np.ndarray, item: np.ndarray, place: np.ndarray) -> Items:
+def _items(ids: list[int | None], words: list[np.ndarray], gram: np.ndarray, item: np.ndarray, place: np.ndarray, short: dict[int, tuple[np.ndarray, np.ndarray]]) -> Items:
     order = np.argsort(gram, kind="stable")
     present = np.zeros(1 << _FILTER, bool)
     present[(gram & np.uint64((1 << _FILTER) - 1)).astype(np.int64)] = True
-    return Items(ids, words, gram[order], item[order], place[order], present)
+    return Items(ids, words, gram[order], item[order], place[order], present, short)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
@@ -79,7 +84,13 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         runs = [grams(w, N) for w in words]
         each = [len(g) for g in runs]
         empty = np.zeros(0, np.uint64)
-        return _items([r["item_id"] for r in rows], words, np.concatenate([*runs, empty]), np.repeat(np.arange(len(runs)), each), np.concatenate([*map(np.arange, each), np.zeros(0, np.int64)]))
+        short = {}
+        for n in range(1, N):
+            if which := [k for k, w in enumerate(words) if len(w) == n]:
+                whole = np.concatenate([grams(words[k], n) for k in which])
+                order = np.argsort(whole, kind="stable")
+                short[n] = whole[order], np.array(which)[order]
+        return _items([r["item_id"] for r in rows], words, np.concatenate([*runs, empty]), np.repeat(np.arange(len(runs)), each), np.concatenate([*map(np.arange, each), np.zeros(0, np.int64)]), short)
 
     known = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     for row in known.orderBy("item_id", "text").toLocalIterator():
@@ -92,11 +103,11 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield block()
 
 
-def _own_grams(w: Words) -> tuple[np.ndarray, np.ndarray]:
+def _own_grams(w: Words, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """The slice's sequences and the row of each; those across rows are cut out by a row of -1."""
-    g = grams(w.hash, N)
+    g = grams(w.hash, n)
     row = np.repeat(np.arange(len(w.rows) - 1), np.diff(w.rows))
-    inside = row[: len(g)] == row[N - 1 :] if len(g) else np.zeros(0, bool)
+    inside = row[: len(g)] == row[n - 1 :] if len(g) else np.zeros(0, bool)
     return g, np.where(inside, row[: len(g)], -1)
 
 
@@ -137,7 +148,7 @@ def _seeds(items: Items, frequency: np.ndarray) -> Items:
             held = window[n[window] > 0]
             if len(held):
                 keep[held[np.argmin(n[held])]] = True
-    return _items(items.ids, items.words, items.gram[keep], items.item[keep], items.place[keep])
+    return _items(items.ids, items.words, items.gram[keep], items.item[keep], items.place[keep], items.short)
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
@@ -165,8 +176,22 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best[0] / (2 * len(item)), best[1], best[2]
 
 
+def _short_leaks(w: Words, items: Items) -> Iterator[tuple[int, int, float, int, int]]:
+    """As ``_leaks``, of items under ``N`` words: the first place of each in each row."""
+    for n, (whole, item) in items.short.items():
+        g, row = _own_grams(w, n)
+        low = np.searchsorted(whole, g)
+        at = np.flatnonzero((whole[np.minimum(low, len(whole) - 1)] == g) & (row >= 0))
+        _, first = np.unique(row[at] * len(whole) + low[at], return_index=True)
+        for k in at[first]:
+            r, a = int(row[k]), int(k - w.rows[row[k]])
+            for i in item[low[k] : np.searchsorted(whole, g[k], "right")]:
+                yield r, int(i), 1.0, a, a + n - 1
+
+
 def _leaks(w: Words, seeds: Items, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
     """``(row, item, score, first word, last word)``, the best place of each item in each row."""
+    yield from _short_leaks(w, seeds)
     g, row = _own_grams(w)
     at, rank = seeds.hits(g)
     own = row[at] >= 0
@@ -196,7 +221,7 @@ def _leaks(w: Words, seeds: Items, threshold: float) -> Iterator[tuple[int, int,
         if not exact:
             got = (got[0], a + got[1], a + got[2])
         done = (r, i, b)
-        if got[0] >= threshold and got[0] > best.get((r, i), (0.0,))[0]:
+        if (got[0] >= threshold or round(got[0] * 2 * len(words)) >= PASSAGE) and got[0] > best.get((r, i), (0.0,))[0]:
             best[r, i] = got
     for (r, i), (share, a, b) in best.items():
         yield r, i, share, a - int(w.rows[r]), b - 1 - int(w.rows[r])
@@ -204,10 +229,9 @@ def _leaks(w: Words, seeds: Items, threshold: float) -> Iterator[tuple[int, int,
 
 def _prepared(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
     for items in _blocks(benchmark):
-        if len(items.gram):
-            seeds = _seeds(items, _frequencies(docs, items))
-            if len(seeds.gram):
-                yield seeds
+        seeds = _seeds(items, _frequencies(docs, items)) if len(items.gram) else items
+        if len(seeds.gram) or seeds.short:
+            yield seeds
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -180,6 +180,21 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert decontaminate.find_leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_parts_of_long_items_and_short_items_leak(spark):
+    rng = random.Random(12)
+    long = [prose(rng, 59), prose(rng, 200)]
+    words = [item.split() for item in long]
+    around = lambda text: f"{prose(rng, 40)} {text} {prose(rng, 40)}"
+    rows = [(1, around(" ".join(words[0][20:45]))), (2, around(" ".join(words[1][100:160]))), (3, around(" ".join(words[1][50:58]))), (4, "x. Zip, zap! y"), (5, "zap zip zop"), (6, "so zip"), (7, "zap"), (8, around("zop zip zap") + " zip zap")]
+    benchmark = spark.createDataFrame([(0, long[0]), (1, long[1]), (2, "zip zap"), (3, "Zip zap"), (4, "zop zip zap"), (5, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(frame(spark, rows), benchmark).collect()}
+    assert set(got) == {(1, 0), (2, 1), (4, 2), (4, 3), (8, 2), (8, 3), (8, 4)}
+    assert (got[4, 2].first_word, got[4, 2].last_word, got[4, 2].score) == (1, 2, 1.0) and got[8, 4].first_word == 40 and got[8, 2].first_word == 41
+    assert 25 / 59 <= got[1, 0].score < decontaminate.THRESHOLD
+    assert {r.doc_id for r in decontaminate.drop_leaks(frame(spark, rows), benchmark).collect()} == {3, 5, 6, 7}
+    assert {r.doc_id for r in decontaminate.find_leaks(frame(spark, rows), benchmark.where("item_id = 2")).collect()} == {4, 8}
+
+
 def test_blocks_of_items_find_the_same(spark, monkeypatch):
     rng = random.Random(2)
     items = [(k, prose(rng, 20)) for k in range(6)]
