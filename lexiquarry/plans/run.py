@@ -178,14 +178,14 @@ def run(spark: SparkSession, config: Config, model: Model | None = None, transpo
             own = cat.target_pages(tables["articles"], by_group.where(F.col("stem") == stem), config.min_length)
             rows = records(own, content, mode, None, model, config.lang, "inner").orderBy("title")
             path = f"{config.results_dir}/{stem}"
-            sinks.write_workbooks(rows.coalesce(1), path, stem)
+            sinks.write_workbooks(rows, path, stem)
             written.append((stem, path))
     else:
         mode = "bio" if config.mode == "auto" else config.mode
         rows = records(targets, content, mode, config.wanted, model, config.lang).orderBy("page_id")
         path = f"{config.results_dir}/{config.name}"
         if config.output == "xlsx":
-            sinks.write_workbooks(rows.coalesce(1), path, config.name)
+            sinks.write_workbooks(rows, path, config.name)
         else:
             sinks.write_delimited(rows, path, "\t" if config.output == "tsv" else ",")
         written.append((config.name, path))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -95,9 +94,7 @@ def write_workbooks(df: DataFrame, folder: str, sheet: str = "Sheet") -> DataFra
         def close() -> None:
             name = f"{base}/{sheet}-{task.partitionId():05d}-{len(made):03d}-{task.taskAttemptId()}.xlsx"
             with files.open_output_stream(name, compression=None) as out:
-                held = io.BytesIO()
-                book.save(held)
-                out.write(held.getvalue())
+                book.save(out)
             made.append((name, book.rows - 1))
 
         for batch in source:

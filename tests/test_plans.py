@@ -2,6 +2,7 @@
 
 import bz2
 import gzip
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -143,6 +144,20 @@ def test_group_run(spark, wiki):
     assert len(list((wiki / "r" / "rivers").glob("*.xlsx"))) == 1
 
 
+def test_workbooks_of_a_run_are_written_one_a_partition(spark, wiki, monkeypatch):
+    config = run.parse_args(["--patterns", ".", "--wiki", "xwiki", "--data-dir", str(wiki), "--results-dir", f"{wiki}/r", "--no-llm", "--min-page-length", "0"])
+    names = {}
+    for split in ("true", "false"):
+        monkeypatch.setattr(run, "records", lambda *a, **k: spark.range(1000).select((F.col("id") * 7 % 1000).alias("page_id")))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", split)
+        try:
+            run.run(spark, replace(config, results_dir=wiki / split))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        names[split] = sorted(p.name for p in (wiki / split / config.name).glob("*.xlsx"))
+    assert len(names["true"]) == 1 and len(names["false"]) == 4 and [n.split("-")[1] for n in names["false"]] == ["00000", "00001", "00002", "00003"]
+
+
 def test_arguments(tmp_path, monkeypatch):
     monkeypatch.chdir(tmp_path)
     with pytest.raises(SystemExit):
