@@ -16,13 +16,17 @@ _TUPLE = rf"(?s)\((?:[^()']++|{_QUOTED})*+\)"
 _FIELD = rf"(?s)(?<=^|,)[ \t]*+({_QUOTED}|[^,']*+)"
 
 
+def _head(table: str) -> str:
+    return f"INSERT INTO `{table}` VALUES "
+
+
 def inserts(lines: DataFrame, table: str, column: str = "value") -> DataFrame:
     """A ``fields`` array of text for each row of the table in the dump lines; unquoted NULL is null.
 
     Other lines and other tables drop out before anything is split. A backslash keeps the character after
     it as it is; tuples that are not closed drop out.
     """
-    head = f"INSERT INTO `{table}` VALUES "
+    head = _head(table)
     rows = lines.where(F.col(column).startswith(head)).select(F.explode(F.regexp_extract_all(F.substr(column, F.lit(len(head) + 1)), F.lit(_TUPLE), F.lit(0))).alias("row"))
     inside = F.expr("substr(row, 2, length(row) - 2)")
     fields = F.regexp_extract_all(inside, F.lit(_FIELD), F.lit(1))
@@ -36,8 +40,12 @@ def inserts(lines: DataFrame, table: str, column: str = "value") -> DataFrame:
 
 
 def read_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """``fields`` of a dump file, plain or gzip; a gzip file is one task, so rows are dealt out after it."""
-    return inserts(spark.read.text(path), table)
+    """``fields`` of a dump file, plain or gzip; a gzip file is unzipped in one task, so its lines are dealt out before they are split."""
+    lines = spark.read.text(path)
+    if path.endswith(".gz"):
+        # ranges of lines keep the file's order; to find their bounds Spark unzips the file once more
+        lines = lines.where(F.col("value").startswith(_head(table))).select("value", F.monotonically_increasing_id().alias("at")).repartitionByRange("at").select("value")
+    return inserts(lines, table)
 
 
 def _named(rows: DataFrame, positions: dict[str, int], numbers: tuple[str, ...]) -> DataFrame:

@@ -25,6 +25,17 @@ def test_dump_rows(spark, tmp_path):
     assert got == [["1", "it's", "a,b", None], ["2", "(x)", "\\", "NULL"], ["3", "anb", "", "0.5"]]
 
 
+def test_lines_of_a_gzip_dump_are_split_in_many_tasks(spark, tmp_path):
+    with gzip.open(tmp_path / "d.sql.gz", "wt") as f:
+        f.write("".join(f"INSERT INTO `t` VALUES ({n},'a'),({n},'b');\nINSERT INTO `other` VALUES (0,'c');\n" for n in range(200)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = dumps.read_dump(spark, str(tmp_path / "d.sql.gz"), "t").select("fields", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(tuple(r.fields) for r in got) == sorted((str(n), x) for n in range(200) for x in "ab") and len({r.task for r in got}) == 4
+
+
 def test_many_tuples_on_a_line(spark):
     line = "INSERT INTO `t` VALUES " + ",".join(f"({n},'x\\'({n}')" for n in range(60_000)) + ";"
     got = dumps.inserts(spark.createDataFrame([(line,)], "value string"), "t")
