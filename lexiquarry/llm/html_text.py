@@ -1,24 +1,29 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
-A page becomes a sequence of tags and words; words of the article score positive, tags and words of
-page furniture negative. One linear scan finds the contiguous stretch of greatest sum. The weights
-are log-odds learned from labelled pages: pages that mark their own article (``<article>``, ``<main>``
-or ``itemprop=articleBody``) label their words and tags by it, and the features never look at those
-marks, so what is learned holds for pages without them. Training reads at most ``SAMPLE`` pages, those
-of least hash of page_id; only counts by feature come to the driver, a few hundred rows.
-
-The stretch then grows to the element that holds most of it, so that a short first or last paragraph
-is not lost, and blocks in furniture inside it (navigation, headers and footers of the page, asides,
-forms, adverts, notices, comments, scripts, hidden parts) are left out. A class, id or role makes
-furniture by a whole name or its head word (``ad-slot``, ``site-header``; not ``has-sidebar``), and never
-of an element that holds an article or most of the page's positive score. Comments and related
-pages are rich in text and articles too, so they are let off only if no long text stands outside.
+A page becomes a sequence of blocks of words with the tags before them. Each word has the score of its
+block's kind (element, linked or not, long or short) and each tag a negative one. One linear scan finds
+the contiguous stretch of greatest sum. Within the innermost element that holds this stretch (if that
+is less than the body) the text runs from the first to the last block of positive score, so that a
+table or list of links amid an article doesn't break it.
+
+The scores are log-odds learned from labelled pages: pages that mark their own article (``<article>``,
+``<main>`` or ``itemprop=articleBody``) label their words and tags by it. Training reads at most
+``SAMPLE`` pages, those of least hash of page_id; only counts by feature come to the driver.
+
+Elements have features too: their tag (``nav``, ``footer``, ...), and the words of class, id and role of
+containers, whole or by their head (``ad-slot``, ``site-header``; not ``has-sidebar``). A container of negative
+features is furniture if the sum over its words, of their kind's score and the container's, is
+negative: a ``<section id="discussion">`` of an article's paragraphs is none, one of link lists is. What
+holds most of the page's positive score is none by class. Words in furniture don't come out, and each such
+block costs the stretch as much as a tag. Single paragraphs, headings and cells are furniture only by a
+whole class or id that says no more than that (``<p class="ad">``, not ``<p class="share-price">``).
 
 Text of a block: character references decoded, white space runs to one space, trimmed; blocks in
 page order joined by one space. Inline tags do not break words; ``<br>`` is white space. Defined
 cases: null, empty or tagless html of nothing gives an empty text; plain text without tags is its
-own main text; unclosed tags and a tag cut off at the end are tolerated; repeated pages are extracted
-each; without labelled pages the priors alone decide; extra columns are ignored.
+own main text; what looks like a tag inside a script is none; unclosed tags and a tag cut off at the end
+are tolerated; repeated pages are extracted each; without labelled pages the priors alone decide; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,20 +44,26 @@ from ._shared import table
 
 SAMPLE = 2000
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
-_RAW = frozenset("script style noscript template iframe textarea svg math canvas object title xmp".split())
+_RAW = frozenset("script style noscript template iframe textarea svg title xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input".split())
-_HARD = frozenset("nav footer aside form script style noscript template iframe textarea svg math canvas object title head button select option dialog menu audio video map".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input".split())
+#: Elements that hold one block each, as a rule; classes of theirs say little.
+_LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr caption figcaption pre blockquote".split()) | _INLINE
+#: Kinds of text by the innermost element; others are ``div``, or ``in`` inside an element marked as an article.
+_KIND = {"p": "p", "blockquote": "p", "pre": "p", "li": "li", "dt": "li", "dd": "li", "td": "td", "th": "td"} | {f"h{n}": "h" for n in range(1, 7)}
+#: Elements whose words are no article's, and those that are never any's.
+_FURNITURE = "nav footer aside form select button option dialog menu head".split()
+_NEVER = frozenset("nav footer aside select button option dialog menu head header".split())
 _CONTENT = frozenset("article main".split())
-_CLASSES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
-    "subscription signup sidebar sidenav aside menu nav navbar navigation breadcrumb breadcrumbs toolbar footer header masthead topbar comment comments commentlist disqus reply replies respond "
-    "responses reactions discussion disclaimer adsense adslot rail related recommended recommendations share sharing social widget widgets pagination pager search login skip copyright contentinfo complementary".split()
-)
-#: Those of them whose text is as rich as an article's.
-_TALK = frozenset("comment comments commentlist disqus reply replies respond responses reactions discussion related recommended recommendations".split())
+#: Words of classes, ids and roles that tell furniture for sure, nearly so, and by their company.
+_SURE = (
+    "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo cookie cookies consent gdpr popup modal newsletter subscribe "
+    "comment comments commentlist disqus reply replies respond nav navbar navigation breadcrumb breadcrumbs masthead contentinfo hidden"
+).split()
+_NEARLY = "related recommended recommendations banner notice notices alert overlay sidebar sidenav aside menu footer header topbar toolbar complementary rail".split()
+_MAYBE = "discussion responses reactions share sharing social widget widgets pagination pager search login signup skip promotion subscription copyright disclaimer".split()
 _HIDDEN = frozenset("hidden visuallyhidden visually-hidden is-hidden".split())
 _ARTICLE_WORDS = frozenset("article post entry content body main story text".split())
 #: Words that only place the word after them, as in ``site-header``.
@@ -62,13 +73,17 @@ _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 #: Counts that stand in for a small labelled page: feature, words inside, words outside.
 PRIOR = (
     ("w:p:text:long", 300, 10),
-    ("w:p:text:short", 60, 20),
-    ("w:h:text:long", 5, 5),
-    ("w:h:text:short", 20, 10),
+    ("w:p:text:short", 100, 5),
+    ("w:h:text:long", 20, 5),
+    ("w:h:text:short", 40, 10),
     ("w:li:text:long", 20, 10),
-    ("w:li:text:short", 20, 20),
+    ("w:li:text:short", 25, 20),
     ("w:td:text:long", 20, 10),
-    ("w:td:text:short", 10, 20),
+    ("w:td:text:short", 22, 20),
+    ("w:in:text:long", 200, 10),
+    ("w:in:text:short", 60, 20),
+    ("w:in:link:long", 20, 10),
+    ("w:in:link:short", 20, 20),
     ("w:div:text:long", 200, 20),
     ("w:div:text:short", 20, 40),
     ("w:p:link:long", 10, 10),
@@ -77,9 +92,15 @@ PRIOR = (
     ("w:li:link:short", 3, 40),
     ("w:div:link:long", 3, 20),
     ("w:div:link:short", 2, 40),
-    ("w:any:furniture", 1, 200),
-    ("t:open", 10, 60),
+    ("t:open", 30, 60),
+    *((f"c:<{tag}>", 0, 400) for tag in (*_FURNITURE, "header", "!hidden")),
+    *((f"c:{word}", 0, 400) for word in _SURE),
+    *((f"c:{word}", 0, 40) for word in _NEARLY),
+    *((f"c:{word}", 0, 11) for word in _MAYBE),
 )
+_KNOWN = frozenset(f for f, _, _ in PRIOR)
+#: Words on either side that a class without a prior starts from.
+UNKNOWN = 20
 #: Words that make a block a long one.
 LONG = 15
 #: Open elements that a start tag ends, where their end tags may be left out.
@@ -94,40 +115,38 @@ class Block(NamedTuple):
     words: int
     tags: int
     feature: str
-    furniture: bool
-    place: int  # number of the innermost open container, 0 for none
+    place: int  # number of the innermost open element with a number, 0 for none
     labelled: bool  # inside an element that the page marks as its article
 
 
 class Tree(NamedTuple):
-    """By number of a container, 0 for the page: tag name, parent's number (which is less), and the word of a class, id or role that makes it furniture."""
+    """By number of an element, 0 for the page: tag name, parent's number (which is less), and its features."""
 
     names: list[str]
     parents: list[int]
-    words: list[str]
+    features: list[tuple[str, ...]]
 
 
 @lru_cache(1 << 16)
-def _class_word(token: str) -> str:
-    """The word that makes a class, id or role furniture: all of it, its first, or its last after words of place; else nothing."""
+def _class_words(token: str) -> tuple[str, ...]:
+    """The words that a class, id or role stands for: all of it, its first, or its last after words of place."""
     low = token.lower()
-    if low in _CLASSES:
-        return low
     if low in _HIDDEN:
-        return "hidden"
+        return ("hidden",)
     parts = [p.lower() for p in _SPLIT.split(token) if p]
     if not parts:
-        return ""
-    if parts[0] in _CLASSES:
-        word = parts[0]
-    else:
-        word = parts[-1] if parts[-1] in _CLASSES and all(p in _PLACES for p in parts[:-1]) else ""
-    return "" if word == "header" and _ARTICLE_WORDS.intersection(parts) else word
-
-
-def _furniture(attributes: str) -> tuple[bool, str]:
-    """Whether the attributes hide the element, and the word of a class, id or role that makes it furniture."""
-    hidden, word = False, ""
+        return ()
+    found = {low, parts[0]}
+    if all(p in _PLACES for p in parts[:-1]):
+        found.add(parts[-1])
+    if _ARTICLE_WORDS.intersection(parts):
+        found.discard("header")
+    return tuple(sorted(found - _ARTICLE_WORDS - {"hidden"}))
+
+
+def _features(attributes: str, leaf: bool) -> tuple[str, ...]:
+    """Features of an element's attributes; of a leaf only those that tell furniture for sure."""
+    found = []
     seen = set()
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
@@ -135,10 +154,15 @@ def _furniture(attributes: str) -> tuple[bool, str]:
             continue
         seen.add(key)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and "display:none" in value.lower().replace(" ", ""):
-            hidden = True
+            found.append("c:<!hidden>")
         elif key in ("class", "id", "role"):
-            word = word or next(filter(None, map(_class_word, value.split())), "")
-    return hidden, word
+            for token in value.split():
+                if leaf:
+                    low = "hidden" if token.lower() in _HIDDEN else token.lower()
+                    found += [f"c:{low}"] * (key != "id" and low in _SURE)
+                else:
+                    found += [f"c:{word}" for word in _class_words(token)]
+    return tuple(found)
 
 
 class Open(NamedTuple):
@@ -146,17 +170,15 @@ class Open(NamedTuple):
 
     name: str
     number: int
-    furniture: bool
     article: bool
     content: bool  # it is, or is in, an <article> or <main>
 
 
 def blocks(page: str) -> tuple[list[Block], Tree]:
-    """The page's blocks in order and its containers; furniture by class is left to ``judged``."""
+    """The page's blocks in order and its elements."""
     out: list[Block] = []
-    tree = Tree([""], [0], [""])
-    root = Open("", 0, False, False, False)
-    stack = [root]
+    tree = Tree([""], [0], [()])
+    stack = [Open("", 0, False, False)]
     opened: Counter = Counter()  # open elements by name
     pieces: list[str] = []
     in_link = link_words = tags = at = 0
@@ -166,23 +188,23 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
         nonlocal pieces, tags, link_words
         words = html.unescape("".join(pieces)).split() if pieces else ()
         if words:
-            last = stack[-1]
-            feature = "w:any:furniture" if last.furniture else f"w:{kind}:{'link' if 2 * link_words > len(words) else 'text'}:{'long' if len(words) >= LONG else 'short'}"
-            out.append(Block(" ".join(words), len(words), tags, feature, last.furniture, last.number, last.article))
+            feature = f"w:{kind}:{'link' if 2 * link_words > len(words) else 'text'}:{'long' if len(words) >= LONG else 'short'}"
+            out.append(Block(" ".join(words), len(words), tags, feature, stack[-1].number, stack[-1].article))
             tags = 0
         pieces, link_words = [], 0
 
     def settle() -> None:
         nonlocal kind
-        last = stack[-1].name
-        kind = last if last in ("p", "li", "td") else "h" if re.fullmatch("h[1-6]", last) else "div"
+        kind = _KIND.get(stack[-1].name) or ("in" if stack[-1].content else "div")
+        if kind in ("li", "td") and stack[-1].content:
+            kind = "in"
 
-    def push(name: str, label: str, furniture: bool, article: bool, word: str) -> None:
+    def push(name: str, article: bool, features: tuple[str, ...]) -> None:
         up = stack[-1]
-        stack.append(Open(name, len(tree.names), up.furniture or furniture, up.article or article, up.content or name in _CONTENT))
-        tree.names.append(label)
+        stack.append(Open(name, len(tree.names), up.article or article, up.content or name in _CONTENT))
+        tree.names.append("article" if article else name)
         tree.parents.append(up.number)
-        tree.words.append(word)
+        tree.features.append(features)
         opened[name] += 1
 
     def pop() -> str:
@@ -197,9 +219,7 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
             if in_link:
                 link_words += len(text.split())
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TOKEN.search(page, at):
         said(page[at : m.start()])
         at = m.end()
         name = (m[2] or m[5] or "").lower()
@@ -208,20 +228,19 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         tags += 1
         if name in _RAW and not closing:
-            if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if not attributes.rstrip().endswith("/") or name in ("script", "style"):
+                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
-            if name not in _INLINE:
-                flush()
+            flush()
             continue
         if name in _INLINE:
             if name == "br":
                 pieces.append(" ")
             elif name == "a":
                 in_link = 0 if closing else 1
-            elif not closing and name not in _VOID and attributes and any(why := _furniture(attributes)):
+            elif not closing and name not in _VOID and attributes and (features := _features(attributes, True)):
                 flush()
-                push(name, name, why[0], False, why[1])
+                push(name, False, features)
                 settle()
             elif closing and stack[-1].name == name:
                 flush()
@@ -241,10 +260,10 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
                 pop()
             inside = stack[-1].content
             judge = name not in ("html", "body", "main") and (name != "article" or inside)
-            hidden, word = _furniture(attributes) if judge and attributes else (False, "")
-            furniture = name in _HARD or name == "header" and not inside or hidden
-            article = name in _CONTENT or "articleBody" in attributes
-            push(name, "article" if article else name, furniture, article, word)
+            features = _features(attributes, name in _LEAVES) if judge and attributes else ()
+            if name in _FURNITURE or name == "header" and not inside:
+                features = (f"c:<{name}>", *features)
+            push(name, name in _CONTENT or "articleBody" in attributes, features)
         in_link = 0
         settle()
     said(page[at:])
@@ -252,44 +271,79 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
     return out, tree
 
 
-def judged(found: list[Block], tree: Tree, weight: dict[str, float]) -> list[Block]:
-    """The blocks, with those in furniture by class marked; what holds an article or most of the positive score is none."""
-    _, parents, words = tree
-    if not any(words):
-        return found
+def furniture(found: list[Block], tree: Tree, weight: dict[str, float]) -> list[bool]:
+    """Of each block, whether it is furniture by the features of an element that holds it."""
+    names, parents, features = tree
+    if not any(features):
+        return [False] * len(found)
     size = len(parents)
-    score, by_class, holds = [0.0] * size, [False] * size, [False] * size
+    evidence = [min((weight.get(f, 0.0) for f in own), default=0.0) for own in features]
+    never = [bool(own) and own[0][3:-1] in _NEVER for own in features]
+    score, words, positive, holds, marked = [0.0] * size, [0] * size, [0.0] * size, [False] * size, [False] * size
+    hard, by_class = [False] * size, [False] * size
     for n in range(1, size):
-        by_class[n] = bool(words[n]) or by_class[parents[n]]
+        hard[n] = hard[parents[n]] or never[n] and evidence[n] < -1
+        by_class[n] = by_class[parents[n]] or evidence[n] < -1
     long_outside = False
     for b in found:
-        if not b.furniture:
-            score[b.place] += b.words * max(0.0, weight.get(b.feature, 0.0))
+        own = weight.get(b.feature, 0.0) * b.words
+        score[b.place] += own
+        words[b.place] += b.words
+        if not hard[b.place]:
+            positive[b.place] += max(0.0, own)
             holds[b.place] = True
             long_outside |= not by_class[b.place] and b.feature.endswith("text:long")
-    # an article counts if it has text that is not furniture
-    for n in range(size - 1, 0, -1):
-        score[parents[n]] += score[n]
-        holds[parents[n]] |= holds[n]
-    article = [False] * size
     for n in range(size - 1, 0, -1):
-        article[parents[n]] |= article[n] or tree.names[n] == "article" and not words[n] and holds[n]
+        up = parents[n]
+        score[up] += score[n]
+        words[up] += words[n]
+        positive[up] += positive[n]
+        holds[up] |= holds[n]
+        marked[up] |= marked[n] or names[n] == "article" and evidence[n] >= -1 and holds[n]
     bad = [False] * size
     for n in range(1, size):
-        let_off = (article[n] or 2 * score[n] > score[0]) and not (words[n] in _TALK and long_outside)
-        bad[n] = bad[parents[n]] or bool(words[n]) and not let_off
-    return [b._replace(furniture=True, feature="w:any:furniture") if bad[b.place] and not b.furniture else b for b in found]
+        if bad[parents[n]]:
+            bad[n] = True
+        elif evidence[n] < -1 and score[n] + evidence[n] * words[n] < 0:
+            # text of readers and related pages is rich too, so it is let off only if no long text stands outside
+            most = marked[n] or 2 * positive[n] > positive[0]
+            bad[n] = hard[n] or not most or evidence[n] < -3.2 and long_outside or "c:<!hidden>" in features[n]
+    return [bad[b.place] for b in found]
+
+
+def best_stretch(scores: list[float], costs: list[float]) -> tuple[int, int]:
+    """``start, stop`` of the greatest sum of consecutive scores, less the costs of passing on to each but the first; (0, 0) if none is above 0."""
+    best, stretch, sum_, start = 0.0, (0, 0), 0.0, 0
+    for k, own in enumerate(scores):
+        if sum_ <= costs[k]:
+            sum_, start = 0.0, k
+        else:
+            sum_ -= costs[k]
+        sum_ += own
+        if sum_ > best:
+            best, stretch = sum_, (start, k + 1)
+    return stretch
 
 
 def count_features(page: str) -> Counter:
     """``(feature, inside)`` counts of a page that marks its article, else nothing."""
-    found = judged(*blocks(page), weights({}))
+    found, tree = blocks(page)
+    bad = furniture(found, tree, weights({}))
     counts: Counter = Counter()
-    if any(b.labelled and not b.furniture for b in found):
-        for b in found:
-            inside = b.labelled and not b.furniture
-            counts[b.feature, inside] += b.words
-            counts["t:open", inside] += b.tags
+    if not any(b.labelled and not out for b, out in zip(found, bad, strict=True)):
+        return counts
+    words = [[0] * len(tree.names), [0] * len(tree.names)]
+    for b, out in zip(found, bad, strict=True):
+        inside = b.labelled and not out
+        counts[b.feature, inside] += b.words
+        counts["t:open", inside] += b.tags
+        words[inside][b.place] += b.words
+    for n in range(len(tree.names) - 1, 0, -1):
+        for inside in (False, True):
+            words[inside][tree.parents[n]] += words[inside][n]
+            if words[inside][n]:
+                for f in tree.features[n]:
+                    counts[f, inside] += words[inside][n]
     return counts
 
 
@@ -300,53 +354,39 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
         total[feature, True] += inside
         total[feature, False] += outside
     out = {}
-    for family in "wt":
-        own = {f for f, _ in total if f[0] == family}
-        for f in own:
-            odds = math.log((total[f, True] + 1) / (total[f, False] + 1))
-            out[f] = min(-0.1, max(-1.0, odds)) if family == "t" else max(-3.0, min(3.0, odds))
+    for f in {f for f, _ in total}:
+        least = 1 if f in _KNOWN else UNKNOWN
+        odds = math.log((total[f, True] + least) / (total[f, False] + least))
+        out[f] = min(-0.1, max(-1.0, odds)) if f[0] == "t" else max(-6.0, min(0.0, odds)) if f[0] == "c" else max(-3.0, min(3.0, odds))
     return out
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
     found, tree = blocks(page or "")
-    found, names, parents = judged(found, tree, weight), tree.names, tree.parents
-    # the linear scan: the best sum that ends at each block
-    best, stretch, sum_, start = 0.0, (0, -1), 0.0, 0
-    for k, b in enumerate(found):
-        if sum_ <= 0:
-            sum_, start = 0.0, k
-        sum_ += b.tags * weight["t:open"] * (k > start) + b.words * weight.get(b.feature, 0.0)
-        if sum_ > best:
-            best, stretch = sum_, (start, k)
-    region = [b for b in found[stretch[0] : stretch[1] + 1] if not b.furniture]
-    if not region:  # nothing scores above zero: all that is not furniture
-        return " ".join(b.text for b in found if not b.furniture)
-    # the innermost element that holds most of the stretch, an article before others
-    held = [0] * len(names)
-    for b in region:
-        held[b.place] += b.words
-    for n in range(len(names) - 1, 0, -1):
-        held[parents[n]] += held[n]
-    most = held[0] / 2
-    articles = [n for n in range(1, len(names)) if names[n] == "article" and held[n] >= most]
-    others = [n for n in range(1, len(names)) if held[n] >= 2 * most and names[n] not in ("html", "body", "p")]
-    if articles:
-        holder = min(articles)
-    elif others:
-        holder = max(others)
-    else:  # no such element: on to the neighbours that read like an article, past furniture between them
-        a, z = stretch
-        reads = lambda b: b.furniture or weight.get(b.feature, 0.0) > 0
-        while a > 0 and reads(found[a - 1]):
-            a -= 1
-        while z + 1 < len(found) and reads(found[z + 1]):
-            z += 1
-        return " ".join(b.text for b in found[a : z + 1] if not b.furniture)
-    within = [False] * len(names)
-    for n in range(holder, len(names)):
-        within[n] = n == holder or within[parents[n]]
-    return " ".join(b.text for b in found if within[b.place] and not b.furniture)
+    bad = furniture(found, tree, weight)
+    tag = weight["t:open"]
+    scores = [0.0 if out else b.words * weight.get(b.feature, 0.0) for b, out in zip(found, bad, strict=True)]
+    costs = [-tag if out else -tag * b.tags for b, out in zip(found, bad, strict=True)]
+    start, stop = best_stretch(scores, costs)
+    if start == stop:  # nothing scores above zero: all that is not furniture
+        return " ".join(b.text for b, out in zip(found, bad, strict=True) if not out)
+    holder = found[start].place
+    for b, out in zip(found[start:stop], bad[start:stop], strict=True):
+        place = holder if out else b.place
+        while place != holder:  # the nearest element that holds both; numbers of parents are less
+            if place > holder:
+                place = tree.parents[place]
+            else:
+                holder = tree.parents[holder]
+    while tree.names[holder] in _LEAVES:
+        holder = tree.parents[holder]
+    if tree.names[holder] not in ("", "html", "body"):
+        within = [False] * len(tree.names)
+        for n in range(holder, len(within)):
+            within[n] = n == holder or within[tree.parents[n]]
+        rich = [k for k, b in enumerate(found) if scores[k] > 0 and within[b.place]]
+        start, stop = min(start, rich[0]), max(stop, rich[-1] + 1)
+    return " ".join(b.text for b, out in zip(found[start:stop], bad[start:stop], strict=True) if not out)
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:

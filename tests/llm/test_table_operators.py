@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,55 @@ def test_extract_keeps_rows(spark):
     got = html_text.extract(pages, html_text.train(pages)).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == sorted([("1", TEXT, len(TEXT)), ("2", "", 0), ("1", "again", 5), ("None", "b", 1)])
     assert html_text.extract(pages.limit(0), html_text.weights({})).count() == 0
+
+
+PROSE = "some words of the story that go on for a good while so that this is long"
+
+
+def test_what_looks_like_markup_in_a_script_stays_in_it():
+    text = lambda page: html_text.main_text(page, html_text.weights({}))
+    for script in ('var s="<!--";', "if(a<b){ // don't", "x='<p class=\"'", "</p>", "a<!b", 'document.write("<div>")', "<script "):
+        page = f"<body><article><p>Hello first</p><script>{script}</script><p class='x'>it's here &gt; there</p><style>a<b{{}}</style><p>{PROSE}</p></article><footer>out</footer></body>"
+        assert text(page) == f"Hello first it's here > there {PROSE}", script
+    assert text(f"<article><p>{PROSE}</p><script>var a = 1;</script ><p>after</p><SCRIPT>x</sCript\n><p>end</p></article>") == f"{PROSE} after end"
+
+
+def test_words_of_names_alone_delete_no_article_text():
+    text = lambda page: html_text.main_text(page, html_text.weights({}))
+    for part in ('<section id="discussion"><h2>Discussion</h2><p>%s</p></section>', '<h2 id="discussion">%s</h2>', '<h2 id="search">%s</h2>', '<p class="share-price">%s</p>', '<p class="related-work">%s</p>', "<p><math><mi>x</mi> %s</math></p>", "<object>%s</object>", "<video>%s</video>", "<map><p>%s</p></map>", "<dl><dt>%s<dd>sense</dl>"):
+        inside = part % PROSE
+        want = " ".join(x for x in (PROSE, "Discussion" if "<h2>" in part else "", "x" if "<mi>" in part else "", PROSE, "sense" if "<dl>" in part else "", "the end") if x)
+        for mark in ("article", "div"):
+            assert text(f"<body><{mark}><p>{PROSE}</p>{inside}<p>the end</p></{mark}><nav><a>go</a></nav></body>") == want, (part, mark)
+    for part in ('<p class="ad">%s</p>', '<div class="related"><p>%s</p></div>', '<section id="comments"><p>%s</p></section>', '<form><p>%s</p></form>', "<aside>%s</aside>", '<ul><li class="comment">%s</li></ul>'):
+        assert text(f"<body><article><p>{PROSE}</p>{part % PROSE}<p>the end</p></article></body>") == f"{PROSE} the end", part
+
+
+def test_the_stretch_equals_brute_force():
+    rng = random.Random(3)
+    for _ in range(400):
+        n = rng.randint(0, 12)
+        scores, costs = [rng.randint(-4, 4) for _ in range(n)], [rng.randint(0, 2) for _ in range(n)]
+        start, stop = html_text.best_stretch(scores, costs)
+        total = lambda a, z: sum(scores[a:z]) - sum(costs[a + 1 : z])
+        best = max([0, *(total(a, z) for a in range(n) for z in range(a + 1, n + 1))])
+        assert (total(start, stop) if stop else 0) == best
+
+
+def test_weights_are_learned_and_decide():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    say = lambda n: " ".join(word() for _ in range(n))
+
+    def page():
+        inside = [say(4), *(say(rng.randint(2, 60)) for _ in range(4))]
+        body = f"<h1>{inside[0]}</h1>" + "".join(f"<p>{x}</p>" for x in inside[1:])
+        links = "".join(f'<li><a href="/">{word()}</a></li>' for _ in range(6))
+        return f'<body><nav><ul>{links}</ul></nav><div class="zzbox"><p>{say(30)}</p></div><article>{body}</article><footer>{say(rng.randint(3, 40))}</footer></body>', " ".join(inside)
+
+    counts = sum((html_text.count_features(page()[0]) for _ in range(200)), start=html_text.Counter())
+    learned = html_text.weights(counts)
+    assert learned["c:zzbox"] < -1 and "c:zzbox" not in html_text.weights({})
+    plain = [(re.sub(r"<(/?)(?:nav|article|footer)", r"<\1div", p), t) for p, t in (page() for _ in range(100))]
+    right = lambda w: sum(html_text.main_text(p, w) == t for p, t in plain)
+    assert right(learned) >= 95 and right({k: -v for k, v in learned.items()}) == 0 and right(dict.fromkeys(learned, 0.0)) == 0
