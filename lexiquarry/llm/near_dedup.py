@@ -5,21 +5,25 @@ more of their union. A signature keeps ``SYMBOLS`` minimum hashes, 32 bits each;
 signatures is the number of symbols that differ, about ``SYMBOLS * (1 - similarity)``.
 
 1. Documents of equal sets fold into one representative by a 128-bit digest of the set.
-2. A pair within distance ``DISTANCE`` shares ``SYMBOLS - DISTANCE`` symbols, so a representative that
-   shares fewer with all others together is in no pair and leaves. This counts each symbol once over all
-   documents and costs no pairs.
-3. Signatures are split into ``CHUNKS`` chunks. By the pigeonhole principle a pair within the distance has
+2. Signatures are split into ``CHUNKS`` chunks. By the pigeonhole principle a pair within the distance has
    a chunk with at most ``DISTANCE // CHUNKS`` = 1 symbol wrong. All ways in which one symbol of a chunk
    may be wrong are enumerated as keys with that symbol left out, so every such pair shares a key:
    none under the distance is missed. (At 80 % similarity a pair lies beyond it once in a million.)
-4. Documents that share a key are chained to the key's least document; components of those chains
-   hold every candidate pair. No pairs of a bucket are listed.
-5. Each such cluster is dealt into blocks of bounded size, and every pair of blocks is one bounded group in
-   which full sets confirm links, exactly. A group returns a spanning forest of its links.
+3. In a key's bucket every member first meets one leader, a pair for each member. Pairs whose signatures
+   lie within the distance are confirmed on full sets, exactly, and confirmed links join components.
+   Buckets that still hold over ``MINOR`` members outside their largest component take further leaders,
+   as long as these find links.
+4. Then each member outside its bucket's largest component meets all others of the bucket, so a group of
+   copies that its leaders have joined costs nothing more. Again the signatures decide and full sets confirm.
+5. A bucket that still holds over ``MINOR`` such members, as pages of one template do that are no copies,
+   is split by the rarest shingles of its members' sets: of two linked sets, the rarest few (all but as
+   many as must be shared, and one) have one in common. So no link is lost, and what a template gives
+   to all its pages makes no pairs.
 6. Components over the confirmed links give the classes.
 
 At 80 % similarity and 64 symbols the expected distance is 12.8 with deviation 3.2; 29 is five
-deviations above. Other similarities take the distance that is five deviations above their own.
+deviations above. Other similarities take the distance that is five deviations above their own. Signatures are
+compared by the low byte of each symbol, which can make a distance less but never more.
 
 Defined cases: null or wordless texts have an empty set and are linked with nothing; with fewer words
 than a shingle the whole sequence is the one shingle; rows that share a doc_id are one document; rows
@@ -34,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._shared import materialise, table
@@ -43,8 +48,12 @@ from .graph import components
 SHINGLE = 5
 PERCENT = 80
 SYMBOLS = 64
-#: Shingles that a block of a cluster holds, about.
-BLOCK_SHINGLES = 150_000
+#: Members outside a bucket's largest component that meet all others of the bucket; more are split by rare shingles.
+MINOR = 50
+#: Rounds of leaders at most.
+ROUNDS = 6
+#: Ids that are broadcast at most.
+SMALL = 1_000_000
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,37 +103,33 @@ def _sketches(shingle: int):
                 n = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(n)
                 signed: list[bytes | None] = [None] * len(sets)
+                low: list[bytes | None] = [None] * len(sets)
                 d = np.zeros((2, len(sets)), np.uint64)
                 if len(full):
                     every, start = np.concatenate(sets), np.concatenate([[0], np.cumsum(n[full])[:-1]])
                     d[0, full] = np.add.reduceat(mix(every ^ _SALT[0]), start)
                     d[1, full] = np.add.reduceat(mix(every + _SALT[1]), start)
                     for r, row in zip(full, signatures([sets[r] for r in full]), strict=True):
-                        signed[r] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)), pa.array(n), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), pa.array(signed, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "signature"])
+                        signed[r], low[r] = row.tobytes(), row.astype(np.uint8).tobytes()
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)), pa.array(n), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), pa.array(signed, pa.binary()), pa.array(low, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "signature", "low"])
 
     return run
 
 
 def sketch(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, n_shingles, d1, d2, signature``: set size, set digest, and symbols (null for empty sets)."""
+    """``doc_id, n_shingles, d1, d2, signature, low``: set size, set digest, symbols and their low bytes (null for empty sets)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(_sketches(shingle), "doc_id long, n_shingles long, d1 long, d2 long, signature binary")
-
-
-def symbol_keys(symbols: np.ndarray) -> np.ndarray:
-    """A key for each symbol and its place."""
-    return mix(symbols.astype(np.uint64) ^ _SALT[:SYMBOLS])
+    return docs.mapInArrow(_sketches(shingle), "doc_id long, n_shingles long, d1 long, d2 long, signature binary, low binary")
 
 
 def chunk_keys(symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each symbol, a key of its chunk with that symbol left out; a column for each symbol."""
-    each = symbol_keys(symbols)
+    each = mix(symbols.astype(np.uint64) ^ _SALT[:SYMBOLS])
     sums = np.add.reduceat(each, bounds[:-1], axis=1)
     return mix(np.repeat(sums, np.diff(bounds), axis=1) - each + _SALT[SYMBOLS:])
 
 
-def _keys(reps: DataFrame, keys_of) -> DataFrame:
+def _keys(reps: DataFrame, bounds: np.ndarray) -> DataFrame:
     """``rep, key`` of every key of every signature."""
 
     def run(source: Batches) -> Batches:
@@ -132,101 +137,153 @@ def _keys(reps: DataFrame, keys_of) -> DataFrame:
             for at in range(0, batch.num_rows, 4000):
                 part = batch.slice(at, 4000)
                 symbols = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint32).reshape(-1, SYMBOLS)
-                keys = keys_of(symbols)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part["rep"].to_numpy(zero_copy_only=False), keys.shape[1])), pa.array(keys.ravel().view(np.int64))], ["rep", "key"])
+                keys = chunk_keys(symbols, bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part["rep"].to_numpy(zero_copy_only=False), SYMBOLS)), pa.array(keys.ravel().view(np.int64))], ["rep", "key"])
 
     return reps.select("rep", "signature").mapInArrow(run, "rep long, key long")
 
 
-def _confirm(shingle: int, percent: int):
-    """Batches sorted by ``c, i, j`` (cluster and its pair of blocks), in; links of a spanning forest, out."""
-
-    def links(ids: list[int], block: list[int], texts: pa.Array, crossing: bool) -> list[tuple[int, int]]:
-        sets = [s for _, w in each_slice(texts) for s in shingle_sets(w, shingle)]
-        n = np.array([len(s) for s in sets])
-        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-        start = np.cumsum([0, *n[:-1]])
-        held = np.zeros(codes.max() + 1, np.int64)
-        side = np.array(block)
-        group = np.arange(len(ids))  # labels of the forest's trees
-        out = []
-        for x in np.argsort(-n, kind="stable"):
-            # sizes must be within the similarity, and trees differ, for a link to matter
-            open_ = (group != group[x]) & (n * 100 >= n[x] * percent) & (n <= n[x])
-            if crossing:
-                open_ &= side != side[x]
-            if not open_.any():
-                continue
-            own = codes[start[x] : start[x] + n[x]]
-            held[own] = 1
-            both = np.add.reduceat(held[codes], start)
-            held[own] = 0
-            for y in np.flatnonzero(open_ & (both * 100 >= (n + n[x] - both) * percent)):
-                if group[y] != group[x]:
-                    out.append((ids[x], ids[y]))
-                    group[group == group[y]] = group[x]
-        return out
+def within(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
+    """Which rows of two arrays of symbols differ in ``distance`` places at most."""
+    return (a != b).sum(axis=1) <= distance
+
+
+def _close(pairs: DataFrame, signatures: DataFrame, distance: int) -> DataFrame:
+    """Of the pairs ``a, b`` (distinct) those whose signatures are within the distance."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            for at in range(0, batch.num_rows, 10_000):
+                part = batch.slice(at, 10_000)
+                one, two = (np.frombuffer(b"".join(part[c].to_pylist()), np.uint8).reshape(-1, SYMBOLS) for c in ("_a", "_b"))
+                yield part.select(["a", "b"]).filter(pa.array(within(one, two, distance)))
+
+    side = lambda c: signatures.select(F.col("rep").alias(c), F.col("low").alias(f"_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``rep, shingles`` of the documents of the ids (``rep``): each set's hashes, sorted."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            for first, w in each_slice(batch["text"]):
+                own = shingle_sets(w, shingle)
+                for at in range(0, len(own), 500):
+                    some = [s.tobytes() for s in own[at : at + 500]]
+                    yield pa.RecordBatch.from_arrays([batch["rep"].slice(first + at, len(some)), pa.array(some, pa.binary())], ["rep", "shingles"])
+
+    ids = materialise(ids.select("rep").distinct(), "ids")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
+    texts = texts.join(F.broadcast(ids) if ids.count() <= SMALL else ids, "rep", "left_semi")
+    return materialise(texts.mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets overlap by ``percent`` or more of their union."""
+    if min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(both) - shared)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` (distinct) those whose full sets are linked."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                found = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(part["_a"], part["_b"], strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    pairs = materialise(pairs, "pairs")
+    sets = _sets(docs, pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))), shingle)
+    # a leader of many is ``b``: its pairs come with the members' sets, so Spark sees their size and splits them
+    side = lambda c: sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"_{c}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b")
+    return materialise(joined.mapInArrow(run, "a long, b long"), "links")
+
+
+def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of buckets (``key, rep``) that hold several components: ``key, rep, c, most, minor`` (the largest component, and the number of rows in others)."""
+    roots = components(links).withColumnRenamed("node", "rep")
+    rows = buckets.join(roots, "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("c"))
+    per = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("top"))
+    per = per.where("size > top.n").select("key", F.col("top.c").alias("most"), (F.col("size") - F.col("top.n")).alias("minor"))
+    return materialise(rows.join(per, "key"), "open-buckets")
+
+
+def _meet(rows: DataFrame) -> DataFrame:
+    """``a, b``: distinct pairs of a key across components, of which one at least is outside the largest."""
+    mine = rows.where("c <> most").select("key", F.col("rep").alias("a"), F.col("c").alias("_a"))
+    other = rows.select("key", F.col("rep").alias("b"), F.col("c").alias("_b"))
+    met = mine.join(other, "key").where("_a <> _b")
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _led(rows: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: distinct pairs of each member of a bucket and one leader, in another component."""
+    lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "c")).alias("lead"))
+    return rows.join(lead, "key").where("c <> lead.c").select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct()
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, rep``: of each set its rarest shingles, as many as leave no two linked sets without one in common."""
 
     def run(source: Batches) -> Batches:
-        kept: pa.Table | None = None
         for batch in source:
             for at in range(0, batch.num_rows, 500):
-                piece = pa.Table.from_batches([batch.slice(at, 500)])
-                kept = piece if kept is None else pa.concat_tables([kept, piece])
-                key = [tuple(x) for x in zip(*(kept[c].to_pylist() for c in "cij"), strict=True)]
-                first = key.index(key[-1])
-                if first:
-                    yield from solve(kept.slice(0, first), key[:first])
-                    kept = kept.slice(first)
-        if kept is not None and kept.num_rows:
-            yield from solve(kept, [tuple(x) for x in zip(*(kept[c].to_pylist() for c in "cij"), strict=True)])
-
-    def solve(rows: pa.Table, key: list[tuple]) -> Batches:
-        found: list[tuple[int, int]] = []
-        a = 0
-        while a < len(key):
-            b = a + 1
-            while b < len(key) and key[b] == key[a]:
-                b += 1
-            if b - a > 1:
-                own = rows.slice(a, b - a).combine_chunks()
-                found += links(own["rep"].to_pylist(), own["block"].to_pylist(), own["text"].combine_chunks(), key[a][1] != key[a][2])
-            a = b
-        if found:
-            yield pa.RecordBatch.from_pydict(dict(zip("ab", map(list, zip(*found, strict=True)), strict=True)))
+                part = batch.slice(at, 500)
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in part["shingles"]]
+                n = np.fromiter(map(len, own), np.int64, len(own))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*own, np.zeros(0, np.int64)])), pa.array(np.repeat(part["rep"].to_numpy(zero_copy_only=False), n)), pa.array(np.repeat(n, n))], ["key", "rep", "n"])
 
-    return run
+    every = sets.mapInArrow(run, "key long, rep long, n long")
+    # a shingle of one set alone makes no pair; it only takes a place before the others
+    known = every.join(every.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "key")
+    own = W.partitionBy("rep")
+    alone = F.col("n") - F.count("*").over(own)
+    rank = F.row_number().over(own.orderBy("df", "key"))
+    return known.withColumn("at", alone + rank).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("key", "rep")
 
 
 def find_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``a, b``: links between representatives, enough to connect all that any links connect."""
     distance = distance_for(percent)
-    bounds = chunk_bounds(distance)
-    shared = lambda keys: keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    symbols = _keys(reps, symbol_keys)
-    known = symbols.join(shared(symbols).select("key"), "key").groupBy("rep").count().where(F.col("count") >= SYMBOLS - distance)
-    close = materialise(reps.join(known.select("rep"), "rep"), "signatures")
-    keys = _keys(close, lambda s: chunk_keys(s, bounds))
-    chains = keys.join(shared(keys).select("key", "low"), "key").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    roots = components(chains)
-    members = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "rep")
-    members = members.join(reps.select("rep", "n_shingles"), "rep")
-    sizes = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep", F.col("root").alias("c"), "block", "blocks"), "rep")
-    dealt = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "block", "text")
-    dealt = dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j")
-    return dealt.mapInArrow(_confirm(shingle, percent), "a long, b long")
+    keys = _keys(reps, chunk_bounds(distance))
+    shared = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
+    buckets = materialise(keys.join(shared.select("key", "lead"), "key").where("rep <> lead"), "buckets")
+    confirmed = lambda pairs: _confirmed(_close(pairs, reps, distance), docs, shingle, percent)
+    links = confirmed(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct())
+    rows = _open(buckets.select("key", "rep"), links)
+    for turn in range(ROUNDS):
+        heavy = rows.where(F.col("minor") > MINOR)
+        if heavy.isEmpty():
+            break
+        more = confirmed(_led(heavy, turn))
+        if more.isEmpty():
+            break
+        links = links.unionAll(more)
+        rows = _open(rows.select("key", "rep"), links)
+    more = confirmed(_meet(rows.where(F.col("minor") <= MINOR)))
+    links = links.unionAll(more)
+    heavy = rows.where(F.col("minor") > MINOR).select("rep").distinct()
+    if not heavy.isEmpty():
+        split = materialise(_rarest(_sets(docs, heavy, shingle), percent), "rarest")
+        links = links.unionAll(confirmed(_meet(_open(split, links))))
+    return links
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     sketches = materialise(sketch(docs, shingle), "sketches")
     known = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("signature").alias("signature"))
+    classes = known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("signature").alias("signature"), F.first("low").alias("low"))
     classes = materialise(classes, "classes")
-    roots = components(find_links(docs, classes.select("rep", "n_shingles", "signature"), shingle, percent))
+    roots = components(find_links(docs, classes.select("rep", "signature", "low"), shingle, percent))
     # what differs from the document itself: copies of a representative, and linked representatives
     moved = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").where("rep < last OR root IS NOT NULL")
     moved = moved.select("d1", "d2", "n_shingles", F.least("rep", "root").alias("component"))

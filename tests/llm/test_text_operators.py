@@ -74,14 +74,38 @@ def near_rows():
     return rows
 
 
-def test_near_duplicates_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("minor", "rounds"), [(near_dedup.MINOR, near_dedup.ROUNDS), (1, 1), (0, 0)])  # the others split buckets by rare shingles
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, minor, rounds):
     rows = near_rows()
-    for limit in (near_dedup.BLOCK_SHINGLES, 2000):  # the second splits the group into blocks
-        monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", limit)
-        got = near_dedup.near_duplicates(frame(spark, rows + [(None, "null id"), (7, rows[7][1])]), shingle=4).collect()
-        want = brute_components(rows, 4)
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
-        assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows) + 2
+    monkeypatch.setattr(near_dedup, "MINOR", minor)
+    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+    got = near_dedup.near_duplicates(frame(spark, rows + [(None, "null id"), (7, rows[7][1])]), shingle=4).collect()
+    want = brute_components(rows, 4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows) + 2
+
+
+def test_pages_of_a_template_are_no_copies_and_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(13)
+    template = prose(rng, 110)
+    rows = [(k, f"{template} {prose(rng, 50)}") for k in range(400)]  # about half of their shingles are common
+    rows += [(1000 + k, f"{rows[k][1]} more") for k in range(0, 400, 40)]
+    met = []
+    confirm = near_dedup._confirmed
+    monkeypatch.setattr(near_dedup, "_confirmed", lambda pairs, *a: met.append(pairs.count()) or confirm(pairs, *a))
+    got = near_dedup.near_duplicates(frame(spark, rows), shingle=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4)
+    assert {r.doc_id for r in got if not r.kept} == {r[0] for r in rows if r[0] >= 1000}
+    assert sum(met) < 20 * len(rows)
+
+
+def test_the_distance_is_that_of_symbols():
+    rng = np.random.default_rng(7)
+    a, b = rng.integers(0, 3, (2, 200, 64), dtype=np.uint8)
+    for d in (0, 40, 43, 64):
+        assert near_dedup.within(a, b, d).tolist() == [sum(x != y for x, y in zip(p, q)) <= d for p, q in zip(a.tolist(), b.tolist())]
+    x, y = np.array([1, 2, 3, 4, 5], np.uint64), np.array([1, 2, 3, 4, 6], np.uint64)
+    assert near_dedup.linked(x, x, 100) and not near_dedup.linked(x, y, 67) and near_dedup.linked(x, y, 66) and not near_dedup.linked(x, y[:2], 50)
 
 
 def test_near_duplicates_of_nothing(spark):
