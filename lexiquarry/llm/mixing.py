@@ -1,14 +1,16 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame functions alone.
 
-Each source is a queue of its documents in shuffled order, repeated ``max_repeats`` times. A
-document's virtual finish time is the words its source has served, itself included, over the
-source's target. The targets add up to the budget, so the budget runs out at virtual time 1 in
-every queue; the document that straddles it is taken in part. The mixture is the taken part of
-all queues, range-sorted by virtual finish time.
-
-Running totals never gather a source in one task: documents fall into ``BINS`` ranges of their
-shuffle key, ranges are summed first (a source has at most ``BINS`` of them), and only one range of
-one source is ordered at a time.
+Each source is a queue of its documents in shuffled order, ``max_repeats`` rounds of it. As packets do in
+a network, documents go in packets of at most ``PACKET`` words, so that a long one can't hold up the
+mixture. A packet's virtual finish time is the words that its source has served by its end over the
+source's target. All packets of all queues are range-sorted by virtual finish time, and the mixture is
+what of that order lies within the total budget; the packet on the cut is taken in part. A source's
+words are thus its target to within about a packet.
+
+Running totals never gather a source, or the mixture, in one task. Within a source, documents fall into
+ranges of their shuffle key, which are summed first, and only one range of one source is ordered at a
+time. Over the mixture, the ranges of the global sort are summed first. What orders sources themselves
+(their names, and the levels that fill them) sees one row for each source.
 
 Defined cases: null text has size 0; null is a source of its own, after all others; an empty table
 gives no rows; rows that share a doc_id are separate documents; documents of size 0 take 0; a
@@ -17,7 +19,9 @@ source of size 0 has target 0. Extra columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,8 +30,10 @@ from ._shared import materialise, table, word_count
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
 MAX_REPEATS = 2
-#: Hex digits of the shuffle key that make a range: 4096 ranges of each source.
-_DIGITS = 3
+#: Words of a document that are queued at a time.
+PACKET = 256
+#: Rows of a source that one range of its shuffle key holds, about, at most.
+RANGE_ROWS = 1 << 16
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_share: float = BUDGET_SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -55,53 +61,86 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_
     return per.select("source", "source_size", target.alias("target"))
 
 
-def allocate(
-    docs: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    budget_share: float = BUDGET_SHARE,
-    max_repeats: int = MAX_REPEATS,
-    seed: str = "mix",
-) -> DataFrame:
-    """Per document: ``doc_id, source, size, source_size, target, taken, virtual_finish``.
-
-    ``docs`` needs ``doc_id, text, source``. ``virtual_finish`` is that of the last part taken, null
-    where nothing is.
-    """
+def _allocate(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_share: float = BUDGET_SHARE, max_repeats: int = MAX_REPEATS, seed: str = "mix") -> DataFrame:
+    """As ``allocate``, with ``_same, _again``: a digest of each row, equal for rows of equal doc_id, source and text."""
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"))
-    sized = materialise(sized.withColumn("_bin", F.substring("_key", 1, _DIGITS)), "sizes")  # so that texts are read once
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), *_digest())
+    sized = materialise(sized.withColumn("_row", F.monotonically_increasing_id()), "sizes")  # so that texts are read once and rows keep their numbers
+    digits = max(2, math.ceil(math.log(max(1, sized.count()) / RANGE_ROWS, 16)))
+    sized = sized.withColumn("_bin", F.substring("_key", 1, digits))
     targets = source_targets(sized, weights, budget_share, max_repeats)
     bins = sized.groupBy("source", "_bin").agg(F.sum("size").alias("_sum"))
     earlier = W.partitionBy("source").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("_earlier", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
     bins = bins.select(F.col("source").alias("_s"), F.col("_bin").alias("_b"), "_earlier")
-    inside = W.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size", "_row").rowsBetween(W.unboundedPreceding, 0)
     queued = sized.withColumn("_inside", F.sum("size").over(inside))
     queued = queued.join(bins, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")))
     targets = targets.withColumnRenamed("source", "_t")
     queued = queued.join(targets, F.col("source").eqNullSafe(F.col("_t")))
-    before = F.col("_earlier") + F.col("_inside") - F.col("size")
-    whole = F.floor("target")
-    taken, finish = F.lit(0).cast("long"), F.lit(None).cast("double")
-    for turn in range(max_repeats):
-        start = before + F.col("source_size") * turn
-        part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), whole - start))
-        taken = taken + part
-        finish = F.when(part > 0, (start + part) / F.col("target")).otherwise(finish)
-    return queued.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), finish.alias("virtual_finish"))
+    queued = queued.withColumn("_before", F.col("_earlier") + F.col("_inside") - F.col("size"))
+    queued = materialise(queued.select("doc_id", "source", "size", "source_size", "target", "_row", "_before", "_same", "_again"), "queues")
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    taken = _truncate(_packets(queued, max_repeats), F.lit(math.floor(total * budget_share)).cast("long"))
+    taken = taken.groupBy("_row").agg(F.sum("part").alias("taken"), F.max("finish").alias("virtual_finish"))
+    out = queued.join(taken, "_row", "left")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "virtual_finish", "_same", "_again")
+
+
+def _digest() -> list[Column]:
+    return [F.xxhash64("doc_id", "source", "text").alias("_same"), F.xxhash64(F.lit(1), "doc_id", "source", "text").alias("_again")]
+
+
+def _packets(queued: DataFrame, max_repeats: int) -> DataFrame:
+    """``_row, source, start, words, finish`` of every packet of every round; ``start`` counts the words of the source before it."""
+    rounds = queued.where("size > 0").withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
+    each = rounds.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(PACKET).cast("long"))))
+    each = each.withColumn("start", F.col("_before") + F.col("source_size") * F.col("_round") + F.col("_at"))
+    each = each.withColumn("words", F.least(F.lit(PACKET).cast("long"), F.col("size") - F.col("_at")))
+    return each.select("_row", "source", "start", "words", ((F.col("start") + F.col("words")) / F.col("target")).alias("finish"))
+
+
+def _truncate(packets: DataFrame, budget: Column) -> DataFrame:
+    """``_row, part, finish`` of the packets within the budget, in the global order of finish times; ``part`` is the words taken of each."""
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("start")]
+    ranges = materialise(packets.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "packets")
+    sums = ranges.groupBy("_range").agg(F.sum("words").alias("_sum"))  # a row for each partition of the sort
+    sums = sums.withColumn("_earlier", F.coalesce(F.sum("_sum").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    # ranges that end before the cut are whole; no more than one holds the cut, those after it go
+    ranges = ranges.join(F.broadcast(sums), "_range").where(F.col("_earlier") < budget)
+    whole = ranges.where(F.col("_earlier") + F.col("_sum") <= budget).select("_row", F.col("words").alias("part"), "finish")
+    cut = ranges.where(F.col("_earlier") + F.col("_sum") > budget).withColumn("_total", F.col("_earlier") + F.sum("words").over(inside))
+    part = F.least(F.col("words"), budget - F.col("_total") + F.col("words"))
+    return whole.unionByName(cut.select("_row", part.alias("part"), "finish").where("part > 0"))
+
+
+def allocate(docs: DataFrame, **kw) -> DataFrame:
+    """Per document: ``doc_id, source, size, source_size, target, taken, virtual_finish``.
+
+    ``docs`` needs ``doc_id, text, source``. ``virtual_finish`` is that of the last packet taken, null where
+    nothing is. ``kw``: ``weights, budget_share, max_repeats, seed``.
+    """
+    return _allocate(docs, **kw).drop("_same", "_again")
 
 
 def mix(docs: DataFrame, **kw) -> DataFrame:
-    """The documents of the mixture in its order, with ``size, taken, virtual_finish`` added.
+    """The documents of the mixture, range-sorted by virtual finish time, with ``size, taken, virtual_finish`` added.
 
-    A document of which twice its words are taken appears once, with ``taken`` telling so. Rows that share
-    a doc_id appear each, with the most that is taken of any of them.
+    A document of which twice its words are taken appears once, with ``taken`` telling so. Of equal rows
+    as many appear as something is taken of.
     """
-    got = allocate(docs, **kw).where("taken > 0")
-    got = got.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"), F.max("virtual_finish").alias("virtual_finish"))
-    got = got.withColumnRenamed("doc_id", "__mixed_id")
+    keys = W.partitionBy("_same", "_again")
+    got = _allocate(docs, **kw).where("taken > 0").withColumn("_nth", F.row_number().over(keys.orderBy("virtual_finish", "taken")))
+    got = got.select(F.col("_same").alias("__same"), F.col("_again").alias("__again"), F.col("_nth").alias("__nth"), "size", "taken", "virtual_finish")
     docs = docs.drop("size", "taken", "virtual_finish")
-    return docs.join(got, F.col("doc_id").eqNullSafe(F.col("__mixed_id"))).drop("__mixed_id")
+    own = docs.columns
+    docs = docs.select("*", *[c.alias(f"__of{n}") for n, c in enumerate(_digest())])
+    docs = docs.withColumn("__of", F.row_number().over(W.partitionBy("__of0", "__of1").orderBy(F.lit(0))))
+    # the number is compared by range, not as a key, so that the join keeps the window's partitioning
+    same = (F.col("__of0") == F.col("__same")) & (F.col("__of1") == F.col("__again")) & F.col("__of").between(F.col("__nth"), F.col("__nth"))
+    mixed = docs.join(got, same).select(*[F.col(f"`{c}`") for c in own], "size", "taken", "virtual_finish")
+    return mixed.orderBy("virtual_finish", "doc_id")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,13 +167,20 @@ levels AS (
 targets AS (
   SELECT source, source_size, least(cap, arg_min(lv, pos) FILTER (WHERE lv <= fill) OVER () * weight) AS target FROM levels),
 queued AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before FROM sized)
-SELECT q.doc_id, q.source, q.size, t.source_size, t.target,
-       (greatest(0, least(size, floor(target)::BIGINT - before))
-        + greatest(0, least(size, floor(target)::BIGINT - before - source_size)))::BIGINT AS taken,
-       CASE WHEN least(size, floor(target)::BIGINT - before - source_size) > 0
-            THEN (before + source_size + least(size, floor(target)::BIGINT - before - source_size))::DOUBLE / target
-            WHEN least(size, floor(target)::BIGINT - before) > 0
-            THEN (before + least(size, floor(target)::BIGINT - before))::DOUBLE / target END AS virtual_finish
-FROM queued q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source
+  SELECT q.*, t.source_size, t.target, row_number() OVER () AS r,
+         sum(size) OVER (PARTITION BY q.source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM sized q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source),
+packets AS (
+  SELECT r, source, target, before + source_size * turn + 256 * j AS start, least(256, size - 256 * j) AS words
+  FROM queued, range(2) AS a(turn), LATERAL (SELECT unnest(range((size + 255) // 256)) AS j)),
+ordered AS (
+  SELECT *, (start + words)::DOUBLE / target AS finish,
+         sum(words) OVER (ORDER BY (start + words)::DOUBLE / target, source NULLS LAST, start ROWS UNBOUNDED PRECEDING) AS total
+  FROM packets),
+budget AS (SELECT floor(coalesce(sum(size), 0)::DOUBLE * 1.5::DOUBLE)::BIGINT AS words FROM sized),
+cut AS (
+  SELECT r, sum(least(o.words, b.words - total + o.words))::BIGINT AS taken, max(finish) AS virtual_finish
+  FROM ordered o, budget b WHERE b.words - total + o.words > 0 GROUP BY r)
+SELECT q.doc_id, q.source, q.size, q.source_size, q.target, coalesce(c.taken, 0)::BIGINT AS taken, c.virtual_finish
+FROM queued q LEFT JOIN cut c ON q.r = c.r
 """

@@ -67,12 +67,42 @@ def test_mixing_meets_its_targets(spark):
     for n in order:
         own = [r for r in got if r.source == n]
         assert own[0].source_size == size[n] and own[0].target == pytest.approx(target[n])
-        assert sum(r.taken for r in own) == math.floor(own[0].target) and all(0 <= r.taken <= 2 * r.size for r in own)
+        assert abs(sum(r.taken for r in own) - own[0].target) <= mixing.PACKET and all(0 <= r.taken <= 2 * r.size for r in own)
+    assert sum(r.taken for r in got) == math.floor(1.5 * sum(size.values()))
     again = mixing.allocate(spark.createDataFrame(rows[::-1], DOCS).repartition(7)).collect()
     key = lambda r: (str(r.doc_id), r.size, r.taken, str(r.virtual_finish))
     assert sorted(map(key, got)) == sorted(map(key, again))
     mixed = mixing.mix(spark.createDataFrame(rows, DOCS))
     assert mixed.columns == ["doc_id", "text", "source", "size", "taken", "virtual_finish"] and mixed.where("taken = 0").count() == 0
+    mixed = mixed.collect()
+    assert [r.virtual_finish for r in mixed] == sorted(r.virtual_finish for r in mixed)
+    assert sorted((str(r.doc_id), r.taken) for r in mixed) == sorted((str(r.doc_id), r.taken) for r in got if r.taken)
+
+
+def test_mixing_equals_fair_queueing_packet_by_packet(spark, monkeypatch):
+    rng = random.Random(7)
+    monkeypatch.setattr(mixing, "PACKET", 16)
+    rows = [(k // 2 if k < 20 else k, " ".join(["w"] * rng.randint(0, 90)), rng.choice("aaab") if k % 5 else "c", "") for k in range(150)]
+    rows += [rows[30]] * 3  # equal rows
+    got = mixing.allocate(spark.createDataFrame(rows, DOCS)).collect()
+    target = {r.source: r.target for r in got}
+    queue = []
+    for name in "abc":
+        own = sorted((r for r in rows if r[2] == name), key=lambda r: (hashlib.md5(f"mix{r[0]}".encode()).hexdigest(), r[0], len(r[1].split())))
+        at = 0
+        for _ in range(2):
+            for k, r in enumerate(own):
+                n = len(r[1].split())
+                for a in range(0, n, 16):
+                    queue.append(((at + a + min(16, n - a)) / target[name], name, at + a, min(16, n - a), k, r[0], n))
+                at += n
+    left, taken = math.floor(1.5 * sum(len(r[1].split()) for r in rows)), {}
+    for _, name, _, words, k, doc, n in sorted(queue):
+        taken[name, k, doc, n] = taken.get((name, k, doc, n), 0) + min(words, left)
+        left -= min(words, left)
+    assert sorted((r.source, r.doc_id, r.size, r.taken) for r in got if r.taken) == sorted((name, doc, n, t) for (name, _, doc, n), t in taken.items() if t)
+    mixed = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    assert sum(r.taken for r in mixed) == sum(r.taken for r in got) and len(mixed) == sum(r.taken > 0 for r in got)
 
 
 def test_mixing_of_nothing(spark):
