@@ -1,23 +1,33 @@
-"""Tables and files in the folder that the driver and all executors share."""
+"""Tables and files in the folder that the driver and all executors share, and what may be broadcast."""
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from functools import cached_property
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a stored table that may be broadcast.
+SMALL_BYTES = 16 << 20
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder's URI under ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder takes its place.
+    Where that is unset, a session of local threads, as in tests, uses a temporary folder; others fail, as their
+    executors don't share one.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext._conf.get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.lexiquarry.shared", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='lexiquarry-')}"
-        spark.sparkContext._conf.set("spark.checkpoint.dir", root)
+        spark.conf.set("spark.lexiquarry.shared", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -28,6 +38,43 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(stored: DataFrame, *more: Column) -> DataFrame:
+    """A stored table with a hint to broadcast it, if it is measured to be small; else Spark joins as it sees fit.
+
+    ``more``: the bytes of columns that are not numbers.
+    """
+    size = stored.agg(F.sum(sum(more, F.lit(8 * len(stored.columns))).cast("long"))).first()[0] or 0
+    return F.broadcast(stored) if size <= SMALL_BYTES else stored
+
+
+class BitArray:
+    """A broadcast set of 64-bit hashes: all that were added are in it, and some others."""
+
+    def __init__(self, held: Broadcast, bits: int):
+        self.held, self.bits = held, bits
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        low = hashes & np.uint64((1 << self.bits) - 1)
+        return (self._words[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+
+    @cached_property
+    def _words(self) -> np.ndarray:
+        return self.held.value
+
+    def __getstate__(self):
+        return {"held": self.held, "bits": self.bits}
+
+
+def bit_array(hashes: DataFrame, column: str, most: int) -> BitArray:
+    """Of a column of 64-bit hashes, with 256 bits for each row but ``2**most`` at most; 1/64 as many rows come to the driver."""
+    bits = max(10, min(most, math.ceil(math.log2(256 * max(1, hashes.count())))))
+    low = F.col(column).bitwiseAND((1 << bits) - 1)
+    got = hashes.groupBy(F.shiftright(low, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST({column} & 63 AS int)))").alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return BitArray(hashes.sparkSession.sparkContext.broadcast(words), bits)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,108 +1,64 @@
 """Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman alignment scores them.
 
-1. Every document's ``N``-word sequences meet the items' sequences; the document frequency of each
-   that the items hold is counted over all documents.
-2. Of every ``WINDOW`` consecutive sequences of an item the rarest is a seed, so an unbroken run of
-   ``N + WINDOW - 1`` copied words has a seed however common the passage is.
-3. A document's seed hits are grouped by item and place, and the words about each group are aligned
-   with the whole item by Smith-Waterman (match 2, mismatch and gap -1). A score is the share of the
-   item's own best score, ``2 * words``; from ``THRESHOLD`` on, or from ``PASSAGE`` on in points of
-   the alignment, so that a part of a long item counts too, the document leaks the item.
-4. Items of fewer than ``N`` words leak where all their words stand in a row.
-
-Words are runs of letters and digits in lower case (A-Z), so changed punctuation does not hide a
-copy. The items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text, a pass over the
-documents for each block, so what is broadcast is bounded however large the benchmark is.
+1. The items' ``N``-word sequences form a table. One pass over the documents counts, of each sequence that the
+   items hold, the documents that hold it (counts combine before the shuffle).
+2. Seeds are the rare sequences of an item, held by ``RARE`` documents at most, and of every ``WINDOW``
+   consecutive sequences the rarest that any document holds. So every unbroken run of ``N + WINDOW - 1``
+   copied words has a seed, however common the passage is, and every shorter one of ``N`` words on that is rare.
+3. A second pass over the documents joins their sequences to the seeds. Hits are grouped by document, item
+   and diagonal (place in the text less place in the item).
+4. Documents with hits are read once more, and the words about each group of hits on near diagonals are aligned
+   with the item's by Smith-Waterman (match 2, mismatch and gap -1) in a band: ``SLACK`` diagonals on either
+   side (fewer for short items), from ``MARGIN`` words before the first seed to as many after the last.
+   A score is the share of the item's own best score, ``2 * words``; from ``THRESHOLD`` on, or from
+   ``PASSAGE`` on in points of the alignment, so that a part of a long item counts too, the document
+   leaks the item.
+5. Items of fewer than ``N`` words leak where all their words stand in a row.
+
+Three passes, however large the benchmark is. What is broadcast has a bound: an array of ``2**FILTER_BITS``
+bits at most, which keeps other sequences out of the joins (what it lets through the joins drop), and tables
+whose size was measured. Words are runs of letters and digits in lower case (A-Z), so changed punctuation
+does not hide a copy.
 
 Defined cases: null or empty texts and items match nothing; an item of one word leaks
 to each document that holds the word; repeated items are reported each; repeated documents are judged
-each; an empty benchmark flags nothing; extra columns stay in ``drop_leaks`` and are ignored elsewhere.
+each; an empty benchmark flags nothing; very long items take time in proportion to their length; extra columns
+stay in ``drop_leaks`` and are ignored elsewhere.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import table
+from ._shared import bit_array, materialise, small, table
 from ._words import Words, each_slice, grams
 
 N = 4
-WINDOW = 2
+WINDOW = 3
+#: Documents that hold a rare sequence at most.
+RARE = 64
 THRESHOLD = 0.45
 #: Points of an alignment that are a leak whatever the item's length: 13 copied words.
 PASSAGE = 2 * 13
-#: Text of the items that one pass broadcasts at most.
-BLOCK_BYTES = 8 << 20
-_FILTER = 20
+#: Diagonals on either side of a seed's, and words before the first and after the last seed, that an alignment may take in.
+SLACK = MARGIN = 64
+#: Bits of the array of sequences at most: 8 MB.
+FILTER_BITS = 26
 
 LEAKS = "doc_id long, item_id long, score double, first_word int, last_word int"
-_LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
+_PLACES = "uid long, doc_id long, row_key long, item long, base int, first int, last int, low int, high int, words binary"
+_SCORED = "uid long, doc_id long, row_key long, item long, points int, score double, first_word int, last_word int"
 
 Batches = Iterator[pa.RecordBatch]
 
 
-class Items(NamedTuple):
-    """A block of items: ids, word hashes, and sorted sequences with the item and place of each."""
-
-    ids: list[int | None]
-    words: list[np.ndarray]
-    gram: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-    present: np.ndarray  # by the low bits of a sequence
-    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by length under N: sorted whole items and the item of each
-
-    def hits(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``g`` of sequences that the items hold, and their rank in ``gram``."""
-        at = np.flatnonzero(self.present[(g & np.uint64((1 << _FILTER) - 1)).astype(np.int64)])
-        rank = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
-        true = self.gram[rank] == g[at]
-        return at[true], rank[true]
-
-
-def _items(ids: list[int | None], words: list[np.ndarray], gram: np.ndarray, item: np.ndarray, place: np.ndarray, short: dict[int, tuple[np.ndarray, np.ndarray]]) -> Items:
-    order = np.argsort(gram, kind="stable")
-    present = np.zeros(1 << _FILTER, bool)
-    present[(gram & np.uint64((1 << _FILTER) - 1)).astype(np.int64)] = True
-    return Items(ids, words, gram[order], item[order], place[order], present, short)
-
-
-def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The items, a bounded block at a time."""
-    rows, size = [], 0
-
-    def block() -> Items:
-        words = []
-        for _, w in each_slice(pa.array([r["text"] for r in rows], pa.string()), marks=True):
-            words += [w.hash[w.rows[r] : w.rows[r + 1]] for r in range(len(w.rows) - 1)]
-        runs = [grams(w, N) for w in words]
-        each = [len(g) for g in runs]
-        empty = np.zeros(0, np.uint64)
-        short = {}
-        for n in range(1, N):
-            if which := [k for k, w in enumerate(words) if len(w) == n]:
-                whole = np.concatenate([grams(words[k], n) for k in which])
-                order = np.argsort(whole, kind="stable")
-                short[n] = whole[order], np.array(which)[order]
-        return _items([r["item_id"] for r in rows], words, np.concatenate([*runs, empty]), np.repeat(np.arange(len(runs)), each), np.concatenate([*map(np.arange, each), np.zeros(0, np.int64)]), short)
-
-    known = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
-    for row in known.orderBy("item_id", "text").toLocalIterator():
-        if rows and size + len(row["text"]) > BLOCK_BYTES:
-            yield block()
-            rows, size = [], 0
-        rows.append(row)
-        size += len(row["text"])
-    if rows:
-        yield block()
-
-
 def _own_grams(w: Words, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """The slice's sequences and the row of each; those across rows are cut out by a row of -1."""
     g = grams(w.hash, n)
@@ -111,163 +67,201 @@ def _own_grams(w: Words, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     return g, np.where(inside, row[: len(g)], -1)
 
 
-def _frequencies(docs: DataFrame, items: Items) -> np.ndarray:
-    """By rank in ``items.gram``, of equal ones the first: the documents that hold the sequence."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def read_items(benchmark: DataFrame) -> DataFrame:
+    """``item, item_id, n, words``: a number for each row with words, their count and hashes."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            for first, w in each_slice(batch["text"], marks=True):
+                own = [w.hash[a:b] for a, b in zip(w.rows[:-1], w.rows[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch["item_id"].slice(first, len(own)), pa.array([len(x) for x in own], pa.int32()), pa.array([x.tobytes() for x in own], pa.binary())], ["item_id", "n", "words"])
+
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "item_id long, n int, words binary").where("n > 0")
+    # numbers are drawn once, as the table is written
+    return materialise(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "n", "words"), "items")
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """``gram, item, n, place`` of every sequence of every item; a short item is one sequence."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            for item, n, words in zip(batch["item"].to_pylist(), batch["n"].to_pylist(), batch["words"], strict=True):
+                g = grams(np.frombuffer(words.as_buffer(), np.uint64), min(n, N))
+                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(np.full(len(g), item)), pa.array(np.full(len(g), n, np.int32)), pa.array(np.arange(len(g), dtype=np.int32))], ["gram", "item", "n", "place"])
+
+    return items.mapInArrow(run, "gram long, item long, n int, place int")
+
+
+def _lengths(items: DataFrame) -> list[int]:
+    """The lengths of sequences that the items hold: ``N`` at most."""
+    return sorted(r[0] for r in items.select(F.least("n", F.lit(N))).distinct().collect())
+
+
+def document_frequencies(docs: DataFrame, sequences: DataFrame, lengths: list[int]) -> DataFrame:
+    """``gram, df``: the documents (rows of ``text``) that hold each of the sequences, where any does."""
+    held = bit_array(sequences, "gram", FILTER_BITS)
 
-    def count(source: Batches) -> Batches:
-        of = shared.value
-        total = np.zeros(len(of.gram), np.int64)
+    def run(source: Batches) -> Batches:
         for batch in source:
             for _, w in each_slice(batch["text"], marks=True):
-                g, row = _own_grams(w)
-                at, rank = of.hits(g)
-                own = row[at] >= 0
-                held, n = np.unique(np.unique(row[at][own] * len(of.gram) + rank[own]) % len(of.gram), return_counts=True)
-                total[held] += n
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"rank": held, "n": total[held]})
-
-    # a row for each sequence of the block at most
-    got = docs.select("text").mapInArrow(count, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(items.gram), np.int64)
-    out[got["rank"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
-def _seeds(items: Items, frequency: np.ndarray) -> Items:
-    """The rarest of every ``WINDOW`` consecutive sequences; those in no document are no seeds."""
-    n = frequency[np.searchsorted(items.gram, items.gram)]
-    keep = np.zeros(len(n), bool)
-    order = np.lexsort((items.place, items.item))
-    bounds = np.flatnonzero(np.diff(items.item[order], prepend=-1, append=-1))
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        own = order[a:b]
-        for k in range(max(1, len(own) - WINDOW + 1)):
-            window = own[k : k + WINDOW]
-            held = window[n[window] > 0]
-            if len(held):
-                keep[held[np.argmin(n[held])]] = True
-    return _items(items.ids, items.words, items.gram[keep], items.item[keep], items.place[keep], items.short)
-
-
-def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
-    """Best local alignment of two word sequences: score as a share of the item's own, and the text's bounds."""
-    cols = np.arange(len(text) + 1)
-    above, begin = np.zeros(len(text) + 1, np.int64), cols.copy()
+                for n in lengths:
+                    g, row = _own_grams(w, n)
+                    at = np.flatnonzero(held.has(g) & (row >= 0))
+                    own = np.unique(np.stack([g[at], row[at].astype(np.uint64)], axis=1), axis=0)[:, 0]
+                    found, count = np.unique(own, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["gram", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("df"))
+    return counts.join(sequences, "gram", "left_semi")
+
+
+def choose_seeds(sequences: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """``gram, item, n, place``: the rare sequences and the rarest of every window; those in no document are no seeds."""
+    known = sequences.join(frequencies, "gram", "left")
+    ahead = W.partitionBy("item").orderBy("place").rangeBetween(0, WINDOW - 1)
+    rank = F.when(F.col("df").isNotNull(), F.struct("df", "place", "gram"))
+    windows = known.withColumn("best", F.min(rank).over(ahead))
+    rarest = windows.where("best IS NOT NULL").select(F.col("best.gram").alias("gram"), "item", "n", F.col("best.place").alias("place"))
+    return rarest.unionByName(known.where(F.col("df") <= RARE).select("gram", "item", "n", "place")).distinct()
+
+
+def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """Points of the best local alignment of two word sequences, and the text's bounds.
+
+    Only cells whose place in the text less that in the item is from ``low`` to ``high`` count.
+    """
+    k = np.arange(high - low + 2)  # the last is a wall
+    padded = np.zeros(len(item) + len(k) + 1, text.dtype)
+    inside = np.zeros(len(padded), bool)
+    a, b = max(0, low), min(len(text), low + len(padded))
+    if a < b:
+        padded[a - low : b - low], inside[a - low : b - low] = text[a:b], True
+    above, begin = np.zeros(len(k), np.int64), low - 1 + k + 1
     best = (0, 0, 0)
-    for word in item:
-        diagonal = above[:-1] + np.where(text == word, 2, -1)
-        now = np.zeros(len(text) + 1, np.int64)
-        start = cols.copy()
-        np.maximum(diagonal, 0, out=now[1:])
-        start[1:] = np.where(diagonal > 0, begin[:-1], cols[1:])
-        down = above - 1 > now
-        now[down], start[down] = above[down] - 1, begin[down]
+    for i, word in enumerate(item):
+        j = low + i + k
+        diagonal = above + np.where((padded[i : i + len(k)] == word) & inside[i : i + len(k)], 2, -1)
+        now = np.maximum(diagonal, 0)
+        start = np.where(diagonal > 0, begin, j + 1)
+        down = above[1:] - 1 > now[:-1]
+        now[:-1][down], start[:-1][down] = above[1:][down] - 1, begin[1:][down]
+        now[-1] = 0
         # a gap in the item: the best of what stands to the left, less one for each step
-        reach = np.maximum.accumulate(now + cols)
-        came = np.maximum.accumulate(np.where(now + cols == reach, cols, 0))
-        across = reach - cols > now
-        now[across], start[across] = (reach - cols)[across], start[came[across]]
+        reach = np.maximum.accumulate(now + k)
+        came = np.maximum.accumulate(np.where(now + k == reach, k, 0))
+        across = reach - k > now
+        now[across], start[across] = (reach - k)[across], start[came[across]]
+        now[-1] = 0
         top = int(np.argmax(now))
         if now[top] > best[0]:
-            best = (int(now[top]), int(start[top]), top)
+            best = (int(now[top]), int(start[top]), int(j[top]) + 1)
         above, begin = now, start
-    return best[0] / (2 * len(item)), best[1], best[2]
-
-
-def _short_leaks(w: Words, items: Items) -> Iterator[tuple[int, int, float, int, int]]:
-    """As ``_leaks``, of items under ``N`` words: the first place of each in each row."""
-    for n, (whole, item) in items.short.items():
-        g, row = _own_grams(w, n)
-        low = np.searchsorted(whole, g)
-        at = np.flatnonzero((whole[np.minimum(low, len(whole) - 1)] == g) & (row >= 0))
-        _, first = np.unique(row[at] * len(whole) + low[at], return_index=True)
-        for k in at[first]:
-            r, a = int(row[k]), int(k - w.rows[row[k]])
-            for i in item[low[k] : np.searchsorted(whole, g[k], "right")]:
-                yield r, int(i), 1.0, a, a + n - 1
-
-
-def _leaks(w: Words, seeds: Items, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
-    """``(row, item, score, first word, last word)``, the best place of each item in each row."""
-    yield from _short_leaks(w, seeds)
-    g, row = _own_grams(w)
-    at, rank = seeds.hits(g)
-    own = row[at] >= 0
-    at, rank = at[own], rank[own]
-    if not len(at):
-        return
-    low, high = np.searchsorted(seeds.gram, seeds.gram[rank], "left"), np.searchsorted(seeds.gram, seeds.gram[rank], "right")
-    each = high - low
-    hit = np.repeat(at, each)
-    which = np.repeat(low, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    item, start = seeds.item[which], hit - seeds.place[which]
-    where = row[hit]
-    order = np.lexsort((start, item, where))
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    done = (-1, -1, -1)
-    for k in order:
-        r, i, s = int(where[k]), int(item[k]), int(start[k])
-        words = seeds.words[i]
-        slack = len(words) // 2 + 4
-        if (r, i) == done[:2] and s + len(words) <= done[2]:
-            continue  # within the passage that was aligned
-        if best.get((r, i), (0.0,))[0] >= 1.0:
-            continue
-        a, b = max(int(w.rows[r]), s - slack), min(int(w.rows[r + 1]), s + len(words) + slack)
-        exact = s >= w.rows[r] and np.array_equal(w.hash[s : min(b, s + len(words))], words)
-        got = (1.0, s, s + len(words)) if exact else align(words, w.hash[a:b])
-        if not exact:
-            got = (got[0], a + got[1], a + got[2])
-        done = (r, i, b)
-        if (got[0] >= threshold or round(got[0] * 2 * len(words)) >= PASSAGE) and got[0] > best.get((r, i), (0.0,))[0]:
-            best[r, i] = got
-    for (r, i), (share, a, b) in best.items():
-        yield r, i, share, a - int(w.rows[r]), b - 1 - int(w.rows[r])
-
-
-def _prepared(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
-    for items in _blocks(benchmark):
-        seeds = _seeds(items, _frequencies(docs, items)) if len(items.gram) else items
-        if len(seeds.gram) or seeds.short:
-            yield seeds
+    return best
+
+
+def _places(source: Batches) -> Batches:
+    """Of documents with the seeds' ``hits`` (item, its length, diagonal, first and last place), the words to align with each item.
+
+    Diagonals of a range of two slacks go together, and hits in it whose margins meet. ``base`` is the place of
+    the first word, ``first, last`` are the bounds in the item.
+    """
+    for whole in source:
+        for at in range(0, whole.num_rows, 200):
+            batch = whole.slice(at, 200)
+            ids, uids, keys, hits = batch["doc_id"].to_pylist(), batch["uid"].to_pylist(), batch["row_key"].to_pylist(), batch["hits"]
+            for first_row, w in each_slice(batch["text"], marks=True):
+                out: list[tuple] = []
+                for r in range(len(w.rows) - 1):
+                    row = first_row + r
+                    words = w.hash[w.rows[r] : w.rows[r + 1]]
+                    own = {c: v.to_numpy(zero_copy_only=False) for c, v in zip(("item", "n", "diagonal", "first", "last"), hits[row].values.flatten(), strict=True)}
+                    own["slack"] = np.minimum(own["n"] // 2 + 4, SLACK)
+                    own["band"] = own["diagonal"] // (2 * own["slack"])
+                    order = np.lexsort((own["first"], own["band"], own["item"]))
+                    item, n, diagonal, lo, hi, slack, band = (x[order] for x in own.values())
+                    new = np.ones(len(item), bool)
+                    new[1:] = (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (lo[1:] - hi[:-1] > 2 * MARGIN)
+                    begin = np.flatnonzero(new)
+                    lo, hi = np.minimum.reduceat(lo, begin), np.maximum.reduceat(hi, begin)
+                    low, high = np.minimum.reduceat(diagonal, begin) - slack[begin], np.maximum.reduceat(diagonal, begin) + slack[begin]
+                    item, n = item[begin], n[begin]
+                    i0, i1 = np.maximum(0, lo - MARGIN), np.minimum(n, hi + N + MARGIN)
+                    t0, t1 = np.clip(low + i0, 0, len(words)), np.clip(high + i1, 0, len(words))
+                    out += [(uids[row], ids[row], keys[row], *map(int, x[:-1]), words[x[1] : x[-1]].tobytes()) for x in zip(item, t0, i0, i1, low, high, t1, strict=True)]
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 5 + [pa.binary()]
+                names = ["uid", "doc_id", "row_key", "item", "base", "first", "last", "low", "high", "words"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 10, kinds, strict=True)], names)
+
+
+def _scores(threshold: float):
+    """Alignments that are leaks, of rows of ``_places`` with the item's ``n`` and ``item_words``."""
+
+    def run(source: Batches) -> Batches:
+        for batch in source:
+            out = []
+            for r in zip(*(batch[c].to_pylist() for c in ("uid", "doc_id", "row_key", "item", "base", "first", "last", "low", "high", "n")), batch["item_words"], batch["words"], strict=True):
+                uid, doc_id, row_key, item, base, first, last, low, high, n = r[:10]
+                words, text = np.frombuffer(r[10].as_buffer(), np.uint64)[first:last], np.frombuffer(r[11].as_buffer(), np.uint64)
+                least = min(math.ceil(threshold * 2 * n), PASSAGE)
+                if 2 * int(np.isin(words, text).sum()) < least:
+                    continue  # so few of its words are here that no alignment is a leak
+                points, a, b = align(words, text, low + first - base, high + first - base)
+                if points >= least and (points >= PASSAGE or points >= threshold * 2 * n):
+                    out.append((uid, doc_id, row_key, item, points, points / (2 * n), base + a, base + b - 1))
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.float64(), pa.int32(), pa.int32()]
+            names = ["uid", "doc_id", "row_key", "item", "points", "score", "first_word", "last_word"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 8, kinds, strict=True)], names)
+
+    return run
+
+
+def _row_key() -> list:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row_key")]
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """``uid, doc_id, row_key, item_id, score, first_word, last_word`` of every leak; rows of equal doc_id and text share their key."""
+    items = read_items(benchmark)
+    lengths = _lengths(items)
+    docs = docs.select(*_row_key())
+    sequences = materialise(item_grams(items), "item-grams")
+    seeds = materialise(choose_seeds(sequences, document_frequencies(docs, sequences.select("gram").distinct(), lengths)), "seeds")
+    held = bit_array(seeds.select("gram"), "gram", FILTER_BITS)
+
+    def find(source: Batches) -> Batches:
+        for batch in source:
+            keys = batch["row_key"].to_numpy(zero_copy_only=False)
+            for first, w in each_slice(batch["text"], marks=True):
+                for n in lengths:
+                    g, row = _own_grams(w, n)
+                    at = np.flatnonzero(held.has(g) & (row >= 0))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[first + row[at]]), pa.array(g[at].view(np.int64)), pa.array((at - w.rows[row[at]]).astype(np.int32))], ["row_key", "gram", "at"])
+
+    found = docs.select("row_key", "text").mapInArrow(find, "row_key long, gram long, at int")
+    found = found.join(small(seeds), "gram").withColumn("diagonal", F.col("at") - F.col("place"))
+    found = found.groupBy("row_key", "item", "n", "diagonal", F.floor(F.col("place") / 256).alias("part")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    hits = found.groupBy("row_key").agg(F.collect_list(F.struct("item", "n", "diagonal", "first", "last")).alias("hits"))
+    hits = materialise(hits, "hits")
+    read = docs.withColumn("uid", F.monotonically_increasing_id()).join(small(hits, 24 * F.size("hits")), "row_key")
+    places = read.select("uid", "doc_id", "row_key", "text", "hits").mapInArrow(_places, _PLACES)
+    both = places.join(small(items.select("item", "n", F.col("words").alias("item_words")), F.octet_length("item_words")), "item")
+    scored = both.mapInArrow(_scores(threshold), _SCORED)
+    best = F.max_by(F.struct("score", "first_word", "last_word"), F.struct("points", -F.col("first_word"))).alias("best")
+    best_of = scored.groupBy("uid", "doc_id", "row_key", "item").agg(best)
+    return best_of.join(small(items.select("item", "item_id")), "item").select("uid", "doc_id", "row_key", "item_id", "best.*")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word`` of every leak, an item once for each document."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    out = None
-    for seeds in _prepared(docs, benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(seeds)
-
-        def find(source: Batches, shared=shared) -> Batches:
-            of = shared.value
-            for batch in source:
-                ids = batch["doc_id"]
-                rows = [(ids[first + r].as_py(), of.ids[i], share, a, b) for first, w in each_slice(batch["text"], marks=True) for r, i, share, a, b in _leaks(w, of, threshold)]
-                if rows:
-                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _LEAKS, strict=True)], schema=_LEAKS)
-
-        found = docs.mapInArrow(find, LEAKS)
-        out = found if out is None else out.unionAll(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], LEAKS)
+    return _leaks(docs, benchmark, threshold).drop("uid", "row_key")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that leak an item, with all their columns."""
-    for seeds in _prepared(docs.select("text"), benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(seeds)
-
-        def keep(source: Batches, shared=shared) -> Batches:
-            for batch in source:
-                clean = np.ones(batch.num_rows, bool)
-                for first, w in each_slice(batch["text"], marks=True):
-                    clean[[first + leak[0] for leak in _leaks(w, shared.value, threshold)]] = False
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    leaked = materialise(_leaks(docs, benchmark, threshold).select(F.col("row_key").alias("__leaked")).distinct(), "leaked")
+    kept = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return kept.join(small(leaked), F.col("__row") == F.col("__leaked"), "left_anti").drop("__row")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
