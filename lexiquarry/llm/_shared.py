@@ -65,9 +65,9 @@ class BitArray:
         return {"held": self.held, "bits": self.bits}
 
 
-def bit_array(hashes: DataFrame, column: str, most: int) -> BitArray:
-    """Of a column of 64-bit hashes, with 256 bits for each row but ``2**most`` at most; 1/64 as many rows come to the driver."""
-    bits = max(10, min(most, math.ceil(math.log2(256 * max(1, hashes.count())))))
+def bit_array(hashes: DataFrame, column: str, most: int, each: int = 256) -> BitArray:
+    """Of a column of 64-bit hashes, with ``each`` bits for each row but ``2**most`` at most; 1/64 as many rows come to the driver."""
+    bits = max(10, min(most, math.ceil(math.log2(each * max(1, hashes.count())))))
     low = F.col(column).bitwiseAND((1 << bits) - 1)
     got = hashes.groupBy(F.shiftright(low, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST({column} & 63 AS int)))").alias("bits")).toArrow()
     words = np.zeros(1 << (bits - 6), np.uint64)

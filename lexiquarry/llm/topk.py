@@ -1,12 +1,16 @@
 """Exact top-k by inner product: the threshold algorithm over sorted per-dimension lists, in blocks.
 
 Vectors become integers, ``floor(256 * x)`` of each component. Candidates are dealt into blocks of
-about ``BLOCK_ROWS`` and queries into blocks of about ``QUERY_ROWS``; each pair of blocks is one bounded
-group. In it every dimension has a sorted list of the candidates. Sorted access goes down all lists
-from both ends, a deeper stretch each round; rows it meets are scored in full (random access, one matrix
-product for all open queries). No row not met yet can score more than the sum over dimensions of the
-query's component times the list's value at the depth reached; a query closes when that bound is
-below its k-th score. Each pair of blocks gives k rows a query, of which the best k remain.
+about ``BLOCK_ROWS``; a block's task sorts its candidates by each dimension once and then lets all queries pass,
+``QUERY_ROWS`` at a time. Sorted access goes down all lists from both ends, a deeper stretch each round;
+rows it meets are scored in full (random access, one matrix product for all open queries). No row not met
+yet can score more than the sum over dimensions of the query's component times the list's value at
+the depth reached; a query closes when that bound is below its k-th score. Each block gives k rows a
+query at most, of which the best k remain.
+
+What a query's k-th score must reach is known before: a first pass searches one block of candidates for
+all queries, and its k-th score (of any k candidates, so no more than the true one) closes queries in the other
+blocks as soon as their bound is below it.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
 shorter vectors count as filled up with zeros; rows that share the query's vec_id are its own and no
@@ -16,6 +20,8 @@ once; scores beyond 64 bits saturate; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -23,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import table
+from ._shared import materialise, table
 
 K = 5
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16384
 QUERY_ROWS = 2048
 FIRST_DEPTH = 4
 
 HITS = "query_id long, query_key long, vec_id long, score long"
+ROWS = "b int, kind int, part int, vec_id long, query_key long, floor long, embedding array<double>"
 _HITS = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -44,51 +51,112 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def threshold_topk(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """``(query, positions, scores)`` of each query's k best; ``ids`` ascend, so ties go to the first."""
-    n, dims = x.shape
-    lists = np.sort(x, axis=0)
-    rank = np.argsort(np.argsort(x, axis=0, kind="stable"), axis=0, kind="stable")
-    met = np.minimum(rank, n - 1 - rank).min(axis=1)  # the depth at which some list first shows the row
-    order = np.argsort(met, kind="stable")
-    low = np.iinfo(np.int64).min
-    best = np.full((len(q), k), low)
-    active, done, depth = np.arange(len(q)), 0, FIRST_DEPTH
-    while len(active) and done < n:
-        upto = int(np.searchsorted(met[order], depth))
-        rows = np.sort(order[done:upto])
-        done = upto
-        if len(rows):
-            for a in range(0, len(active), 256):
-                part = active[a : a + 256]
-                keys = np.rint(q[part] @ x[rows].T).astype(np.int64) * n - rows  # one number for score and tie
-                keys[query_ids[part][:, None] == ids[rows][None, :]] = low
-                both = np.concatenate([best[part], keys], axis=1)
-                best[part] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-        if done < n:
-            top, bottom = lists[n - 1 - depth], lists[depth]
-            bound = np.maximum(q[active], 0) @ top + np.minimum(q[active], 0) @ bottom
-            kth = best[active].min(axis=1)
-            active = active[(kth == low) | (bound >= -(-kth // n))]
-        depth *= 2
-    out = []
-    for i in range(len(q)):
-        keys = np.sort(best[i][best[i] != low])[::-1]
+class Lists:
+    """The candidates of a block, sorted by each dimension; ``ids`` ascend, so ties go to the first."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        n = len(ids)
+        order = np.argsort(x, axis=0, kind="stable")
+        self.ids, self.x, self.values = ids, x, np.take_along_axis(x, order, axis=0)
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
+        self.met = np.minimum(rank, n - 1 - rank).min(axis=1, initial=n)  # the depth at which some list first shows the row
+        self.order = np.argsort(self.met, kind="stable")
+
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, position and score of each query's k best, less those under its ``floor``."""
+        n = len(self.ids)
+        low = np.iinfo(np.int64).min
+        least = np.full(len(q), low) if floor is None else np.where(floor == low, low, floor * n - n + 1)  # the least key of such a score
+        best = np.full((len(q), k), low)
+        active, done, depth = np.arange(len(q)), 0, FIRST_DEPTH
+        while len(active) and done < n:
+            upto = int(np.searchsorted(self.met[self.order], depth))
+            rows = np.sort(self.order[done:upto])
+            done = upto
+            if len(rows):
+                for a in range(0, len(active), 256):
+                    part = active[a : a + 256]
+                    keys = np.rint(q[part] @ self.x[rows].T).astype(np.int64) * n - rows  # one number for score and tie
+                    keys[query_ids[part][:, None] == self.ids[rows][None, :]] = low
+                    both = np.concatenate([best[part], keys], axis=1)
+                    best[part] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            if done < n:
+                top, bottom = self.values[n - 1 - depth], self.values[depth]
+                bound = np.maximum(q[active], 0) @ top + np.minimum(q[active], 0) @ bottom
+                kth = np.maximum(best[active].min(axis=1), least[active])
+                active = active[(kth == low) | (bound >= -(-kth // n))]
+            depth *= 2
+        best = np.sort(best, axis=1)[:, ::-1]
+        at, place = np.nonzero((best != low) & (best >= least[:, None]))
+        keys = best[at, place]
         score = -(-keys // n)
-        out.append((i, (score * n - keys).astype(np.int64), score))
-    return out
+        return at, score * n - keys, score
 
 
-def _exact(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def _exact(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same by Python's integers, for components too large for exact products in 64 bits."""
     wide = [[int(v) for v in row] for row in x]
+    lim = np.iinfo(np.int64)
     out = []
     for i, one in enumerate(q):
         own = [int(v) for v in one]
         scores = sorted((-sum(a * b for a, b in zip(own, row, strict=True)), at) for at, row in enumerate(wide) if ids[at] != query_ids[i])[:k]
-        lim = np.iinfo(np.int64)
-        out.append((i, np.array([at for _, at in scores], np.int64), np.array([min(max(-s, lim.min), lim.max) for s, _ in scores], np.int64)))
-    return out
+        out += [(i, at, min(max(-s, lim.min), lim.max)) for s, at in scores]
+    return tuple(np.array(c, np.int64) for c in (zip(*out, strict=True) if out else ([], [], [])))
+
+
+def _search(k: int, query_rows: int):
+    """Rows of ``ROWS``, sorted by block, candidates before queries by id, in; hits out."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, x, lists = -1, np.zeros(0, np.int64), np.zeros((0, 0)), None
+        kept: list[pa.Table] = []
+
+        def candidates() -> None:
+            nonlocal ids, x, lists
+            rows = pa.concat_tables(kept)
+            ids, x, lists = rows["vec_id"].to_numpy(), _matrix(rows["embedding"]), None
+
+        def answer(wanted: pa.Table) -> pa.RecordBatch:
+            nonlocal x, lists
+            query_ids, q = wanted["vec_id"].to_numpy(), _matrix(wanted["embedding"])
+            floor = wanted["floor"].to_numpy()
+            dims = max(x.shape[1], q.shape[1])
+            if x.shape[1] < dims:
+                x, lists = np.pad(x, ((0, 0), (0, dims - x.shape[1]))), None
+            q = np.pad(q, ((0, 0), (0, dims - q.shape[1])))
+            most = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dims
+            if most < 2**52 and most * (len(ids) + 1) < 2**61:
+                lists = lists or Lists(ids, x)
+                # every score here is above a floor under these bounds, and none reaches one over them
+                low = np.iinfo(np.int64).min
+                at, hits, scores = lists.search(query_ids, q, k, np.where(floor == low, low, np.clip(floor, -int(most) - 1, int(most) + 1)))
+            else:
+                at, hits, scores = _exact(ids, x, query_ids, q, k)
+            return pa.record_batch([pa.array(query_ids[at]), pa.array(wanted["query_key"].to_numpy()[at]), pa.array(ids[hits]), pa.array(scores)], schema=_HITS)
+
+        def runs(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            b, kind = batch["b"].to_numpy(), batch["kind"].to_numpy()
+            cuts = np.flatnonzero((np.diff(b) != 0) | (np.diff(kind) != 0)) + 1
+            for a, z in zip([0, *cuts], [*cuts, len(b)], strict=True):
+                yield pa.Table.from_batches([batch.slice(a, z - a)])
+
+        for batch in source:
+            for rows in runs(batch) if batch.num_rows else ():
+                own, kind = rows["b"][0].as_py(), rows["kind"][0].as_py()
+                if kind == 0:
+                    if own != block:
+                        block, kept, x = own, [], np.zeros((0, 0))
+                    kept.append(rows)
+                elif own == block:  # else the block has no candidates
+                    if kept:
+                        candidates()
+                        kept = []
+                    for at in range(0, rows.num_rows, query_rows):
+                        yield answer(rows.slice(at, query_rows))
+
+    return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
@@ -102,30 +170,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: int =
     vectors, queries = ready(vectors), ready(queries)
     queries = queries.withColumn("query_key", F.xxhash64("embedding")).dropDuplicates(["vec_id", "query_key"])
     n = -(-max(1, vectors.count()) // block_rows)
-    m = -(-max(1, queries.count()) // query_rows)
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    rows = vectors.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id", F.xxhash64("embedding")), F.lit(n)).cast("int").alias("b"), every(m).alias("q"))
-    asked = queries.select("vec_id", "query_key", "embedding", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(m)).cast("int").alias("q"), every(n).alias("b"))
-
-    def search(candidates: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not candidates.num_rows or not wanted.num_rows:
-            return _HITS.empty_table()
-        candidates = candidates.sort_by("vec_id")
-        ids, query_ids = candidates["vec_id"].to_numpy(), wanted["vec_id"].to_numpy()
-        x, q = _matrix(candidates["embedding"]), _matrix(wanted["embedding"])
-        dims = max(x.shape[1], q.shape[1])
-        x, q = (np.pad(v, ((0, 0), (0, dims - v.shape[1]))) for v in (x, q))
-        most = float(np.abs(x).max()) * float(np.abs(q).max()) * dims
-        found = (threshold_topk if most < 2**52 and most * (len(ids) + 1) < 2**62 else _exact)(ids, x, query_ids, q, k)
-        at = np.concatenate([np.full(len(rows), i) for i, rows, _ in found])
-        hits = np.concatenate([rows for _, rows, _ in found]).astype(np.int64)
-        scores = np.concatenate([s for _, _, s in found]).astype(np.int64)
-        at = at.astype(np.int64)
-        return pa.table([query_ids[at], wanted["query_key"].to_numpy()[at], ids[hits], scores], schema=_HITS)
-
-    found = rows.groupBy("b", "q").cogroup(asked.groupBy("b", "q")).applyInArrow(search, HITS)
-    best = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    block = F.pmod(F.xxhash64("vec_id", F.xxhash64("embedding")), F.lit(n)).cast("int")
+    rows = vectors.select(block.alias("b"), F.lit(0).alias("kind"), F.lit(0).alias("part"), "vec_id", F.lit(0).cast("long").alias("query_key"), F.lit(0).cast("long").alias("floor"), "embedding")
+    parts = -(-max(1, queries.count()) // (8 * query_rows))
+    asked = queries.select("query_key", "vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"))
+    search = lambda df, *by: df.repartition(*by).sortWithinPartitions(*by[1:], "kind", "vec_id").mapInArrow(_search(k, query_rows), HITS)
+    columns = ["b", "kind", "part", "vec_id", "query_key", "floor", "embedding"]
+    # the first pass: block 0, dealt again for each part of the queries, which are many more than one task should see
+    low = F.lit(-(1 << 63)).cast("long")
+    first = asked.select(F.lit(0).alias("b"), F.lit(1).alias("kind"), "part", "vec_id", "query_key", low.alias("floor"), "embedding")
+    shown = rows.where("b = 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    found = search(shown.select(columns).unionByName(first).withColumn("b", F.col("part")), parts, "b")
+    order = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
+    found = materialise(found, "first-block")
+    kth = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "query_key", F.col("score").alias("floor"))
+    if n > 1:
+        known = asked.join(kth, ["vec_id", "query_key"], "left").withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
+        known = known.select("b", F.lit(1).alias("kind"), "part", "vec_id", "query_key", F.coalesce("floor", low).alias("floor"), "embedding")
+        found = found.unionByName(search(rows.where("b > 0").unionByName(known), n - 1, "b"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ stored as a table before anything reads it, so only archives of tasks that commi
 in it; what a lost attempt left behind is never read. Payloads that repeat are decided before, by
 grouping digests and lengths only.
 
-Reading: index rows are dealt by stretches of an archive and sorted by offset; ranges whose gap is
+Reading: index rows are dealt by stretches of an archive, to as many tasks as their bytes need, and sorted by offset; ranges whose gap is
 small merge into one read of bounded size. Payload digests are checked against the headers.
 
 Defined cases: null html is an empty payload; a null url leaves the target header out; line breaks and
@@ -28,7 +28,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import materialise, shared_dir, table
+from ._shared import materialise, shared_dir, small, table
 
 #: Smaller payloads are never revisits.
 REVISIT_BYTES = 1000
@@ -36,6 +36,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 #: Ranges closer than the gap merge, up to the read size.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Bytes of archives that a task reads, about.
+TASK_BYTES = 4 * READ_BYTES
 _DATE = "2024-01-01T00:00:00Z"
 
 INDEX = "page_id long, archive string, offset long, length long, url string, digest string"
@@ -51,7 +53,9 @@ def plan_records(pages: DataFrame) -> DataFrame:
     pages = pages.withColumn("digest", F.sha1("html"))
     large = pages.where(F.octet_length("html") >= REVISIT_BYTES)
     same = large.groupBy("digest").agg(F.count("*").alias("_n"), F.max("page_id").alias("_first"))
-    same = same.where("_n > 1 AND _first IS NOT NULL").select(F.col("digest").alias("_digest"), "_first")
+    # few beside the pages: where they are small in fact, pages stay where they are
+    same = materialise(same.where("_n > 1 AND _first IS NOT NULL").select(F.col("digest").alias("_digest"), "_first"), "same-payloads")
+    same = small(same, F.octet_length("_digest"))
     on = (F.col("digest") == F.col("_digest")) & (F.octet_length("html") >= REVISIT_BYTES)
     planned = pages.join(same, on, "left")
     return planned.select("page_id", "url", "html", "digest", F.when(F.col("page_id").eqNullSafe(F.col("_first")), None).otherwise(F.col("_first")).alias("refers_to"))
@@ -153,8 +157,10 @@ def read_records(index: DataFrame, folder: str, gap: int = GAP_BYTES, most: int
                             rows.append((number(got["warc-record-id"]), int(got["http-length"]), digest, got["warc-type"], number(got["warc-refers-to"]) if "warc-refers-to" in got else None))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _RECORDS, strict=True)] if rows else [pa.array([], f.type) for f in _RECORDS], schema=_RECORDS)
 
-    wanted = index.select("archive", "offset", "length").withColumn("_stretch", F.floor(F.col("offset") / (4 * most)))
-    wanted = wanted.repartition("archive", "_stretch").sortWithinPartitions("archive", "offset")
+    # tasks by the bytes that they read, of which the index's own size says nothing
+    total = index.agg(F.sum("length")).first()[0] or 0
+    wanted = index.select("archive", "offset", "length").withColumn("_stretch", F.floor(F.col("offset") / (2 * most)))
+    wanted = wanted.repartition(max(1, -(-total // TASK_BYTES)), "archive", "_stretch").sortWithinPartitions("archive", "offset")
     return wanted.select("archive", "offset", "length").mapInArrow(read, RECORDS)
 
 

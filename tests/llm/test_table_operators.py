@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,20 @@ def test_topk_equals_brute_force(spark, scale):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 5)
 
 
+def test_lists_close_early_and_keep_all(spark):
+    rng = np.random.default_rng(5)
+    x = np.floor(256 * np.r_[rng.normal(0, 0.1, (3000, 8)), rng.normal(0, 2, (40, 8))])
+    q, ids = x[::50], np.arange(len(x))
+    lists = topk.Lists(ids, x)
+    scores = (q @ x.T).astype(np.int64)
+    scores[np.arange(len(q)), np.arange(0, len(x), 50)] = -(2**60)
+    want = [(i, j, scores[i, j]) for i in range(len(q)) for j in sorted(range(len(x)), key=lambda j, i=i: (-scores[i, j], j))[:5]]
+    assert list(zip(*map(np.ndarray.tolist, lists.search(ids[::50], q, 5)), strict=True)) == want
+    floor = np.array([scores[i, j] for i, j, _ in want[4::5]])  # the true k-th score, met but not passed
+    assert list(zip(*map(np.ndarray.tolist, lists.search(ids[::50], q, 5, floor)), strict=True)) == want
+    assert len(lists.search(ids[::50], q, 5, floor * 0 + 2**40)[0]) == 0
+
+
 def test_topk_of_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 2.0]), (50, [0.5, 0.5]), (3, [0.0, -1.0])], schema)
