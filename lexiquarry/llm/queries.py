@@ -20,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op2_topk": topk.OP2_SQL,
     "op4_warc": warc.OP4_SQL,
+    "op5_near_dedup": near_dedup.OP5_SQL,
     "op6_mix_sources": mixing.OP6_SQL,
     "op9_chat_format": chat.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
