@@ -9,16 +9,14 @@ signatures is the number of symbols that differ, about ``SYMBOLS * (1 - similari
    a chunk with at most ``DISTANCE // CHUNKS`` = 1 symbol wrong. All ways in which one symbol of a chunk
    may be wrong are enumerated as keys with that symbol left out, so every such pair shares a key:
    none under the distance is missed. (At 80 % similarity a pair lies beyond it once in a million.)
-3. In a key's bucket every member first meets one leader, a pair for each member. Pairs whose signatures
-   lie within the distance are confirmed on full sets, exactly, and confirmed links join components.
-   Buckets that still hold over ``MINOR`` members outside their largest component take further leaders,
-   as long as these find links.
-4. Then each member outside its bucket's largest component meets all others of the bucket, so a group of
-   copies that its leaders have joined costs nothing more. Again the signatures decide and full sets confirm.
-5. A bucket that still holds over ``MINOR`` such members, as pages of one template do that are no copies,
-   is split by the rarest shingles of its members' sets: of two linked sets, the rarest few (all but as
-   many as must be shared, and one) have one in common. So no link is lost, and what a template gives
-   to all its pages makes no pairs.
+3. In a key's bucket every member meets one leader, a pair for each member. Pairs whose signatures lie
+   within the distance are confirmed on full sets, exactly, and confirmed links join components.
+4. What a bucket still holds of several components is split by the rarest shingles of its members' sets:
+   of two linked sets, the rarest few (all but as many as must be shared, and one) have one in common. So
+   no link is lost, and what a template gives to all its pages makes no pairs.
+5. In such a part each member outside the largest component meets all others of the part, so a group of
+   copies that its leaders have joined costs nothing more. Again signatures within the distance are confirmed
+   on full sets. Parts are dealt out in cells of bounded size; tasks give links, never pairs.
 6. Components over the confirmed links give the classes.
 
 At 80 % similarity and 64 symbols the expected distance is 12.8 with deviation 3.2; 29 is five
@@ -48,10 +46,8 @@ from .graph import components
 SHINGLE = 5
 PERCENT = 80
 SYMBOLS = 64
-#: Members outside a bucket's largest component that meet all others of the bucket; more are split by rare shingles.
-MINOR = 50
-#: Rounds of leaders at most.
-ROUNDS = 6
+#: A cell of a part holds so many shingles of members outside its largest component, about, and lets so many members pass.
+CELL_SHINGLES, CELL_MEMBERS = 1 << 20, 1 << 14
 #: Ids that are broadcast at most.
 SMALL = 1_000_000
 
@@ -207,31 +203,17 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return materialise(joined.mapInArrow(run, "a long, b long"), "links")
 
 
-def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of buckets (``key, rep``) that hold several components: ``key, rep, c, most, minor`` (the largest component, and the number of rows in others)."""
+def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows (``key, rep, n``) of keys that hold several components, with ``c`` (their own), ``most`` (the key's largest), ``members`` and ``minor`` (the ``n`` of rows in others)."""
     roots = components(links).withColumnRenamed("node", "rep")
-    rows = buckets.join(roots, "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("c"))
-    per = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "c")).alias("top"))
-    per = per.where("size > top.n").select("key", F.col("top.c").alias("most"), (F.col("size") - F.col("top.n")).alias("minor"))
-    return materialise(rows.join(per, "key"), "open-buckets")
-
-
-def _meet(rows: DataFrame) -> DataFrame:
-    """``a, b``: distinct pairs of a key across components, of which one at least is outside the largest."""
-    mine = rows.where("c <> most").select("key", F.col("rep").alias("a"), F.col("c").alias("_a"))
-    other = rows.select("key", F.col("rep").alias("b"), F.col("c").alias("_b"))
-    met = mine.join(other, "key").where("_a <> _b")
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _led(rows: DataFrame, turn: int) -> DataFrame:
-    """``a, b``: distinct pairs of each member of a bucket and one leader, in another component."""
-    lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "c")).alias("lead"))
-    return rows.join(lead, "key").where("c <> lead.c").select(F.col("rep").alias("a"), F.col("lead.rep").alias("b")).distinct()
+    rows = rows.join(roots, "rep", "left").withColumn("c", F.coalesce("root", "rep")).drop("root")
+    per = rows.groupBy("key", "c").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    per = per.groupBy("key").agg(F.sum("m").alias("members"), F.sum("n").alias("n"), F.max(F.struct("m", "n", "c")).alias("top")).where("members > top.m")
+    return rows.join(per.select("key", F.col("top.c").alias("most"), "members", (F.col("n") - F.col("top.n")).alias("minor")), "key")
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, rep``: of each set its rarest shingles, as many as leave no two linked sets without one in common."""
+    """``key, rep, n, at``: of each set its rarest shingles with their rank, as many as leave no two linked sets without one in common."""
 
     def run(source: Batches) -> Batches:
         for batch in source:
@@ -247,34 +229,106 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
     own = W.partitionBy("rep")
     alone = F.col("n") - F.count("*").over(own)
     rank = F.row_number().over(own.orderBy("df", "key"))
-    return known.withColumn("at", alone + rank).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("key", "rep")
+    return known.withColumn("at", alone + rank).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("key", "rep", "n", "at")
+
+
+class _Cell:
+    """Members held in memory, with the members of each shingle."""
+
+    def __init__(self, rows: pa.Table):
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks()]
+        self.rep, self.c, self.at = (rows[k].to_numpy() for k in ("rep", "c", "at"))
+        self.low = np.frombuffer(b"".join(rows["low"].to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+        self.n = np.array([len(x) for x in own])
+        every, row = np.concatenate(own), np.repeat(np.arange(len(own)), self.n)
+        order = np.argsort(every, kind="stable")
+        self.shingle, self.start = np.unique(every[order], return_index=True)
+        self.start, self.row = np.append(self.start, len(every)), row[order]
+
+    def shared(self, shingles: np.ndarray) -> np.ndarray:
+        """Of each member, how many of the (sorted, distinct) shingles it has."""
+        at = np.minimum(np.searchsorted(self.shingle, shingles), len(self.shingle) - 1)
+        at = at[self.shingle[at] == shingles]
+        first, size = self.start[at], self.start[at + 1] - self.start[at]
+        places = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.bincount(self.row[places], minlength=len(self.n))
+
+
+def _across(distance: int, percent: int):
+    """Rows sorted by ``key, block, salt, role`` in (role 0 is held, 1 passes); links between components out."""
+
+    def links(cell: _Cell, rows: pa.Table, root: dict[int, int]) -> Iterator[tuple[int, int]]:
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                x = up
+            return x
+
+        low = np.frombuffer(b"".join(rows["low"].to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+        rep, c, at = (rows[k].to_numpy() for k in ("rep", "c", "at"))
+        for k, shingles in enumerate(rows["shingles"].combine_chunks()):
+            own = np.frombuffer(shingles.as_buffer(), np.uint64)
+            n = len(own)
+            # the least overlap of a link, and the most of two whose first common rare shingle is this one
+            least = -(-percent * (n + cell.n) // (100 + percent))
+            most = np.minimum(n - at[k], cell.n - cell.at) + 1
+            near = np.flatnonzero((cell.c != c[k]) & (most >= least))
+            near = near[within(cell.low[near], low[k], distance)]
+            if len(near) and (len(near) > 50 or any(find(int(x)) != find(int(c[k])) for x in cell.c[near])):
+                both = cell.shared(own)[near]
+                for i in near[100 * both >= percent * (n + cell.n[near] - both)]:
+                    x, y = find(int(cell.c[i])), find(int(c[k]))
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        yield int(rep[k]), int(cell.rep[i])
+
+    def run(source: Batches) -> Batches:
+        now, held, cell, root = None, [], None, {}
+        for whole in source:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                key = list(zip(*(batch[k].to_pylist() for k in ("key", "block", "salt", "role")), strict=True))
+                cuts = [0, *(k for k in range(1, len(key)) if key[k] != key[k - 1]), len(key)]
+                found: list[tuple[int, int]] = []
+                for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                    rows = pa.Table.from_batches([batch.slice(a, z - a)])
+                    if key[a][:3] != now:
+                        now, held, cell, root = key[a][:3], [], None, {}
+                    if key[a][3] == 0:
+                        held.append(rows)
+                    elif held:
+                        cell = cell or _Cell(pa.concat_tables(held))
+                        found += links(cell, rows, root)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _split(docs: DataFrame, ids: DataFrame, reps: DataFrame, links: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``a, b``: links across the components of ``links`` between any of the ids."""
+    sets = _sets(docs, ids, shingle)
+    rows = materialise(_open(materialise(_rarest(sets, percent), "rarest"), links), "open-parts")
+    members = sets.join(reps.select("rep", "low"), "rep")
+    rows = rows.withColumn("blocks", F.ceil(F.col("minor") / CELL_SHINGLES).cast("int")).withColumn("salts", F.ceil(F.col("members") / CELL_MEMBERS).cast("int"))
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    one = lambda name: F.pmod(F.xxhash64("rep", F.lit(name)), F.col(name)).cast("int")
+    held = rows.where("c <> most").withColumn("role", F.lit(0)).withColumn("block", one("blocks")).withColumn("salt", every("salts"))
+    passing = rows.withColumn("role", F.lit(1)).withColumn("block", every("blocks")).withColumn("salt", one("salts"))
+    dealt = held.unionByName(passing).select("rep", "key", "block", "salt", "role", "c", "at").join(members, "rep")
+    dealt = dealt.repartition("key", "block", "salt").sortWithinPartitions("key", "block", "salt", "role")
+    return materialise(dealt.mapInArrow(_across(distance_for(percent), percent), "a long, b long"), "links")
 
 
 def find_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``a, b``: links between representatives, enough to connect all that any links connect."""
+    """``a, b``: links between representatives (``rep, n, signature, low``), enough to connect all that any links connect."""
     distance = distance_for(percent)
     keys = _keys(reps, chunk_bounds(distance))
     shared = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
     buckets = materialise(keys.join(shared.select("key", "lead"), "key").where("rep <> lead"), "buckets")
-    confirmed = lambda pairs: _confirmed(_close(pairs, reps, distance), docs, shingle, percent)
-    links = confirmed(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct())
-    rows = _open(buckets.select("key", "rep"), links)
-    for turn in range(ROUNDS):
-        heavy = rows.where(F.col("minor") > MINOR)
-        if heavy.isEmpty():
-            break
-        more = confirmed(_led(heavy, turn))
-        if more.isEmpty():
-            break
-        links = links.unionAll(more)
-        rows = _open(rows.select("key", "rep"), links)
-    more = confirmed(_meet(rows.where(F.col("minor") <= MINOR)))
-    links = links.unionAll(more)
-    heavy = rows.where(F.col("minor") > MINOR).select("rep").distinct()
-    if not heavy.isEmpty():
-        split = materialise(_rarest(_sets(docs, heavy, shingle), percent), "rarest")
-        links = links.unionAll(confirmed(_meet(_open(split, links))))
-    return links
+    pairs = _close(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), reps, distance)
+    links = _confirmed(pairs, docs, shingle, percent)
+    # leaders have met all of their buckets, so they stay out of what follows
+    rows = _open(buckets.select("key", "rep", F.lit(1).alias("n")), links)
+    return links.unionAll(_split(docs, rows, reps, links, shingle, percent))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

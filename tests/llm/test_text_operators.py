@@ -74,11 +74,11 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize(("minor", "rounds"), [(near_dedup.MINOR, near_dedup.ROUNDS), (1, 1), (0, 0)])  # the others split buckets by rare shingles
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, minor, rounds):
+@pytest.mark.parametrize(("shingles", "members"), [(near_dedup.CELL_SHINGLES, near_dedup.CELL_MEMBERS), (300, 7)])  # the others make many cells
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, shingles, members):
     rows = near_rows()
-    monkeypatch.setattr(near_dedup, "MINOR", minor)
-    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+    monkeypatch.setattr(near_dedup, "CELL_SHINGLES", shingles)
+    monkeypatch.setattr(near_dedup, "CELL_MEMBERS", members)
     got = near_dedup.near_duplicates(frame(spark, rows + [(None, "null id"), (7, rows[7][1])]), shingle=4).collect()
     want = brute_components(rows, 4)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
@@ -91,12 +91,23 @@ def test_pages_of_a_template_are_no_copies_and_make_few_pairs(spark, monkeypatch
     rows = [(k, f"{template} {prose(rng, 50)}") for k in range(400)]  # about half of their shingles are common
     rows += [(1000 + k, f"{rows[k][1]} more") for k in range(0, 400, 40)]
     met = []
-    confirm = near_dedup._confirmed
-    monkeypatch.setattr(near_dedup, "_confirmed", lambda pairs, *a: met.append(pairs.count()) or confirm(pairs, *a))
+    close = near_dedup._close
+    monkeypatch.setattr(near_dedup, "_close", lambda pairs, *a: met.append(pairs.count()) or close(pairs, *a))
+    rarest = near_dedup._rarest
+    monkeypatch.setattr(near_dedup, "_rarest", lambda sets, *a: met.append(rarest(sets, *a).count()) or rarest(sets, *a))
     got = near_dedup.near_duplicates(frame(spark, rows), shingle=4).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4)
     assert {r.doc_id for r in got if not r.kept} == {r[0] for r in rows if r[0] >= 1000}
-    assert sum(met) < 20 * len(rows)
+    assert met[0] < 40 * len(rows) and met[1] < 2 * len(rows)
+
+
+def test_cells_count_what_sets_share():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40), dtype=np.uint64)) for _ in range(30)]
+    rows = pa.table({"rep": range(30), "c": range(30), "at": [1] * 30, "low": [bytes(64)] * 30, "shingles": [s.tobytes() for s in sets]})
+    cell = near_dedup._Cell(rows)
+    for s in [*sets, np.array([1000], np.uint64)]:
+        assert cell.shared(s).tolist() == [len(np.intersect1d(s, x)) for x in sets]
 
 
 def test_the_distance_is_that_of_symbols():
