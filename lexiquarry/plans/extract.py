@@ -15,7 +15,7 @@ from ..functions.model_reply import etymology_prompt, prompt, text_field
 from ..functions.modes import DATE_FIELDS, FIELDS, MODES
 from ..functions.plaintext import word_count
 
-#: ``(rows, prompt) -> rows with reply``.
+#: ``(rows, prompt) -> rows with reply``; a null prompt asks nothing.
 Model = Callable[[DataFrame, Column], DataFrame]
 
 
@@ -36,16 +36,15 @@ def tiered(content: DataFrame, mode: str, wanted: tuple[str, ...] | None = None)
 
 
 def fill_by_model(rows: DataFrame, wanted: tuple[str, ...], model: Model, mode: str = "bio", lang: str = "en") -> DataFrame:
-    """Rows with gaps asked of a model, the others left alone. A reply fills gaps by non-blank strings only."""
+    """Rows with gaps asked of a model, the others left alone, in one pass. A reply fills gaps by non-blank strings only."""
     gap = F.lit(False)
     for f in wanted:
         gap = gap | F.col(f).isNull()
     gap = gap & F.coalesce(F.col("plaintext") != "", F.lit(False))
     missing = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in wanted]))
     text = F.col("plaintext")
-    asked = model(rows.where(gap), etymology_prompt(text, lang) if mode == "etymology" else prompt(text, missing, lang))
-    filled = asked.withColumns({f: F.coalesce(F.col(f), text_field(F.col("reply"), f)) for f in wanted}).select(rows.columns)
-    return rows.where(~gap).unionByName(filled)
+    asked = model(rows, F.when(gap, etymology_prompt(text, lang) if mode == "etymology" else prompt(text, missing, lang)))
+    return asked.withColumns({f: F.coalesce(F.col(f), text_field(F.col("reply"), f)) for f in wanted}).select(rows.columns)
 
 
 def dated(rows: DataFrame, wanted: tuple[str, ...]) -> DataFrame:
@@ -59,14 +58,15 @@ def records(targets: DataFrame, content: DataFrame, mode: str, wanted: tuple[str
     """``page_id, title, <fields>, <notes>, article_bytes, word_count`` of the targets.
 
     ``how``: ``left`` keeps targets without content, with empty fields; ``inner`` drops them. Titles
-    match with spaces for underscores.
+    match with spaces for underscores. Other columns of the targets follow.
     """
     wanted = wanted or FIELDS[mode]
     wiki = content.select(F.translate("title", "_", " ").alias("title"), "wikitext", "plaintext")
-    rows = targets.select("page_id", F.translate("title", "_", " ").alias("title"), "length").join(wiki, "title", how)
+    kept = [c for c in targets.columns if c not in ("page_id", "title", "length")]
+    rows = targets.select("page_id", F.translate("title", "_", " ").alias("title"), "length", *kept).join(wiki, "title", how)
     rows = tiered(rows, mode, wanted)
     if model is not None:
         rows = fill_by_model(rows, wanted, model, mode, lang)
     rows = dated(rows, wanted)
     notes = [f"{f}_note" for f in wanted if f in DATE_FIELDS]
-    return rows.select(F.coalesce("page_id", F.lit(0)).alias("page_id"), "title", *wanted, *notes, F.coalesce("length", F.lit(0)).alias("article_bytes"), word_count(F.col("plaintext")).alias("word_count"))
+    return rows.select(F.coalesce("page_id", F.lit(0)).alias("page_id"), "title", *wanted, *notes, F.coalesce("length", F.lit(0)).alias("article_bytes"), word_count(F.col("plaintext")).alias("word_count"), *kept)

@@ -1,20 +1,26 @@
-"""A run from dumps to results: search, filter, fetch, extract, write."""
+"""A run from dumps to results: search, filter, fetch, extract, write.
+
+``python -m lexiquarry`` runs it; ``python -m lexiquarry.plans.publish`` runs it for a region's patterns and publishes
+the results. What is dear is evaluated once: parsed dumps, fetched texts and records are stored before they are read twice.
+"""
 
 from __future__ import annotations
 
 import argparse
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.modes import mode_of
+from ..functions.modes import FIELDS, mode_of
 from ..operators import categories as cat
 from ..operators import reports
 from ..sources import archives, dumps, remote, sinks
 from ..sources.files import Cache, newest, read_patterns, read_regions, read_results
+from ..storage import stored
 from .extract import Model, records
 from .regions import entries, first_of_key, join_regions
 
@@ -124,8 +130,10 @@ def parsed_dumps(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
         if not path.exists():
             remote.download(f"https://dumps.wikimedia.org/{config.wiki}/latest/{path.name}", path)
     rows = {t: dumps.read_dump(spark, str(p), t) for t, p in files.items()}
-    categories, articles = dumps.split_pages(dumps.pages(rows["page"]))
-    subcategories, members = cat.edges(dumps.category_links(rows["categorylinks"]), dumps.link_targets(rows["linktarget"]), categories)
+    # each dump is unzipped and split once, whatever reads it
+    categories, articles = dumps.split_pages(stored(dumps.pages(rows["page"]), "pages"))
+    links, link_targets = stored(dumps.category_links(rows["categorylinks"]), "links"), stored(dumps.link_targets(rows["linktarget"]), "targets")
+    subcategories, members = cat.edges(links, link_targets, categories)
     fresh = dict(zip(names, (categories, articles, subcategories, members), strict=True))
     if config.use_cache:
         for n, df in fresh.items():
@@ -134,14 +142,20 @@ def parsed_dumps(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
     return fresh
 
 
-def wanted_articles(tables: dict[str, DataFrame], config: Config) -> DataFrame:
+#: Called with a name and a table that tells how the run goes.
+Report = Callable[[str, DataFrame], None]
+
+
+def wanted_articles(tables: dict[str, DataFrame], config: Config, report: Report | None = None) -> DataFrame:
     if config.search == "bfs":
         visited = cat.traverse(tables["subcategories"], config.root_category.replace(" ", "_"), config.max_depth)
+        if report:
+            report("depths", cat.depth_stats(visited, tables["members"]).orderBy("depth"))
         return cat.collect_articles(tables["members"], visited)
     return cat.collect_articles(tables["members"], cat.find_categories(tables["categories"], config.patterns))
 
 
-def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: remote.Transport = remote.http_get) -> DataFrame:
+def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: remote.Transport = remote.http_get, report: Report | None = None) -> DataFrame:
     """``title, wikitext, plaintext`` of the targets, by API, multistream archive or full scan."""
     if config.use_api:
         titles = targets.select(F.translate("title", "_", " ").alias("title"))
@@ -150,46 +164,65 @@ def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: re
         both = [remote.fetch_articles(titles, url, transport, kind, config.api_batch, config.api_pause) for kind in ("wikitext", "plaintext")]
         return both[0].join(both[1], "title", "left")
     if config.multistream:
-        archive, index = archives.find_multistream(config.data_dir, config.wiki)
-        return archives.content(archives.read_multistream(targets, archives.read_index(spark, str(index)), str(archive), config.limit))
+        archive, path = archives.find_multistream(config.data_dir, config.wiki)
+        index = archives.read_index(spark, str(path))
+        if report:
+            report("not in the index", archives.missing_from(targets, index).agg(F.count("*").alias("articles")))
+        return archives.content(archives.read_multistream(targets, index, str(archive), config.limit))
     return archives.content(archives.read_xml(spark, str(archives.find_archive(config.data_dir, config.wiki)), targets, config.limit))
 
 
-def run(spark: SparkSession, config: Config, model: Model | None = None, transport: remote.Transport = remote.http_get) -> DataFrame:
-    """Runs it all; returns the dry run's counts, or the files that it wrote."""
+def _write_groups(tables: dict[str, DataFrame], content: DataFrame, config: Config, model: Model | None) -> DataFrame:
+    """Workbooks of every pattern group: articles are extracted once for each mode and written by stem in one plan."""
+    tagged = cat.tag_groups(tables["categories"], config.groups)
+    by_group = stored(cat.group_articles(tables["members"], tagged), "groups")
+    modes: dict[str, list[str]] = {}
+    for stem, _ in config.groups:
+        modes.setdefault(mode_of(stem, config.mode), []).append(stem)
+    written = None
+    for mode, stems in modes.items():
+        own = by_group.where(F.col("stem").isin(stems))
+        targets = cat.target_pages(tables["articles"], own, config.min_length)
+        rows = stored(records(targets, content, mode, None, model, config.lang, "inner"), "records")
+        rows = rows.join(own, "page_id").repartitionByRange("stem", "title").sortWithinPartitions("stem", "title")
+        made = sinks.write_workbooks(rows, str(config.results_dir), by="stem")
+        written = made if written is None else written.unionByName(made)
+    return written
+
+
+def run(spark: SparkSession, config: Config, model: Model | None = None, transport: remote.Transport = remote.http_get, report: Report | None = None) -> DataFrame:
+    """Runs it all; returns ``name, path`` of what it wrote (or downloaded, where nothing else is asked for), or the dry run's counts."""
     if config.download_articles:
-        for variant in ("multistream", "multistream-index"):
+        got = []
+        for variant in ("multistream", "multistream-index") if config.multistream else ("bz2",):
             name = archives.archive_name(config.wiki, variant)
-            remote.download(f"https://dumps.wikimedia.org/{config.wiki}/latest/{name}", config.data_dir / name)
+            got.append((name, str(remote.download(f"https://dumps.wikimedia.org/{config.wiki}/latest/{name}", config.data_dir / name))))
+        if not (config.root_category or config.patterns):
+            return spark.createDataFrame(got, "name string, path string")
     if model is None and config.use_model:
         model = lambda rows, prompt: remote.ask_model(rows, prompt, config.model_url, config.model_name)
     model = model if config.use_model else None
     tables = parsed_dumps(spark, config)
-    targets = cat.target_pages(tables["articles"], wanted_articles(tables, config), config.min_length)
+    targets = cat.target_pages(tables["articles"], wanted_articles(tables, config, report), config.min_length)
     if config.dry_run:
         return reports.dry_run(targets)
-    content = fetch(spark, targets, config, transport)
-    written = []
+    targets = stored(targets, "targets")
+    content = stored(fetch(spark, targets, config, transport, report), "content")
     if config.groups and config.output == "xlsx":
-        tagged = cat.tag_groups(tables["categories"], config.groups)
-        by_group = cat.group_articles(tables["members"], tagged)
-        for stem, _ in config.groups:
-            mode = mode_of(stem, config.mode)
-            own = cat.target_pages(tables["articles"], by_group.where(F.col("stem") == stem), config.min_length)
-            rows = records(own, content, mode, None, model, config.lang, "inner").orderBy("title")
-            path = f"{config.results_dir}/{stem}"
-            sinks.write_workbooks(rows, path, stem)
-            written.append((stem, path))
+        written = _write_groups(tables, content, config, model)
+        if report:
+            report("workbooks", written)
+        return spark.createDataFrame([(stem, f"{config.results_dir}/{stem}") for stem, _ in config.groups], "name string, path string")
+    mode = "bio" if config.mode == "auto" else config.mode
+    rows = stored(records(targets, content, mode, config.wanted, model, config.lang), "records")
+    if report:
+        report("fields", reports.fill_rates(rows, config.wanted or FIELDS[mode]))
+    path = f"{config.results_dir}/{config.name}"
+    if config.output == "xlsx":
+        sinks.write_workbooks(rows.orderBy("page_id"), path, config.name)
     else:
-        mode = "bio" if config.mode == "auto" else config.mode
-        rows = records(targets, content, mode, config.wanted, model, config.lang).orderBy("page_id")
-        path = f"{config.results_dir}/{config.name}"
-        if config.output == "xlsx":
-            sinks.write_workbooks(rows, path, config.name)
-        else:
-            sinks.write_delimited(rows, path, "\t" if config.output == "tsv" else ",")
-        written.append((config.name, path))
-    return spark.createDataFrame(written, "name string, path string")
+        sinks.write_delimited(stored(rows.orderBy("page_id"), "sorted"), path, "\t" if config.output == "tsv" else ",")
+    return spark.createDataFrame([(config.name, path)], "name string, path string")
 
 
 def publish_regions(spark: SparkSession, results: DataFrame | str, region_dir: str, out: str, lang: str = "en") -> None:
@@ -198,9 +231,23 @@ def publish_regions(spark: SparkSession, results: DataFrame | str, region_dir: s
         results = read_results(spark, str(newest(Path(results), "*.csv") if Path(results).is_dir() and not list(Path(results).glob("part-*")) else results))
     keys, lost_keys = first_of_key(read_regions(spark, region_dir))
     joined = join_regions(results, keys)
-    sinks.write_keyed_json(entries(joined.matched, lang), f"{out}/entries")
+    sinks.write_keyed_json(stored(entries(joined.matched, lang), "entries"), f"{out}/entries")
     for name, df in (("unmatched", joined.unmatched.drop("row_at")), ("collisions", joined.collisions), ("key_collisions", lost_keys)):
+        df = stored(df, name)
         if not df.isEmpty():
             sinks.write_delimited(df, f"{out}/{name}")
 
 
+def show(name: str, rows: DataFrame) -> None:
+    print(f"{name}:")
+    rows.show(100, truncate=False)
+
+
+def main(argv: list[str] | None = None) -> None:
+    config = parse_args(argv)
+    spark = SparkSession.builder.appName("lexiquarry").getOrCreate()
+    show("done", run(spark, config, report=show))
+
+
+if __name__ == "__main__":
+    main()

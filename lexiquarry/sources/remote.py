@@ -46,8 +46,11 @@ def all_pages(transport: Transport, url: str, parameters: dict) -> Iterator[dict
         asked = {**asked, **reply["continue"]}
 
 
-def fetch_articles(titles: DataFrame, url: str, transport: Transport = http_get, kind: str = "wikitext", batch: int = TITLES_PER_CALL, pause: float = 0.1) -> DataFrame:
-    """``title, <kind>`` by API, ``kind`` being wikitext or plaintext; pages without content drop out."""
+def fetch_articles(titles: DataFrame, url: str, transport: Transport = http_get, kind: str = "wikitext", batch: int = TITLES_PER_CALL, pause: float = 0.1, tasks: int = 4) -> DataFrame:
+    """``title, <kind>`` by API, ``kind`` being wikitext or plaintext; pages without content drop out.
+
+    All tasks together make a call each ``pause`` seconds at most: there are ``tasks`` of them, and each waits as many pauses.
+    """
     common = {"action": "query", "format": "json", "formatversion": "2"}
     ask = {"wikitext": {"prop": "revisions", "rvprop": "content", "rvslots": "main"}, "plaintext": {"prop": "extracts", "explaintext": "1", "exlimit": "max"}}[kind]
 
@@ -62,13 +65,13 @@ def fetch_articles(titles: DataFrame, url: str, transport: Transport = http_get,
                 wanted = "|".join(rows["title"].iloc[a : a + batch])
                 found = [(p["title"], text(p)) for p in all_pages(transport, url, {**common, **ask, "titles": wanted})]
                 yield pd.DataFrame([x for x in found if x[1]], columns=["title", kind])
-                time.sleep(pause)
+                time.sleep(pause * tasks)
 
-    return titles.select("title").distinct().mapInPandas(run, f"title string, {kind} string")
+    return titles.select("title").distinct().repartition(tasks, "title").mapInPandas(run, f"title string, {kind} string")
 
 
 def ask_model(rows: DataFrame, prompt: Column, url: str, model: str, transport: Transport = http_post, tries: int = 3, backoff: float = 1.0) -> DataFrame:
-    """``rows`` with ``reply``, the model's text; null where every try failed. Replies are read by column functions."""
+    """``rows`` with ``reply``, the model's text; null where every try failed or the prompt is null. Replies are read by column functions."""
     asked = rows.withColumn("_prompt", prompt)
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
 
@@ -83,7 +86,7 @@ def ask_model(rows: DataFrame, prompt: Column, url: str, model: str, transport:
 
     def run(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in source:
-            yield part.drop(columns="_prompt").assign(reply=[one(p) for p in part["_prompt"]])
+            yield part.drop(columns="_prompt").assign(reply=[one(p) if isinstance(p, str) else None for p in part["_prompt"]])
 
     return asked.mapInPandas(run, ", ".join([*columns, "reply string"]))
 

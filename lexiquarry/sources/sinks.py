@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -9,7 +10,7 @@ from xml.sax.saxutils import escape
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows that one sheet can hold besides its header.
@@ -18,7 +19,10 @@ WIDEST = 50
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",", one_file: bool = False) -> None:
-    """CSV or TSV with a header and nulls as nothing; a table without rows makes a file without a header."""
+    """CSV or TSV with a header and nulls as nothing; a table without rows makes a file without a header.
+
+    The table is looked at before it is written, so hand in a stored one.
+    """
     header = not df.isEmpty()
     df = df.coalesce(1) if one_file else df
     df.write.mode("overwrite").csv(path, header=header, sep=separator, nullValue="", emptyValue="", escape='"')
@@ -74,48 +78,66 @@ class Workbook:
                 sheet.write(b"</sheetData></worksheet>")
 
 
-def write_workbooks(df: DataFrame, folder: str, sheet: str = "Sheet") -> DataFrame:
-    """One workbook of each partition (more where a sheet is full) under ``folder``; returns ``path, rows`` once they are written.
+def write_workbooks(df: DataFrame, folder: str, sheet: str = "Sheet", by: str | None = None) -> DataFrame:
+    """One workbook of each partition (more where a sheet is full) under ``folder``; returns ``name, path, rows`` once they are written.
 
-    ``df.coalesce(1)`` makes one workbook of a small table. Attempts of a task write files of their own names; those that
-    the returned table names are whole.
+    With ``by``, a column that partitions are sorted by, its values get workbooks of their own, each in a folder and with a sheet
+    of that name; the column itself is left out. ``df.coalesce(1)`` makes one workbook of a small table. Attempts of a
+    task write files of their own names; those that the returned table names are whole.
     """
-    header = df.columns
+    header = [c for c in df.columns if c != by]
 
     def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
         files, base = pyarrow.fs.FileSystem.from_uri(folder) if "://" in folder else (pyarrow.fs.LocalFileSystem(), folder)
-        files.create_dir(base, recursive=True)
-        made: list[tuple[str, int]] = []
+        made: list[tuple[str, str, int]] = []
         book: Workbook | None = None
+        name = sheet
 
         def close() -> None:
-            name = f"{base}/{sheet}-{task.partitionId():05d}-{len(made):03d}-{task.taskAttemptId()}.xlsx"
-            with files.open_output_stream(name, compression=None) as out:
+            place = f"{base}/{name}" if by else base
+            files.create_dir(place, recursive=True)
+            path = f"{place}/{name}-{task.partitionId():05d}-{len(made):03d}-{task.taskAttemptId()}.xlsx"
+            with files.open_output_stream(path, compression=None) as out:
                 book.save(out)
-            made.append((name, book.rows - 1))
+            made.append((name, path, book.rows - 1))
 
         for batch in source:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if book is not None and book.rows > SHEET_ROWS:
+            own = batch[by].to_pylist() if by else [sheet] * batch.num_rows
+            for group, row in zip(own, zip(*(batch[c].to_pylist() for c in header), strict=True), strict=True):
+                if book is not None and (book.rows > SHEET_ROWS or group != name):
                     close()
                     book = None
-                book = book or Workbook(header, sheet)
+                name = group
+                book = book or Workbook(header, name)
                 book.append(list(row))
         if book is not None:
             close()
-        yield pa.RecordBatch.from_pydict({"path": pa.array([m[0] for m in made], pa.string()), "rows": pa.array([m[1] for m in made], pa.int64())})
+        yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["name", "path", "rows"])
+
+    made = df.mapInArrow(write, "name string, path string, rows long")
+    return df.sparkSession.createDataFrame(made.toArrow().to_pandas(), "name string, path string, rows long")  # a row for each file
 
-    made = df.mapInArrow(write, "path string, rows long")
-    return df.sparkSession.createDataFrame(made.toArrow().to_pandas(), "path string, rows long")  # a row for each file
+
+def _quoted(text: Column) -> Column:
+    """A JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
 
 
 def write_keyed_json(entries: DataFrame, path: str) -> None:
-    """One JSON document of ``gid`` and ``entry`` (a struct; nulls are left out), in the order of ``row_at``."""
-    first = entries.agg(F.min("row_at").alias("first"))
-    line = F.concat(F.when(F.col("row_at") == F.col("first"), "  ").otherwise(", "), F.concat(F.lit('"'), F.regexp_replace("gid", r'(["\\])', r"\\$1"), F.lit('": ')), F.to_json("entry"))
-    body = entries.crossJoin(F.broadcast(first)).select(F.col("row_at").alias("at"), line.alias("value"), F.lit(1).alias("part"))
+    """One JSON document, indented by 2, of ``gid`` and ``entry`` (a struct of texts; nulls are left out), in the order of ``row_at``.
+
+    The table is looked at before it is written, so hand in a stored one. A document is one file, so one task writes it; it has
+    an entry for each region.
+    """
+    last = entries.agg(F.max("row_at")).first()[0]
+    fields = [F.when(F.col(f"entry.`{f}`").isNotNull(), F.concat(F.lit(f"    {json.dumps(f)}: "), _quoted(F.col(f"entry.`{f}`")))) for f in entries.schema["entry"].dataType.names]
+    body = F.concat(F.lit("  "), _quoted(F.col("gid")), F.lit(": {\n"), F.array_join(F.array_compact(F.array(*fields)), ",\n"), F.lit("\n  }"))
+    line = F.concat(body, F.when(F.col("row_at") == F.lit(last), "").otherwise(","))
+    lines = entries.select(F.col("row_at").alias("at"), line.alias("value"), F.lit(1).alias("part"))
     edge = entries.sparkSession.sql("SELECT * FROM VALUES (0L, '{', 0), (0L, '}', 2) AS t(at, value, part)")
-    body.unionByName(edge).coalesce(1).sortWithinPartitions("part", "at").select("value").write.mode("overwrite").text(path)
+    whole = lines.unionByName(edge).coalesce(1).sortWithinPartitions("part", "at").select("value")
+    whole.write.mode("overwrite").text(path)

@@ -2,6 +2,7 @@
 
 import bz2
 import gzip
+import json
 from dataclasses import replace
 from pathlib import Path
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from lexiquarry.operators import categories as cat
 from lexiquarry.operators import reports
-from lexiquarry.plans import extract, run
-from lexiquarry.sources import archives
+from lexiquarry.plans import extract, publish, run
+from lexiquarry.sources import archives, remote
 from lexiquarry.streaming.watch import watch_categories
 
 
@@ -72,7 +73,7 @@ def test_tiers_and_model(spark):
     asked = []
 
     def model(rows, prompt):
-        asked.append(rows.count())
+        asked.append(rows.where(prompt.isNotNull()).count())
         return rows.withColumn("reply", F.when(prompt.contains("C lived"), F.lit('{"nationality": " Swiss ", "occupation": 3, "birth_date": "7 century"}')))
 
     got = {r.page_id: r for r in extract.records(targets, content, "bio", model=model).collect()}
@@ -144,6 +145,79 @@ def test_group_run(spark, wiki):
     assert len(list((wiki / "r" / "rivers").glob("*.xlsx"))) == 1
 
 
+def counted(log, reply):
+    """A transport that notes every call in a file that all workers append to."""
+
+    def call(url, asked):
+        with open(log, "a") as f:
+            f.write(json.dumps(asked) + "\n")
+        return reply(asked)
+
+    return call
+
+
+def pages_of(asked):
+    texts = {"Ann Art": "Ann Art (born 1900) was a French painter.", "Bob Brush": "Bob lived.", "Long River": "A river of note."}
+    titles = [t for t in asked["titles"].split("|") if t in texts]
+    if asked["prop"] == "extracts":
+        return {"query": {"pages": [{"title": t, "extract": texts[t]} for t in titles]}}
+    return {"query": {"pages": [{"title": t, "revisions": [{"slots": {"main": {"content": texts[t]}}}]} for t in titles]}}
+
+
+def said(log):
+    return [json.loads(line) for line in log.read_text().splitlines()]
+
+
+def test_titles_and_prompts_are_asked_once(spark, wiki):
+    folder = wiki / "patterns"
+    folder.mkdir()
+    for stem, pattern in (("visual_artists", "painters"), ("historians", "french"), ("scientists", "painters|rivers"), ("rivers", "^rivers_of")):
+        (folder / f"{stem}.txt").write_text(pattern)
+    base = ["--wiki", "xwiki", "--data-dir", str(wiki), "--results-dir", f"{wiki}/r", "--use-api", "--api-rate-limit", "0"]
+    for n, (args, prompts) in enumerate(((["--all", str(folder)], 4), (["--patterns", ".", "--output-format", "csv"], 3), (["--patterns", "."], 3))):
+        api, model = wiki / f"api{n}", wiki / f"model{n}"
+        ask = counted(model, lambda asked: {"response": '{"birth_date": "1801", "population": "5"}'})
+        made = run.run(spark, run.parse_args([*args, *base]), lambda rows, prompt, ask=ask: remote.ask_model(rows, prompt, "u", "m", ask), counted(api, pages_of))
+        for prop in ("revisions", "extracts"):
+            assert sorted(t for x in said(api) if x["prop"] == prop for t in x["titles"].split("|")) == ["Ann Art", "Bob Brush", "Long River"]
+        asked = [x["prompt"] for x in said(model)]
+        assert len(asked) == len(set(asked)) == prompts  # in groups the river is one of a person's and one of a place's
+        if n == 1:
+            text = read_csv(made.first().path)
+            assert "2,Bob Brush,1801," in text and "1,Ann Art,1900," in text
+    assert sorted(p.name for p in (wiki / "r").iterdir()) == ["historians", "regex_results", "rivers", "scientists", "visual_artists"]
+
+
+def test_reports_of_a_run(spark, wiki):
+    told = {}
+    config = run.parse_args(["Painters", "--wiki", "xwiki", "--data-dir", str(wiki), "--results-dir", f"{wiki}/r", "--output-format", "csv", "--no-llm", "--min-page-length", "0"])
+    run.run(spark, config, report=lambda name, rows: told.update({name: [tuple(r) for r in rows.collect()]}))
+    assert told["not in the index"] == [(1,)] and told["depths"][0] == (0, 1, 3, 1, 3) and ("birth_date", 2, 3, 2 / 3) in told["fields"]
+
+
+def test_downloads_alone_end_the_run(spark, wiki, monkeypatch):
+    monkeypatch.setattr(remote, "download", lambda url, to: to)
+    monkeypatch.setattr(run, "parsed_dumps", None)
+    config = run.parse_args(["--download-articles", "--wiki", "xwiki", "--data-dir", str(wiki)])
+    assert [r.name for r in run.run(spark, config).collect()] == [archives.archive_name("xwiki", v) for v in ("multistream", "multistream-index")]
+    assert run.run(spark, replace(config, multistream=False)).count() == 1
+
+
+def test_commands(spark, wiki, capsys, monkeypatch):
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    run.main(["--patterns", "painters", "--wiki", "xwiki", "--data-dir", str(wiki), "--dry-run"])
+    assert "done:" in capsys.readouterr().out
+    (wiki / "de" / "regions").mkdir(parents=True)
+    (wiki / "de" / "regions" / "a.json").write_text(json.dumps({"features": [{"properties": {"GID_2": "G1", "NAME_2": "Long River", "NAME_1": "X"}}]}))
+    (wiki / "p.txt").write_text("rivers")
+    args = ["--country", "de", "--map-data-dir", str(wiki), "--patterns-file", f"{wiki}/p.txt", "--wiki", "xwiki", "--data-dir", str(wiki), "--results-dir", f"{wiki}/r", "--no-llm"]
+    publish.main(args)
+    assert "Long River" in read_csv(wiki / "de" / "wikipedia" / "unmatched") and json.loads(read_csv(wiki / "de" / "wikipedia" / "entries")) == {}
+    assert publish.publish(spark, *publish.parse([*args, "--dry-run"])).first().articles == 1
+    with pytest.raises(SystemExit):
+        publish.parse(["--country", "zz", "--map-data-dir", str(wiki)])
+
+
 def test_workbooks_of_a_run_are_written_one_a_partition(spark, wiki, monkeypatch):
     config = run.parse_args(["--patterns", ".", "--wiki", "xwiki", "--data-dir", str(wiki), "--results-dir", f"{wiki}/r", "--no-llm", "--min-page-length", "0"])
     names = {}

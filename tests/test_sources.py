@@ -246,5 +246,9 @@ def test_regions_and_keyed_json(spark, tmp_path):
         "A1": {"title": "Kent County, Delaware", "population": "1,2", "wikipedia_url": "https://en.wikipedia.org/wiki/Kent_County,_Delaware"},
         "B3": {"title": "New, Land", "wikipedia_url": "https://en.wikipedia.org/wiki/New,_Land"},
     }
+    entries = spark.createDataFrame([('a"\n\\b', 1, ("x", None)), ("c", 2, (None, None))], "gid string, row_at long, entry struct<title: string, other: string>")
+    sinks.write_keyed_json(entries, f"{tmp_path}/odd")
+    (part,) = Path(f"{tmp_path}/odd").glob("part-*")
+    assert json.loads(part.read_text()) == {'a"\n\\b': {"title": "x"}, "c": {}} and '\n    "title": "x"\n  },\n' in part.read_text()
     text = lambda name: "".join(p.read_text() for p in Path(f"{tmp_path}/out/{name}").glob("part-*"))
     assert "Nowhere" in text("unmatched") and '"Kent County, Delaware","Kent, Delaware"' in text("collisions") and "A1,B1,b.json" in text("key_collisions")
