@@ -14,9 +14,10 @@ signatures is the number of symbols that differ, about ``SYMBOLS * (1 - similari
 4. What a bucket still holds of several components is split by the rarest shingles of its members' sets:
    of two linked sets, the rarest few (all but as many as must be shared, and one) have one in common. So
    no link is lost, and what a template gives to all its pages makes no pairs.
-5. In such a part each member outside the largest component meets all others of the part, so a group of
-   copies that its leaders have joined costs nothing more. Again signatures within the distance are confirmed
-   on full sets. Parts are dealt out in cells of bounded size; tasks give links, never pairs.
+5. Parts whose largest component is the same go together, a document once. Each member outside that component
+   meets all others, so a group of copies that its leaders have joined costs nothing more among itself. Again
+   signatures within the distance are confirmed on full sets. What goes together is dealt out in cells of bounded
+   size; tasks give links, never pairs.
 6. Components over the confirmed links give the classes.
 
 At 80 % similarity and 64 symbols the expected distance is 12.8 with deviation 3.2; 29 is five
@@ -204,12 +205,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 
 def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows (``key, rep, n``) of keys that hold several components, with ``c`` (their own), ``most`` (the key's largest), ``members`` and ``minor`` (the ``n`` of rows in others)."""
+    """Rows (``key, rep``) of keys that hold several components, with ``c`` (their own) and ``most`` (the key's largest)."""
     roots = components(links).withColumnRenamed("node", "rep")
     rows = rows.join(roots, "rep", "left").withColumn("c", F.coalesce("root", "rep")).drop("root")
-    per = rows.groupBy("key", "c").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
-    per = per.groupBy("key").agg(F.sum("m").alias("members"), F.sum("n").alias("n"), F.max(F.struct("m", "n", "c")).alias("top")).where("members > top.m")
-    return rows.join(per.select("key", F.col("top.c").alias("most"), "members", (F.col("n") - F.col("top.n")).alias("minor")), "key")
+    per = rows.groupBy("key", "c").agg(F.count("*").alias("m"))
+    per = per.groupBy("key").agg(F.count("*").alias("components"), F.max(F.struct("m", "c")).alias("top")).where("components > 1")
+    return rows.join(per.select("key", F.col("top.c").alias("most")), "key")
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
@@ -255,7 +256,7 @@ class _Cell:
 
 
 def _across(distance: int, percent: int):
-    """Rows sorted by ``key, block, salt, role`` in (role 0 is held, 1 passes); links between components out."""
+    """Rows sorted by ``most, block, salt, role`` in (role 0 is held, 1 passes); links between components out."""
 
     def links(cell: _Cell, rows: pa.Table, root: dict[int, int]) -> Iterator[tuple[int, int]]:
         def find(x: int) -> int:
@@ -268,7 +269,7 @@ def _across(distance: int, percent: int):
         for k, shingles in enumerate(rows["shingles"].combine_chunks()):
             own = np.frombuffer(shingles.as_buffer(), np.uint64)
             n = len(own)
-            # the least overlap of a link, and the most of two whose first common rare shingle is this one
+            # the least overlap of a link, and the most of two that share nothing before either's first shared rare shingle
             least = -(-percent * (n + cell.n) // (100 + percent))
             most = np.minimum(n - at[k], cell.n - cell.at) + 1
             near = np.flatnonzero((cell.c != c[k]) & (most >= least))
@@ -286,7 +287,7 @@ def _across(distance: int, percent: int):
         for whole in source:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                key = list(zip(*(batch[k].to_pylist() for k in ("key", "block", "salt", "role")), strict=True))
+                key = list(zip(*(batch[k].to_pylist() for k in ("most", "block", "salt", "role")), strict=True))
                 cuts = [0, *(k for k in range(1, len(key)) if key[k] != key[k - 1]), len(key)]
                 found: list[tuple[int, int]] = []
                 for a, z in zip(cuts[:-1], cuts[1:], strict=True):
@@ -306,15 +307,18 @@ def _across(distance: int, percent: int):
 def _split(docs: DataFrame, ids: DataFrame, reps: DataFrame, links: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``a, b``: links across the components of ``links`` between any of the ids."""
     sets = _sets(docs, ids, shingle)
-    rows = materialise(_open(materialise(_rarest(sets, percent), "rarest"), links), "open-parts")
-    members = sets.join(reps.select("rep", "low"), "rep")
-    rows = rows.withColumn("blocks", F.ceil(F.col("minor") / CELL_SHINGLES).cast("int")).withColumn("salts", F.ceil(F.col("members") / CELL_MEMBERS).cast("int"))
+    parts = _open(materialise(_rarest(sets, percent), "rarest"), links)
+    rows = parts.groupBy("most", "rep").agg(F.min("c").alias("c"), F.min("at").alias("at"), F.max("n").alias("n"))
+    rows = materialise(rows.withColumn("outside", F.col("c") != F.col("most")), "parts")
+    size = rows.groupBy("most").agg(F.ceil(F.sum(F.when(F.col("outside"), F.col("n"))) / CELL_SHINGLES).cast("int").alias("blocks"), F.ceil(F.count("*") / CELL_MEMBERS).cast("int").alias("salts"))
+    rows = rows.join(size, "most")
     every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     one = lambda name: F.pmod(F.xxhash64("rep", F.lit(name)), F.col(name)).cast("int")
-    held = rows.where("c <> most").withColumn("role", F.lit(0)).withColumn("block", one("blocks")).withColumn("salt", every("salts"))
+    held = rows.where("outside").withColumn("role", F.lit(0)).withColumn("block", one("blocks")).withColumn("salt", every("salts"))
     passing = rows.withColumn("role", F.lit(1)).withColumn("block", every("blocks")).withColumn("salt", one("salts"))
-    dealt = held.unionByName(passing).select("rep", "key", "block", "salt", "role", "c", "at").join(members, "rep")
-    dealt = dealt.repartition("key", "block", "salt").sortWithinPartitions("key", "block", "salt", "role")
+    members = sets.join(reps.select("rep", "low"), "rep")
+    dealt = held.unionByName(passing).select("rep", "most", "block", "salt", "role", "c", "at").join(members, "rep")
+    dealt = dealt.repartition("most", "block", "salt").sortWithinPartitions("most", "block", "salt", "role")
     return materialise(dealt.mapInArrow(_across(distance_for(percent), percent), "a long, b long"), "links")
 
 
@@ -327,7 +331,7 @@ def find_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) ->
     pairs = _close(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), reps, distance)
     links = _confirmed(pairs, docs, shingle, percent)
     # leaders have met all of their buckets, so they stay out of what follows
-    rows = _open(buckets.select("key", "rep", F.lit(1).alias("n")), links)
+    rows = _open(buckets.select("key", "rep"), links)
     return links.unionAll(_split(docs, rows, reps, links, shingle, percent))
 
 
