@@ -2,60 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dates import MONTH, earliest, latest, normalise
 from .text import ANY_CASE, FLAGS, any_of, group, has, let, strip, sub
 
 # Nationalities.
-NATIONALITIES = tuple(
-    x.strip()
-    for x in """
-afghan, albanian, algerian, american, andorran, angolan, argentine, argentinian, armenian, australian, austrian,
-azerbaijani, bahamian, bahraini, bangladeshi, barbadian, belarusian, belgian, belizean, beninese, bhutanese,
-bolivian, bosnian, botswanan, brazilian, british, bruneian, bulgarian, burkinabe, burmese, burundian, cambodian,
-cameroonian, canadian, cape verdean, central african, chadian, chilean, chinese, colombian, comorian, congolese,
-costa rican, croatian, cuban, cypriot, czech, danish, djiboutian, dominican, dutch, east timorese, ecuadorian,
-egyptian, emirati, english, equatorial guinean, eritrean, estonian, ethiopian, fijian, filipino, finnish, flemish,
-french, gabonese, gambian, georgian, german, ghanaian, greek, grenadian, guatemalan, guinean, guyanese, haitian,
-honduran, hungarian, icelandic, indian, indonesian, iranian, iraqi, irish, israeli, italian, ivorian, jamaican,
-japanese, jordanian, kazakh, kenyan, korean, kosovar, kuwaiti, kyrgyz, laotian, latvian, lebanese, liberian,
-libyan, liechtensteiner, lithuanian, luxembourgish, macedonian, malagasy, malawian, malaysian, maldivian, malian,
-maltese, mauritanian, mauritian, mexican, moldovan, monacan, mongolian, montenegrin, moroccan, mozambican,
-namibian, nepalese, new zealand, nicaraguan, nigerian, nigerien, north korean, norwegian, omani, ottoman,
-pakistani, palauan, palestinian, panamanian, papua new guinean, paraguayan, persian, peruvian, polish, portuguese,
-prussian, puerto rican, qatari, romanian, roman, russian, rwandan, salvadoran, samoan, saudi, scottish,
-senegalese, serbian, sierra leonean, singaporean, slovak, slovenian, somali, south african, south korean, soviet,
-spanish, sri lankan, sudanese, surinamese, swazi, swedish, swiss, syrian, taiwanese, tajik, tanzanian, thai,
-togolese, tongan, trinidadian, tunisian, turkish, turkmen, ugandan, ukrainian, uruguayan, uzbek, venezuelan,
-vietnamese, welsh, yemeni, zambian, zimbabwean, byzantine, austro-hungarian, czechoslovak, yugoslav
-""".replace("\n", " ").split(",")
-)
+NATIONALITIES = (
+    "afghan", "albanian", "algerian", "american", "andorran", "angolan", "argentine", "argentinian", "armenian",
+    "australian", "austrian", "azerbaijani", "bahamian", "bahraini", "bangladeshi", "barbadian", "belarusian",
+    "belgian", "belizean", "beninese", "bhutanese", "bolivian", "bosnian", "botswanan", "brazilian", "british",
+    "bruneian", "bulgarian", "burkinabe", "burmese", "burundian", "cambodian", "cameroonian", "canadian",
+    "cape verdean", "central african", "chadian", "chilean", "chinese", "colombian", "comorian", "congolese",
+    "costa rican", "croatian", "cuban", "cypriot", "czech", "danish", "djiboutian", "dominican", "dutch",
+    "east timorese", "ecuadorian", "egyptian", "emirati", "english", "equatorial guinean", "eritrean", "estonian",
+    "ethiopian", "fijian", "filipino", "finnish", "flemish", "french", "gabonese", "gambian", "georgian", "german",
+    "ghanaian", "greek", "grenadian", "guatemalan", "guinean", "guyanese", "haitian", "honduran", "hungarian",
+    "icelandic", "indian", "indonesian", "iranian", "iraqi", "irish", "israeli", "italian", "ivorian", "jamaican",
+    "japanese", "jordanian", "kazakh", "kenyan", "korean", "kosovar", "kuwaiti", "kyrgyz", "laotian", "latvian",
+    "lebanese", "liberian", "libyan", "liechtensteiner", "lithuanian", "luxembourgish", "macedonian", "malagasy",
+    "malawian", "malaysian", "maldivian", "malian", "maltese", "mauritanian", "mauritian", "mexican", "moldovan",
+    "monacan", "mongolian", "montenegrin", "moroccan", "mozambican", "namibian", "nepalese", "new zealand",
+    "nicaraguan", "nigerian", "nigerien", "north korean", "norwegian", "omani", "ottoman", "pakistani", "palauan",
+    "palestinian", "panamanian", "papua new guinean", "paraguayan", "persian", "peruvian", "polish", "portuguese",
+    "prussian", "puerto rican", "qatari", "romanian", "roman", "russian", "rwandan", "salvadoran", "samoan", "saudi",
+    "scottish", "senegalese", "serbian", "sierra leonean", "singaporean", "slovak", "slovenian", "somali",
+    "south african", "south korean", "soviet", "spanish", "sri lankan", "sudanese", "surinamese", "swazi", "swedish",
+    "swiss", "syrian", "taiwanese", "tajik", "tanzanian", "thai", "togolese", "tongan", "trinidadian", "tunisian",
+    "turkish", "turkmen", "ugandan", "ukrainian", "uruguayan", "uzbek", "venezuelan", "vietnamese", "welsh", "yemeni",
+    "zambian", "zimbabwean", "byzantine", "austro-hungarian", "czechoslovak", "yugoslav",
+)
 # Occupations.
-OCCUPATIONS = tuple(
-    x.strip()
-    for x in """
-activist, actor, actress, admiral, alpinist, ambassador, anthropologist, archaeologist, architect, artist,
-astronaut, astronomer, athlete, author, aviator, banker, biologist, bishop, botanist, boxer, broadcaster,
-businessman, businesswoman, cardinal, cartographer, cellist, chancellor, chef, chemist, choreographer,
-cinematographer, clergyman, coach, collector, comedian, commander, commentator, composer, conductor, congressman,
-consultant, courtier, critic, cryptographer, curator, cyclist, dancer, designer, diplomat, director, dramatist,
-economist, editor, educator, emperor, empress, engineer, engraver, entertainer, entrepreneur, essayist,
-ethnographer, evangelist, explorer, feminist, fencer, filmmaker, financier, general, geneticist, geographer,
-geologist, golfer, governor, guitarist, historian, illustrator, imam, inventor, journalist, judge, jurist, king,
-lawyer, lexicographer, librettist, linguist, lyricist, magistrate, mathematician, mayor, medic, memoirist,
-merchant, meteorologist, microbiologist, military officer, minister, missionary, monarch, monk, mountaineer,
-musician, musicologist, mystic, naturalist, navigator, neuroscientist, nobleman, novelist, nun, nurse, officer,
-organist, painter, paleontologist, pastor, patron, pedagogue, philanthropist, philosopher, photographer,
-physician, physicist, pianist, pilot, playwright, poet, political scientist, politician, polymath, pope, preacher,
-president, priest, prince, princess, printmaker, producer, professor, programmer, psychiatrist, psychologist,
-publisher, queen, rabbi, racer, reformer, regent, researcher, revolutionary, ruler, sailor, saint, scholar,
-scientist, screenwriter, sculptor, senator, singer, singer-songwriter, sociologist, soldier, songwriter, spy,
-statesman, stateswoman, sultan, surgeon, swimmer, teacher, theologian, trader, translator, violinist, vocalist,
-warrior, writer, zoologist
-""".replace("\n", " ").split(",")
-)
+OCCUPATIONS = (
+    "activist", "actor", "actress", "admiral", "alpinist", "ambassador", "anthropologist", "archaeologist",
+    "architect", "artist", "astronaut", "astronomer", "athlete", "author", "aviator", "banker", "biologist", "bishop",
+    "botanist", "boxer", "broadcaster", "businessman", "businesswoman", "cardinal", "cartographer", "cellist",
+    "chancellor", "chef", "chemist", "choreographer", "cinematographer", "clergyman", "coach", "collector",
+    "comedian", "commander", "commentator", "composer", "conductor", "congressman", "consultant", "courtier",
+    "critic", "cryptographer", "curator", "cyclist", "dancer", "designer", "diplomat", "director", "dramatist",
+    "economist", "editor", "educator", "emperor", "empress", "engineer", "engraver", "entertainer", "entrepreneur",
+    "essayist", "ethnographer", "evangelist", "explorer", "feminist", "fencer", "filmmaker", "financier", "general",
+    "geneticist", "geographer", "geologist", "golfer", "governor", "guitarist", "historian", "illustrator", "imam",
+    "inventor", "journalist", "judge", "jurist", "king", "lawyer", "lexicographer", "librettist", "linguist",
+    "lyricist", "magistrate", "mathematician", "mayor", "medic", "memoirist", "merchant", "meteorologist",
+    "microbiologist", "military officer", "minister", "missionary", "monarch", "monk", "mountaineer", "musician",
+    "musicologist", "mystic", "naturalist", "navigator", "neuroscientist", "nobleman", "novelist", "nun", "nurse",
+    "officer", "organist", "painter", "paleontologist", "pastor", "patron", "pedagogue", "philanthropist",
+    "philosopher", "photographer", "physician", "physicist", "pianist", "pilot", "playwright", "poet",
+    "political scientist", "politician", "polymath", "pope", "preacher", "president", "priest", "prince", "princess",
+    "printmaker", "producer", "professor", "programmer", "psychiatrist", "psychologist", "publisher", "queen",
+    "rabbi", "racer", "reformer", "regent", "researcher", "revolutionary", "ruler", "sailor", "saint", "scholar",
+    "scientist", "screenwriter", "sculptor", "senator", "singer", "singer-songwriter", "sociologist", "soldier",
+    "songwriter", "spy", "statesman", "stateswoman", "sultan", "surgeon", "swimmer", "teacher", "theologian",
+    "trader", "translator", "violinist", "vocalist", "warrior", "writer", "zoologist",
+)
 # Date and clause forms.
 _FULL = rf"(?:(?:\d{{1,2}}\s+{MONTH}\s+\d{{3,4}})|(?:{MONTH}\s+\d{{1,2}},?\s+\d{{3,4}}))"
 DATE = rf"(?:c\.\s*)?(?:{_FULL}|\d{{3,4}})"
@@ -73,8 +74,12 @@ DESCENT = r"\bof\s+(\w+)\s+(?:origin|descent|birth|heritage|extraction|ancestry)
 
 _PHRASES = sorted((n for n in NATIONALITIES if " " in n), key=len, reverse=True)
 _ANY_PHRASE = rf"\b{any_of(_PHRASES)}\b"
+# Words of origin beside a nationality.
 _ORIGINS = ("born", "naturalised", "naturalized")
 
+#: What a text tells.
+FIELDS = ("birth_date", "death_date", "nationality", "occupation")
+
 
 def first_paragraph(text: Column) -> Column:
     return F.substring_index(F.substring(text, 1, 500), "\n\n", 1)
@@ -111,8 +116,8 @@ def _tokens(clause: Column) -> Column:
     return F.transform(words, lambda w: sub(F.lower(w), r"[.,;]+\z"))
 
 
-def nationality(clause: Column) -> Column:
-    """Nationalities up to the first occupation, joined by commas."""
+def nationality(clause: Column, tokens: Column) -> Column:
+    """Nationalities of the clause (and its tokens) up to the first occupation, joined by commas."""
     held = F.transform(F.regexp_extract_all(clause, F.lit(ANY_CASE + _ANY_PHRASE), F.lit(0)), F.lower)
     every = F.array(*map(F.lit, _PHRASES))
     phrases = F.when(F.size(held) > 0, let(held, lambda h: F.filter(every, lambda p: F.array_contains(h, p)))).otherwise(F.array().cast("array<string>"))
@@ -127,15 +132,15 @@ def nationality(clause: Column) -> Column:
         stop = F.array_position(trades, True)
         return F.when(stop > 0, F.slice(tokens, 1, stop.cast("int"))).otherwise(tokens)
 
-    single = F.flatten(F.transform(let(_tokens(clause), zone), of_token))
+    single = F.flatten(F.transform(zone(tokens), of_token))
     found = F.array_distinct(F.transform(F.concat(phrases, single), F.initcap))
     return F.when(F.size(found) > 0, F.array_join(found, ", "))
 
 
-def occupation(clause: Column) -> Column:
-    """Occupations, each with the word before it where that is not one, joined by commas."""
+def occupation(tokens: Column) -> Column:
+    """Occupations of a clause's tokens, each with the word before it where that is not one, joined by commas."""
 
-    def run(tokens: Column) -> Column:
+    def run() -> Column:
         start = F.struct(F.lit(False).alias("skip"), F.array().cast("array<string>").alias("found"))
 
         def step(state: Column, i: Column) -> Column:
@@ -150,21 +155,25 @@ def occupation(clause: Column) -> Column:
 
         return F.aggregate(F.sequence(F.lit(0), F.size(tokens) - 1), start, step, lambda s: s["found"])
 
-    found = let(_tokens(clause), run)
-    return F.when(F.size(found) > 0, F.array_join(found, ", "))
-
-
-def biography(text: Column) -> Column:
-    """A struct of ``birth_date, death_date, nationality, occupation`` from an article's plain text."""
-
-    def read(lead: Column) -> Column:
-        parts = F.struct(lead.alias("lead"), has(lead, CLAUSE, ANY_CASE).alias("described"), group(lead, CLAUSE, 1, ANY_CASE).alias("clause"), life_dates(lead).alias("life"))
-        return let(parts, fields)
-
-    def fields(x: Column) -> Column:
-        descent = F.lower(group(x["lead"], DESCENT, 1, ANY_CASE))
-        nation = F.coalesce(F.when(x["described"], nationality(x["clause"])), F.when(descent.isin(*NATIONALITIES), F.initcap(descent)))
-        trade = F.when(x["described"], occupation(x["clause"]))
-        return F.struct(x["life"]["birth"].alias("birth_date"), x["life"]["death"].alias("death_date"), nation.alias("nationality"), trade.alias("occupation"))
-
-    return let(first_paragraph(text), read)
+    return let(run(), lambda found: F.when(F.size(found) > 0, F.array_join(found, ", ")))
+
+
+def told(rows: DataFrame, text: Column, wanted: tuple[str, ...] | list[str] = FIELDS, prefix: str = "") -> DataFrame:
+    """``rows`` with a column, named by ``prefix`` and field, for each of the wanted ``FIELDS`` that an article's plain text tells.
+
+    Each step is a column that later ones read, and what no wanted field needs is not computed.
+    """
+    made = {}
+    rows = rows.withColumn("_lead", first_paragraph(text))
+    lead = F.col("_lead")
+    if {"birth_date", "death_date"} & set(wanted):
+        rows = rows.withColumn("_life", life_dates(lead))
+        made |= {"birth_date": F.col("_life.birth"), "death_date": F.col("_life.death")}
+    if {"nationality", "occupation"} & set(wanted):
+        rows = rows.withColumn("_clause", F.when(has(lead, CLAUSE, ANY_CASE), group(lead, CLAUSE, 1, ANY_CASE))).withColumn("_tokens", _tokens(F.col("_clause")))
+        made["occupation"] = F.when(F.col("_clause").isNotNull(), occupation(F.col("_tokens")))
+    if "nationality" in wanted:
+        rows = rows.withColumn("_descent", F.lower(group(lead, DESCENT, 1, ANY_CASE)))
+        by_descent = F.when(F.col("_descent").isin(*NATIONALITIES), F.initcap("_descent"))
+        made["nationality"] = F.coalesce(F.when(F.col("_clause").isNotNull(), nationality(F.col("_clause"), F.col("_tokens"))), by_descent)
+    return rows.withColumns({f"{prefix}{f}": made[f] for f in wanted}).drop("_lead", "_life", "_clause", "_tokens", "_descent")

@@ -12,7 +12,7 @@ MONTHS = ("January", "February", "March", "April", "May", "June", "July", "Augus
 MONTH = "(?:" + "|".join(MONTHS) + ")"
 _SHORT = "".join(m[:3] for m in MONTHS).lower()
 
-#: What ``normalise`` takes off before it reads a date: pattern, replacement, any case.
+# The forms of dates. First what ``normalise`` takes off before it reads a date: pattern, replacement, any case.
 _CLEANING = (
     ("&ndash;", "-", False),
     ("&nbsp;", " ", False),
@@ -25,6 +25,18 @@ _CLEANING = (
 )
 _CIRCA = r"^[Cc]\.\s*"
 _ERA = r"\s*B\.?C\.?E?\.?\s*$"
+_ISO, _DAY_FIRST = r"^(\d{4})-(\d{1,2})-(\d{1,2})$", r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
+_YEAR, _YEARS = r"^\d{3,4}$", r"^\d{3,4}[-/]\d{2,4}$"
+#: Pattern, and the groups of day, month and year; the forms read a prefix, but for month and year.
+_WORDED = (
+    (rf"^(\d{{1,2}})\s+(?:of\s+)?({MONTH}),?\s*(\d{{1,4}})", 1, 2, 3),
+    (rf"^({MONTH})\s+(\d{{1,2}}),\s*(\d{{1,4}})", 2, 1, 3),
+    (rf"^({MONTH})\s+(\d{{1,2}})\s+(\d{{4}})", 2, 1, 3),
+    (rf"^({MONTH})\s+(\d{{1,4}})$", 0, 1, 2),
+)
+_DECADE = r"^(?:early|late|mid)?\s*(\d{3,4})s$"
+_CENTURY = r"^(\d{1,2})(?:st|nd|rd|th)?[- ]?century$"
+_MONTH_DAY, _DAY_MONTH = rf"^({MONTH}),?\s+(\d{{1,2}})$", rf"^(\d{{1,2}})\s+({MONTH})$"
 
 
 def month_number(name: Column) -> Column:
@@ -39,27 +51,19 @@ def _date(year: Column, *rest: Column) -> Column:
 
 def _numeric(s: Column) -> list[tuple[Column, Column]]:
     """Conditions and values of the forms without words, in their order."""
-    dmy = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
-    day, month = group(s, dmy).cast("int"), group(s, dmy, 2).cast("int")
-    iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
+    day, month = group(s, _DAY_FIRST).cast("int"), group(s, _DAY_FIRST, 2).cast("int")
     return [
-        (has(s, iso), _date(group(s, iso), two_digits(group(s, iso, 2)), two_digits(group(s, iso, 3)))),
-        (has(s, r"^\d{3,4}$"), s),
-        (has(s, r"^\d{3,4}[-/]\d{2,4}$"), group(s, r"^(\d{3,4})")),
-        (has(s, dmy) & month.between(1, 12) & day.between(1, 31), _date(group(s, dmy, 3), two_digits(group(s, dmy, 2)), two_digits(group(s, dmy)))),
+        (has(s, _ISO), _date(group(s, _ISO), two_digits(group(s, _ISO, 2)), two_digits(group(s, _ISO, 3)))),
+        (has(s, _YEAR), s),
+        (has(s, _YEARS), group(s, r"^(\d{3,4})")),
+        (has(s, _DAY_FIRST) & month.between(1, 12) & day.between(1, 31), _date(group(s, _DAY_FIRST, 3), two_digits(group(s, _DAY_FIRST, 2)), two_digits(group(s, _DAY_FIRST)))),
     ]
 
 
 def _worded(s: Column) -> list[tuple[Column, Column]]:
-    """The forms with a month's name, in their order; they read a prefix, but for month and year."""
-    forms = (
-        (rf"^(\d{{1,2}})\s+(?:of\s+)?({MONTH}),?\s*(\d{{1,4}})", 1, 2, 3),
-        (rf"^({MONTH})\s+(\d{{1,2}}),\s*(\d{{1,4}})", 2, 1, 3),
-        (rf"^({MONTH})\s+(\d{{1,2}})\s+(\d{{4}})", 2, 1, 3),
-        (rf"^({MONTH})\s+(\d{{1,4}})$", 0, 1, 2),
-    )
+    """The forms with a month's name, in their order."""
     out = []
-    for pattern, day, month, year in forms:
+    for pattern, day, month, year in _WORDED:
         part = lambda n, p=pattern: group(s, p, n, ANY_CASE)
         days = [two_digits(part(day))] if day else []
         out.append((has(s, pattern, ANY_CASE), _date(part(year), month_number(part(month)), *days)))
@@ -107,18 +111,15 @@ def normalise_with_note(raw: Column) -> Column:
 
     def read(x: Column) -> Column:
         s, bare = x["s"], x["bare"]
-        decade = r"^(?:early|late|mid)?\s*(\d{3,4})s$"
-        century = r"^(\d{1,2})(?:st|nd|rd|th)?[- ]?century$"
-        month_day, day_month = rf"^({MONTH}),?\s+(\d{{1,2}})$", rf"^(\d{{1,2}})\s+({MONTH})$"
         note = F.concat(F.lit("~"), s)
         no_year = F.concat(note, F.lit(" (no year)"))
-        year = F.lpad(((group(bare, century, 1, ANY_CASE).cast("int") - 1) * 100 + 1).cast("string"), 4, "0")
+        year = F.lpad(((group(bare, _CENTURY, 1, ANY_CASE).cast("int") - 1) * 100 + 1).cast("string"), 4, "0")
         pair = lambda date, n: F.struct(date.alias("date"), n.alias("note"))
         return (
-            F.when(has(bare, decade, ANY_CASE), pair(F.concat(group(bare, decade, 1, ANY_CASE).cast("int").cast("string"), F.lit("-01-01")), note))
-            .when(has(bare, century, ANY_CASE), pair(F.concat(year, F.lit("-01-01")), note))
-            .when(has(s, month_day, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, month_day, 1, ANY_CASE)), two_digits(group(s, month_day, 2, ANY_CASE))), no_year))
-            .when(has(s, day_month, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, day_month, 2, ANY_CASE)), two_digits(group(s, day_month, 1, ANY_CASE))), no_year))
+            F.when(has(bare, _DECADE, ANY_CASE), pair(F.concat(group(bare, _DECADE, 1, ANY_CASE).cast("int").cast("string"), F.lit("-01-01")), note))
+            .when(has(bare, _CENTURY, ANY_CASE), pair(F.concat(year, F.lit("-01-01")), note))
+            .when(has(s, _MONTH_DAY, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, _MONTH_DAY, 1, ANY_CASE)), two_digits(group(s, _MONTH_DAY, 2, ANY_CASE))), no_year))
+            .when(has(s, _DAY_MONTH, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, _DAY_MONTH, 2, ANY_CASE)), two_digits(group(s, _DAY_MONTH, 1, ANY_CASE))), no_year))
             .otherwise(pair(normalise(s), F.lit(None).cast("string")))
         )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .plaintext import plaintext
 from .text import ANY_CASE, group, has, present, strip, sub
 
-# Headings and cue phrases.
+# Headings, cue phrases, and lengths.
 HEADINGS = (
     r"(?:etymology|name(?:\s+origin)?|origin(?:\s+of\s+(?:the\s+)?name)?|naming|history\s+and\s+name|name\s+and\s+history"
     r"|name\s+and\s+etymology|derivation(?:\s+of\s+(?:the\s+)?name)?)"

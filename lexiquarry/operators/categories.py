@@ -81,16 +81,17 @@ def group_articles(members: DataFrame, tagged: DataFrame) -> DataFrame:
 def traverse(subcategories: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
     """``name, depth`` of every category that the root reaches, by the shortest way; the root itself at 0.
 
-    One join a level; the driver sees only whether the level found anything. Cycles end as visited names
-    never come again.
+    One join a level, against edges that are dealt by parent once; the driver sees only whether the level
+    found anything. Cycles end as visited names never come again.
     """
     spark = subcategories.sparkSession
+    below = checkpointed(subcategories.select("parent", "child").repartition("parent"))
     visited = spark.range(1).select(F.lit(root).alias("name"), F.lit(0).alias("depth"))
     frontier, depth = visited, 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        below = subcategories.join(frontier.select(F.col("name").alias("parent")), "parent").select(F.col("child").alias("name")).distinct()
-        frontier = checkpointed(below.join(visited, "name", "left_anti").withColumn("depth", F.lit(depth)))
+        found = below.join(frontier.select(F.col("name").alias("parent")), "parent").select(F.col("child").alias("name")).distinct()
+        frontier = checkpointed(found.join(visited, "name", "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)

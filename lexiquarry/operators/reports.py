@@ -43,4 +43,4 @@ def dry_run(targets: DataFrame) -> DataFrame:
 
 def sample(pages: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
     """``n`` pages by hash of their id: the same ones on every run and partitioning."""
-    return pages.orderBy(F.xxhash64("page_id", F.lit(seed)), "page_id").limit(n)
+    return pages.orderBy(F.md5(F.concat_ws(":", "page_id", F.lit(seed))), "page_id").limit(n)

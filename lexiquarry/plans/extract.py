@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.biography import biography
+from ..functions import biography
 from ..functions.dates import normalise_with_note
 from ..functions.etymology import etymology
 from ..functions.infobox import fields
@@ -29,10 +29,12 @@ def tiered(content: DataFrame, mode: str, wanted: tuple[str, ...] | None = None)
     if mode == "etymology":
         return content.withColumn("etymology", etymology(F.col("wikitext"), F.col("plaintext")))
     spec = MODES[mode]
-    boxed = content.withColumn("_box", fields(F.col("wikitext"), spec, wanted)).withColumn("_text", biography(F.col("plaintext")))
-    known = boxed.schema["_text"].dataType.names
-    value = lambda f: F.coalesce(F.col("_box")[f], F.col("_text")[f]) if f in known else F.col("_box")[f]
-    return boxed.withColumns({f: value(f) for f in wanted}).drop("_box", "_text")
+    boxed = content.withColumn("_box", fields(F.col("wikitext"), spec, wanted))
+    by_text = [f for f in wanted if f in biography.FIELDS]
+    if by_text:
+        boxed = biography.told(boxed, F.col("plaintext"), by_text, "_text_")
+    value = lambda f: F.coalesce(F.col("_box")[f], F.col(f"_text_{f}")) if f in by_text else F.col("_box")[f]
+    return boxed.withColumns({f: value(f) for f in wanted}).drop("_box", *[f"_text_{f}" for f in by_text])
 
 
 def fill_by_model(rows: DataFrame, wanted: tuple[str, ...], model: Model, mode: str = "bio", lang: str = "en") -> DataFrame:

@@ -5,12 +5,17 @@ The tables hold no dumps or wikitext, so queries render them from key columns an
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import bz2
+import uuid
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.biography import biography
+from .functions import biography
 from .functions.dates import normalise_with_note
 from .functions.etymology import from_lead, from_section
 from .functions.infobox import Infobox, fields, template_date
@@ -20,10 +25,13 @@ from .functions.plaintext import plaintext, word_count
 from .functions.titles import article_url, title_key
 from .operators import categories as cat
 from .operators import reports
-from .plans.extract import records, tiered
+from .plans.extract import fill_by_model, records, tiered
 from .plans.regions import entries, first_of_key, join_regions
 from .sources import dumps
-from .sources.archives import batches_of, blocks_of, missing_from, parse_index
+from .sources.archives import batches_of, blocks_of, missing_from, parse_index, read_multistream, read_xml
+from .sources.files import read_results
+from .sources.sinks import write_delimited, write_keyed_json, write_workbooks
+from .storage import shared_root, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,10 +284,87 @@ def block_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.unionByName(misses)
 
 
-@query("SELECT d.doc_id AS page_id, d.source AS title, coalesce(l.quality, 0)::INT AS quality, coalesce(d.n_chars, 0)::BIGINT AS length FROM documents d LEFT JOIN labels l USING (doc_id)")
+def _content(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as targets, and an infobox for those that have a label."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    targets = docs.select(F.col("doc_id").alias("page_id"), say("Page_no_", F.col("doc_id")).alias("title"), F.coalesce("n_chars", F.lit(0)).alias("length"))
+    box = say("{{Infobox settlement|population=1,00", F.col("quality"), "}}")
+    return targets, labels.select(say("Page no ", F.col("doc_id")).alias("title"), box.alias("wikitext"), say("It has ", F.col("quality"), " words").alias("plaintext"))
+
+
+_CONTENT_SQL = """SELECT d.doc_id AS page_id, 'Page no ' || d.doc_id AS title, '100' || l.quality AS population, coalesce(d.n_chars, 0)::BIGINT AS article_bytes,
+    CASE WHEN l.doc_id IS NULL THEN 0 ELSE 4 END::BIGINT AS word_count FROM documents d"""
+
+
+@query(f"{_CONTENT_SQL} LEFT JOIN labels l USING (doc_id)")
 def content_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id", "left").select(F.col("doc_id").alias("page_id"), F.col("source").alias("title"), F.coalesce("quality", F.lit(0)).alias("quality"), F.coalesce("n_chars", F.lit(0)).alias("length"))
+    """Records of all documents, also of those without content."""
+    return records(*_content(spark, sf_dir), "geo", ("population",))
+
+
+@query(f"{_CONTENT_SQL} JOIN labels l USING (doc_id)")
+def content_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the documents that have content."""
+    return records(*_content(spark, sf_dir), "geo", ("population",), how="inner")
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, title, xml`` of a page for every document: every ninth is a category, every seventh empty."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    text = F.when(k % 7 == 0, "").otherwise(say("&lt;b&gt;", F.md5(F.coalesce("text", F.lit(""))), "&lt;/b&gt; of [[", F.col("source"), "]]"))
+    title, namespace = say("P:", k), F.when(k % 9 == 0, "14").otherwise("0")
+    xml = say("<page><title>", title, "</title><ns>", namespace, "</ns><id>", k, '</id><revision><id>1</id><text bytes="1">', text, "</text></revision></page>")
+    return d.select(k.alias("page_id"), title.alias("title"), xml.alias("xml"))
+
+
+_ARTICLES_SQL = "SELECT doc_id AS page_id, 'P:' || doc_id AS title, '<b>' || md5(coalesce(text, '')) || '</b> of [[' || coalesce(source, '') || ']]' AS wikitext FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 9 <> 0"
+
+
+def _multistream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Archives of 50 pages a block, one each task, in ``folder``; ``archive, offset, page_id, title`` as their indexes say."""
+
+    def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = pyarrow.fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        name, at, rows = f"{uuid.uuid4().hex}.xml.bz2", 0, []
+        with files.open_output_stream(f"{base}/{name}", compression=None) as out:
+            for batch in source:
+                for a in range(0, batch.num_rows, 50):
+                    part = batch.slice(a, 50)
+                    block = bz2.compress("\n".join(part["xml"].to_pylist()).encode())
+                    rows += [(name, at, i, t) for i, t in zip(part["page_id"].to_pylist(), part["title"].to_pylist(), strict=True)]
+                    at += out.write(block)
+        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], ["archive", "offset", "page_id", "title"])
+
+    pages = _articles(spark, sf_dir).repartition(3, "page_id").sortWithinPartitions("page_id")
+    return stored(pages.mapInArrow(write, "archive string, offset long, page_id long, title string"), "index")
+
+
+@query(f"{_ARTICLES_SQL} AND doc_id % 2 = 0")
+def multistream_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other page read back from the archives of three tasks through their indexes."""
+    folder = f"{shared_root(spark)}/archives-{uuid.uuid4().hex}"
+    index = _multistream(spark, sf_dir, folder)
+    lines = index.select("archive", say(F.col("offset"), ":", F.col("page_id"), ":", F.col("title")).alias("value"))
+    wanted = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("page_id"))
+    names = [r.archive for r in index.select("archive").distinct().collect()]  # a few
+    parts = [read_multistream(wanted, parse_index(lines.where(F.col("archive") == n)), f"{folder}/{n}") for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(_ARTICLES_SQL)
+def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of an XML archive, read whole."""
+    path = f"{shared_root(spark)}/xml-{uuid.uuid4().hex}"
+    _articles(spark, sf_dir).select("xml").write.text(path)
+    return read_xml(spark, path)
+
+
+@query("SELECT n_nationkey::BIGINT AS lt_id, n_name AS name FROM nation WHERE n_regionkey <> 1")
+def link_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    row = say("(", F.col("n_nationkey"), ",", F.when(F.col("n_regionkey") != 1, "14").otherwise("0"), ",'", F.col("n_name"), "')")
+    return dumps.link_targets(dumps.inserts(n.select(say("INSERT INTO `linktarget` VALUES ", row, ";").alias("value")), "linktarget"))
 
 
 # --- text ----------------------------------------------------------------------------------------
@@ -316,7 +401,7 @@ _PLAIN_SQL = _sql_chain(
     || chr(10) || chr(10) || chr(10) || coalesce(text, '') || ' [[Category:C]]' AS w FROM documents) SELECT doc_id, md5({_PLAIN_SQL}) AS text_md5 FROM x"""
 )
 def strip_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt_out(spark, table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
     wiki = say("== ", F.col("source"), ' ==\n<!-- no --><ref name="a">r</ref>\'\'\'', F.col("lang"), "''' [[Link ", F.col("doc_id"), "|label]] {{a|{{b}}}} [https://x.org site] [[File:f.png|thumb]]\n\n\n", F.col("text"), " [[Category:C]]")
     return docs.select("doc_id", F.md5(plaintext(wiki)).alias("text_md5"))
 
@@ -373,6 +458,17 @@ def normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("id"), "x.date", "x.note")
 
 
+@query(
+    """WITH x AS (SELECT c_custkey AS k, c_custkey % 20 + 1 AS c FROM customer) SELECT k AS id, lpad(((c - 1) * 100 + 1)::VARCHAR, 4, '0') || '-01-01' AS date,
+    '~' || CASE WHEN k % 3 = 0 THEN c || ' century' WHEN k % 3 = 1 THEN 'c. ' || c || 'th century' ELSE c || 'th-century' END AS note FROM x"""
+)
+def centuries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    c = k % 20 + 1
+    raw = F.when(k % 3 == 0, say(c, " century")).when(k % 3 == 1, say("c. ", c, "th century")).otherwise(say(" ", c, "th-century "))
+    return table(spark, sf_dir, "customer").select(k.alias("id"), normalise_with_note(raw).alias("x")).select("id", "x.date", "x.note")
+
+
 @query(
     """SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders"""
 )
@@ -460,17 +556,17 @@ _LIFE_SQL = "SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS born,
     CASE WHEN k % 11 = 10 OR k % 5 IN (1, 4) THEN NULL ELSE died END AS death_date FROM x"""
 )
 def bio_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _life(spark, sf_dir).select("id", biography(F.col("text")).alias("x")).select("id", "x.birth_date", "x.death_date")
+    return biography.told(_life(spark, sf_dir), F.col("text"), ("birth_date", "death_date")).drop("text")
 
 
 @query(f"SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 10 THEN 'Polish' ELSE {_sql_pick(_NATION_RESULTS, 'o_orderkey')} END AS nationality FROM orders")
 def bio_nationality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _life(spark, sf_dir).select("id", biography(F.col("text")).alias("x")).select("id", "x.nationality")
+    return biography.told(_life(spark, sf_dir), F.col("text"), ("nationality",)).drop("text")
 
 
 @query(f"SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 10 THEN NULL ELSE {_sql_pick(_TRADE_RESULTS, 'o_orderkey // 5')} END AS occupation FROM orders")
 def bio_occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _life(spark, sf_dir).select("id", biography(F.col("text")).alias("x")).select("id", "x.occupation")
+    return biography.told(_life(spark, sf_dir), F.col("text"), ("occupation",)).drop("text")
 
 
 @query(
@@ -529,9 +625,9 @@ def bio_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHEN tn IS NOT NULL OR tc IS NOT NULL THEN 'text' ELSE 'none' END AS tier, count(*)::BIGINT AS articles FROM x GROUP BY 1"""
 )
 def tier_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _two_tiers(spark, sf_dir).select(fields(F.col("wikitext"), MODES["bio"], ("nationality", "occupation")).alias("b"), biography(F.col("plaintext")).alias("t"))
-    rows = rows.select(F.col("b.nationality").alias("bn"), F.col("b.occupation").alias("bo"), F.col("t.nationality").alias("tn"), F.col("t.occupation").alias("tc"))
-    return reports.tier_mix(rows, ["bn", "bo"], ["tn", "tc"])
+    asked = ("nationality", "occupation")
+    rows = biography.told(_two_tiers(spark, sf_dir), F.col("plaintext"), asked, "t_").withColumn("b", fields(F.col("wikitext"), MODES["bio"], asked))
+    return reports.tier_mix(rows.select("b.*", "t_nationality", "t_occupation"), list(asked), [f"t_{f}" for f in asked])
 
 
 @query(
@@ -542,6 +638,32 @@ def fill_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fill_rates(tiered(_two_tiers(spark, sf_dir), "bio", ("nationality", "occupation")), ("nationality", "occupation"))
 
 
+@query(
+    """SELECT p_partkey AS page_id, p_partkey::VARCHAR AS title, CASE p_partkey % 3 WHEN 0 THEN 'From ' || p_name || '.' WHEN 1 THEN 'It was named after ' || p_name || ' long ago.' END AS etymology,
+    p_size::BIGINT AS article_bytes, CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE len(string_split(p_name, ' ')) + 8 END::BIGINT AS word_count FROM part"""
+)
+def etymology_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name's origin by its section, else by the lead; some articles have neither."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    targets = p.select(k.alias("page_id"), say(k).alias("title"), F.col("p_size").cast("long").alias("length"))
+    section = F.when(k % 3 == 0, say("Lead.\n== Etymology ==\nFrom '''", F.col("p_name"), "'''.\n== Next ==\nNo.")).otherwise(F.lit("Lead.\n== History ==\nNone."))
+    content = p.select(say(k).alias("title"), section.alias("wikitext"), F.when(k % 3 < 2, say("A place. It was named after ", F.col("p_name"), " long ago.")).alias("plaintext"))
+    return records(targets, content, "etymology")
+
+
+@query(
+    f"""WITH {_TIER_SQL} SELECT id, coalesce(bn, tn, CASE WHEN id % 7 < 6 THEN 'Told' END) AS nationality, coalesce(bo, tc) AS occupation,
+    id % 7 < 6 AND (coalesce(bn, tn) IS NULL OR coalesce(bo, tc) IS NULL) AS asked FROM x"""
+)
+def model_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that answers every prompt: only records with gaps and text are asked, and only blank fields filled, by texts."""
+    answer = F.lit('```json\n{"nationality": " Told ", "occupation": 3,}\n```')
+    wanted = ("nationality", "occupation")
+    rows = tiered(_two_tiers(spark, sf_dir), "bio", wanted).withColumn("asked", F.lit(False))
+    model = lambda df, prompt: df.withColumn("asked", prompt.isNotNull()).withColumn("reply", F.when(F.col("asked"), answer))
+    return fill_by_model(rows, wanted, model).select("id", *wanted, "asked")
+
+
 # --- regions -------------------------------------------------------------------------------------
 
 
@@ -585,6 +707,38 @@ def region_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_of_key(_regions(spark, sf_dir))[1]
 
 
+@query(
+    f"""WITH {_JOIN_SQL} SELECT 'G.' || m AS gid, title, nullif(population, '') AS population, 'https://en.wikipedia.org/wiki/' || replace(title, ' ', '_') AS wikipedia_url FROM w WHERE n = 1"""
+)
+def keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published document, read back."""
+    path = f"{shared_root(spark)}/json-{uuid.uuid4().hex}"
+    joined = join_regions(_results(spark, sf_dir), first_of_key(_regions(spark, sf_dir))[0])
+    write_keyed_json(stored(entries(joined.matched), "entries"), path)
+    read = F.from_json("value", "map<string, struct<title: string, population: string, wikipedia_url: string>>")
+    whole = spark.read.text(path, wholetext=True).where("length(value) > 0")
+    return whole.select(F.explode(read).alias("gid", "entry")).select("gid", "entry.*")
+
+
+@query("SELECT s_suppkey::VARCHAR AS id, s_name || ', \"' || s_nationkey || chr(10) || '\"' AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_nationkey::VARCHAR END AS nation FROM supplier")
+def delimited_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written as delimited text and read back: quotes, commas, line feeds, and nulls as nothing."""
+    s = table(spark, sf_dir, "supplier")
+    path = f"{shared_root(spark)}/csv-{uuid.uuid4().hex}"
+    name = say(F.col("s_name"), ', "', F.col("s_nationkey"), '\n"')
+    write_delimited(s.select(F.col("s_suppkey").alias("id"), name.alias("name"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_nationkey")).alias("nation")), path)
+    return read_results(spark, path).drop("row_at")
+
+
+@query("SELECT r_name AS name, count(*)::BIGINT AS rows FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
+def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A workbook of nations for every region, and the rows that they hold."""
+    both = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = both.select("r_name", "n_nationkey", "n_name").repartitionByRange("r_name", "n_name").sortWithinPartitions("r_name", "n_name")
+    made = write_workbooks(rows, f"{shared_root(spark)}/xlsx-{uuid.uuid4().hex}", by="r_name")
+    return made.groupBy("name").agg(F.sum("rows").alias("rows"))
+
+
 # --- model replies and reports -------------------------------------------------------------------
 
 
@@ -603,6 +757,6 @@ def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.dry_run(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query("SELECT page_id, url FROM pages ORDER BY md5(page_id || ':42'), page_id LIMIT 100")
 def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.sample(table(spark, sf_dir, "pages").select("page_id", "url"), 100)

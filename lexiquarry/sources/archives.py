@@ -159,8 +159,13 @@ _PAGE_XML = "title string, ns int, id long, revision struct<text: struct<_VALUE:
 
 
 def read_xml(spark: SparkSession, path: str, targets: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """``page_id, title, wikitext`` of an XML archive, plain or bz2, scanned whole; any namespace of the XML."""
-    pages = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", False).schema(_PAGE_XML).load(path)
+    """``page_id, title, wikitext`` of an XML archive, plain or bz2, scanned whole; pages that do not parse drop out.
+
+    Text that ends with a page's end tag is a row, so the file (bz2 too) is split over many tasks.
+    """
+    chunks = spark.read.option("lineSep", "</page>").text(path).where(F.instr("value", "<page>") > 0)
+    page = F.concat(F.expr("substring(value, instr(value, '<page>'))"), F.lit("</page>"))
+    pages = chunks.select(F.from_xml(page, _PAGE_XML, {"ignoreSurroundingSpaces": "false"}).alias("page")).select("page.*")
     articles = pages.where("ns = 0 AND revision.text._VALUE IS NOT NULL").select(F.col("id").alias("page_id"), "title", F.col("revision.text._VALUE").alias("wikitext"))
     if targets is not None:
         articles = articles.join(targets.select("page_id"), "page_id", "left_semi")

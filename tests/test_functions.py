@@ -112,13 +112,19 @@ LIVES = {
 }
 
 
+def told(spark, texts, wanted=bio.FIELDS):
+    rows = spark.createDataFrame([(n, v) for n, v in enumerate(texts)], "n int, v string")
+    return [tuple(r)[2:] for r in bio.told(rows, F.col("v"), wanted).orderBy("n").collect()]
+
+
 def test_biographies(spark):
-    got = [tuple(x) for x in apply(spark, LIVES, bio.biography)]
-    assert got == list(LIVES.values())
+    assert told(spark, LIVES) == list(LIVES.values())
+    for n, field in enumerate(bio.FIELDS):
+        assert told(spark, LIVES, (field,)) == [(x[n],) for x in LIVES.values()]
 
 
 def test_only_the_first_paragraph_counts(spark):
-    assert tuple(apply(spark, ["G is here.\n\nH (1900 – 1950) was a French poet."], bio.biography)[0]) == (None,) * 4
+    assert told(spark, ["G is here.\n\nH (1900 – 1950) was a French poet.", None]) == [(None,) * 4] * 2
 
 
 def test_etymology(spark):
@@ -146,7 +152,7 @@ def test_model_replies(spark):
     replies = {'{"a": " x "}': "x", '```json\n{"a": "x",}\n```': "x", '{"a": 3}': None, '{"a": null}': None, '{"a": "  "}': None, "not json": None, None: None, '{"b": "x"}': None}
     assert apply(spark, replies, lambda v: model_reply.text_field(v, "a")) == list(replies.values())
     asked = apply(spark, ["t" * 4000], lambda v: model_reply.prompt(v, F.array(F.lit("a"), F.lit("b")), "de"))[0]
-    assert "these keys: a, b." in asked and "non-English" in asked and asked.endswith("t" * 3000) and not asked.endswith("t" * 3001)
+    assert "Keys: a, b.\n" in asked and "code de)" in asked and asked.endswith("t" * 3000) and not asked.endswith("t" * 3001)
 
 
 def test_modes():
