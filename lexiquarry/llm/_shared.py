@@ -38,6 +38,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores after it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(stored: DataFrame, *more: Column) -> DataFrame:
     """A stored table with a hint to broadcast it, if it is measured to be small; else Spark joins as it sees fit.
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import bit_array, materialise, small, table
+from ._shared import bit_array, fresh, materialise, small, table
 from ._words import Words, each_slice, grams
 
 N = 4
@@ -259,9 +259,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that leak an item, with all their columns."""
-    leaked = materialise(_leaks(docs, benchmark, threshold).select(F.col("row_key").alias("__leaked")).distinct(), "leaked")
-    kept = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return kept.join(small(leaked), F.col("__row") == F.col("__leaked"), "left_anti").drop("__row")
+    row, leaked = fresh(docs, "__row"), fresh(docs, "__leaked")
+    found = materialise(_leaks(docs, benchmark, threshold).select(F.col("row_key").alias(leaked)).distinct(), "leaked")
+    kept = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return kept.join(small(found), F.col(row) == F.col(leaked), "left_anti").drop(row)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import materialise, table, word_count
+from ._shared import fresh, materialise, table, word_count
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
@@ -130,16 +130,15 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     A document of which twice its words are taken appears once, with ``taken`` telling so. Of equal rows
     as many appear as something is taken of.
     """
-    keys = W.partitionBy("_same", "_again")
-    got = _allocate(docs, **kw).where("taken > 0").withColumn("_nth", F.row_number().over(keys.orderBy("virtual_finish", "taken")))
-    got = got.select(F.col("_same").alias("__same"), F.col("_again").alias("__again"), F.col("_nth").alias("__nth"), "size", "taken", "virtual_finish")
     docs = docs.drop("size", "taken", "virtual_finish")
-    own = docs.columns
-    docs = docs.select("*", *[c.alias(f"__of{n}") for n, c in enumerate(_digest())])
-    docs = docs.withColumn("__of", F.row_number().over(W.partitionBy("__of0", "__of1").orderBy(F.lit(0))))
+    of0, of1, of, same, again, nth = (fresh(docs, f"__{n}") for n in ("of0", "of1", "of", "same", "again", "nth"))
+    got = _allocate(docs, **kw).where("taken > 0").withColumn(nth, F.row_number().over(W.partitionBy("_same", "_again").orderBy("virtual_finish", "taken")))
+    got = got.select(F.col("_same").alias(same), F.col("_again").alias(again), nth, "size", "taken", "virtual_finish")
+    numbered = docs.select("*", *[c.alias(n) for c, n in zip(_digest(), (of0, of1), strict=True)])
+    numbered = numbered.withColumn(of, F.row_number().over(W.partitionBy(of0, of1).orderBy(F.lit(0))))
     # the number is compared by range, not as a key, so that the join keeps the window's partitioning
-    same = (F.col("__of0") == F.col("__same")) & (F.col("__of1") == F.col("__again")) & F.col("__of").between(F.col("__nth"), F.col("__nth"))
-    mixed = docs.join(got, same).select(*[F.col(f"`{c}`") for c in own], "size", "taken", "virtual_finish")
+    on = (F.col(of0) == F.col(same)) & (F.col(of1) == F.col(again)) & F.col(of).between(F.col(nth), F.col(nth))
+    mixed = numbered.join(got, on).select(*[F.col(f"`{c}`") for c in docs.columns], "size", "taken", "virtual_finish")
     return mixed.orderBy("virtual_finish", "doc_id")
 
 

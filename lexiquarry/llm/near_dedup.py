@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import materialise, table
+from ._shared import fresh, materialise, table
 from ._words import Words, each_slice, grams, mix
 from .graph import components
 
@@ -352,8 +352,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each class, that of least doc_id, and all columns."""
-    dropped = near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    other = fresh(docs, "__id")
+    dropped = near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias(other))
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(other), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

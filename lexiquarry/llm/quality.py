@@ -11,7 +11,8 @@ to the driver. Everything else, scoring above all, covers every row and whole te
 
 Defined cases: null and empty texts have no features and score by the bias; labels that are null
 or belong to no document are ignored; if a document has several labels the least counts; without
-any label all scores are 0.5; repeated rows are scored each; extra columns stay.
+any label all scores are 0.5; repeated rows are scored each and, of texts that share a labelled doc_id, the
+least is learned from; extra columns stay.
 """
 
 from __future__ import annotations
@@ -104,7 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     known = known.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # a text for each, however often its row repeats
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     rows = rows.repartition(1).sortWithinPartitions("epoch", F.xxhash64("doc_id", "epoch"))
     got = rows.select("text", "label").mapInArrow(_fit, "weights binary").collect()

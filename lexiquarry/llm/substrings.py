@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import BitArray, bit_array, materialise, table
+from ._shared import BitArray, bit_array, fresh, materialise, table
 from ._words import _SPACE, SLICE_BYTES, _P, _P_INV, _power, mix, slices, utf8
 
 GEAR_BYTES = 8
@@ -215,8 +215,9 @@ def _cut(source: Batches, text_at: int, digests_at: int) -> Batches:
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``, and ``cut_spans`` (bounds in the old UTF-8 bytes) and ``cut_bytes``."""
     docs = docs.drop("cut_spans", "cut_bytes")
-    known = repeated_units(docs).select(F.col("doc_id").alias("__id"), F.col("digests").alias("__digests"))
-    joined = docs.join(known, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("__id"), "left").drop("__id")
+    other = fresh(docs, "__id")
+    known = repeated_units(docs).select(F.col("doc_id").alias(other), F.col("digests").alias(fresh(docs, "__digests")))
+    joined = docs.join(known, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col(other), "left").drop(other)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     text_at, digests_at = docs.columns.index("text"), len(docs.columns)
     return joined.mapInArrow(lambda source: _cut(source, text_at, digests_at), ", ".join([*fields, "cut_spans array<long>", "cut_bytes long"]))

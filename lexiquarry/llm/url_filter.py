@@ -10,8 +10,8 @@ below its own size threshold; beyond it the join shuffles, and a hot host splits
 Defined cases: a null or hostless url, or a null time, is never blocked; entries with a null field
 are ignored; when events of one value share a time, a ``remove`` comes last; rows repeat as they
 are; letters of the host and of listed values are compared in lower case, paths as they are; user,
-port, query, fragment and a trailing dot of the host do not count. Columns that clash with the
-working names are safe, as those begin with an underscore pair.
+port, query, fragment and a trailing dot of the host do not count; hosts in brackets (IPv6) count as they are; columns
+of any name stay, but ``blocked`` and ``listed_by``, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import table
+from ._shared import fresh, table
 
 #: The query's list: value, kind, action, date.
 ENTRIES = (
@@ -49,7 +49,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def host_of(url: Column) -> Column:
-    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    host = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
     return F.lower(F.regexp_replace(host, r"\.$", ""))
 
 
@@ -72,7 +72,9 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "
     active = (F.col("valid_from") <= F.col("__at")) & (F.col("valid_to").isNull() | (F.col("__at") < F.col("valid_to")))
     hits = keys.join(intervals(entries), ["kind", "value"]).where(active)
     hits = hits.groupBy("__url", "__at").agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws(":", "kind", "value"))), " ").alias("listed_by"))
-    out = captures.join(hits, (F.col(url) == F.col("__url")) & (F.col(at) == F.col("__at")), "left").drop("__url", "__at")
+    own_url, own_at = fresh(captures, "__url"), fresh(captures, "__at")
+    hits = hits.withColumnsRenamed({"__url": own_url, "__at": own_at})
+    out = captures.join(hits, (F.col(url) == F.col(own_url)) & (F.col(at) == F.col(own_at)), "left").drop(own_url, own_at)
     return out.withColumn("blocked", F.col("listed_by").isNotNull()).withColumn("listed_by", F.coalesce("listed_by", F.lit("")))
 
 
@@ -96,7 +98,7 @@ spans AS (SELECT *, lead(since) OVER (PARTITION BY kind, value ORDER BY since, a
 held AS (SELECT kind, value, since, coalesce(till, '9999-01-01') AS till FROM spans WHERE action = 'add'),
 caps AS (
   SELECT page_id, url, strftime(DATE '2024-01-01' + (page_id * 7919 %% 366)::INT, '%%Y-%%m-%%d') AS day,
-         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)', 1)) AS host,
          regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1) AS path
   FROM pages),
 hits AS (

@@ -53,3 +53,34 @@ def test_stages_on_planted_cases(spark, tmp_path):
             assert {r.doc_id: r.taken for r in docs.collect()} == {r.doc_id: r.taken for r in want.where("taken > 0").collect()}
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
+
+
+def write_tables(spark, folder, docs, labels, items):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    write_tables(spark, tmp_path, spark.createDataFrame([], SCHEMA), [], [])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(5)
+    text = prose(rng, 80)
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, prose(rng, 40)), (None, prose(rng, 30)), (4, prose(rng, 9000)), (5, "one"), (6, prose(rng, 60))]
+    clash = "score double, rep long, kept boolean, digests string, row_key string, size int, taken int, source_size int, rank int, label string, __id string"
+    df = spark.createDataFrame([(i, t, "en", None if i == 5 else "s", len(t or ""), None, 1, True, "x", "k", 7, 7, 7, 7, "l", "i") for i, t in rows], f"{SCHEMA}, {clash}")
+    write_tables(spark, tmp_path, df, [(1, 1, 0), (None, 0, 0), (6, None, None)], [(0, None), (None, "")])
+    docs = df
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/stage{n}")
+        docs = spark.read.parquet(f"{tmp_path}/stage{n}")
+        if n < 4:
+            assert docs.columns == df.columns
+    kept = spark.read.parquet(f"{tmp_path}/stage3")
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "2", "3", "4", "5", "6", "None", "None"]
+    assert kept.where("doc_id = 4").first().digests == "x" and docs.where("doc_id = 4").first().rank == 7

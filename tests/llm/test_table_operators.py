@@ -127,7 +127,7 @@ def test_mixing_of_nothing(spark):
 
 def test_url_filter_equals_brute_force(spark):
     log = [("domain", "Bad.org", "add", "2024-01-05"), ("domain", "bad.org", "remove", "2024-01-10"), ("domain", "bad.org", "add", "2024-01-20"), ("prefix", "ok.net/a/b", "add", "2024-01-01"), ("domain", "x.y", "add", "2024-01-03"), ("domain", "x.y", "remove", "2024-01-03")]
-    urls = ["http://bad.org/", "https://u:p@WWW.bad.org:80/x?y", "http://notbad.org/", "http://ok.net/a/b/c#f", "http://ok.net/a/bc", "http://OK.net/a/b?q", "http://x.y", "mailto:a@bad.org", "", None, "http://bad.org./z"]
+    urls = ["http://bad.org/", "https://u:p@WWW.bad.org:80/x?y", "http://notbad.org/", "http://ok.net/a/b/c#f", "http://ok.net/a/bc", "http://OK.net/a/b?q", "http://x.y", "mailto:a@bad.org", "", None, "http://bad.org./z", "http://[bad.org]/"]
     captures = [(k, u, f"2024-01-{d:02d}") for k, u in enumerate(urls) for d in (1, 5, 9, 10, 19, 20, 31)]
     df = spark.createDataFrame([(*c, "old") for c in captures] + [(0, urls[0], None, "old")] * 2, "id int, url string, day string, blocked string").withColumn("fetched_at", F.to_timestamp("day"))
     got = url_filter.judge(df, url_filter.list_entries(spark, log))
@@ -146,6 +146,40 @@ def test_url_filter_equals_brute_force(spark):
     assert url_filter.judge(df.limit(0), url_filter.list_entries(spark)).count() == 0
 
 
+def test_hosts(spark):
+    urls = {"http://[2001:db8::1]:80/x": "[2001:db8::1]", "HTTPS://U:p@Www.A.org.:8080?q": "www.a.org", "ftp://a.b#c": "a.b", "//a.b/c": "", "a.b/c": "", "http://": "", "http://é.org/": "é.org"}
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select(url_filter.host_of(F.col("url")).alias("h")).collect()
+    assert [r.h for r in rows] == list(urls.values())
+
+
+def test_url_filter_of_a_long_list(spark):
+    rng = random.Random(8)
+    day = lambda n: f"2024-{n // 28 + 1:02d}-{n % 28 + 1:02d}"
+    log = {}
+    for n in range(100_000):
+        kind, value = ("domain", f"d{n}.net") if n % 2 else ("prefix", f"w.h{n % 5000}.org/p{n}")
+        first = rng.randrange(300)
+        log[kind, value] = [("add", first), ("remove", first + rng.randint(1, 30))] if n % 3 else [("add", first)]
+    entries = spark.createDataFrame([(k, v, a, day(d)) for (k, v), own in log.items() for a, d in own], "kind string, value string, action string, day string")
+    entries = entries.withColumn("at", F.to_timestamp("day"))
+    captures = []
+    for k in range(1500):
+        n = rng.randrange(100_000)
+        captures.append((k, f"http://a.b.d{n}.net/x" if n % 2 else f"https://w.h{n % 5000}.org/p{n}/{k}", rng.randrange(330)))
+    df = spark.createDataFrame([(k, u, day(d)) for k, u, d in captures], "id int, url string, __url string").withColumn("fetched_at", F.to_timestamp("__url"))
+    got = {r.id: r.blocked for r in url_filter.judge(df, entries).collect()}
+
+    def active(kind, value, d):
+        own = log.get((kind, value), [])
+        return bool(own) and own[0][1] <= d and (len(own) == 1 or d < own[1][1])
+
+    for k, u, d in captures:
+        host, _, path = u.split("://")[1].partition("/")
+        want = active("domain", ".".join(host.split(".")[-2:]), d) or active("prefix", f"{host}/{path.split('/')[0]}", d)
+        assert got[k] == want, u
+    assert 100 < sum(got.values()) < 1400
+
+
 def test_warc_round_trip(spark):
     long = "<p>é" + "x" * 1200
     pages = [(k, f"http://h/{k} a\r\nb", long if k % 3 == 0 else f"<p>{k}") for k in range(30)] + [(40, None, None), (41, "u", ""), (42, "u", "<p>1"), (27, "u", long), (None, "u", long)]

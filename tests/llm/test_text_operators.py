@@ -329,3 +329,99 @@ def test_training_never_sees_the_held_out_fold(spark):
     fold = lambda k: zlib.crc32(str(k).encode()) % 5 == 0
     table = lambda flip: spark.createDataFrame([(k, int(k % 2 if not fold(k) or not flip else 1 - k % 2)) for k in range(100)], "doc_id long, quality int")
     assert (quality.train(docs, table(False)) == quality.train(docs, table(True))).all()
+
+
+def test_training_and_scores_equal_the_plain_recurrence(spark):
+    rng = random.Random(4)
+    rows = [(k, prose(rng, rng.randint(1, 40))) for k in range(60)] + [(7, "zz last of its id")] * 50
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    docs = frame(spark, rows)
+    weights = quality.train(docs, labels, epochs=2)
+
+    def buckets(text):
+        (_, w), = _words.each_slice(pa.array([text]), fold=False)
+        return quality.features(w)[0].tolist()
+
+    learned = {k: t for k, t in rows[:60] if zlib.crc32(str(k).encode()) % 5}
+    order = {r.e: r.ids for r in spark.range(60).select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("e"))
+             .groupBy("e").agg(F.transform(F.sort_array(F.collect_list(F.struct(F.xxhash64("id", "e"), "id"))), lambda x: x["id"]).alias("ids")).collect()}
+    z, n = {}, {}
+    size = 1 << quality.BITS
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * quality.L1) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    def sparse(text):
+        found = buckets(text)
+        x = {size: 1.0}
+        for i in found:
+            x[i] = x.get(i, 0.0) + quality.SCALE / len(found)
+        return x
+
+    for epoch in (1, 2):
+        for k in order[epoch]:
+            if k in learned:
+                x = sparse(learned[k])
+                g = 1 / (1 + np.exp(-sum(weight(i) * v for i, v in x.items()))) - k % 2
+                for i, w, v in [(i, weight(i), v) for i, v in x.items()]:
+                    before = n.get(i, 0.0)
+                    n[i] = before + (g * v) ** 2
+                    z[i] = z.get(i, 0.0) + g * v - (n[i] ** 0.5 - before**0.5) / quality.ALPHA * w
+    plain = np.zeros(size + 1)
+    for i in z:
+        plain[i] = weight(i)
+    assert np.abs(plain - weights).max() < 1e-5
+    for r in quality.score(docs, weights).collect():
+        dense = np.zeros(size + 1)
+        for i, v in sparse(dict(rows[:60])[r.doc_id] if r.doc_id != 7 else rows[-1][1]).items():
+            dense[i] = v
+        if r.doc_id != 7:
+            assert r.score == pytest.approx(1 / (1 + np.exp(-float(dense @ plain))), abs=1e-5)
+
+
+def common_runs(text, earlier, least):
+    """Word ranges of ``text`` that stand in a row in a text of ``earlier``, at least so many words."""
+    words, out = text.split(), []
+    for other in earlier:
+        theirs = other.split()
+        places = {}
+        for j in range(len(theirs) - 2):
+            places.setdefault(tuple(theirs[j : j + 3]), []).append(j)
+        for i in range(len(words) - 2):
+            for j in places.get(tuple(words[i : i + 3]), ()):
+                if i and j and words[i - 1] == theirs[j - 1]:
+                    continue  # not where the run begins
+                n = 3
+                while i + n < len(words) and j + n < len(theirs) and words[i + n] == theirs[j + n]:
+                    n += 1
+                if n >= least:
+                    out.append((i, i + n))
+    return out
+
+
+def test_cuts_equal_common_runs_but_for_their_ends(spark):
+    rng = random.Random(17)
+    passages = [prose(rng, rng.randint(24, 120)) for _ in range(12)]
+    rows = []
+    for k in range(60):
+        parts = [prose(rng, rng.randint(5, 60)) for _ in range(3)]
+        if k % 3:
+            parts.insert(rng.randint(0, 3), rng.choice(passages))
+        rows.append((k, " ".join(parts)))
+    got = {r.doc_id: r for r in substrings.dedup_substrings(frame(spark, rows)).collect()}
+    whole = cut_words = 0
+    for k, text in rows:
+        start = np.cumsum([0, *(len(w) + 1 for w in text.split())])
+        spans = list(zip(got[k].cut_spans[::2], got[k].cut_spans[1::2]))
+        cut = {i for i in range(len(start) - 1) for a, b in spans if a <= start[i] and start[i + 1] - 1 <= b}
+        runs = common_runs(text, [t for _, t in rows[:k]], 3)
+        assert cut <= {i for a, b in runs for i in range(a, b)}  # each word stood beside its neighbours before
+        for a, b in runs:
+            if b - a >= 51:
+                whole, cut_words = whole + b - a, cut_words + len(cut & set(range(a, b)))
+        if not any(b - a >= substrings.MIN_WORDS for a, b in runs):
+            assert not cut
+    assert whole > 1000 and cut_words > 0.75 * whole
