@@ -168,7 +168,7 @@ def test_only_what_stood_together_before_is_cut(spark):
         k = next(k for k in range(2, len(start)) if end[k] - start[k] >= substrings.LEAST_BYTES)
         stitched.append(raw[start[k] : end[k]].decode())
     rows.append((100, "".join(stitched)))
-    parts = [prose(rng, 30) for _ in range(40)]
+    parts = [prose(rng, 48) for _ in range(40)]
     fill = lambda n: "".join(f"{p} {n + k} " for k, p in enumerate(parts))
     rows += [(101, fill(1000)), (102, fill(2000))]
     same = "ha " * 40
