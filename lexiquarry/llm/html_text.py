@@ -370,14 +370,12 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
     start, stop = best_stretch(scores, costs)
     if start == stop:  # nothing scores above zero: all that is not furniture
         return " ".join(b.text for b, out in zip(found, bad, strict=True) if not out)
-    holder = found[start].place
+    held = [0] * len(tree.names)
     for b, out in zip(found[start:stop], bad[start:stop], strict=True):
-        place = holder if out else b.place
-        while place != holder:  # the nearest element that holds both; numbers of parents are less
-            if place > holder:
-                place = tree.parents[place]
-            else:
-                holder = tree.parents[holder]
+        held[b.place] += not out
+    for n in range(len(held) - 1, 0, -1):
+        held[tree.parents[n]] += held[n]
+    holder = max(n for n in range(len(held)) if held[n] == held[0])  # the innermost element that holds all
     while tree.names[holder] in _LEAVES:
         holder = tree.parents[holder]
     if tree.names[holder] not in ("", "html", "body"):

@@ -252,6 +252,8 @@ def test_main_text_of_odd_pages():
     assert text("<article><script>if (a < b) { '</p>' }</script><p>kept text</p><!-- <p>no</p> --></article>") == "kept text"
     assert len(text("<p>" + "word " * 200_000)) == 5 * 200_000 - 1
     assert text("<div>" * 20_000 + "<p>deep text</p>" + "</div>" * 20_000) == "deep text"
+    every = " ".join(f"words of depth {k}" for k in range(20_000))
+    assert text("".join(f"<div><p>words of depth {k}</p>" for k in range(20_000))) == every
 
 
 def test_deep_and_unclosed_elements_keep_the_article_and_its_furniture():
