@@ -145,8 +145,8 @@ def within(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
     return (a != b).sum(axis=1) <= distance
 
 
-def _close(pairs: DataFrame, signatures: DataFrame, distance: int) -> DataFrame:
-    """Of the pairs ``a, b`` (distinct) those whose signatures are within the distance."""
+def _close(pairs: DataFrame, signatures: DataFrame, distance: int, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` (distinct) those whose signatures are within the distance, and whose sizes allow a link."""
 
     def run(source: Batches) -> Batches:
         for batch in source:
@@ -155,8 +155,9 @@ def _close(pairs: DataFrame, signatures: DataFrame, distance: int) -> DataFrame:
                 one, two = (np.frombuffer(b"".join(part[c].to_pylist()), np.uint8).reshape(-1, SYMBOLS) for c in ("_a", "_b"))
                 yield part.select(["a", "b"]).filter(pa.array(within(one, two, distance)))
 
-    side = lambda c: signatures.select(F.col("rep").alias(c), F.col("low").alias(f"_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+    side = lambda c: signatures.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("low").alias(f"_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    return both.select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -172,8 +173,10 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
 
     ids = materialise(ids.select("rep").distinct(), "ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
-    texts = texts.join(F.broadcast(ids) if ids.count() <= SMALL else ids, "rep", "left_semi")
-    return materialise(texts.mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
+    many = ids.count()
+    texts = texts.join(F.broadcast(ids) if many <= SMALL else ids, "rep", "left_semi")
+    sets = materialise(texts.mapInArrow(run, "rep long, shingles binary"), "sets")
+    return sets if sets.count() == many else materialise(sets.dropDuplicates(["rep"]), "sets")  # rows share a doc_id
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -204,10 +207,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return materialise(joined.mapInArrow(run, "a long, b long"), "links")
 
 
-def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (``key, rep``) of keys that hold several components, with ``c`` (their own) and ``most`` (the key's largest)."""
-    roots = components(links).withColumnRenamed("node", "rep")
-    rows = rows.join(roots, "rep", "left").withColumn("c", F.coalesce("root", "rep")).drop("root")
+    rows = rows.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("root", "rep")).drop("root")
     per = rows.groupBy("key", "c").agg(F.count("*").alias("m"))
     per = per.groupBy("key").agg(F.count("*").alias("components"), F.max(F.struct("m", "c")).alias("top")).where("components > 1")
     return rows.join(per.select("key", F.col("top.c").alias("most")), "key")
@@ -304,10 +306,10 @@ def _across(distance: int, percent: int):
     return run
 
 
-def _split(docs: DataFrame, ids: DataFrame, reps: DataFrame, links: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``a, b``: links across the components of ``links`` between any of the ids."""
+def _split(docs: DataFrame, ids: DataFrame, reps: DataFrame, roots: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``a, b``: links across the components of ``roots`` between any of the ids."""
     sets = _sets(docs, ids, shingle)
-    parts = _open(materialise(_rarest(sets, percent), "rarest"), links)
+    parts = _open(materialise(_rarest(sets, percent), "rarest"), roots)
     rows = parts.groupBy("most", "rep").agg(F.min("c").alias("c"), F.min("at").alias("at"), F.max("n").alias("n"))
     rows = materialise(rows.withColumn("outside", F.col("c") != F.col("most")), "parts")
     size = rows.groupBy("most").agg(F.ceil(F.sum(F.when(F.col("outside"), F.col("n"))) / CELL_SHINGLES).cast("int").alias("blocks"), F.ceil(F.count("*") / CELL_MEMBERS).cast("int").alias("salts"))
@@ -322,17 +324,18 @@ def _split(docs: DataFrame, ids: DataFrame, reps: DataFrame, links: DataFrame, s
     return materialise(dealt.mapInArrow(_across(distance_for(percent), percent), "a long, b long"), "links")
 
 
-def find_links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``a, b``: links between representatives (``rep, n, signature, low``), enough to connect all that any links connect."""
+def find_components(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``node, root`` of the representatives (``rep, n_shingles, signature, low``) that are linked with a lesser one."""
     distance = distance_for(percent)
     keys = _keys(reps, chunk_bounds(distance))
     shared = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
     buckets = materialise(keys.join(shared.select("key", "lead"), "key").where("rep <> lead"), "buckets")
-    pairs = _close(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), reps, distance)
+    pairs = _close(buckets.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), reps, distance, percent)
     links = _confirmed(pairs, docs, shingle, percent)
+    roots = components(links)
     # leaders have met all of their buckets, so they stay out of what follows
-    rows = _open(buckets.select("key", "rep"), links)
-    return links.unionAll(_split(docs, rows, reps, links, shingle, percent))
+    more = _split(docs, _open(buckets.select("key", "rep"), roots), reps, roots, shingle, percent)
+    return roots if more.isEmpty() else components(links.unionAll(more))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -341,7 +344,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     known = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("signature").alias("signature"), F.first("low").alias("low"))
     classes = materialise(classes, "classes")
-    roots = components(find_links(docs, classes.select("rep", "signature", "low"), shingle, percent))
+    roots = find_components(docs, classes.select("rep", "n_shingles", "signature", "low"), shingle, percent)
     # what differs from the document itself: copies of a representative, and linked representatives
     moved = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").where("rep < last OR root IS NOT NULL")
     moved = moved.select("d1", "d2", "n_shingles", F.least("rep", "root").alias("component"))
