@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, mixing, near_dedup, quality, substrings, topk, url_filter, warc
+from . import chat, clusters, decontaminate, html_text, mixing, near_dedup, quality, ranked, substrings, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_chat_format": chat.op9_chat_format,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_clusters": clusters.op12_clusters,
+    "op13_ranked": ranked.op13_ranked,
 }
 
 ORACLES = {
@@ -25,4 +28,6 @@ ORACLES = {
     "op6_mix_sources": mixing.OP6_SQL,
     "op9_chat_format": chat.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
+    "op12_clusters": clusters.OP12_SQL,
+    "op13_ranked": ranked.OP13_SQL,
 }
