@@ -1,7 +1,9 @@
-"""Fields of infobox templates: found, split and cleaned by regular expressions in the JVM.
+"""Fields of infobox templates: found, split and cleaned in the JVM, however deep templates nest.
 
-Templates nest to ``DEPTH`` levels. Patterns use possessive repeats, so long infoboxes neither back
-up nor overflow the stack.
+Templates that nest to ``DEPTH`` levels are matched by one regular expression, with possessive repeats, so long
+infoboxes neither back up nor overflow the stack. What nests deeper is cut into pieces, which are such templates,
+links, texts, bars and the braces left over, and one pass over them counts how many braces are open. That takes time in
+proportion to the text.
 """
 
 from __future__ import annotations
@@ -12,9 +14,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dates import MONTH, month_number
-from .plaintext import COMMENT, INNER_TEMPLATE, LINK, MEDIA, QUOTES, TAG, without_templates
+from .plaintext import COMMENT, LINK, MEDIA, QUOTES, TAG, without_templates
 from .text import ANY_CASE, FLAGS, any_of, group, has, let, present, strip, sub, two_digits
 
+#: Levels that the regular expression knows; deeper ones are counted.
 DEPTH = 4
 # Templates that hold a date.
 DATE_TEMPLATES = (
@@ -41,22 +44,71 @@ def _nested(depth: int) -> str:
 _TEMPLATE = _nested(DEPTH - 1)
 _PIECE = rf"(?:[^|{{}}\[\]]++|{_TEMPLATE}|\[\[[^\[\]]*+\]\]|[{{}}\[\]])"
 _PARAMETER = rf"(?s)\|({_PIECE}*+)"
+#: All of a text in pieces; braces of templates that nest too deep, or are not closed, stand alone.
+_PIECES = rf"(?s)\||[^|{{}}\[\]]++|{_TEMPLATE}|\[\[[^\[\]]*+\]\]|\{{\{{|\}}\}}|[{{}}\[\]]"
+_SHALLOW_BODY = rf"(?s)\A(?:\|(?:[^{{}}]++|{_TEMPLATE}|\{{(?!\{{)|\}}(?!\}}))*+)?\}}\}}"
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(FLAGS + _PIECES), F.lit(0))
+
+
+def _scan(pieces: Column) -> Column:
+    """``close``: which piece (from 1) closes the template that is open at the start, if one does; ``bars``: those that part its parameters."""
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("open"), F.lit(None).cast("int").alias("close"), F.array().cast("array<int>").alias("bars"))
+
+    def step(s: Column, piece: Column) -> Column:
+        at = s["at"] + 1
+        to = lambda open_, close=F.lit(None).cast("int"), bars=s["bars"]: F.struct(at.alias("at"), open_.alias("open"), close.alias("close"), bars.alias("bars"))
+        return (
+            F.when(s["close"].isNotNull(), s)
+            .when(piece == "{{", to(s["open"] + 1))
+            .when((piece == "}}") & (s["open"] == 0), to(s["open"], at))
+            .when(piece == "}}", to(s["open"] - 1))
+            .when((piece == "|") & (s["open"] == 0), to(s["open"], bars=F.concat(s["bars"], F.array(at))))
+            .otherwise(to(s["open"]))
+        )
+
+    return F.aggregate(pieces, state, step)
+
+
+def _closed(rest: Column) -> Column:
+    """``rest``, which follows a template's name, up to the braces that close it; null if none do."""
+    cut = lambda pieces: let(_scan(pieces), lambda s: F.array_join(F.slice(pieces, F.lit(1), s["close"]), ""))
+    return F.coalesce(present(group(rest, _SHALLOW_BODY, 0)), let(_pieces(rest), cut))
+
+
+def _opening(names: tuple[str, ...]) -> str:
+    return rf"(?s)\{{\{{\s*{any_of(names)}\s*(?=\||\}}\}})"
 
 
 def infobox(wikitext: Column, names: tuple[str, ...]) -> Column:
-    """What stands between the name and the closing braces of the first template so named; null without one.
+    """What stands between the name and the closing braces of the first template so named that is closed; null without one.
 
     Comments go first, as they may hold bars and braces.
     """
-    inner = rf"(?:[^{{}}]++|{_TEMPLATE}|\{{(?!\{{)|\}}(?!\}}))*+"
-    return present(group(sub(wikitext, COMMENT), rf"(?s)\{{\{{\s*{any_of(names)}\s*((?:\|{inner})?\}}\}})", 1, ANY_CASE))
+    opening = _opening(names)
+    after = lambda text: group(text, opening + r"(.*)\z", 1, ANY_CASE)
+
+    def search(rest: Column) -> Column:
+        """Of the first opening, or of the next ones as long as the one before is not closed."""
+        state = F.struct(rest.alias("rest"), F.lit(None).cast("string").alias("body"))
+        step = lambda s, _: F.when(s["body"].isNotNull() | (s["rest"] == ""), s).otherwise(F.struct(after(s["rest"]).alias("rest"), _closed(s["rest"]).alias("body")))
+        tries = F.sequence(F.lit(0), F.regexp_count(rest, F.lit(ANY_CASE + opening)))
+        return F.aggregate(tries, state, step, lambda s: s["body"])
+
+    return let(after(sub(wikitext, COMMENT)), lambda rest: F.when(rest != "", F.coalesce(present(group(rest, _SHALLOW_BODY, 0)), search(rest))))
 
 
 def parameters(body: Column) -> Column:
     """An array of ``name`` (null: by position) and ``value``, both stripped."""
-    pieces = F.regexp_extract_all(sub(body, r"\}\}\z"), F.lit(FLAGS + _PARAMETER), F.lit(1))
+    inside = sub(body, r"\}\}\z")
+    shallow = F.regexp_extract_all(inside, F.lit(FLAGS + _PARAMETER), F.lit(1))
+    part = lambda pieces, s: F.transform(s["bars"], lambda bar, n: F.array_join(F.slice(pieces, bar + 1, F.coalesce(F.get(s["bars"], n + 1), F.size(pieces) + 1) - bar - 1), ""))
+    deep = let(_pieces(inside), lambda pieces: let(_scan(pieces), lambda s: part(pieces, s)))
     named = r"(?s)^([^={\[]*)=(.*)\z"
-    return F.transform(pieces, lambda p: F.struct(F.when(has(p, named), strip(group(p, named))).alias("name"), strip(F.when(has(p, named), group(p, named, 2)).otherwise(p)).alias("value")))
+    read = lambda p: F.struct(F.when(has(p, named), strip(group(p, named))).alias("name"), strip(F.when(has(p, named), group(p, named, 2)).otherwise(p)).alias("value"))
+    return F.transform(F.when(has(sub(inside, _TEMPLATE), r"\{\{"), deep).otherwise(shallow), read)
 
 
 def _iso(text: Column) -> Column:
@@ -69,13 +121,11 @@ def _iso(text: Column) -> Column:
 
 
 def template_date(value: Column) -> Column:
-    """The date of the first date template in a value that holds one; else null."""
-    inner = F.regexp_extract_all(value, F.lit(FLAGS + INNER_TEMPLATE), F.lit(0))
-    templates = F.concat(F.regexp_extract_all(value, F.lit(FLAGS + "(?s)" + _TEMPLATE), F.lit(0)), inner)
-    own = rf"(?s)^\{{\{{\s*{any_of(DATE_TEMPLATES)}\s*(\|.*\}}\}})\z"
+    """The date of the first date template, at any depth, in a value that holds one; else null."""
+    rests = F.regexp_extract_all(value, F.lit(ANY_CASE + _opening(DATE_TEMPLATES) + r"(?=(.*)\z)"), F.lit(1))
+    bodies = F.filter(F.transform(rests, _closed), lambda b: b.isNotNull())
 
-    def dated(template: Column) -> Column:
-        body = group(template, own, 1, ANY_CASE)
+    def dated(body: Column) -> Column:
         by_place = F.filter(parameters(body), lambda p: p["name"].isNull() | has(p["name"], r"^\d+\z"))
         return let(F.transform(by_place, lambda p: p["value"]), of_values)
 
@@ -86,8 +136,7 @@ def template_date(value: Column) -> Column:
         written = F.concat_ws("-", year, F.lpad(month.cast("int").cast("string"), 2, "0"), F.lpad(day.cast("int").cast("string"), 2, "0"))
         return F.coalesce(F.when(fits, written), _iso(F.get(values, F.lit(0))))
 
-    matching = F.filter(templates, lambda t: has(t, own, ANY_CASE))
-    return F.get(F.filter(F.transform(matching, dated), lambda d: d.isNotNull()), F.lit(0))
+    return F.get(F.filter(F.transform(bodies, dated), lambda d: d.isNotNull()), F.lit(0))
 
 
 # What cleaning takes off a value after templates, in order: pattern, replacement, any case.

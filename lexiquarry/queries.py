@@ -537,6 +537,24 @@ def _infobox_query(mode: str) -> None:
 for _mode in MODES:
     _infobox_query(_mode)
 
+
+@query(
+    """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 2 THEN (1900 + c_custkey % 100) || '-' || lpad((c_custkey % 12 + 1)::VARCHAR, 2, '0') || '-09' END AS birth_date,
+    CASE WHEN c_custkey % 3 <> 2 THEN c_name END AS nationality, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS occupation FROM customer"""
+)
+def infobox_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Infoboxes among, within and around templates that nest up to 200 levels deep; every third one is not closed."""
+    key = F.col("c_custkey")
+    depth = (key % 201).cast("int")
+    wrap = lambda text: F.concat(F.repeat(F.lit("{{t|k="), depth), text, F.repeat(F.lit("}}"), depth))
+    born = wrap(say("{{birth date|", F.lit(1900) + key % 100, "|", key % 12 + 1, "|9|df={{yes}}}}"))
+    box = say("{{infobox person |note= ", wrap(F.lit("[[a|b]]|c")), " |birth_date = ", born, " |nationality=", F.col("c_name"), "|last={{x|", wrap(F.lit("y")), "}}|occupation = ", F.col("c_mktsegment"), F.when(key % 3 != 2, " }}").otherwise(" {{ }}"))
+    wiki = say("{{never closed|", wrap(F.lit("z")), F.when(key % 2 == 0, say("{{wrapper|of=", box, "}}")).otherwise(box), " text")
+    customers = dealt_out(spark, table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))
+    wanted = ("birth_date", "nationality", "occupation")
+    return customers.select(key.alias("id"), fields(wiki, MODES["bio"], wanted).alias("x")).select("id", "x.*")
+
+
 _NATIONS = ("french", "german", "new zealand", "south african", "austro-hungarian")
 _TRADES = ("painter", "theoretical physicist", "singer-songwriter", "poet and novelist", "politician")
 _TRADE_RESULTS = ("painter", "theoretical physicist", "singer-songwriter", "poet, novelist", "politician")

@@ -90,6 +90,27 @@ def test_long_infobox_does_not_overflow(spark):
     assert apply(spark, [text], lambda v: infobox.fields(v, modes.BIO, ("nationality",)))[0].nationality == "Danish"
 
 
+def nested(depth, inner="x|y=1"):
+    return "{{a|" * depth + inner + "}}" * depth
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 4, 5, 6, 20, 200, 3000])
+def test_templates_nest_to_any_depth(spark, depth):
+    deep = nested(depth)
+    born = "{{nowrap|" * depth + "{{birth date|1900|2|3|note={{small|[[a|b]]}}}}" + "}}" * depth
+    box = f"{{{{unclosed|a=1 {deep} {{{{Infobox person|name={{{{open| {{{{ infobox Person\n|pre={deep} z\n|birth_date={born}\n|post=[[c|d]] {deep}|nationality = Danish\n|occupation=Poet}}}} after"
+    outer = f"{{{{wrap|x={deep}|" + "{{infobox person|nationality=Thai|a=" + deep + "}}}}"
+    got = apply(spark, [box, outer, "{{infobox person|nationality=Lao|a=" + "{{a|" * depth + "}}"], lambda v: infobox.fields(v, modes.BIO, ("birth_date", "nationality", "occupation")))
+    assert tuple(got[0]) == ("1900-02-03", "Danish", "Poet") and got[1].nationality == "Thai"
+    assert got[2].nationality == ("Lao" if depth <= 0 else None)  # not closed from one level on
+
+
+def test_parameters_of_deep_bodies_are_those_of_shallow_ones(spark):
+    inner = "|a=1|{{x|[[p|q]]|{{y|z}}}}| b = {c} {{{d}}} [e|f=|=g|"
+    shallow, deep = (apply(spark, [inner + end + "}}"], infobox.parameters)[0] for end in ("", "h" + nested(9)))
+    assert [tuple(p) for p in shallow[:-1]] == [tuple(p) for p in deep[:-1]] and deep[-1].value == "h" + nested(9)
+
+
 @pytest.mark.parametrize("mode", sorted(modes.MODES))
 def test_every_mode_reads_its_first_alias(spark, mode):
     spec = modes.MODES[mode]
