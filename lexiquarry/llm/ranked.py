@@ -69,7 +69,7 @@ class Vocabulary:
         """Of parallel arrays, a row for each term of each item."""
         order = sorted(range(len(terms)), key=lambda i: (hashes[i], terms[i]))
         held = [terms[i] for i in order]
-        new = np.array([i == 0 or a != b for i, (a, b) in enumerate(zip(held, [b"", *held[:-1]], strict=True))], bool)
+        new = np.array([i == 0 or a != held[i - 1] for i, a in enumerate(held)], bool)
         at = np.flatnonzero(new)
         self.hash = np.array([hashes[i] for i in order], np.uint64)[at]
         self.size = np.array([len(held[i]) for i in at], np.int64)

@@ -8,9 +8,9 @@ runs of letters, digits and characters beyond ASCII, without regard to ASCII cas
 Each coordinate has a learning rate of its own, and the L1 penalty leaves a weight only to what occurs with toxicity
 often, some hundreds of the ``2**BITS`` buckets. Those, as two short arrays, are all that is collected and broadcast.
 
-Training sees a bounded sample: at most ``SAMPLE`` labelled rows, those of least hash of doc_id, ``EPOCHS`` times.
-Their features are found in many tasks; one task streams them, sorted by epoch and hash, through the learner. A toxic
-row's gradient counts ``TOXIC`` times, as such rows are few. Everything else covers every row and whole texts.
+Training sees a bounded sample: at most ``SAMPLE`` labelled rows, those of least hash of doc_id, ``EPOCHS`` times,
+streamed through the learner in one task. A toxic row's gradient counts ``TOXIC`` times, as such rows are few.
+Everything else covers every row and whole texts.
 
 Defined cases: null and empty texts have no features and score by the bias; labels that are null or belong to no
 document are ignored; if a document has several labels the greatest counts; without any label all scores are 0.5;
@@ -32,7 +32,7 @@ from ._words import Words, each_slice, mix
 
 BITS = 20
 PAIR = 0.25
-SAMPLE = 20_000
+SAMPLE = 15_000
 EPOCHS = 2
 TOXIC = 3.0
 THRESHOLD = 0.5
@@ -80,24 +80,15 @@ class Ftrl:
         self.n[at] = before + g * g
 
 
-def _featured(source: Batches) -> Batches:
-    """Each row's features, a number for each: the bucket, doubled, and 1 more for a pair."""
-    for batch in source:
-        made = []
-        for _, w in each_slice(batch["text"], marks=True):
-            rows, buckets, value = present(*occurrences(w))
-            coded = (buckets * 2 + (value < 1)).astype("<i4")
-            cuts = np.searchsorted(rows, np.arange(len(w.rows)))
-            made += [coded[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(made, pa.binary())], ["doc_id", "label", "coded"])
-
-
 def _fit(source: Batches) -> Batches:
     model = Ftrl()
     for batch in source:
-        for coded, label in zip(batch["coded"], batch["label"].to_pylist(), strict=True):
-            codes = np.frombuffer(coded.as_buffer(), "<i4")
-            model.learn(codes >> 1, np.where(codes & 1, PAIR, 1.0), label)
+        labels = batch["label"].to_pylist()
+        for first, w in each_slice(batch["text"], marks=True):
+            rows, buckets, value = present(*occurrences(w))
+            cuts = np.searchsorted(rows, np.arange(len(w.rows)))
+            for r, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                model.learn(buckets[a:z], value[a:z], labels[first + r])
     w = model.weights()
     held = np.flatnonzero(w[:-1]).astype("<i4")
     yield pa.RecordBatch.from_pydict({"buckets": [held.tobytes()], "weights": [w[held].astype("<f4").tobytes()], "bias": [float(w[-1])]})
@@ -128,10 +119,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
-    rows = rows.select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(_featured, "doc_id long, label int, coded binary")
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     rows = rows.repartition(1).sortWithinPartitions("epoch", F.xxhash64("doc_id", "epoch"))
-    got = rows.select("coded", "label").mapInArrow(_fit, "buckets binary, weights binary, bias double").first()
+    got = rows.select("text", "label").mapInArrow(_fit, "buckets binary, weights binary, bias double").first()
     if got is None:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0)
     return Model(np.frombuffer(got["buckets"], "<i4"), np.frombuffer(got["weights"], "<f4"), got["bias"])
