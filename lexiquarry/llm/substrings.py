@@ -38,9 +38,8 @@ GEAR_BYTES = 8
 MASK = np.uint32(0b1111 << 4)
 #: Shorter chunks are common words more often than passages: no unit starts or ends with them.
 LEAST_BYTES = 12
-#: Whole words of a run that is cut. Chunk ends lie inside a passage, which costs it 9 words of 51 on average, so such a
-#: run tells a passage of some 50 words.
-MIN_WORDS = 38
+#: Whole words of a run that is cut. Chunk ends lie inside a passage, which costs it 9 words of 51 on average.
+MIN_WORDS = 24
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 _LAST = (1 << 63) - 1
