@@ -19,6 +19,7 @@ from ..functions.modes import FIELDS, mode_of
 from ..operators import categories as cat
 from ..operators import reports
 from ..sources import archives, dumps, remote, sinks
+from ..sources.answers import Answers
 from ..sources.files import Cache, newest, read_patterns, read_regions, read_results
 from ..storage import stored
 from .extract import Model, records
@@ -61,6 +62,10 @@ class Config:
     def lang(self) -> str:
         return self.wiki.removesuffix("wiki")
 
+    @property
+    def cache_dir(self) -> Path:
+        return self.data_dir / "cache" / self.wiki
+
     @property
     def search(self) -> str:
         """``regex`` if there are patterns, else ``bfs``."""
@@ -161,7 +166,8 @@ def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: re
         titles = targets.select(F.translate("title", "_", " ").alias("title"))
         titles = titles.limit(config.limit) if config.limit else titles
         url = f"https://{config.lang}.wikipedia.org/w/api.php"
-        both = [remote.fetch_articles(titles, url, transport, kind, config.api_batch, config.api_pause) for kind in ("wikitext", "plaintext")]
+        store = str(config.cache_dir / "fetched") if config.use_cache else None
+        both = [remote.fetch_articles(titles, url, transport, kind, config.api_batch, config.api_pause, store=store) for kind in ("wikitext", "plaintext")]
         return both[0].join(both[1], "title", "left")
     if config.multistream:
         archive, path = archives.find_multistream(config.data_dir, config.wiki)
@@ -200,7 +206,8 @@ def run(spark: SparkSession, config: Config, model: Model | None = None, transpo
         if not (config.root_category or config.patterns):
             return spark.createDataFrame(got, "name string, path string")
     if model is None and config.use_model:
-        model = lambda rows, prompt: remote.ask_model(rows, prompt, config.model_url, config.model_name)
+        replies = str(config.cache_dir / "replies") if config.use_cache else None
+        model = lambda rows, prompt: remote.ask_model(rows, prompt, config.model_url, config.model_name, store=replies)
     model = model if config.use_model else None
     tables = parsed_dumps(spark, config)
     targets = cat.target_pages(tables["articles"], wanted_articles(tables, config, report), config.min_length)
@@ -208,6 +215,8 @@ def run(spark: SparkSession, config: Config, model: Model | None = None, transpo
         return reports.dry_run(targets)
     targets = stored(targets, "targets")
     content = stored(fetch(spark, targets, config, transport, report), "content")
+    if config.use_api and config.use_cache:  # articles change: what was fetched serves to resume this run only
+        Answers(spark, str(config.cache_dir / "fetched")).clear()
     if config.groups and config.output == "xlsx":
         written = _write_groups(tables, content, config, model)
         if report:
