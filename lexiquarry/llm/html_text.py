@@ -2,13 +2,16 @@
 
 A page becomes a sequence of blocks of words with the tags before them. Each word has the score of its
 block's kind (element, linked or not, long or short) and each tag a negative one. One linear scan finds
-the contiguous stretch of greatest sum. Within the innermost element that holds this stretch (if that
-is less than the body) the text runs from the first to the last block of positive score, so that a
-table or list of links amid an article doesn't break it.
+the contiguous stretch of greatest sum. Where that lies in an ``<article>`` (or ``itemprop=articleBody``), the text is
+all of it but furniture, so linked headings and paragraphs at its edges stay. Else, within the innermost element
+that holds the stretch (if that is less than the body), the text runs from the first to the last block of positive
+score, so that a table or list of links amid an article doesn't break it.
 
 The scores are log-odds learned from labelled pages: pages that mark their own article (``<article>``,
 ``<main>`` or ``itemprop=articleBody``) label their words and tags by it. Training reads at most
-``SAMPLE`` pages, those of least hash of page_id; only counts by feature come to the driver.
+``SAMPLE`` pages, those of least hash of page_id; only counts by feature come to the driver. A kind that was never
+seen scores as its element's other kinds do on average; on a page where nothing scores above zero, as one in bare
+``div`` elements, the priors decide in place of what was learned.
 
 Elements have features too: their tag (``nav``, ``footer``, ...), and the words of class, id and role of
 containers, whole or by their head (``ad-slot``, ``site-header``; not ``has-sidebar``). A container of negative
@@ -16,7 +19,8 @@ features is furniture if the sum over its words, of their kind's score and the c
 negative: a ``<section id="discussion">`` of an article's paragraphs is none, one of link lists is. What
 holds most of the page's positive score is none by class. Words in furniture don't come out, and each such
 block costs the stretch as much as a tag. Single paragraphs, headings and cells are furniture only by a
-whole class or id that says no more than that (``<p class="ad">``, not ``<p class="share-price">``).
+whole class that says no more than that (``<p class="ad">``, not ``<p class="share-price">`` or ``<p class="reply">``).
+An ``<aside>`` that holds a quotation is none.
 
 Text of a block: character references decoded, white space runs to one space, trimmed; blocks in
 page order joined by one space. Inline tags do not break words; ``<br>`` is white space. Defined
@@ -63,6 +67,9 @@ _SURE = (
     "comment comments commentlist disqus reply replies respond nav navbar navigation breadcrumb breadcrumbs masthead contentinfo hidden"
 ).split()
 _NEARLY = "related recommended recommendations banner notice notices alert overlay sidebar sidenav aside menu footer header topbar toolbar complementary rail".split()
+#: The words that tell a single paragraph or heading, and an item of a list or a cell, as which comments come.
+_TEXT_SURE, _ITEM_SURE = frozenset("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo hidden".split()), frozenset(_SURE)
+_ITEMS = frozenset("li dt dd td th tr".split())
 _MAYBE = "discussion responses reactions share sharing social widget widgets pagination pager search login signup skip promotion subscription copyright disclaimer".split()
 _HIDDEN = frozenset("hidden visuallyhidden visually-hidden is-hidden".split())
 _ARTICLE_WORDS = frozenset("article post entry content body main story text".split())
@@ -144,8 +151,8 @@ def _class_words(token: str) -> tuple[str, ...]:
     return tuple(sorted(found - _ARTICLE_WORDS - {"hidden"}))
 
 
-def _features(attributes: str, leaf: bool) -> tuple[str, ...]:
-    """Features of an element's attributes; of a leaf only those that tell furniture for sure."""
+def _features(attributes: str, leaf: frozenset[str] | None) -> tuple[str, ...]:
+    """Features of an element's attributes; of a leaf only those words that tell furniture for sure."""
     found = []
     seen = set()
     for m in _ATTRIBUTE.finditer(attributes):
@@ -157,9 +164,9 @@ def _features(attributes: str, leaf: bool) -> tuple[str, ...]:
             found.append("c:<!hidden>")
         elif key in ("class", "id", "role"):
             for token in value.split():
-                if leaf:
+                if leaf is not None:
                     low = "hidden" if token.lower() in _HIDDEN else token.lower()
-                    found += [f"c:{low}"] * (key != "id" and low in _SURE)
+                    found += [f"c:{low}"] * (key != "id" and low in leaf)
                 else:
                     found += [f"c:{word}" for word in _class_words(token)]
     return tuple(found)
@@ -202,7 +209,7 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
     def push(name: str, article: bool, features: tuple[str, ...]) -> None:
         up = stack[-1]
         stack.append(Open(name, len(tree.names), up.article or article, up.content or name in _CONTENT))
-        tree.names.append("article" if article else name)
+        tree.names.append("article" if article and name != "main" else name)
         tree.parents.append(up.number)
         tree.features.append(features)
         opened[name] += 1
@@ -238,7 +245,7 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
                 pieces.append(" ")
             elif name == "a":
                 in_link = 0 if closing else 1
-            elif not closing and name not in _VOID and attributes and (features := _features(attributes, True)):
+            elif not closing and name not in _VOID and attributes and (features := _features(attributes, _TEXT_SURE)):
                 flush()
                 push(name, False, features)
                 settle()
@@ -260,9 +267,12 @@ def blocks(page: str) -> tuple[list[Block], Tree]:
                 pop()
             inside = stack[-1].content
             judge = name not in ("html", "body", "main") and (name != "article" or inside)
-            features = _features(attributes, name in _LEAVES) if judge and attributes else ()
-            if name in _FURNITURE or name == "header" and not inside:
+            features = _features(attributes, _ITEM_SURE if name in _ITEMS else _TEXT_SURE if name in _LEAVES else None) if judge and attributes else ()
+            if (name in _FURNITURE or name == "header" and not inside) and not (name == "aside" and "quote" in attributes.lower()):
                 features = (f"c:<{name}>", *features)
+            if name == "blockquote" and stack[-1].name == "aside":
+                at_ = stack[-1].number
+                tree.features[at_] = tuple(f for f in tree.features[at_] if f != "c:<aside>")
             push(name, name in _CONTENT or "articleBody" in attributes, features)
         in_link = 0
         settle()
@@ -299,7 +309,7 @@ def furniture(found: list[Block], tree: Tree, weight: dict[str, float]) -> list[
         words[up] += words[n]
         positive[up] += positive[n]
         holds[up] |= holds[n]
-        marked[up] |= marked[n] or names[n] == "article" and evidence[n] >= -1 and holds[n]
+        marked[up] |= marked[n] or names[n] in _CONTENT and evidence[n] >= -1 and holds[n]
     bad = [False] * size
     for n in range(1, size):
         if bad[parents[n]]:
@@ -361,14 +371,30 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+def score_of(weight: dict[str, float], feature: str) -> float:
+    """A word's score; of a kind never seen, the average of those of its element."""
+    if feature in weight:
+        return weight[feature]
+    like = [v for f, v in weight.items() if f.startswith(feature[: feature.index(":", 2) + 1])]
+    return sum(like) / len(like) if like else 0.0
+
+
+@lru_cache(1)
+def prior() -> dict[str, float]:
+    return weights({})
+
+
 def main_text(page: str | None, weight: dict[str, float]) -> str:
     found, tree = blocks(page or "")
     bad = furniture(found, tree, weight)
-    tag = weight["t:open"]
-    scores = [0.0 if out else b.words * weight.get(b.feature, 0.0) for b, out in zip(found, bad, strict=True)]
-    costs = [-tag if out else -tag * b.tags for b, out in zip(found, bad, strict=True)]
-    start, stop = best_stretch(scores, costs)
-    if start == stop:  # nothing scores above zero: all that is not furniture
+    for by in (weight, prior()):
+        score = {f: score_of(by, f) for f in {b.feature for b in found}}
+        scores = [0.0 if out else b.words * score[b.feature] for b, out in zip(found, bad, strict=True)]
+        costs = [-by["t:open"] if out else -by["t:open"] * b.tags for b, out in zip(found, bad, strict=True)]
+        start, stop = best_stretch(scores, costs)
+        if start < stop:
+            break
+    else:  # nothing scores above zero: all that is not furniture
         return " ".join(b.text for b, out in zip(found, bad, strict=True) if not out)
     held = [0] * len(tree.names)
     for b, out in zip(found[start:stop], bad[start:stop], strict=True):
@@ -378,11 +404,15 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
     holder = max(n for n in range(len(held)) if held[n] == held[0])  # the innermost element that holds all
     while tree.names[holder] in _LEAVES:
         holder = tree.parents[holder]
+    marked = holder
+    while marked and tree.names[marked] != "article":
+        marked = tree.parents[marked]
+    holder = marked or holder
     if tree.names[holder] not in ("", "html", "body"):
         within = [False] * len(tree.names)
         for n in range(holder, len(within)):
             within[n] = n == holder or within[tree.parents[n]]
-        rich = [k for k, b in enumerate(found) if scores[k] > 0 and within[b.place]]
+        rich = [k for k, b in enumerate(found) if within[b.place] and (scores[k] > 0 or marked and not bad[k])]
         start, stop = min(start, rich[0]), max(stop, rich[-1] + 1)
     return " ".join(b.text for b, out in zip(found[start:stop], bad[start:stop], strict=True) if not out)
 

@@ -305,6 +305,29 @@ def test_extract_keeps_rows(spark):
 PROSE = "some words of the story that go on for a good while so that this is long"
 
 
+@pytest.mark.parametrize("learned", [False, True])
+def test_edges_of_an_article_stay_and_its_surroundings_go(learned):
+    counts = html_text.Counter()
+    if learned:  # by pages whose articles keep to paragraphs
+        for _ in range(300):
+            counts.update(html_text.count_features(PAGE % ("<article>", "</article>")))
+            counts.update(html_text.count_features(f"<nav><a>Home</a></nav><div>{TEXT} {TEXT}</div><article><h1>Head</h1><p>{TEXT}</p></article><footer>All rights</footer>"))
+    w = html_text.weights(counts)
+    text = lambda page: html_text.main_text(page, w)
+    prose = "The river rises in the hills above the town, turns east and reaches the sea after a day's walk through meadows."
+    around = "<nav><a href=/>Home</a> <a href=/x>About</a></nav>%s<footer>All rights reserved</footer>"
+    assert text(around % f"<article><h1><a href=x>Linked head</a></h1><p>{prose}</p></article>") == f"Linked head {prose}"
+    assert text(around % f"<article><div><h1><a href=x>Linked head</a></h1></div><div class=body><p>{prose}</p><p>{prose}</p></div></article>") == f"Linked head {prose} {prose}"
+    assert text(around % f"<article><p>{prose}</p><p><a href=x>read more of it here</a></p></article>") == f"{prose} read more of it here"
+    assert text(around % f"<article><p>{prose}</p><p class=\"reply\">He gave a reply.</p></article>") == f"{prose} He gave a reply."
+    assert text(around % f"<article><p>{prose}</p><aside class=pull-quote>Well said.</aside><p>{prose}</p></article>") == f"{prose} Well said. {prose}"
+    assert text(around % f"<article><p>{prose}</p><aside><blockquote>Well said.</blockquote></aside><p>{prose}</p></article>") == f"{prose} Well said. {prose}"
+    assert text(around % f"<article><p>{prose}</p><aside>See also</aside><p>{prose}</p></article>") == f"{prose} {prose}"
+    bare = "<div><div><a href=/>Home</a> <a href=/x>About</a></div><div>%s</div><div>All rights reserved</div></div>"
+    assert text(bare % f"<div>{prose}</div><div>{prose}</div>") == f"{prose} {prose}"
+    assert text(bare % f"{prose}<br>{prose}") == f"{prose} {prose}"
+
+
 def test_what_looks_like_markup_in_a_script_stays_in_it():
     text = lambda page: html_text.main_text(page, html_text.weights({}))
     for script in ('var s="<!--";', "if(a<b){ // don't", "x='<p class=\"'", "</p>", "a<!b", 'document.write("<div>")', "<script "):
