@@ -30,7 +30,7 @@ from .plans.regions import entries, first_of_key, join_regions
 from .sources import dumps
 from .sources.archives import batches_of, blocks_of, missing_from, parse_index, read_multistream, read_xml
 from .sources.files import read_results
-from .sources.sinks import write_delimited, write_keyed_json, write_workbooks
+from .sources.sinks import read_workbooks, write_delimited, write_keyed_json, write_workbooks
 from .storage import shared_root, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -539,11 +539,11 @@ for _mode in MODES:
 
 
 @query(
-    """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 2 THEN (1900 + c_custkey % 100) || '-' || lpad((c_custkey % 12 + 1)::VARCHAR, 2, '0') || '-09' END AS birth_date,
-    CASE WHEN c_custkey % 3 <> 2 THEN c_name END AS nationality, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS occupation FROM customer"""
+    """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 <> 2 OR c_custkey % 2 = 0 THEN (1900 + c_custkey % 100) || '-' || lpad((c_custkey % 12 + 1)::VARCHAR, 2, '0') || '-09' END AS birth_date,
+    CASE WHEN c_custkey % 3 <> 2 OR c_custkey % 2 = 0 THEN c_name END AS nationality, CASE WHEN c_custkey % 3 <> 2 OR c_custkey % 2 = 0 THEN c_mktsegment END AS occupation FROM customer"""
 )
 def infobox_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Infoboxes among, within and around templates that nest up to 200 levels deep; every third one is not closed."""
+    """Infoboxes among, within and around templates that nest up to 200 levels deep; every third one is not, but for the braces of a template around it."""
     key = F.col("c_custkey")
     depth = (key % 201).cast("int")
     wrap = lambda text: F.concat(F.repeat(F.lit("{{t|k="), depth), text, F.repeat(F.lit("}}"), depth))
@@ -767,13 +767,33 @@ def delimited_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, path).drop("row_at")
 
 
+def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of workbooks of suppliers, one or more for each nation, read back from the files."""
+    both = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = both.select("n_name", "s_suppkey", "s_name", "s_acctbal", F.when(F.col("s_suppkey") % 4 != 0, say("a<&>\"b\n", F.col("s_suppkey"))).alias("note"))
+    folder = f"{shared_root(spark)}/xlsx-{uuid.uuid4().hex}"
+    write_workbooks(rows.repartitionByRange("n_name", "s_name").sortWithinPartitions("n_name", "s_name"), folder, by="n_name")
+    return read_workbooks(spark, folder)
+
+
+@query(
+    """SELECT n_name AS name, s_suppkey::BIGINT AS id, s_name AS title, round(s_acctbal, 2)::DOUBLE AS balance, CASE WHEN s_suppkey % 4 <> 0 THEN 'a<&>"b' || chr(10) || s_suppkey END AS note
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+)
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, texts with markup in them, and empty cells come back from the files as they went in."""
+    cell = lambda n: F.get("cells", F.lit(n))
+    return _books(spark, sf_dir).where("row > 1").select("name", cell(0).cast("long").alias("id"), cell(1).alias("title"), F.round(cell(2).cast("double"), 2).alias("balance"), cell(3).alias("note"))
+
+
 @query("SELECT r_name AS name, count(*)::BIGINT AS rows FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A workbook of nations for every region, and the rows that they hold."""
+    """A workbook of nations for every region, and the rows that the files hold."""
     both = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = both.select("r_name", "n_nationkey", "n_name").repartitionByRange("r_name", "n_name").sortWithinPartitions("r_name", "n_name")
-    made = write_workbooks(rows, f"{shared_root(spark)}/xlsx-{uuid.uuid4().hex}", by="r_name")
-    return made.groupBy("name").agg(F.sum("rows").alias("rows"))
+    folder = f"{shared_root(spark)}/xlsx-{uuid.uuid4().hex}"
+    write_workbooks(rows, folder, by="r_name")
+    return read_workbooks(spark, folder).where("row > 1").groupBy("name").agg(F.count("*").alias("rows"))
 
 
 # --- model replies and reports -------------------------------------------------------------------

@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape
-
-import pyarrow as pa
-import pyarrow.fs
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workbooks import WorkbookSource, take_written
+
 #: Rows that one sheet can hold besides its header.
 SHEET_ROWS = (1 << 20) - 1
-WIDEST = 50
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",", one_file: bool = False) -> None:
@@ -28,97 +24,24 @@ def write_delimited(df: DataFrame, path: str, separator: str = ",", one_file: bo
     df.write.mode("overwrite").csv(path, header=header, sep=separator, nullValue="", emptyValue="", escape='"')
 
 
-def _column(n: int) -> str:
-    name = ""
-    while n >= 0:
-        n, name = n // 26 - 1, chr(65 + n % 26) + name
-    return name
-
-
-class Workbook:
-    """A one-sheet workbook, its rows kept on disk until it is closed."""
-
-    def __init__(self, header: list[str], sheet: str = "Sheet"):
-        self.sheet, self.rows, self.widths = sheet[:31], 0, [0] * len(header)
-        self.body = tempfile.SpooledTemporaryFile(max_size=8 << 20)
-        if header:
-            self.append(header)
-
-    def append(self, values: list) -> None:
-        self.rows += 1
-        cells = []
-        for n, value in enumerate(values):
-            if value is None:
-                continue
-            self.widths[n] = max(self.widths[n], len(str(value)))
-            at = f"{_column(n)}{self.rows}"
-            if isinstance(value, (int, float)) and not isinstance(value, bool):
-                cells.append(f'<c r="{at}"><v>{value}</v></c>')
-            else:
-                text = escape("".join(c for c in str(value) if c in "\t\n\r" or ord(c) >= 32))
-                cells.append(f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>')
-        self.body.write(f'<row r="{self.rows}">{"".join(cells)}</row>'.encode())
-
-    def save(self, out) -> None:
-        main, office = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-        package = "http://schemas.openxmlformats.org/package/2006"
-        xml = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-        kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("[Content_Types].xml", f'{xml}<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/></Types>')
-            z.writestr("_rels/.rels", f'{xml}<Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-            z.writestr("xl/_rels/workbook.xml.rels", f'{xml}<Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-            z.writestr("xl/workbook.xml", f'{xml}<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="{escape(self.sheet, {chr(34): "&quot;"})}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-            with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as sheet:
-                cols = "".join(f'<col min="{n}" max="{n}" width="{min(w + 2, WIDEST)}" customWidth="1"/>' for n, w in enumerate(self.widths, 1))
-                sheet.write(f'{xml}<worksheet xmlns="{main}">{f"<cols>{cols}</cols>" if cols else ""}<sheetData>'.encode())
-                self.body.seek(0)
-                while piece := self.body.read(1 << 20):
-                    sheet.write(piece)
-                sheet.write(b"</sheetData></worksheet>")
-
-
 def write_workbooks(df: DataFrame, folder: str, sheet: str = "Sheet", by: str | None = None) -> DataFrame:
     """One workbook of each partition (more where a sheet is full) under ``folder``; returns ``name, path, rows`` once they are written.
 
     With ``by``, a column that partitions are sorted by, its values get workbooks of their own, each in a folder and with a sheet
-    of that name; the column itself is left out. ``df.coalesce(1)`` makes one workbook of a small table. Attempts of a
-    task write files of their own names; those that the returned table names are whole.
+    of that name; the column itself is left out. ``df.coalesce(1)`` makes one workbook of a small table. They appear all at
+    once, when every task is done, in place of those that an earlier call wrote there; a call that fails leaves none.
     """
-    header = [c for c in df.columns if c != by]
-
-    def write(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        files, base = pyarrow.fs.FileSystem.from_uri(folder) if "://" in folder else (pyarrow.fs.LocalFileSystem(), folder)
-        made: list[tuple[str, str, int]] = []
-        book: Workbook | None = None
-        name = sheet
-
-        def close() -> None:
-            place = f"{base}/{name}" if by else base
-            files.create_dir(place, recursive=True)
-            path = f"{place}/{name}-{task.partitionId():05d}-{len(made):03d}-{task.taskAttemptId()}.xlsx"
-            with files.open_output_stream(path, compression=None) as out:
-                book.save(out)
-            made.append((name, path, book.rows - 1))
-
-        for batch in source:
-            own = batch[by].to_pylist() if by else [sheet] * batch.num_rows
-            for group, row in zip(own, zip(*(batch[c].to_pylist() for c in header), strict=True), strict=True):
-                if book is not None and (book.rows > SHEET_ROWS or group != name):
-                    close()
-                    book = None
-                name = group
-                book = book or Workbook(header, name)
-                book.append(list(row))
-        if book is not None:
-            close()
-        yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["name", "path", "rows"])
-
-    made = df.mapInArrow(write, "name string, path string, rows long")
-    return df.sparkSession.createDataFrame(made.toArrow().to_pandas(), "name string, path string, rows long")  # a row for each file
+    spark, job = df.sparkSession, uuid.uuid4().hex
+    spark.dataSource.register(WorkbookSource)
+    options = {"path": folder, "sheet": sheet, "sheet_rows": str(SHEET_ROWS), "job": job} | ({"by": by} if by else {})
+    df.write.format(WorkbookSource.name()).options(**options).mode("overwrite").save()
+    return spark.createDataFrame(take_written(folder, job), "name string, path string, rows long")  # a row for each file
+
+
+def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
+    """``name, path, row, cells`` of all workbooks under ``folder``: each row of their first sheets, from 1, as texts."""
+    spark.dataSource.register(WorkbookSource)
+    return spark.read.format(WorkbookSource.name()).load(folder)
 
 
 def _quoted(text: Column) -> Column:
