@@ -5,7 +5,12 @@ from __future__ import annotations
 from .infobox import Infobox
 
 BIO = Infobox(
-    names=tuple(f"infobox {x}" for x in "person,artist,painter,musical artist,writer,scientist,politician,philosopher,military person,sportsperson,actor,architect,composer,royalty,monarch,noble,pharaoh".split(",")),
+    names=(
+        "infobox person", "infobox artist", "infobox painter", "infobox musical artist", "infobox writer",
+        "infobox scientist", "infobox politician", "infobox philosopher", "infobox military person",
+        "infobox sportsperson", "infobox actor", "infobox architect", "infobox composer", "infobox royalty",
+        "infobox monarch", "infobox noble", "infobox pharaoh",
+    ),
     aliases={
         "birth_date": ("birth_date", "born", "birthdate"),
         "death_date": ("death_date", "died", "deathdate"),
@@ -17,7 +22,10 @@ BIO = Infobox(
     dates=frozenset({"birth_date", "death_date"}),
 )
 GEO = Infobox(
-    names=tuple(f"infobox {x}" for x in "settlement,city,municipality,county,district,place".split(",")),
+    names=(
+        "infobox settlement", "infobox city", "infobox municipality", "infobox county", "infobox district",
+        "infobox place",
+    ),
     aliases={
         "population": ("population_total", "pop", "population"),
         "area_km2": ("area_km2", "area_total_km2", "area"),
@@ -40,7 +48,10 @@ BATTLE = Infobox(
     dates=frozenset({"date"}),
 )
 EXPLORATION = Infobox(
-    names=tuple(f"infobox {x}" for x in "spaceflight,spacecraft class,space station,spaceflight/dock,expedition,mission".split(",")),
+    names=(
+        "infobox spaceflight", "infobox spacecraft class", "infobox space station", "infobox spaceflight/dock",
+        "infobox expedition", "infobox mission",
+    ),
     aliases={
         "date": ("launch_date", "date", "start_date"),
         "destination": ("destination", "target"),
@@ -52,7 +63,10 @@ EXPLORATION = Infobox(
     dates=frozenset({"date"}),
 )
 ASTRONOMY = Infobox(
-    names=tuple(f"infobox {x}" for x in "planet,star,galaxy,nebula,constellation,comet,asteroid,minor planet,pulsar".split(",")),
+    names=(
+        "infobox planet", "infobox star", "infobox galaxy", "infobox nebula", "infobox constellation", "infobox comet",
+        "infobox asteroid", "infobox minor planet", "infobox pulsar",
+    ),
     aliases={
         "type": ("type", "spectral", "mp_category"),
         "distance": ("dist_ly", "dist_pc", "distance", "aphelion"),
@@ -76,7 +90,10 @@ BIOLOGY = Infobox(
     },
 )
 MATH = Infobox(
-    names=tuple(f"infobox {x}" for x in "mathematical statement,mathematics,theorem,conjecture,equation".split(",")),
+    names=(
+        "infobox mathematical statement", "infobox mathematics", "infobox theorem", "infobox conjecture",
+        "infobox equation",
+    ),
     aliases={
         "field": ("field", "branch", "area"),
         "year_discovered": ("year", "conjectured", "proved", "date"),

@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.literals import required, trie
 from ..functions.text import ANY_CASE
 from ..storage import checkpointed
 
 
+#: So many patterns are tried on every name at once.
+FEW = 4
+
+
 def edges(links: DataFrame, targets: DataFrame, categories: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct ``parent, child`` of subcategories and ``category, page_id`` of members.
 
@@ -24,18 +29,32 @@ def edges(links: DataFrame, targets: DataFrame, categories: DataFrame) -> tuple[
     return subcategories, members
 
 
-def matches(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
-    """Whether any pattern is found in the name, in any case; without patterns, never.
-
-    Patterns join into one alternation. Those with a back-reference count their own groups, so each of
-    them stands alone.
-    """
+def _any(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
+    """Patterns joined into one alternation. Those with a back-reference count their own groups, so each of them stands alone."""
     alone = [p for p in patterns if any(f"\\{n}" in p for n in range(1, 10))]
     joined = [p for p in patterns if p not in alone]
     tests = [name.rlike(ANY_CASE + "|".join(f"(?:{p})" for p in joined))] if joined else []
     return reduce(lambda a, b: a | b, tests + [name.rlike(ANY_CASE + p) for p in alone], F.lit(False))
 
 
+def possible(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
+    """Whether the name holds what one of the patterns can't match without; true if that can't be told of each."""
+    needs = [required(p) for p in patterns]
+    return F.lower(name).rlike(trie(frozenset().union(*needs))) if needs and all(needs) else F.lit(bool(needs))
+
+
+def matches(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
+    """Whether any pattern is found in the name, in any case; without patterns, never.
+
+    Patterns with literals of their own are tried on names that hold one of those literals only.
+    """
+    with_literals = [p for p in patterns if required(p)]
+    if len(with_literals) < FEW:
+        return _any(name, patterns)
+    tested = possible(name, with_literals) & _any(name, with_literals)
+    return tested | _any(name, [p for p in patterns if p not in with_literals])
+
+
 def find_categories(categories: DataFrame, patterns: list[str] | tuple[str, ...]) -> DataFrame:
     """Distinct ``name`` of the categories that a pattern matches."""
     return categories.where(matches(F.col("name"), patterns)).select("name").distinct()
@@ -70,7 +89,8 @@ def filter_pages(pages: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 def tag_groups(categories: DataFrame, groups: list[tuple[str, tuple[str, ...]]] | tuple) -> DataFrame:
     """``stem, name``: each category once for each pattern group that matches it, from one pass over the names."""
     hits = F.array_compact(F.array(*[F.when(matches(F.col("name"), patterns), F.lit(stem)) for stem, patterns in groups]))
-    return categories.select(F.explode(hits).alias("stem"), "name").distinct()
+    every = [p for _, patterns in groups for p in patterns]
+    return categories.where(possible(F.col("name"), every)).select(F.explode(hits).alias("stem"), "name").distinct()
 
 
 def group_articles(members: DataFrame, tagged: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from ..storage import stored
 from .extract import Model, records
 from .regions import entries, first_of_key, join_regions
 
+# Flags, their defaults, and what they stand for.
 #: Least article length of wikis unless it is given; 0 for the simple one, whose articles are short.
 LEAST_LENGTH = 5000
 #: Where pattern files are unless a folder is given.
@@ -127,10 +128,8 @@ def parsed_dumps(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
     if config.clear_cache:
         cache.clear()
     names = ("categories", "articles", "subcategories", "members")
-    if config.use_cache:
-        held = {n: cache.load(n, list(files.values())) for n in names}
-        if all(df is not None for df in held.values()):
-            return held
+    if config.use_cache and (held := cache.load_all(names, list(files.values()))):
+        return held
     for t, path in files.items():
         if not path.exists():
             remote.download(f"https://dumps.wikimedia.org/{config.wiki}/latest/{path.name}", path)
@@ -141,9 +140,8 @@ def parsed_dumps(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
     subcategories, members = cat.edges(links, link_targets, categories)
     fresh = dict(zip(names, (categories, articles, subcategories, members), strict=True))
     if config.use_cache:
-        for n, df in fresh.items():
-            cache.save(df, n, list(files.values()))
-        return {n: cache.load(n, list(files.values())) for n in names}
+        cache.save_all(fresh, list(files.values()))
+        return cache.load_all(names, list(files.values()))
     return fresh
 
 
@@ -160,6 +158,16 @@ def wanted_articles(tables: dict[str, DataFrame], config: Config, report: Report
     return cat.collect_articles(tables["members"], cat.find_categories(tables["categories"], config.patterns))
 
 
+def _index(spark: SparkSession, path: Path, config: Config) -> DataFrame:
+    """The parsed index: of the cache, or parsed once and kept there, or for this run only."""
+    if not config.use_cache:
+        return stored(archives.read_index(spark, str(path)), "index")
+    cache = Cache(spark, config.data_dir, config.wiki)
+    if cache.load("index", [path]) is None:
+        cache.save(archives.read_index(spark, str(path)), "index", [path])
+    return cache.load("index", [path])
+
+
 def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: remote.Transport = remote.http_get, report: Report | None = None) -> DataFrame:
     """``title, wikitext, plaintext`` of the targets, by API, multistream archive or full scan."""
     if config.use_api:
@@ -171,7 +179,7 @@ def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: re
         return both[0].join(both[1], "title", "left")
     if config.multistream:
         archive, path = archives.find_multistream(config.data_dir, config.wiki)
-        index = archives.read_index(spark, str(path))
+        index = _index(spark, path, config)
         if report:
             report("not in the index", archives.missing_from(targets, index).agg(F.count("*").alias("articles")))
         return archives.content(archives.read_multistream(targets, index, str(archive), config.limit))

@@ -182,7 +182,7 @@ _WIDE = (
 def wide_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four names of every line (2.4 million at sf0.1) against 23 patterns."""
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber").join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    each = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    each = dealt_out(spark, lines).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
     name = say(F.translate("p_name", " ", "_"), "_of_", F.col("l_orderkey"), "_in_", F.col("l_linenumber") + 10 * F.col("i"))
     return cat.find_categories(each.select(name.alias("name")), _WIDE)
 

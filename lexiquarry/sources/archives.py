@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import bz2
-import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+import uuid
 from pathlib import Path
 
-import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.plaintext import plaintext
+from ..storage import shared_root, stored
+from .blocks import pages_in  # noqa: F401
+from .multistream import MultistreamSource, register
 
 #: Blocks whose starts lie closer are read together.
 GAP_BYTES = 2 << 20
 #: Compressed bytes that are asked for at once beyond the last start of a batch.
 READ_BYTES = 4 << 20
 
-ARTICLES = "page_id long, title string, wikitext string"
-_ARTICLES = pa.schema([("page_id", pa.int64()), ("title", pa.string()), ("wikitext", pa.string())])
-
 # Names of a wiki's archive files.
 NAMES = {
     "multistream": "{wiki}-latest-pages-articles-multistream.xml.bz2",
@@ -89,70 +85,23 @@ def batches_of(blocks: DataFrame, gap: int = GAP_BYTES, stripe: int = 1 << 30) -
     return near.withColumn("_new", new).withColumn("batch", F.sum("_new").over(own)).drop("_new")
 
 
-def pages_in(block: bytes) -> dict[int, tuple[str, str]]:
-    """``{page_id: (title, wikitext)}`` of a block's articles; of a block that does not parse, nothing."""
-    text = block.decode("utf-8", errors="replace")
-    start = text.find("<page>")
-    if start < 0:
-        return {}
-    end = text.rfind("</page>")
-    try:
-        root = ET.fromstring(f"<pages>{text[start : end + 7]}</pages>") if end > start else ET.fromstring("<pages/>")
-    except ET.ParseError:
-        return {}
-    found = {}
-    for page in root.iter("page"):
-        number, title, body = page.findtext("id"), page.findtext("title"), page.findtext("revision/text")
-        if page.findtext("ns") == "0" and number and title and body:
-            found[int(number)] = (title, body)
-    return found
-
-
-def _stream(archive, offset: int, held: bytes, at: int) -> bytes:
-    """One bz2 stream from ``offset``; ``held`` are the archive's bytes from ``at`` on, and more is read if it is longer."""
-    unpack, out = bz2.BZ2Decompressor(), []
-    data, next_ = held[offset - at :], at + len(held)
-    while not unpack.eof:
-        if not data:
-            data = archive.read_at(READ_BYTES, next_)
-            next_ += len(data)
-            if not data:
-                break
-        out.append(unpack.decompress(data))
-        data = b""
-    return b"".join(out)
+def keep_index(index: DataFrame, folder: str) -> str:
+    """Writes ``page_id, offset, title`` of an index sorted by offset, as the ``multistream`` source reads it; returns the folder."""
+    index.repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(folder)
+    return folder
 
 
 def read_multistream(targets: DataFrame, index: DataFrame, archive: str, limit: int | None = None) -> DataFrame:
     """``page_id, title, wikitext`` of the wanted pages that the archive holds.
 
-    Only their blocks are unpacked. Blocks are dealt out by ranges of offsets, so a task reads one stretch
-    of the archive forwards, near blocks in one go. A limit cuts the wanted pages before anything is read.
+    The index of the wanted pages is stored, and the ``multistream`` source plans its partitions from that. Only their
+    blocks are unpacked, and a limit cuts the wanted pages before anything is read.
     """
-    known = targets.select("page_id").join(index.select("page_id"), "page_id", "left_semi")
-    blocks = blocks_of(known.limit(limit) if limit else targets, index)
-    blocks = batches_of(blocks).repartitionByRange("offset").sortWithinPartitions("offset")
-
-    def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, path = pyarrow.fs.FileSystem.from_uri(archive) if "://" in archive else (pyarrow.fs.LocalFileSystem(), archive)
-        with files.open_input_file(path) as opened:
-            for batch in source:
-                rows = batch.to_pylist()
-                k = 0
-                while k < len(rows):
-                    n = k
-                    while n + 1 < len(rows) and (rows[n + 1]["stripe"], rows[n + 1]["batch"]) == (rows[k]["stripe"], rows[k]["batch"]) and rows[n + 1]["offset"] - rows[k]["offset"] <= 4 * READ_BYTES:
-                        n += 1
-                    at = rows[k]["offset"]
-                    held = opened.read_at(rows[n]["offset"] - at + READ_BYTES // 4, at)
-                    for row in rows[k : n + 1]:
-                        wanted = set(row["page_ids"])
-                        got = [(i, *page) for i, page in pages_in(_stream(opened, row["offset"], held, at)).items() if i in wanted]
-                        if got:
-                            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*got, strict=True), _ARTICLES, strict=True)], schema=_ARTICLES)
-                    k = n + 1
-
-    return blocks.select("offset", "page_ids", "stripe", "batch").mapInArrow(read, ARTICLES)
+    spark = targets.sparkSession
+    known = stored(index.join(targets.select("page_id"), "page_id", "left_semi").select("page_id", "offset"), "known-pages")
+    register(spark)
+    wanted = keep_index(known.limit(limit) if limit else known, f"{shared_root(spark)}/wanted-{uuid.uuid4().hex}")
+    return spark.read.format(MultistreamSource.name()).option("index", wanted).load(archive)
 
 
 _PAGE_XML = "title string, ns int, id long, revision struct<text: struct<_VALUE: string, _bytes: long>>"

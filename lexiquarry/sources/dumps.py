@@ -43,8 +43,8 @@ def read_dump(spark: SparkSession, path: str, table: str) -> DataFrame:
     """``fields`` of a dump file, plain or gzip; a gzip file is unzipped in one task, so its lines are dealt out before they are split."""
     lines = spark.read.text(path)
     if path.endswith(".gz"):
-        # ranges of lines keep the file's order; to find their bounds Spark unzips the file once more
-        lines = lines.where(F.col("value").startswith(_head(table))).select("value", F.monotonically_increasing_id().alias("at")).repartitionByRange("at").select("value")
+        at = F.monotonically_increasing_id()
+        lines = lines.where(F.col("value").startswith(_head(table))).select("value", at.alias("at")).repartition("at").select("value")
     return inserts(lines, table)
 
 

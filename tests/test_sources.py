@@ -252,3 +252,29 @@ def test_regions_and_keyed_json(spark, tmp_path):
     assert json.loads(part.read_text()) == {'a"\n\\b': {"title": "x"}, "c": {}} and '\n    "title": "x"\n  },\n' in part.read_text()
     text = lambda name: "".join(p.read_text() for p in Path(f"{tmp_path}/out/{name}").glob("part-*"))
     assert "Nowhere" in text("unmatched") and '"Kent County, Delaware","Kent, Delaware"' in text("collisions") and "A1,B1,b.json" in text("key_collisions")
+
+
+def test_filters_reach_the_archive(spark, archive, monkeypatch):
+    """Of a filter on page_id only the blocks that hold such pages are unpacked, and only their stretches are planned."""
+    from lexiquarry.sources import multistream
+
+    path, index = archives.find_multistream(archive, "xwiki")
+    kept = archives.keep_index(archives.read_index(spark, str(index)), str(archive / "kept"))
+    multistream.register(spark)
+    offsets = {r.page_id: r.offset for r in spark.read.parquet(kept).collect()}
+    whole = spark.read.format("multistream").option("index", kept).option("split", 300).load(str(path))
+    assert {r.page_id for r in whole.collect()} == {10 * b + k for b in range(6) for k in range(3)}
+    assert whole.rdd.getNumPartitions() == len({o // 300 for o in offsets.values()}) > 1
+    for test, want in (
+        ("page_id = 11", {11}), ("page_id IN (0, 52, 777)", {0, 52}), ("page_id > 40 AND page_id <= 51", {41, 42, 50, 51}), ("page_id >= 50 AND page_id < 52", {50, 51}),
+        ("page_id = 11 AND title = 'T 1:1'", {11}), ("page_id = 11 AND title = 'x'", set()), ("page_id = 1000", set()), ("page_id % 10 = 1 AND page_id < 30", {1, 11, 21}), ("page_id IS NULL", set()),
+    ):
+        assert {r.page_id for r in whole.where(test).collect()} == want, test
+    one = whole.where("page_id IN (0, 52)")
+    assert one.rdd.getNumPartitions() == len({offsets[i] // 300 for i in (0, 52)})
+    reader = multistream.MultistreamSource({"path": str(path), "index": kept, "split": "300"}).reader(None)
+    opened = []
+    monkeypatch.setattr(multistream, "stream", lambda f, at, *rest, real=multistream.stream: opened.append(at) or real(f, at, *rest))
+    assert list(reader.pushFilters([multistream.EqualTo(("page_id",), 11), multistream.EqualTo(("title",), "x")])) == [multistream.EqualTo(("title",), "x")]
+    rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert [r["page_id"] for r in rows] == [11] and opened == [offsets[11]]
