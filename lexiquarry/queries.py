@@ -6,9 +6,13 @@ The tables hold no dumps or wikitext, so queries render them from key columns an
 from __future__ import annotations
 
 import bz2
+import http.client
+import json
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs
@@ -27,9 +31,11 @@ from .operators import categories as cat
 from .operators import reports
 from .plans.extract import fill_by_model, records, tiered
 from .plans.regions import entries, first_of_key, join_regions
+from .plans.run import parse_args, run
 from .sources import dumps
-from .sources.archives import batches_of, blocks_of, missing_from, parse_index, read_multistream, read_xml
-from .sources.files import read_results
+from .sources.archives import archive_name, batches_of, blocks_of, missing_from, parse_index, read_multistream, read_xml
+from .sources.files import Cache, read_regions, read_results
+from .sources.remote import ask_model, fetch_articles
 from .sources.sinks import read_workbooks, write_delimited, write_keyed_json, write_workbooks
 from .storage import shared_root, stored
 
@@ -796,6 +802,114 @@ def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_workbooks(spark, folder).where("row > 1").groupBy("name").agg(F.count("*").alias("rows"))
 
 
+# --- services, files and whole runs --------------------------------------------------------------
+
+
+def _told_of(url: str, asked: dict) -> dict:
+    """A service that tells of each title but those that end in 0, in two parts."""
+    titles = asked["titles"].split("|")
+    part = titles[1::2] if "go" in asked else titles[::2]
+    pages = [{"title": t, "extract": f"About {t}."} if not t.endswith("0") else {"title": t, "missing": True} for t in part]
+    return {"query": {"pages": pages}} | ({} if "go" in asked or len(titles) < 2 else {"continue": {"go": "on"}})
+
+
+@query("SELECT c_name AS title, 'About ' || c_name || '.' AS plaintext FROM customer WHERE c_name NOT LIKE '%0'")
+def api_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of all customers by a paged interface, 50 titles a request."""
+    titles = table(spark, sf_dir, "customer").select(F.col("c_name").alias("title"))
+    return fetch_articles(titles.unionByName(titles.limit(5)), "api", _told_of, "plaintext", pause=0.001)
+
+
+def _hears(url: str, asked: dict) -> object:
+    """A model that finds what someone works as, and whose replies to every seventh are broken in one way or another."""
+    key, trade = re.search(r"\((\d+)\) works as an? ([A-Z ]+)\.", asked["prompt"]).groups()
+    match int(key) % 28:
+        case 0:
+            raise http.client.IncompleteRead(b"")
+        case 7:
+            return ["no reply"]
+        case 14:
+            raise ValueError("not JSON")
+        case 21:
+            return {"response": '{"occupation": 5}'}
+    return {"response": json.dumps({"occupation": f" {trade.lower()} ", "nationality": "Martian"})}
+
+
+@query(
+    """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'Thai' ELSE 'Martian' END AS nationality, lower(c_mktsegment) AS occupation FROM customer WHERE c_custkey % 7 <> 0
+    UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Thai' END, NULL FROM customer WHERE c_custkey % 7 = 0"""
+)
+def model_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps filled by a model, some of whose replies fail; those records stay as they were."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(k.alias("id"), F.when(k % 3 == 0, "Thai").alias("nationality"), F.lit(None).cast("string").alias("occupation"), say("Customer (", k, ") works as a ", F.col("c_mktsegment"), ".").alias("plaintext"))
+    model = lambda df, prompt: ask_model(df, prompt, "model", "m", _hears, tries=1)
+    return fill_by_model(rows, ("nationality", "occupation"), model).drop("plaintext")
+
+
+def _local(spark: SparkSession, name: str) -> Path:
+    """A new folder under the shared one, by its path."""
+    folder = Path(shared_root(spark).removeprefix("file:")) / f"{name}-{uuid.uuid4().hex}"
+    folder.mkdir(parents=True)
+    return folder
+
+
+@query("SELECT 'G.' || n_nationkey AS gid, replace(lower(n_name), '_', ' ') || ', ' || replace(lower(r_name), '_', ' ') AS key FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey % 6 <> 5")
+def region_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of a file for each region, read back; those without a name drop out."""
+    both = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = F.struct(say("G.", F.col("n_nationkey")).alias("GID_2"), F.when(F.col("n_nationkey") % 6 != 5, F.col("n_name")).otherwise("").alias("NAME_2"), F.col("r_name").alias("NAME_1"))
+    files = both.groupBy("r_name").agg(F.lit("FeatureCollection").alias("type"), F.collect_list(F.struct(named.alias("properties"))).alias("features")).drop("r_name")
+    folder = f"{shared_root(spark)}/geo-{uuid.uuid4().hex}"
+    files.write.option("maxRecordsPerFile", 1).json(f"{folder}/regions")
+    return read_regions(spark, folder).select("gid", "key")
+
+
+@query("SELECT 'nation' AS name, n_nationkey::BIGINT AS key FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT 'region', r_regionkey FROM region")
+def cache_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables of one snapshot, which took the place of an earlier one."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    cache = Cache(spark, _local(spark, "cache"), "xwiki")
+    cache.save_all({"nation": nation, "region": region}, [])
+    cache.save_all({"nation": nation.where("n_nationkey % 2 = 0"), "region": region}, [])
+    held = cache.load_all(("nation", "region"), [])
+    return reduce(DataFrame.unionByName, [held[n].select(F.lit(n).alias("name"), F.col(f"{n[0]}_{n}key").cast("long").alias("key")) for n in held])
+
+
+_RUN_PATTERNS = {"visual_artists": ("(?:^|_)gear", "^small.*bolt"), "historians": ("widget",)}
+
+
+@query(
+    f"""WITH c AS (SELECT p_partkey AS k, replace(p_name, ' ', '_') || '_' || p_partkey AS name FROM part WHERE p_partkey % 3 = 0),
+    g AS (SELECT k, stem FROM c, (VALUES {", ".join(f"('{stem}', '{'|'.join(p)}')" for stem, p in _RUN_PATTERNS.items())}) AS t(stem, regex) WHERE regexp_matches(name, regex, 'i'))
+    SELECT stem, p_partkey::BIGINT AS page_id, p_name || ' ' || p_partkey AS title, (1900 + p_partkey % 90) || '-05-03' AS birth_date, p_brand AS nationality,
+    CASE WHEN p_partkey % 2 = 0 THEN 'poet' WHEN p_partkey % 7 <> 0 THEN lower(p_type) END AS occupation, p_size::BIGINT * 100 AS article_bytes
+    FROM part JOIN g ON k = p_partkey - p_partkey % 3 WHERE p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 AND p_size >= 20"""
+)
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From dumps, an archive and pattern files to the cells of each group's workbooks, with a model for what infoboxes lack."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    folder = _local(spark, "run")
+    name = say(F.translate("p_name", " ", "_"), "_", k)
+    target = say("INSERT INTO `linktarget` VALUES (", k, ",14,'", name, "');")
+    link = say("INSERT INTO `categorylinks` VALUES (", k, ",'key','2024','p','page',1,", k - k % 3, ");")
+    for dump, lines in (("page", _page_lines(spark, sf_dir)), ("linktarget", p.where(k % 3 == 0).select(target)), ("categorylinks", p.where(k % 3 != 0).select(link))):
+        lines.write.option("compression", "gzip").text(f"file://{folder}/xwiki-latest-{dump}.sql.gz")
+    box = say("{{Infobox person|birth_date=3 May ", F.lit(1900) + k % 90, "|nationality=", F.col("p_brand"), F.when(k % 2 == 0, "|occupation=poet").otherwise(""), "}} Part (", k, ") works as a ", F.upper("p_type"), ".")
+    page = say("<page><title>", F.col("p_name"), " ", k, "</title><ns>0</ns><id>", k, "</id><revision><text>", box, "</text></revision></page>")
+    p.select(page).write.text(f"file://{folder}/{archive_name('xwiki', 'xml')}")
+    (folder / "patterns").mkdir()
+    for stem, patterns in _RUN_PATTERNS.items():
+        (folder / "patterns" / f"{stem}.txt").write_text("\n".join((*patterns, "", " ")))
+    config = parse_args(["--all", str(folder / "patterns"), "--wiki", "xwiki", "--data-dir", str(folder), "--results-dir", str(folder / "results"), "--min-page-length", "2000", "--no-multistream"])
+    run(spark, config, lambda rows, prompt: ask_model(rows, prompt, "model", "m", _hears, tries=1))
+    books = read_workbooks(spark, str(folder / "results"))
+    header = books.where("row = 1").first()["cells"]
+    cell = {h: F.get("cells", F.lit(n)) for n, h in enumerate(header)}
+    number = lambda c: cell[c].cast("long").alias(c)
+    return books.where("row > 1").select(F.col("name").alias("stem"), number("page_id"), cell["title"].alias("title"), *[cell[f].alias(f) for f in ("birth_date", "nationality", "occupation")], number("article_bytes"))
+
+
 # --- model replies and reports -------------------------------------------------------------------
 
 

@@ -152,6 +152,8 @@ def test_etymology(spark):
     cases = {
         "lead\n== History ==\nno\n== Etymology ==\nThe '''name''' [[x|is]] old.\n\nMore.\n=== Sub ===\nDeep.\n== Next ==\nno": "The name is old. More. Deep.",
         "=== Origin of the name ===\nText\n=== Other ===\nno": "Text", "== Name ==\n\n== Naming ==\nsecond": "second", "== Names ==\nx": None, "none": None,
+        "== [[Etymology]] ==\nlinked": "linked", "== <span id='a'>''Name''</span> [[of it|origin]] ==\ntagged": "tagged", "== {{anchor|x}} Naming ==\ntemplate": "template",
+        "== History ==\nno\n=== [[Name]] ===\nyes\n== Name ==\nlate": "yes", "== My name ==\nx": None, "==== Name ====\nx": None, "== Name\nx": None, "== Name == \nlast line": "last line",
     }
     assert apply(spark, cases, etymology.from_section) == list(cases.values())
     assert len(apply(spark, ["== Name ==\n" + "x" * 5000], etymology.from_section)[0]) == 2000
