@@ -15,7 +15,8 @@ blocks as soon as their bound is below it.
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
 shorter vectors count as filled up with zeros; rows that share the query's vec_id are its own and no
 candidates; repeated candidate rows are candidates each; a query row that repeats exactly is asked
-once; scores beyond 64 bits saturate; extra columns are ignored.
+once; scores beyond 64 bits saturate, components beyond 1e300 too; extra columns are ignored. Where products pass what
+floats hold exactly, scores are floats with a known error first, and whole numbers for what lies within it.
 """
 
 from __future__ import annotations
@@ -35,10 +36,12 @@ K = 5
 BLOCK_ROWS = 16384
 QUERY_ROWS = 2048
 FIRST_DEPTH = 4
+#: Greater components count as this.
+MOST = 1e300
 
-HITS = "query_id long, query_key long, vec_id long, score long"
+HITS = "query_id long, query_key long, vec_id long, score long, beyond string"
 ROWS = "b int, kind int, part int, vec_id long, query_key long, floor long, embedding array<double>"
-_HITS = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_HITS = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.string())])
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -47,7 +50,9 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     size = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros((len(size), int(size.max(initial=0))))
     at = np.repeat(np.arange(len(size)), size)
-    out[at, np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)] = np.floor(256.0 * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+    with np.errstate(over="ignore"):
+        values = np.clip(np.floor(256.0 * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)), -MOST, MOST)
+    out[at, np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)] = values
     return out
 
 
@@ -94,16 +99,63 @@ class Lists:
         return at, score * n - keys, score
 
 
-def _exact(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same by Python's integers, for components too large for exact products in 64 bits."""
-    wide = [[int(v) for v in row] for row in x]
-    lim = np.iinfo(np.int64)
-    out = []
-    for i, one in enumerate(q):
-        own = [int(v) for v in one]
-        scores = sorted((-sum(a * b for a, b in zip(own, row, strict=True)), at) for at, row in enumerate(wide) if ids[at] != query_ids[i])[:k]
-        out += [(i, at, min(max(-s, lim.min), lim.max)) for s, at in scores]
-    return tuple(np.array(c, np.int64) for c in (zip(*out, strict=True) if out else ([], [], [])))
+def beyond(score: int) -> str:
+    """Nothing for scores that fit 64 bits; else a text by which those that don't are in order, the greater one later."""
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    if low <= score <= high:
+        return ""
+    text = f"{len(str(abs(score))):05d}{abs(score)}"
+    return text if score > 0 else text.translate(str.maketrans("0123456789", "9876543210"))
+
+
+class WideLists(Lists):
+    """The same lists for components whose products pass 64 bits.
+
+    Scores are floats here, off by no more than a bound that is known; what lies within that of a query's k-th score stays
+    open, and is scored by whole numbers in the end, each distinct vector once.
+    """
+
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.distinct = np.unique(self.x, axis=0, return_inverse=True)[1].ravel()
+        self.depths = self.met[self.order]
+        found = [self._one(int(i), one, k) for i, one in zip(query_ids, q, strict=True)]
+        at = np.repeat(np.arange(len(q)), [len(rows) for rows, _ in found])
+        return at, np.array([v for rows, _ in found for v in rows], np.int64), np.array([v for _, scores in found for v in scores], object)
+
+    def _one(self, query_id: int, q: np.ndarray, k: int) -> tuple[list[int], list[int]]:
+        """Positions and scores of one query's k best."""
+        n, dims = self.x.shape
+        scale = float(np.abs(q).max(initial=0)) or 1.0
+        unit = q / scale  # keeps sums of any components finite
+        off = 4 * dims * 2.0**-52
+        kept_rows, kept, slack = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        done, depth = 0, FIRST_DEPTH
+        while done < n:
+            upto = int(np.searchsorted(self.depths, depth))
+            rows = self.order[done:upto]
+            done = upto
+            rows = rows[self.ids[rows] != query_id]
+            x = self.x[rows]
+            kept_rows, kept = np.concatenate([kept_rows, rows]), np.concatenate([kept, x @ unit])
+            slack = np.concatenate([slack, off * (np.abs(x) @ np.abs(unit))])
+            if len(kept) > k:  # at least k score this much
+                kth = np.partition(kept - slack, len(kept) - k)[-k]
+                on = kept + slack >= kth
+                kept_rows, kept, slack = kept_rows[on], kept[on], slack[on]
+            if done < n and len(kept) >= k:
+                kth = np.partition(kept - slack, len(kept) - k)[-k]
+                top, bottom = self.values[n - 1 - depth], self.values[depth]
+                bound = np.maximum(unit, 0) @ top + np.minimum(unit, 0) @ bottom
+                if bound + off * (np.abs(unit) @ np.maximum(np.abs(top), np.abs(bottom))) < kth:
+                    break
+            depth *= 2
+        own = [int(v) for v in q]
+        score: dict[int, int] = {}
+        for row in kept_rows.tolist():
+            if (same := int(self.distinct[row])) not in score:
+                score[same] = sum(a * int(b) for a, b in zip(own, self.x[row], strict=True))
+        best = sorted(kept_rows.tolist(), key=lambda row: (-score[int(self.distinct[row])], row))[:k]
+        return best, [score[int(self.distinct[row])] for row in best]
 
 
 def _search(k: int, query_rows: int):
@@ -133,8 +185,10 @@ def _search(k: int, query_rows: int):
                 low = np.iinfo(np.int64).min
                 at, hits, scores = lists.search(query_ids, q, k, np.where(floor == low, low, np.clip(floor, -int(most) - 1, int(most) + 1)))
             else:
-                at, hits, scores = _exact(ids, x, query_ids, q, k)
-            return pa.record_batch([pa.array(query_ids[at]), pa.array(wanted["query_key"].to_numpy()[at]), pa.array(ids[hits]), pa.array(scores)], schema=_HITS)
+                at, hits, scores = WideLists(ids, x).search(query_ids, q, k)
+            more = [beyond(v) for v in scores] if scores.dtype == object else [""] * len(scores)
+            scores = np.clip(scores, np.iinfo(np.int64).min, np.iinfo(np.int64).max).astype(np.int64)
+            return pa.record_batch([pa.array(query_ids[at]), pa.array(wanted["query_key"].to_numpy()[at]), pa.array(ids[hits]), pa.array(scores), pa.array(more, pa.string())], schema=_HITS)
 
         def runs(batch: pa.RecordBatch) -> Iterator[pa.Table]:
             b, kind = batch["b"].to_numpy(), batch["kind"].to_numpy()
@@ -181,7 +235,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: int =
     first = asked.select(F.lit(0).alias("b"), F.lit(1).alias("kind"), "part", "vec_id", "query_key", low.alias("floor"), "embedding")
     shown = rows.where("b = 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     found = search(shown.select(columns).unionByName(first).withColumn("b", F.col("part")), parts, "b")
-    order = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
+    order = W.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), F.col("beyond").desc(), "vec_id")
     found = materialise(found, "first-block")
     kth = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "query_key", F.col("score").alias("floor"))
     if n > 1:

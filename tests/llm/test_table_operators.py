@@ -48,6 +48,38 @@ def test_lists_close_early_and_keep_all(spark):
     assert len(lists.search(ids[::50], q, 5, floor * 0 + 2**40)[0]) == 0
 
 
+def test_large_components_are_exact_and_take_seconds():
+    import time
+
+    rng = np.random.default_rng(7)
+    x = np.floor(256 * rng.normal(0, 1, (16384, 64)))
+    x[5000:9000] = x[4999]  # ties
+    x[77, 3], x[4999, 9] = 2.0**60, -(2.0**55)
+    q, ids = x[: 64 * 200 : 200].copy(), np.arange(len(x))
+    q[5, 0] = 3e17
+    began = time.process_time()
+    got = topk.WideLists(ids, x).search(ids[: 64 * 200 : 200], q, 5)
+    assert time.process_time() - began < 30
+    whole = x.astype(object)
+    want = []
+    for i in range(0, 64, 7):
+        scores = [sum(int(a) * int(b) for a, b in zip(q[i], row)) for row in whole]
+        order = sorted((j for j in range(len(x)) if j != 200 * i), key=lambda j: (-scores[j], j))[:5]
+        want += [(i, j, scores[j]) for j in order]
+    assert [r for r in zip(*map(np.ndarray.tolist, got), strict=True) if r[0] % 7 == 0] == want
+
+
+@pytest.mark.parametrize("scale", [1e9, 1e15, 1e200, 1e307])
+def test_topk_of_large_components(spark, scale):
+    rng = random.Random(4)
+    rows = [(k, [rng.uniform(-1, 1) * scale ** rng.choice([0, 0.5, 1]) for _ in range(5)]) for k in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0"), block_rows=40).collect()))
+    clipped = [(i, [max(-1e300, min(1e300, math.floor(256 * x) if abs(x) < 1e303 else math.copysign(1e300, x))) / 256 for x in v]) for i, v in rows]
+    assert [r[:3] for r in got] == [r[:3] for r in brute_topk(clipped, 5)]
+    assert all(r[3] == min(max(w[3], -(2**63)), 2**63 - 1) for r, w in zip(got, brute_topk(clipped, 5)))
+
+
 def test_topk_of_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 2.0]), (50, [0.5, 0.5]), (3, [0.0, -1.0])], schema)
