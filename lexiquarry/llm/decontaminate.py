@@ -1,12 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman alignment scores them.
 
-1. The items' ``N``-word sequences form a table. One pass over the documents counts, of each sequence that the
-   items hold, the documents that hold it (counts combine before the shuffle).
+1. The items' ``N``-word sequences form a table. One pass over the documents stores where they hold any of them,
+   and counts of each the documents that do (counts combine before the shuffle).
 2. Seeds are the rare sequences of an item, held by ``RARE`` documents at most, and of every ``WINDOW``
    consecutive sequences the rarest that any document holds. So every unbroken run of ``N + WINDOW - 1``
    copied words has a seed, however common the passage is, and every shorter one of ``N`` words on that is rare.
-3. A second pass over the documents joins their sequences to the seeds. Hits are grouped by document, item
-   and diagonal (place in the text less place in the item).
+3. What is stored is joined to the seeds. Hits are grouped by document, item, band of diagonals (place in the text
+   less place in the item) and stretch of the item, so a phrase that both repeat makes few of them.
 4. Documents with hits are read once more, and the words about each group of hits on near diagonals are aligned
    with the item's by Smith-Waterman (match 2, mismatch and gap -1) in a band: ``SLACK`` diagonals on either
    side (fewer for short items), from ``MARGIN`` words before the first seed to as many after the last.
@@ -15,7 +15,7 @@
    leaks the item.
 5. Items of fewer than ``N`` words leak where all their words stand in a row.
 
-Three passes, however large the benchmark is. What is broadcast has a bound: an array of ``2**FILTER_BITS``
+Two passes, however large the benchmark is. What is broadcast has a bound: an array of ``2**FILTER_BITS``
 bits at most, which keeps other sequences out of the joins (what it lets through the joins drop), and tables
 whose size was measured. Words are runs of letters and digits in lower case (A-Z), so changed punctuation
 does not hide a copy.
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -98,22 +98,28 @@ def _lengths(items: DataFrame) -> list[int]:
     return sorted(r[0] for r in items.select(F.least("n", F.lit(N))).distinct().collect())
 
 
-def document_frequencies(docs: DataFrame, sequences: DataFrame, lengths: list[int]) -> DataFrame:
-    """``gram, df``: the documents (rows of ``text``) that hold each of the sequences, where any does."""
+def held_sequences(docs: DataFrame, sequences: DataFrame, lengths: list[int]) -> DataFrame:
+    """``row_key, gram, at, new``: where documents hold the sequences (and a few others); ``new`` is 1 at a row's first of each."""
     held = bit_array(sequences, "gram", FILTER_BITS)
 
     def run(source: Batches) -> Batches:
         for batch in source:
-            for _, w in each_slice(batch["text"], marks=True):
+            keys = batch["row_key"].to_numpy(zero_copy_only=False)
+            for first, w in each_slice(batch["text"], marks=True):
                 for n in lengths:
                     g, row = _own_grams(w, n)
                     at = np.flatnonzero(held.has(g) & (row >= 0))
-                    own = np.unique(np.stack([g[at], row[at].astype(np.uint64)], axis=1), axis=0)[:, 0]
-                    found, count = np.unique(own, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["gram", "n"])
+                    g, row = g[at], row[at]
+                    new = np.zeros(len(at), np.int32)
+                    new[np.unique(np.stack([g, row.astype(np.uint64)], axis=1), axis=0, return_index=True)[1]] = 1
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[first + row]), pa.array(g.view(np.int64)), pa.array((at - w.rows[row]).astype(np.int32)), pa.array(new)], ["row_key", "gram", "at", "new"])
+
+    return materialise(docs.select("row_key", "text").mapInArrow(run, "row_key long, gram long, at int, new int"), "held-sequences")
+
 
-    counts = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("df"))
-    return counts.join(sequences, "gram", "left_semi")
+def document_frequencies(found: DataFrame, sequences: DataFrame) -> DataFrame:
+    """``gram, df``: the documents (rows) that hold each of the sequences, where any does."""
+    return found.groupBy("gram").agg(F.sum("new").alias("df")).join(sequences, "gram", "left_semi")
 
 
 def choose_seeds(sequences: DataFrame, frequencies: DataFrame) -> DataFrame:
@@ -160,10 +166,14 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int,
     return best
 
 
+def slack_of(n: Column) -> Column:
+    return F.least(F.floor(n / 2) + 4, F.lit(SLACK))
+
+
 def _places(source: Batches) -> Batches:
-    """Of documents with the seeds' ``hits`` (item, its length, diagonal, first and last place), the words to align with each item.
+    """Of documents with the seeds' ``hits`` (item, its length, band, least and greatest diagonal, first and last place), the words to align with each item.
 
-    Diagonals of a range of two slacks go together, and hits in it whose margins meet. ``base`` is the place of
+    Hits of a band go together where their margins meet. ``base`` is the place of
     the first word, ``first, last`` are the bounds in the item.
     """
     for whole in source:
@@ -175,16 +185,15 @@ def _places(source: Batches) -> Batches:
                 for r in range(len(w.rows) - 1):
                     row = first_row + r
                     words = w.hash[w.rows[r] : w.rows[r + 1]]
-                    own = {c: v.to_numpy(zero_copy_only=False) for c, v in zip(("item", "n", "diagonal", "first", "last"), hits[row].values.flatten(), strict=True)}
-                    own["slack"] = np.minimum(own["n"] // 2 + 4, SLACK)
-                    own["band"] = own["diagonal"] // (2 * own["slack"])
+                    own = {c: v.to_numpy(zero_copy_only=False) for c, v in zip(("item", "n", "band", "low", "high", "first", "last"), hits[row].values.flatten(), strict=True)}
                     order = np.lexsort((own["first"], own["band"], own["item"]))
-                    item, n, diagonal, lo, hi, slack, band = (x[order] for x in own.values())
+                    item, n, band, least, most, lo, hi = (x[order] for x in own.values())
+                    slack = np.minimum(n // 2 + 4, SLACK)
                     new = np.ones(len(item), bool)
                     new[1:] = (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (lo[1:] - hi[:-1] > 2 * MARGIN)
                     begin = np.flatnonzero(new)
                     lo, hi = np.minimum.reduceat(lo, begin), np.maximum.reduceat(hi, begin)
-                    low, high = np.minimum.reduceat(diagonal, begin) - slack[begin], np.maximum.reduceat(diagonal, begin) + slack[begin]
+                    low, high = np.minimum.reduceat(least, begin) - slack[begin], np.maximum.reduceat(most, begin) + slack[begin]
                     item, n = item[begin], n[begin]
                     i0, i1 = np.maximum(0, lo - MARGIN), np.minimum(n, hi + N + MARGIN)
                     t0, t1 = np.clip(low + i0, 0, len(words)), np.clip(high + i1, 0, len(words))
@@ -226,24 +235,16 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame
     lengths = _lengths(items)
     docs = docs.select(*_row_key())
     sequences = materialise(item_grams(items), "item-grams")
-    seeds = materialise(choose_seeds(sequences, document_frequencies(docs, sequences.select("gram").distinct(), lengths)), "seeds")
-    held = bit_array(seeds.select("gram"), "gram", FILTER_BITS)
-
-    def find(source: Batches) -> Batches:
-        for batch in source:
-            keys = batch["row_key"].to_numpy(zero_copy_only=False)
-            for first, w in each_slice(batch["text"], marks=True):
-                for n in lengths:
-                    g, row = _own_grams(w, n)
-                    at = np.flatnonzero(held.has(g) & (row >= 0))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[first + row[at]]), pa.array(g[at].view(np.int64)), pa.array((at - w.rows[row[at]]).astype(np.int32))], ["row_key", "gram", "at"])
-
-    found = docs.select("row_key", "text").mapInArrow(find, "row_key long, gram long, at int")
+    found = held_sequences(docs, sequences.select("gram").distinct(), lengths)
+    seeds = materialise(choose_seeds(sequences, document_frequencies(found, sequences.select("gram").distinct())), "seeds")
     found = found.join(small(seeds), "gram").withColumn("diagonal", F.col("at") - F.col("place"))
-    found = found.groupBy("row_key", "item", "n", "diagonal", F.floor(F.col("place") / 256).alias("part")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    hits = found.groupBy("row_key").agg(F.collect_list(F.struct("item", "n", "diagonal", "first", "last")).alias("hits"))
+    # hits of a band of diagonals whose margins meet are aligned together, so those of one stretch of places are one already here
+    band, part = F.floor(F.col("diagonal") / (2 * slack_of(F.col("n")))), F.floor(F.col("place") / (2 * MARGIN))
+    ends = [F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.min("place").alias("first"), F.max("place").alias("last")]
+    found = found.groupBy("row_key", "item", "n", band.alias("band"), part.alias("part")).agg(*ends)
+    hits = found.groupBy("row_key").agg(F.collect_list(F.struct("item", "n", "band", "low", "high", "first", "last")).alias("hits"))
     hits = materialise(hits, "hits")
-    read = docs.withColumn("uid", F.monotonically_increasing_id()).join(small(hits, 24 * F.size("hits")), "row_key")
+    read = docs.withColumn("uid", F.monotonically_increasing_id()).join(small(hits, 48 * F.size("hits")), "row_key")
     places = read.select("uid", "doc_id", "row_key", "text", "hits").mapInArrow(_places, _PLACES)
     both = places.join(small(items.select("item", "n", F.col("words").alias("item_words")), F.octet_length("item_words")), "item")
     scored = both.mapInArrow(_scores(threshold), _SCORED)
