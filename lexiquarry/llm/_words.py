@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy pass holds; a longer single text makes a larger pass.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
