@@ -2,6 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. All but the
 last return the columns of ``documents``; the last adds ``size``, ``taken`` and ``virtual_finish``.
+
+An empty table passes through every stage as one. Extra columns stay, whatever their names; the stages' own are named apart.
 """
 
 from __future__ import annotations
@@ -14,17 +16,28 @@ from lexiquarry.llm._shared import materialise, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts score by the bias, and repeated rows alike; without labels all score 0.5 and stay.
+    """
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that of least doc_id.
+
+    Null texts and texts without words are linked with nothing and stay, as do rows without a doc_id; rows of one doc_id
+    are one document and stay or go together.
+    """
     return near_dedup.drop_near_duplicates(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds are cut; the document stays."""
+    """Passages that an earlier document holds are cut; the document stays.
+
+    Null texts stay null, empty ones empty; rows of one doc_id count as one document, one without comes after all others.
+    ``n_chars``, where there is such a column, is counted anew.
+    """
     out = substrings.dedup_substrings(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -32,12 +45,19 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak a test item go."""
+    """Documents that leak a test item go.
+
+    Null and empty texts and items match nothing; repeated rows are judged alike; without items all stay.
+    """
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mixture, with the words that it takes of each."""
+    """Documents of the mixture, with the words that it takes of each.
+
+    Null and empty texts have no words, so they are not in it; of equal rows as many are as something is taken of; null is a
+    source of its own.
+    """
     return mixing.mix(docs)
 
 
