@@ -172,7 +172,7 @@ def fetch(spark: SparkSession, targets: DataFrame, config: Config, transport: re
     """``title, wikitext, plaintext`` of the targets, by API, multistream archive or full scan."""
     if config.use_api:
         titles = targets.select(F.translate("title", "_", " ").alias("title"))
-        titles = titles.limit(config.limit) if config.limit else titles
+        titles = stored(titles.limit(config.limit), "titles") if config.limit else titles
         url = f"https://{config.lang}.wikipedia.org/w/api.php"
         store = str(config.cache_dir / "fetched") if config.use_cache else None
         both = [remote.fetch_articles(titles, url, transport, kind, config.api_batch, config.api_pause, store=store) for kind in ("wikitext", "plaintext")]

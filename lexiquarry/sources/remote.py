@@ -87,12 +87,13 @@ def fetch_articles(
 
 
 def ask_model(
-    rows: DataFrame, prompt: Column, url: str, model: str, transport: Transport = http_post, tries: int = 3, backoff: float = 1.0, tasks: int = 4, store: str | None = None
+    rows: DataFrame, prompt: Column, url: str, model: str, transport: Transport = http_post, tries: int = 3, backoff: float = 1.0, tasks: int | None = None, store: str | None = None
 ) -> DataFrame:
     """``rows`` with ``reply``, the model's text; null where every try failed, whatever the reason, or the prompt is null.
 
     A prompt is asked once, however many rows have it, and not at all if the ``store`` (a folder; else one for this call) has
-    the model's reply. Failures aren't kept. Replies are read by column functions.
+    the model's reply. Failures aren't kept. As many tasks ask as the session has cores, or ``tasks``. Replies are read by
+    column functions.
     """
     spark = rows.sparkSession
     asked = rows.withColumn("_prompt", prompt).withColumn("_key", keys("_prompt", url, model))
@@ -117,7 +118,7 @@ def ask_model(
 
     questions = asked.where("_prompt IS NOT NULL").groupBy("_key").agg(F.min("_prompt").alias("question")).withColumnRenamed("_key", "key")
     answers = Answers(spark, store or f"{shared_root(spark)}/replies-{uuid.uuid4().hex}")
-    got = answers.ask(stored(questions, "prompts"), call, tasks)
+    got = answers.ask(stored(questions, "prompts"), call, tasks or spark.sparkContext.defaultParallelism)
     return asked.join(got.select(F.col("key").alias("_key"), F.col("answer").alias("reply")), "_key", "left").select(*[F.col(f"`{c}`") for c in rows.columns], "reply")
 
 
