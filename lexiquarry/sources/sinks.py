@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .answers import filesystem
 from .workbooks import WorkbookSource, take_written
 
 #: Rows that one sheet can hold besides its header.
@@ -34,6 +35,8 @@ def write_workbooks(df: DataFrame, folder: str, sheet: str = "Sheet", by: str |
     spark, job = df.sparkSession, uuid.uuid4().hex
     spark.dataSource.register(WorkbookSource)
     options = {"path": folder, "sheet": sheet, "sheet_rows": str(SHEET_ROWS), "job": job} | ({"by": by} if by else {})
+    files, base = filesystem(folder)
+    files.create_dir(f"{base}/_writing-{job}", recursive=True)  # tasks that outlive a failed write find it gone
     df.write.format(WorkbookSource.name()).options(**options).mode("overwrite").save()
     return spark.createDataFrame(take_written(folder, job), "name string, path string, rows long")  # a row for each file
 

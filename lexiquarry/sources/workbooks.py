@@ -137,7 +137,7 @@ class _Writer(DataSourceArrowWriter):
         name = self.sheet
 
         def close() -> None:
-            files.create_dir(own, recursive=True)
+            files.create_dir(own, recursive=False)
             place = f"{base}/{name}" if self.by else base
             with files.open_output_stream(f"{own}/{len(made):05d}.xlsx", compression=None) as out:
                 book.save(out)
