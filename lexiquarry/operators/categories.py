@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.literals import required, trie
+from ..functions.literals import beginnings, joined, required, trie
 from ..functions.text import ANY_CASE
 from ..storage import checkpointed
 
 
-#: So many patterns are tried on every name at once.
+#: Fewer beginnings of patterns are tried on every name at once.
 FEW = 4
 
 
@@ -32,8 +32,8 @@ def edges(links: DataFrame, targets: DataFrame, categories: DataFrame) -> tuple[
 def _any(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
     """Patterns joined into one alternation. Those with a back-reference count their own groups, so each of them stands alone."""
     alone = [p for p in patterns if any(f"\\{n}" in p for n in range(1, 10))]
-    joined = [p for p in patterns if p not in alone]
-    tests = [name.rlike(ANY_CASE + "|".join(f"(?:{p})" for p in joined))] if joined else []
+    others = [p for p in patterns if p not in alone]
+    tests = [name.rlike(ANY_CASE + joined(others))] if others else []
     return reduce(lambda a, b: a | b, tests + [name.rlike(ANY_CASE + p) for p in alone], F.lit(False))
 
 
@@ -46,10 +46,10 @@ def possible(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
 def matches(name: Column, patterns: list[str] | tuple[str, ...]) -> Column:
     """Whether any pattern is found in the name, in any case; without patterns, never.
 
-    Patterns with literals of their own are tried on names that hold one of those literals only.
+    Patterns with literals of their own are tried on names that hold one of those literals only, unless they begin in a few ways.
     """
     with_literals = [p for p in patterns if required(p)]
-    if len(with_literals) < FEW:
+    if beginnings(with_literals) < FEW:
         return _any(name, patterns)
     tested = possible(name, with_literals) & _any(name, with_literals)
     return tested | _any(name, [p for p in patterns if p not in with_literals])

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lexiquarry.functions.literals import required, trie
+from lexiquarry.functions.literals import beginnings, joined, required, trie
 from lexiquarry.operators import categories as cat
 from lexiquarry.sources import files
 
@@ -126,3 +126,22 @@ def test_old_versions_go_and_tables_of_other_saves_stay(spark, tmp_path):
     shutil.rmtree(next((cache.folder / "data").glob("*/index")))
     assert cache.load("index", []) is None and cache.load("page", []).count() == 5
     assert cache.clear() == 5
+
+
+def test_what_patterns_begin_with_is_tried_once():
+    many = [f"(?:^|_){a}{b}s?_of" for a in "cdfk" for b in ("ring", "gear", "rod")]
+    assert joined(many).count("(?:^|_)") == 1 and beginnings(many) == 1
+    assert joined(["ab|cd", "a[bx]+?c", "a[bx]+?d", r"(?<n>ab)", r"(?i)ab", "[a[b]]"]) == r"(?:(?:a(?:[bx]+?(?:c|d)|b)|cd))|(?:(?<n>ab))|(?:(?i)ab)|(?:[a[b]])"
+    assert beginnings([]) == 0 and joined(["ab", "abc", "abd"]) == "(?:ab)"
+
+
+def test_joined_patterns_match_what_each_matches(spark):
+    rng = random.Random(2)
+    odd = ["^ab|c$", "", "(a|b)c", "(a|b)s", r"\bab", r"a{2}b", r"a{1,2}+c", "(?<=a)b", "(?<!a)bc", "(?>a|ab)c", "(?i)AbC", "[^_]$", r"\x61bs", r"a\_b", "ſ_", "(?:)", "a||bcs"]
+    patterns = list({random_pattern(rng) for _ in range(40)}) + odd
+    names = spark.createDataFrame([("".join(rng.choice("abcsABCS_ſ") for _ in range(rng.randint(0, 12))),) for _ in range(800)], "name string")
+    sets = [rng.sample(patterns, rng.randint(2, 9)) for _ in range(25)]
+    one = lambda p: F.col("name").rlike(cat.ANY_CASE + p)
+    got = names.select(*[F.col("name").rlike(cat.ANY_CASE + joined(s)).alias(f"g{n}") for n, s in enumerate(sets)], *[F.greatest(*map(one, s)).alias(f"w{n}") for n, s in enumerate(sets)])
+    for row in got.collect():
+        assert row[: len(sets)] == row[len(sets) :]
