@@ -63,9 +63,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt_out(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Rows of a small file over all cores, ahead of costly text rules; the test tables are one row group each."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
+#: Rows of a dealt table that one task takes, about, at most.
+DEALT_ROWS = 1 << 18
+
+
+def dealt_out(spark: SparkSession, df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Rows over all cores, ahead of costly text rules, and over more tasks the more there are; the test tables are one row group each.
+
+    ``rows``: their number where it is known, else it is read from the files' footers.
+    """
+    rows = df.count() if rows is None else rows
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-rows // DEALT_ROWS)))
 
 
 def say(*parts: Column | str) -> Column:
@@ -182,9 +190,12 @@ _WIDE = (
 
 
 def _line_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber").join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    each = dealt_out(spark, lines).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    name = say(F.translate("p_name", " ", "_"), "_of_", F.col("l_orderkey"), "_in_", F.col("l_linenumber") + 10 * F.col("i"))
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    named = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    each = dealt_out(spark, named.drop("l_partkey", "p_partkey"), lines.count())
+    each = each.select(say(F.translate("p_name", " ", "_"), "_of_", F.col("l_orderkey"), "_in_").alias("line"), "l_linenumber")
+    each = each.select("line", F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.col("l_linenumber") + 10 * i)).alias("n"))
+    name = say(F.col("line"), F.col("n"))
     return each.select(name.alias("name"))
 
 
