@@ -1,8 +1,10 @@
 """Answers of services that cost time or money, each kept as it comes.
 
-A task writes what it is answered, call by call, to small files of its own in the store's folder, and looks there before it
-asks, so a retried task goes on where the killed one stopped. When all is answered it becomes one Parquet table of the store
-and the small files go. A later run takes what the store holds, tables and what a run that died left, and asks only for the rest.
+A task writes what it is answered, call by call, to a file of its own in the store's folder, and looks there before it asks,
+so a retried task goes on where the killed one stopped; of a line that was cut off, nothing is taken. Files are ended once they
+are ``OPEN_SECONDS`` old: where a file can't be seen before its end, no more than that is lost with a task. When all is
+answered it becomes one Parquet table of the store and the tasks' files go. A later run takes what the store holds, tables and
+what a run that died left, and asks only for the rest.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 
 from ..storage import stored
 
+#: How long a task adds answers to one file.
+OPEN_SECONDS = 1.0
 KEPT = "key string, answer string, at double"
 _FRESH = pa.schema([("key", pa.string()), ("answer", pa.string()), ("at", pa.float64()), ("keep", pa.bool_())])
 
@@ -53,12 +57,34 @@ def _written(files: pyarrow.fs.FileSystem, place: str, prefix: str) -> dict[str,
     for info in files.get_file_info(pyarrow.fs.FileSelector(place, allow_not_found=True)):
         if info.base_name.startswith(prefix) and info.base_name.endswith(".json"):
             with files.open_input_stream(info.path) as f:
-                for line in f.read().decode().splitlines():
-                    x = json.loads(line)
-                    found[x["key"]] = (x["answer"], x["at"])
+                whole = f.read().rpartition(b"\n")[0]  # an attempt that was killed may leave half a line
+            for line in whole.split(b"\n") if whole else ():
+                x = json.loads(line)
+                found[x["key"]] = (x["answer"], x["at"])
     return found
 
 
+class _Noted:
+    """Lines to files of one attempt at a task, each written through as it comes; a new file as soon as one is old."""
+
+    def __init__(self, files: pyarrow.fs.FileSystem, name: str):
+        self.files, self.name, self.n, self.out, self.since = files, name, 0, None, 0.0
+
+    def add(self, lines: str) -> None:
+        if self.out is None:
+            self.out, self.since = self.files.open_output_stream(f"{self.name}-{self.n:07d}.json", compression=None), time.monotonic()
+            self.n += 1
+        self.out.write(lines.encode())
+        self.out.flush()
+        if time.monotonic() - self.since >= OPEN_SECONDS:
+            self.close()
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.out = None
+
+
 class Answers:
     """A store of answers by key under a folder that the driver and all executors reach."""
 
@@ -76,7 +102,7 @@ class Answers:
         if tables := self._below("kept"):
             rows = rows.unionByName(self.spark.read.schema(KEPT).parquet(*tables))
         if left := self._below("coming"):
-            rows = rows.unionByName(self.spark.read.schema(KEPT).option("pathGlobFilter", "*.json").json(left))
+            rows = rows.unionByName(self.spark.read.schema(KEPT).option("pathGlobFilter", "*.json").option("mode", "DROPMALFORMED").json(left))
         return rows.where(F.col("key").isNotNull() & (F.col("at") >= since)).groupBy("key").agg(F.max_by("answer", "at").alias("answer"))
 
     def ask(self, questions: DataFrame, call: Call, tasks: int = 4, pause: float = 0.0, batch: int = 1, since: float = 0.0) -> DataFrame:
@@ -95,28 +121,26 @@ class Answers:
             place, prefix = f"{base}/coming/{run}", f"{task.partitionId():05d}-"
             before = _written(files, place, prefix)
             files.create_dir(place, recursive=True)
-            wait, n = Pace(pause, tasks, task.partitionId()), 0
+            wait, noted = Pace(pause, tasks, task.partitionId()), _Noted(files, f"{place}/{prefix}{task.taskAttemptId()}")
 
             def give(rows: list[tuple[str, str | None, float, bool]]) -> pa.RecordBatch:
                 return pa.record_batch([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_FRESH)], schema=_FRESH)
 
-            for rows in source:
-                pairs = list(zip(rows["key"].to_pylist(), rows["question"].to_pylist(), strict=True))
-                held = [(k, *before[k], True) for k, _ in pairs if k in before]
-                if held:
-                    yield give(held)
-                pairs = [p for p in pairs if p[0] not in before]
-                for a in range(0, len(pairs), batch):
-                    part = pairs[a : a + batch]
-                    got = [(k, answer, time.time(), keep) for (k, _), (answer, keep) in zip(part, call([q for _, q in part], wait), strict=True)]
-                    lines = "".join(json.dumps({"key": k, "answer": v, "at": at}) + "\n" for k, v, at, keep in got if keep)
-                    if lines:
-                        name = f"{place}/{prefix}{task.taskAttemptId()}-{n:07d}"
-                        with files.open_output_stream(f"{name}.part", compression=None) as out:
-                            out.write(lines.encode())
-                        files.move(f"{name}.part", f"{name}.json")
-                        n += 1
-                    yield give(got)
+            try:
+                for rows in source:
+                    pairs = list(zip(rows["key"].to_pylist(), rows["question"].to_pylist(), strict=True))
+                    got = [(k, *before[k], True) for k, _ in pairs if k in before]
+                    pairs = [p for p in pairs if p[0] not in before]
+                    for a in range(0, len(pairs), batch):
+                        part = pairs[a : a + batch]
+                        came = [(k, answer, time.time(), keep) for (k, _), (answer, keep) in zip(part, call([q for _, q in part], wait), strict=True)]
+                        if lines := "".join(json.dumps({"key": k, "answer": v, "at": at}) + "\n" for k, v, at, keep in came if keep):
+                            noted.add(lines)
+                        got += came
+                    if got:
+                        yield give(got)
+            finally:
+                noted.close()
 
         fresh = asked.mapInArrow(work, f"{KEPT}, keep boolean").where("keep").drop("keep")
         fresh.write.parquet(f"{self.folder}/kept/{run}")

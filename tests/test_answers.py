@@ -127,6 +127,33 @@ def test_a_run_that_died_leaves_its_answers(spark, tmp_path):
     assert fetch().count() == 29 and len(told(log)) == 16
 
 
+def test_quick_answers_share_files(spark, tmp_path):
+    """A task's answers go to one file, not to one each; each is on disk before the next is asked for."""
+    store, on_disk = tmp_path / "store", tmp_path / "log"
+
+    def transport(url, asked):
+        files = list((store / "coming").rglob("*.json"))
+        with open(on_disk, "a") as f:
+            f.write(f"{len(files)} {sum(p.read_text().count(chr(10)) for p in files)}\n")
+        return {"response": asked["prompt"]}
+
+    rows = spark.range(300).select(F.concat(F.lit("p"), "id").alias("p"))
+    assert remote.ask_model(rows, F.col("p"), "u", "m", transport, 1, 0, tasks=1, store=str(store)).where("reply = p").count() == 300
+    seen = [tuple(map(int, line.split())) for line in on_disk.read_text().splitlines()]
+    assert [lines for _, lines in seen] == list(range(300)) and max(files for files, _ in seen) < 100
+
+
+def test_half_a_line_of_a_killed_task_is_asked_again(spark, tmp_path):
+    place = tmp_path / "store" / "coming" / "x"
+    place.mkdir(parents=True)
+    (place / "00000-1-0000000.json").write_text('{"key": "a", "answer": "A", "at": 1.0}\n{"key": "b", "answer": "B", "at": 1')
+    store = Answers(spark, str(tmp_path / "store"))
+    assert [tuple(r) for r in store.known().collect()] == [("a", "A")]
+    asked = spark.createDataFrame([("a", "qa"), ("b", "qb")], "key string, question string")
+    got = store.ask(asked, lambda qs, wait: [(f"new {q}", True) for q in qs], 1)
+    assert {tuple(r) for r in got.collect()} == {("a", "A"), ("b", "new qb")}
+
+
 @pytest.mark.parametrize("partitions", [4, 16, 200])
 def test_requests_keep_the_rate_at_any_number_of_partitions(spark, tmp_path, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")
