@@ -79,11 +79,14 @@ def _first(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
 
 def normalise(raw: Column) -> Column:
     """``YYYY-MM-DD``, ``YYYY-MM``, ``YYYY``, with ``c. `` before or `` BC`` after; text without a form stays; null without a digit."""
-    text = strip(raw)
-    for pattern, to, any_case in _CLEANING:
-        text = sub(text, pattern, to, ANY_CASE) if any_case else sub(text, pattern, to)
-        if pattern.startswith("(?s)"):
-            text = F.when(raw.contains("}}"), strip(text)).otherwise(text)
+
+    def cleaned(raw: Column) -> Column:
+        text = strip(raw)
+        for pattern, to, any_case in _CLEANING:
+            text = sub(text, pattern, to, ANY_CASE) if any_case else sub(text, pattern, to)
+            if pattern.startswith("(?s)"):
+                text = F.when(raw.contains("}}"), strip(text)).otherwise(text)
+        return F.when(raw != "", let(text, dated))
 
     def dated(held: Column) -> Column:
         circa = F.when(has(held, _CIRCA), F.lit("c. ")).otherwise(F.lit(""))
@@ -103,7 +106,7 @@ def normalise(raw: Column) -> Column:
     def after(circa: Column, s: Column) -> Column:
         return _first([(c, F.concat(circa, v)) for c, v in _worded(s)], F.when(has(s, r"\d"), s))
 
-    return F.when(raw != "", let(text, dated))
+    return let(raw, cleaned)
 
 
 def normalise_with_note(raw: Column) -> Column:
@@ -123,9 +126,10 @@ def normalise_with_note(raw: Column) -> Column:
             .otherwise(pair(normalise(s), F.lit(None).cast("string")))
         )
 
-    s = strip(raw)
-    both = F.struct(s.alias("s"), strip(sub(s, r"^[Cc]\.?\s*")).alias("bare"))
-    return F.when(raw != "", let(both, read)).otherwise(F.struct(F.lit(None).cast("string").alias("date"), F.lit(None).cast("string").alias("note")))
+    def both(s: Column) -> Column:
+        return let(F.struct(s.alias("s"), strip(sub(s, r"^[Cc]\.?\s*")).alias("bare")), read)
+
+    return F.when(raw != "", let(strip(raw), both)).otherwise(F.struct(F.lit(None).cast("string").alias("date"), F.lit(None).cast("string").alias("note")))
 
 
 def sort_key(date: Column) -> Column:

@@ -40,7 +40,7 @@ def strip(text: Column, also: str = "") -> Column:
 
 def present(text: Column) -> Column:
     """Null in place of an empty text."""
-    return F.when(text != "", text)
+    return let(text, lambda t: F.when(t != "", t))
 
 
 def two_digits(number: Column) -> Column:

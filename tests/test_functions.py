@@ -182,3 +182,12 @@ def test_modes():
     assert modes.mode_of("rivers") == "geo" and modes.mode_of("poets") == "bio" and modes.mode_of("poets", "math") == "math"
     assert modes.mode_of("rivers", "etymology") == "etymology" and len(modes.STEM_MODES) == 32
     assert len(set(bio.NATIONALITIES)) == 193 and len(set(bio.OCCUPATIONS)) == 179
+
+
+def test_a_run_of_braces_is_one_piece(spark):
+    """The steps that count braces don't grow with how deep templates nest."""
+    from lexiquarry.functions import infobox
+
+    deep = spark.range(1).select(F.concat(F.repeat(F.lit("{{t|k="), 300), F.lit("x"), F.repeat(F.lit("}}"), 300), F.lit("|b=1}}")).alias("rest"))
+    got = deep.select(F.size(infobox._pieces(F.col("rest"))).alias("n"), infobox._closed(F.col("rest")).alias("body"), "rest").first()
+    assert got.n < 10 and got.body == got.rest
