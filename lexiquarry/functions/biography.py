@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dates import MONTH, earliest, latest, normalise
-from .text import ANY_CASE, FLAGS, any_of, group, has, let, strip, sub
+from .text import ANY_CASE, FLAGS, any_of, group, has, let, present, strip, sub
 
 # Nationalities.
 NATIONALITIES = (
@@ -66,7 +66,7 @@ LIFE = rf"\(({DATE})\s*{_DASH}\s*({DATE}){_TAIL}"
 BORN_LIFE = rf"\(\s*born\s+({DATE})\s*{_DASH}\s*({DATE}){_TAIL}"
 BORN = rf"\(\s*born\s+({DATE})\s*\)"
 CLAUSE = (
-    r"(?:was|is)\s+(?:a|an|the)\s+(.*?)(?:\s+who\b|\s+that\b|\s+whose\b|\s+best\b|\s+widely\b|\s+known\b|\.\s"
+    r"(?:was|is)\s+(?:a|an|the)\s+(.*?)(?:\s+(?:who|that|whose|best|widely|known)\b|\.\s"
     r"|,\s+(?:who\b|whose\b|born\b|and\s+(?:the\b|a\b|founder\b|one\b|co-))|$)"
 )
 DESCENT = r"\bof\s+(\w+)\s+(?:origin|descent|birth|heritage|extraction|ancestry)\b"
@@ -93,48 +93,42 @@ def _dates_in(text: Column) -> Column:
 def life_dates(text: Column) -> Column:
     """A struct of ``birth`` and ``death`` from the first parenthesis that tells them."""
 
-    def pair(birth: Column, death: Column | None = None) -> Column:
-        return F.struct(birth.alias("birth"), (F.lit(None).cast("string") if death is None else death).alias("death"))
+    pair = lambda both: F.struct(F.get(both, F.lit(0)).alias("birth"), F.get(both, F.lit(1)).alias("death"))
 
     def loose(inside: Column) -> Column:
-        halves = F.split(inside, FLAGS + rf"\s+{_DASH}\s+", 2)
-        left, right = F.get(halves, F.lit(0)), F.get(halves, F.lit(1))
-        return pair(earliest(_dates_in(left)), F.when(right.isNotNull(), latest(_dates_in(right))))
+        halves = F.transform(F.split(inside, FLAGS + rf"\s+{_DASH}\s+", 2), _dates_in)
+        return let(halves, lambda h: pair(F.array(earliest(F.get(h, F.lit(0))), latest(F.get(h, F.lit(1))))))
 
-    at = lambda pattern, n=1: normalise(group(text, pattern, n, ANY_CASE))
-    return (
-        F.when(has(text, LIFE, ANY_CASE), pair(at(LIFE), at(LIFE, 2)))
-        .when(has(text, BORN_LIFE, ANY_CASE), pair(at(BORN_LIFE), at(BORN_LIFE, 2)))
-        .when(has(text, BORN, ANY_CASE), pair(at(BORN)))
-        .otherwise(let(group(text, r"\(([^)]+)\)"), loose))
-    )
+    at = lambda pattern, *n: F.array(*[group(text, pattern, i, ANY_CASE) for i in n])
+    stated = F.when(has(text, LIFE, ANY_CASE), at(LIFE, 1, 2)).when(has(text, BORN_LIFE, ANY_CASE), at(BORN_LIFE, 1, 2)).when(has(text, BORN, ANY_CASE), at(BORN, 1))
+    return let(stated, lambda s: F.when(s.isNotNull(), let(F.transform(s, normalise), pair)).otherwise(let(group(text, r"\(([^)]+)\)"), loose)))
 
 
-def _tokens(clause: Column) -> Column:
-    """Lower-case words of the clause without nationalities of several words."""
-    words = F.split(strip(sub(clause, _ANY_PHRASE, "", ANY_CASE)), FLAGS + r"\s+")
-    return F.transform(words, lambda w: sub(F.lower(w), r"[.,;]+\z"))
+def _phrases(clause: Column) -> Column:
+    """Nationalities of several words in the clause, as it writes them."""
+    return F.regexp_extract_all(clause, F.lit(ANY_CASE + _ANY_PHRASE), F.lit(0))
 
 
-def nationality(clause: Column, tokens: Column) -> Column:
-    """Nationalities of the clause (and its tokens) up to the first occupation, joined by commas."""
-    held = F.transform(F.regexp_extract_all(clause, F.lit(ANY_CASE + _ANY_PHRASE), F.lit(0)), F.lower)
-    every = F.array(*map(F.lit, _PHRASES))
-    phrases = F.when(F.size(held) > 0, let(held, lambda h: F.filter(every, lambda p: F.array_contains(h, p)))).otherwise(F.array().cast("array<string>"))
+def _tokens(clause: Column, phrases: Column) -> Column:
+    """Lower-case words of the clause without its ``_phrases``."""
+    rest = F.when(F.size(phrases) > 0, sub(clause, _ANY_PHRASE, "", ANY_CASE)).otherwise(clause)
+    return F.transform(F.split(strip(rest), FLAGS + r"\s+"), lambda w: F.rtrim(F.lower(w), F.lit(".,;")))
+
+
+def nationality(phrases: Column, tokens: Column) -> Column:
+    """Nationalities of a clause's ``_phrases``, then of its tokens up to the first occupation, joined by commas."""
+    none, every = F.array().cast("array<string>"), F.array(*map(F.lit, _PHRASES))
+    long = F.when(F.size(phrases) > 0, let(F.transform(phrases, F.lower), lambda held: F.filter(every, lambda p: F.array_contains(held, p)))).otherwise(none)
 
     def of_token(t: Column) -> Column:
+        whole = F.when(t.isin(*NATIONALITIES), F.array(t)).otherwise(none)
         part = F.filter(F.split(t, "-"), lambda p: p.isin(*NATIONALITIES))
-        whole = F.when(t.isin(*NATIONALITIES), F.array(t)).otherwise(F.array().cast("array<string>"))
-        return F.concat(F.slice(part, 1, 1), whole)
-
-    def zone(tokens: Column) -> Column:
-        trades = F.transform(tokens, lambda t: t.isin(*OCCUPATIONS) | sub(t, r"s+\z").isin(*OCCUPATIONS))
-        stop = F.array_position(trades, True)
-        return F.when(stop > 0, F.slice(tokens, 1, stop.cast("int"))).otherwise(tokens)
+        return F.when(t.contains("-"), F.concat(F.slice(part, 1, 1), whole)).otherwise(whole)
 
-    single = F.flatten(F.transform(zone(tokens), of_token))
-    found = F.array_distinct(F.transform(F.concat(phrases, single), F.initcap))
-    return F.when(F.size(found) > 0, F.array_join(found, ", "))
+    trades = F.transform(tokens, lambda t: t.isin(*OCCUPATIONS) | F.rtrim(t, F.lit("s")).isin(*OCCUPATIONS))
+    zone = let(F.array_position(trades, True), lambda stop: F.when(stop > 0, F.slice(tokens, F.lit(1), stop.cast("int"))).otherwise(tokens))
+    single = F.flatten(F.transform(zone, of_token))
+    return present(F.array_join(F.array_distinct(F.transform(F.concat(long, single), F.initcap)), ", "))
 
 
 def occupation(tokens: Column) -> Column:
@@ -148,14 +142,14 @@ def occupation(tokens: Column) -> Column:
             parts = F.split(now, "-")
             origin = F.exists(parts, lambda p: p.isin(*NATIONALITIES) | p.isin(*_ORIGINS)) & F.forall(parts, lambda p: p.isin(*NATIONALITIES) | p.isin(*_ORIGINS, "and"))
             idle = state["skip"] | now.isin("", "and", "or") | origin
-            trade = ~idle & now.isin(*OCCUPATIONS)
-            pair = ~idle & ~trade & F.coalesce(after.isin(*OCCUPATIONS), F.lit(False)) & ~now.isin(*NATIONALITIES)
-            found = F.when(trade, F.concat(state["found"], F.array(now))).when(pair, F.concat(state["found"], F.array(F.concat_ws(" ", now, after)))).otherwise(state["found"])
-            return F.struct(pair.alias("skip"), found.alias("found"))
+            pair = F.coalesce(after.isin(*OCCUPATIONS), F.lit(False)) & ~now.isin(*NATIONALITIES)
+            trade = F.when(idle, F.lit(None).cast("string")).when(now.isin(*OCCUPATIONS), now).when(pair, F.concat_ws(" ", now, after))
+            added = lambda t: F.struct(F.coalesce(t != now, F.lit(False)).alias("skip"), F.when(t.isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(t))).alias("found"))
+            return let(trade, added)
 
         return F.aggregate(F.sequence(F.lit(0), F.size(tokens) - 1), start, step, lambda s: s["found"])
 
-    return let(run(), lambda found: F.when(F.size(found) > 0, F.array_join(found, ", ")))
+    return present(F.array_join(run(), ", "))
 
 
 def told(rows: DataFrame, text: Column, wanted: tuple[str, ...] | list[str] = FIELDS, prefix: str = "") -> DataFrame:
@@ -170,10 +164,9 @@ def told(rows: DataFrame, text: Column, wanted: tuple[str, ...] | list[str] = FI
         rows = rows.withColumn("_life", life_dates(lead))
         made |= {"birth_date": F.col("_life.birth"), "death_date": F.col("_life.death")}
     if {"nationality", "occupation"} & set(wanted):
-        rows = rows.withColumn("_clause", F.when(has(lead, CLAUSE, ANY_CASE), group(lead, CLAUSE, 1, ANY_CASE))).withColumn("_tokens", _tokens(F.col("_clause")))
-        made["occupation"] = F.when(F.col("_clause").isNotNull(), occupation(F.col("_tokens")))
-    if "nationality" in wanted:
-        rows = rows.withColumn("_descent", F.lower(group(lead, DESCENT, 1, ANY_CASE)))
-        by_descent = F.when(F.col("_descent").isin(*NATIONALITIES), F.initcap("_descent"))
-        made["nationality"] = F.coalesce(F.when(F.col("_clause").isNotNull(), nationality(F.col("_clause"), F.col("_tokens"))), by_descent)
-    return rows.withColumns({f"{prefix}{f}": made[f] for f in wanted}).drop("_lead", "_life", "_clause", "_tokens", "_descent")
+        rows = rows.withColumn("_clause", group(lead, CLAUSE, 1, ANY_CASE)).withColumn("_phrases", _phrases(F.col("_clause"))).withColumn("_tokens", _tokens(F.col("_clause"), F.col("_phrases")))
+        told_by_clause = F.col("_clause") != ""
+        by_descent = let(F.lower(group(lead, DESCENT, 1, ANY_CASE)), lambda d: F.when(d.isin(*NATIONALITIES), F.initcap(d)))
+        made["occupation"] = F.when(told_by_clause, occupation(F.col("_tokens")))
+        made["nationality"] = F.coalesce(F.when(told_by_clause, nationality(F.col("_phrases"), F.col("_tokens"))), by_descent)
+    return rows.withColumns({f"{prefix}{f}": made[f] for f in wanted}).drop("_lead", "_life", "_clause", "_phrases", "_tokens")

@@ -36,6 +36,9 @@ _WORDED = (
 )
 _DECADE = r"^(?:early|late|mid)?\s*(\d{3,4})s$"
 _CENTURY = r"^(\d{1,2})(?:st|nd|rd|th)?[- ]?century$"
+#: What no rule below alters, and the two ways of writing a date of which none but that form's own is true.
+_KEPT = r"\A(?:c\. )?(?:[0-9]{3,4}|[0-9]{4}-[0-9]{2}-[0-9]{2})\z"
+_PLAIN = rf"\A(?:[0-9]{{1,2}} {MONTH} [0-9]{{3,4}}|{MONTH} [0-9]{{1,2}}, [0-9]{{3,4}})\z"
 _MONTH_DAY, _DAY_MONTH = rf"^({MONTH}),?\s+(\d{{1,2}})$", rf"^(\d{{1,2}})\s+({MONTH})$"
 
 
@@ -77,6 +80,18 @@ def _first(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return chain.otherwise(otherwise)
 
 
+def _plain(s: Column) -> Column:
+    """The date of a text in a form of ``_PLAIN``, by its words."""
+
+    def read(words: Column) -> Column:
+        one, two, year = (F.get(words, F.lit(n)) for n in range(3))
+        day_first = F.length(one) < 3
+        month, day = F.when(day_first, two).otherwise(one), F.when(day_first, one).otherwise(F.translate(two, ",", ""))
+        return _date(year, month_number(month), two_digits(day))
+
+    return let(F.split(s, " "), read)
+
+
 def normalise(raw: Column) -> Column:
     """``YYYY-MM-DD``, ``YYYY-MM``, ``YYYY``, with ``c. `` before or `` BC`` after; text without a form stays; null without a digit."""
     text = strip(raw)
@@ -103,35 +118,37 @@ def normalise(raw: Column) -> Column:
     def after(circa: Column, s: Column) -> Column:
         return _first([(c, F.concat(circa, v)) for c, v in _worded(s)], F.when(has(s, r"\d"), s))
 
-    return F.when(raw != "", let(text, dated))
+    return F.when(has(raw, _KEPT), raw).when(has(raw, _PLAIN), _plain(raw)).when(raw != "", let(text, dated))
 
 
 def normalise_with_note(raw: Column) -> Column:
     """A struct of ``date`` and ``note``; the note tells where the date stands for a decade, a century or no year."""
 
+    none = F.lit(None).cast("string")
+    pair = lambda date, n=none: F.struct(date.alias("date"), n.alias("note"))
+
     def read(x: Column) -> Column:
         s, bare = x["s"], x["bare"]
         note = F.concat(F.lit("~"), s)
         no_year = F.concat(note, F.lit(" (no year)"))
         year = F.lpad(((group(bare, _CENTURY, 1, ANY_CASE).cast("int") - 1) * 100 + 1).cast("string"), 4, "0")
-        pair = lambda date, n: F.struct(date.alias("date"), n.alias("note"))
         return (
             F.when(has(bare, _DECADE, ANY_CASE), pair(F.concat(group(bare, _DECADE, 1, ANY_CASE).cast("int").cast("string"), F.lit("-01-01")), note))
             .when(has(bare, _CENTURY, ANY_CASE), pair(F.concat(year, F.lit("-01-01")), note))
             .when(has(s, _MONTH_DAY, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, _MONTH_DAY, 1, ANY_CASE)), two_digits(group(s, _MONTH_DAY, 2, ANY_CASE))), no_year))
             .when(has(s, _DAY_MONTH, ANY_CASE), pair(_date(F.lit("9999"), month_number(group(s, _DAY_MONTH, 2, ANY_CASE)), two_digits(group(s, _DAY_MONTH, 1, ANY_CASE))), no_year))
-            .otherwise(pair(normalise(s), F.lit(None).cast("string")))
+            .otherwise(pair(normalise(s)))
         )
 
     s = strip(raw)
     both = F.struct(s.alias("s"), strip(sub(s, r"^[Cc]\.?\s*")).alias("bare"))
-    return F.when(raw != "", let(both, read)).otherwise(F.struct(F.lit(None).cast("string").alias("date"), F.lit(None).cast("string").alias("note")))
+    return F.when(has(raw, _KEPT), pair(raw)).when(raw != "", let(both, read)).otherwise(pair(none))
 
 
 def sort_key(date: Column) -> Column:
     """A struct of year, month, day; what is missing counts 0. BC dates have none."""
-    part = lambda n: F.coalesce(F.get(F.split(sub(date, r"^c\. "), "-"), F.lit(n)).try_cast("int"), F.lit(0))
-    return F.struct(part(0).alias("y"), part(1).alias("m"), part(2).alias("d"))
+    part = lambda parts, n: F.coalesce(F.get(parts, F.lit(n)).try_cast("int"), F.lit(0))
+    return let(F.split(sub(date, r"^c\. "), "-"), lambda p: F.struct(part(p, 0).alias("y"), part(p, 1).alias("m"), part(p, 2).alias("d")))
 
 
 def _pick(dates: Column, last: bool) -> Column:

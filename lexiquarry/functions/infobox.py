@@ -107,13 +107,18 @@ def infobox(wikitext: Column, names: tuple[str, ...]) -> Column:
 
 def parameters(body: Column) -> Column:
     """An array of ``name`` (null: by position) and ``value``, both stripped."""
-    inside = sub(body, r"\}\}\z")
-    shallow = F.regexp_extract_all(inside, F.lit(FLAGS + _PARAMETER), F.lit(1))
     part = lambda pieces, s: F.transform(s["bars"], lambda bar, n: F.array_join(F.slice(pieces, bar + 1, F.coalesce(F.get(s["bars"], n + 1), F.size(pieces) + 1) - bar - 1), ""))
-    deep = let(_pieces(inside), lambda pieces: let(_scan(pieces), lambda s: part(pieces, s)))
-    named = r"(?s)^([^={\[]*)=(.*)\z"
-    read = lambda p: F.struct(F.when(has(p, named), strip(group(p, named))).alias("name"), strip(F.when(has(p, named), group(p, named, 2)).otherwise(p)).alias("value"))
-    return F.transform(F.when(has(sub(inside, _TEMPLATE), r"\{\{"), deep).otherwise(shallow), read)
+    deep = lambda inside: let(_pieces(inside), lambda pieces: let(_scan(pieces), lambda s: part(pieces, s)))
+    shallow = lambda inside: F.regexp_extract_all(inside, F.lit(FLAGS + _PARAMETER), F.lit(1))
+    parts = lambda inside: F.when(inside.contains("{{") & sub(inside, _TEMPLATE).contains("{{"), deep(inside)).otherwise(shallow(inside))
+
+    def read(p: Column) -> Column:
+        """By the first ``=`` that no bracket or brace stands before."""
+        before = lambda name: F.when((name != p) & ~name.contains("{") & ~name.contains("["), name)
+        name_value = lambda name: F.struct(strip(name).alias("name"), strip(F.when(name.isNull(), p).otherwise(F.substring(p, F.length(name) + 2, F.length(p)))).alias("value"))
+        return let(let(F.substring_index(p, "=", 1), before), name_value)
+
+    return F.transform(let(sub(body, r"\}\}\z"), parts), read)
 
 
 def _iso(text: Column) -> Column:
@@ -164,27 +169,39 @@ _CLEANING = (
 )
 
 
+#: What each of these patterns, and templates, need a part of: a value without any stays as it is.
+_MARKUP = r"[\[{}<&]|''|px|[^\S ]|  "
+
+
 def clean(value: Column, date: bool = False, number: bool = False) -> Column:
     """A value without markup; null if nothing is left."""
-    text = without_templates(value)
+    bare = without_templates(value)
     for pattern, to, any_case in _CLEANING:
-        text = sub(text, pattern, to, ANY_CASE if any_case else FLAGS)
-    text = present(strip(strip(strip(text), ",;")))
+        bare = sub(bare, pattern, to, ANY_CASE if any_case else FLAGS)
+    text = present(strip(strip(strip(F.when(has(value, _MARKUP), bare).otherwise(value)), ",;")))
     if number:
         text = F.translate(text, ",", "")
-    return F.coalesce(template_date(value), text) if date else text
+    return F.coalesce(F.when(value.contains("{{"), template_date(value)), text) if date else text
 
 
 def fields(wikitext: Column, spec: Infobox, wanted: tuple[str, ...] | None = None) -> Column:
-    """A struct of the wanted fields, null where the article has none."""
+    """A struct of the wanted fields, null where the article has none.
+
+    Fields of one kind are cleaned by one expression, so that the plan doesn't grow with the fields and their names.
+    """
     wanted = wanted or tuple(spec.aliases)
+    kind = {f: (f in spec.dates, f in spec.numbers) for f in wanted}
+    kinds = {k: [f for f in wanted if kind[f] == k] for k in dict.fromkeys(kind.values())}
 
     def value_of(params: Column, name: str) -> Column:
-        named = F.filter(params, lambda p: p["name"] == name)
-        return F.element_at(F.when(F.size(named) > 0, named), -1)["value"]  # the last of a name holds
+        return F.try_element_at(F.filter(params, lambda p: p["name"] == name), F.lit(-1))["value"]  # the last of a name holds
 
     def read(params: Column) -> Column:
-        found = {f: [clean(value_of(params, a), f in spec.dates, f in spec.numbers) for a in spec.aliases.get(f, (f,))] for f in wanted}
-        return F.struct(*[F.coalesce(*values).alias(f) for f, values in found.items()])
+        values = lambda f: F.array(*[value_of(params, a) for a in spec.aliases.get(f, (f,))])
+        first = lambda k: lambda values: F.aggregate(values, F.lit(None).cast("string"), lambda got, v: F.coalesce(got, clean(v, *k)))
+        found = [F.transform(F.array(*map(values, fs)), first(k)) for k, fs in kinds.items()]
+        at = {f: (n, F.lit(m)) for n, fs in enumerate(kinds.values()) for m, f in enumerate(fs)}
+        by_kind = F.struct(*[x.alias(f"k{n}") for n, x in enumerate(found)])
+        return let(by_kind, lambda x: F.struct(*[F.get(x[f"k{at[f][0]}"], at[f][1]).alias(f) for f in wanted]))
 
     return let(F.coalesce(parameters(infobox(wikitext, spec.names)), F.array().cast("array<struct<name:string,value:string>>")), read)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 FLAGS = "(?Ud)"
 ANY_CASE = "(?iuUd)"
+#: What ``\s`` means in these patterns: white space as Unicode has it.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -34,13 +36,12 @@ def has(text: Column, pattern: str, flags: str = FLAGS) -> Column:
 
 def strip(text: Column, also: str = "") -> Column:
     """White space off both ends, or, given ``also``, those characters instead."""
-    kind = rf"[{also}]" if also else r"\s"
-    return sub(text, rf"^{kind}+|{kind}+\z")
+    return F.btrim(text, F.lit(also or SPACES))
 
 
 def present(text: Column) -> Column:
-    """Null in place of an empty text."""
-    return F.when(text != "", text)
+    """Null in place of an empty text, which is computed once."""
+    return F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0))
 
 
 def two_digits(number: Column) -> Column:

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexiquarry.functions import biography as bio
-from lexiquarry.functions import dates, etymology, infobox, model_reply, modes, plaintext, titles
+from lexiquarry.functions import dates, etymology, infobox, model_reply, modes, plaintext, text, titles
 
 
 def apply(spark, values, column):
@@ -191,3 +191,33 @@ def test_a_run_of_braces_is_one_piece(spark):
     deep = spark.range(1).select(F.concat(F.repeat(F.lit("{{t|k="), 300), F.lit("x"), F.repeat(F.lit("}}"), 300), F.lit("|b=1}}")).alias("rest"))
     got = deep.select(F.size(infobox._pieces(F.col("rest"))).alias("n"), infobox._closed(F.col("rest")).alias("body"), "rest").first()
     assert got.n < 10 and got.body == got.rest
+
+
+def test_each_rule_stands_in_the_plan_once():
+    """Lambdas are computed as often as they are written, so what a rule names twice must be computed before."""
+    v = F.col("v")
+    uses = lambda column, what: str(column).replace("\\\\", "\\").count(what)
+    assert uses(infobox.fields(v, modes.BIO), infobox.QUOTES) == 2  # values that are dates, and others
+    assert uses(infobox.parameters(v), r"\}\}\z") == 1
+    assert uses(bio.life_dates(v), dates._CENTURY) == 0 and uses(bio.life_dates(v), dates._ISO) == 2 * uses(dates.normalise(v), dates._ISO)
+    assert uses(bio.nationality(F.col("p"), F.col("t")), "papua") == 4 and uses(bio.occupation(F.col("t")), "zoologist") == 2
+
+
+def test_white_space_is_that_of_the_patterns(spark):
+    from lexiquarry.functions.text import sub
+
+    every = [f"{chr(c)}a{chr(c)}" for c in range(1, 0x3100)]
+    assert apply(spark, every, text.strip) == apply(spark, every, lambda v: sub(v, r"^\s+|\s+\z"))
+
+
+def test_plain_dates_are_as_others(spark):
+    cases = {
+        "4 May 920": "920-05-04", "May 14, 1900": "1900-05-14", "May 14, 12345": "1234-05-14", "4 may 1920": "1920-05-04", "1900-2-03": "1900-02-03", "c. 1900-02-03": "c. 1900-02-03", "C. 1850": "c. 1850", "1900\n": "1900",
+    }
+    assert apply(spark, cases, dates.normalise) == list(cases.values())
+    assert [(x.date, x.note) for x in apply(spark, ["c. 1850", "1900-02-03", "190"], dates.normalise_with_note)] == [("c. 1850", None), ("1900-02-03", None), ("190", None)]
+
+
+def test_an_alias_is_read_where_those_before_are_blank(spark):
+    box = "{{infobox person|nationality=<!-- -->|citizenship='' ''|country=[[x|Thai]]|occupation=a|known_for=b|nationality= , }}"
+    assert tuple(apply(spark, [box], lambda v: infobox.fields(v, modes.BIO, ("nationality", "birth_date", "occupation")))[0]) == ("Thai", None, "a")
