@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import present, strip, sub
+from .text import let, present, strip, sub
 
 PROMPT_CHARACTERS = 3000
 
@@ -29,11 +29,16 @@ def etymology_prompt(text: Column, lang: str = "en") -> Column:
 def parsed(reply: Column) -> Column:
     """The reply as a variant: code fences off, and trailing commas if it does not parse with them; else null."""
     bare = strip(sub(sub(strip(reply), r"^```(?:json)?\s*"), r"\s*```$"))
-    return F.coalesce(F.try_parse_json(bare), F.try_parse_json(sub(bare, r",\s*([}\]])", "$1")))
+    return let(bare, lambda b: F.coalesce(F.try_parse_json(b), F.try_parse_json(sub(b, r",\s*([}\]])", "$1"))))
 
 
-def text_field(reply: Column, name: str) -> Column:
-    """A key's value if it is a non-blank string, stripped; numbers and other kinds are refused."""
+def text_of(said: Column, name: str) -> Column:
+    """A key's value in a ``parsed`` reply if it is a non-blank string, stripped; numbers and other kinds are refused."""
     path = f"$['{name}']"
-    value = F.try_variant_get(parsed(reply), path, "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", present(strip(F.try_variant_get(parsed(reply), path, "string"))))
+    value = F.try_variant_get(said, path, "variant")
+    return F.when(F.schema_of_variant(value) == "STRING", present(strip(F.try_variant_get(said, path, "string"))))
+
+
+def text_field(reply: Column, name: str) -> Column:
+    """``text_of`` a reply that is read for this key only."""
+    return let(parsed(reply), lambda said: text_of(said, name))

@@ -11,7 +11,7 @@ from ..functions import biography
 from ..functions.dates import normalise_with_note
 from ..functions.etymology import etymology
 from ..functions.infobox import fields
-from ..functions.model_reply import etymology_prompt, prompt, text_field
+from ..functions.model_reply import etymology_prompt, parsed, prompt, text_of
 from ..functions.modes import DATE_FIELDS, FIELDS, MODES
 from ..functions.plaintext import word_count
 
@@ -46,7 +46,8 @@ def fill_by_model(rows: DataFrame, wanted: tuple[str, ...], model: Model, mode:
     missing = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in wanted]))
     text = F.col("plaintext")
     asked = model(rows, F.when(gap, etymology_prompt(text, lang) if mode == "etymology" else prompt(text, missing, lang)))
-    return asked.withColumns({f: F.coalesce(F.col(f), text_field(F.col("reply"), f)) for f in wanted}).select(rows.columns)
+    said = asked.withColumn("_said", parsed(F.col("reply")))
+    return said.withColumns({f: F.coalesce(F.col(f), text_of(F.col("_said"), f)) for f in wanted}).select(rows.columns)
 
 
 def dated(rows: DataFrame, wanted: tuple[str, ...]) -> DataFrame:

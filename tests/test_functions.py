@@ -221,3 +221,7 @@ def test_plain_dates_are_as_others(spark):
 def test_an_alias_is_read_where_those_before_are_blank(spark):
     box = "{{infobox person|nationality=<!-- -->|citizenship='' ''|country=[[x|Thai]]|occupation=a|known_for=b|nationality= , }}"
     assert tuple(apply(spark, [box], lambda v: infobox.fields(v, modes.BIO, ("nationality", "birth_date", "occupation")))[0]) == ("Thai", None, "a")
+
+
+def test_a_reply_is_parsed_once(spark):
+    assert str(model_reply.text_field(F.col("v"), "a")).count("try_parse_json") == 2  # as it is, or else without trailing commas
