@@ -68,12 +68,13 @@ DEALT_ROWS = 1 << 18
 
 
 def dealt_out(spark: SparkSession, df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Rows over all cores, ahead of costly text rules, and over more tasks the more there are; the test tables are one row group each.
+    """Rows over all cores, ahead of costly text rules, and over more tasks the more there are, as many for each core; the test tables are one row group each.
 
     ``rows``: their number where it is known, else it is read from the files' footers.
     """
     rows = df.count() if rows is None else rows
-    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-rows // DEALT_ROWS)))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, -(-rows // (cores * DEALT_ROWS))))
 
 
 def say(*parts: Column | str) -> Column:

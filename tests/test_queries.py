@@ -43,3 +43,9 @@ def test_entry_has_rows_without_the_optional_parts():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(queries.QUERIES) <= len(entry.queries())
+
+
+def test_dealt_rows_make_as_many_tasks_for_each_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    tasks = lambda rows: queries.dealt_out(spark, spark.range(1), rows).rdd.getNumPartitions()
+    assert [tasks(n) for n in (0, 5, queries.DEALT_ROWS * cores, queries.DEALT_ROWS * cores + 1)] == [cores, cores, cores, 2 * cores]
